@@ -412,7 +412,7 @@ def job_multi_gap(spark, sf):
             {round_sql('"spreadPct_back"', 2)} AS "spreadPct_back", {round_sql('"spreadPct_cal"', 2)} AS "spreadPct_cal") FROM candidates
           WHERE undmean_avg_trade_class_combined_grade >= 1.25e0 AND "lastUpdated" = (SELECT max("lastUpdated") FROM candidates))
         WHERE {PRESET_SQL} AND "calGapPct" < {GAP_SQL}) WHERE place = 1) c
-      LEFT JOIN (SELECT symbol, weeks, max("lastUpdated") AS last FROM candidates WHERE "lastUpdated" < {fx.SNAPSHOT_EPOCH} + 1800 AND bdte = 3 GROUP BY 1, 2) l
+      LEFT JOIN (SELECT symbol, weeks, max("lastUpdated") AS last FROM candidates WHERE "lastUpdated" < {fx.SNAPSHOT_EPOCH} + 1800 AND row_id % 50 = 3 GROUP BY 1, 2) l
         ON c.symbol = l.symbol AND c.weeks = l.weeks
       LEFT JOIN earnings e ON c.symbol = e.symbol, (SELECT unnest(['c1', 'c2']) AS chat_id) m
       WHERE (last IS NULL OR c."lastUpdated" - last > 3600)
@@ -428,7 +428,7 @@ def job_alerts(spark, sf):
     )
     kept = alerts.gap_below_limit(alerts.passes_preset(alerts.rounded(newest)))
     best = alerts.best_per_key(kept, ["row_id"]).withColumn("alert_time", c("lastUpdated"))
-    log = scored.filter((c("lastUpdated") < fx.SNAPSHOT_EPOCH + 1800) & (c("bdte") == 3)).select(
+    log = scored.filter((c("lastUpdated") < fx.SNAPSHOT_EPOCH + 1800) & (c("row_id") % 50 == 3)).select(
         "symbol", "weeks", c("lastUpdated").alias("alert_time")
     )
     fresh = alerts.past_cooldown(best, log)

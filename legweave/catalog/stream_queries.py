@@ -77,7 +77,7 @@ def x02_replay(spark, sf):
 
 @query("x02_alert_cooldown_stream", REPLAY_SQL)
 def x02_stream(spark, sf):
-    with runner.rocksdb_state(spark):
+    with runner.ttl_state(spark):
         return runner.run_to_table(cooldown.cooldown_stream(fx.alert_columns(event_stream(spark, sf))), "cooldown")
 
 
@@ -142,7 +142,7 @@ def x04_stream(spark, sf):
 )
 def x05(spark, sf):
     """The cooldown stream with a state TTL, and row retention on its sink."""
-    with runner.rocksdb_state(spark):
+    with runner.ttl_state(spark):
         stream = cooldown.cooldown_stream(fx.alert_columns(event_stream(spark, sf)), ttl_ms=cooldown.STATE_TTL_MS)
         log = runner.run_to_table(stream, "retained")
     kept = retained(log.withColumn("lastUpdated", F.col("alert_time")), VERSION, 7)

@@ -10,22 +10,31 @@ from pyspark.sql import types as T
 
 from legweave.scratch import fresh_path
 
-STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Settings a stream with processing-time state needs while it starts.  Its
+# operator always asks for one more empty batch, so a run that should stop when
+# the files are used up must not start batches without data.
+TTL_STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession):
-    """Keeps streaming state in RocksDB while a query starts (needed for TTL)."""
-    before = spark.conf.get(STATE_PROVIDER, None)
-    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+def ttl_state(spark: SparkSession):
+    """Keeps streaming state in RocksDB and runs data batches only."""
+    before = {k: spark.conf.get(k, None) for k in TTL_STATE_SETTINGS}
+    for k, v in TTL_STATE_SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(STATE_PROVIDER)
-        else:
-            spark.conf.set(STATE_PROVIDER, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def stream_files(
