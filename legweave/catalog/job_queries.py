@@ -18,10 +18,20 @@ from legweave.plans.equity_snapshot import equity_snapshot
 from legweave.plans.features import feature_frame
 from legweave.plans.index_calendar import index_calendars, recovered_calendars
 from legweave.plans.multi_gap import multi_gap_history
+from legweave.scratch import settle
 
 SNAP_DAY = 20240110
 
 
+def landed_chain(spark, sf):
+    """The chain as a landed table: the jobs below read it several times."""
+    return settle(fx.chain(spark, sf), "chain")
+
+
+def landed_history(spark, sf):
+    return settle(fx.history(spark, sf), "history")
+
+
 @query(
     "job_best_calendars",
     f"""SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (PARTITION BY symbol, opt_right
@@ -74,7 +84,8 @@ def days_sql(start: str, end: str) -> str:
       FROM index_pairs JOIN cal t ON trade_date = t.day JOIN cal e ON exp = e.day JOIN cal g ON "exp_G1" = g.day""",
 )
 def job_index(spark, sf):
-    out = index_calendars(fx.snapshot_greeks(spark, sf), fx.snapshot_quotes(spark, sf), fx.cal_days(spark))
+    rows = landed_chain(spark, sf)
+    out = index_calendars(fx.snapshot_greeks_of(rows), fx.snapshot_quotes_of(rows), fx.cal_days(spark))
     return out.withColumn("undPricePctDiff", F.col("undPricePctDiff").cast("double"))
 
 
@@ -115,8 +126,9 @@ RECOVERED_OUT = ["symbol", "strike_milli", "trade_date", "ms_of_day", "exp", "ex
       FROM recovered_pairs JOIN cal t ON trade_date = t.day JOIN cal e ON exp = e.day JOIN cal g ON "exp_G1" = g.day""",
 )
 def job_recovered(spark, sf):
-    g = fx.greeks(spark, sf).select(*cols("symbol, opt_right, strike_milli, exp, trade_date, ms_of_day"), "implied_vol", "underlying")
-    q = fx.quotes(spark, sf).select(*cols("symbol, opt_right, strike_milli, exp, trade_date, ms_of_day"), "bid", "ask")
+    rows = landed_history(spark, sf)
+    g = fx.greeks_of(rows).select(*cols("symbol, opt_right, strike_milli, exp, trade_date, ms_of_day"), "implied_vol", "underlying")
+    q = fx.quotes_of(rows).select(*cols("symbol, opt_right, strike_milli, exp, trade_date, ms_of_day"), "bid", "ask")
     out = recovered_calendars(g, q, fx.cal_days(spark), 20240102, 30)
     metric = [n for n in out.columns if n.startswith(("mark", "cal", "ask_cal", "bid_cal", "spread"))]
     iv = [F.col(f"iv_pct_diff_{r}_G1").cast("double").alias(f"iv_pct_diff_{r}_G1") for r in ("C", "P")]
@@ -204,11 +216,11 @@ SNAP_OUT = [
 
 
 def _snapshot(spark, sf):
-    day = F.col("trade_date") == SNAP_DAY
+    rows = landed_chain(spark, sf).filter(F.col("trade_date") == SNAP_DAY)
     return equity_snapshot(
-        fx.snapshot_quotes(spark, sf).filter(day),
-        fx.snapshot_greeks(spark, sf).filter(day),
-        fx.snapshot_open_interest(spark, sf).filter(day),
+        fx.snapshot_quotes_of(rows),
+        fx.snapshot_greeks_of(rows),
+        fx.snapshot_open_interest_of(rows),
         fx.earnings(spark, sf),
         fx.grades(spark, sf),
         fx.cost_stats(spark, sf),
@@ -257,7 +269,7 @@ def m02(spark, sf):
       FROM greeks g JOIN nearest n ON g.symbol = n.symbol AND g.opt_right = n.opt_right AND g.strike_milli = n.strike_milli""",
 )
 def job_chain(spark, sf):
-    return volatility_chain(fx.greeks(spark, sf)).select(
+    return volatility_chain(fx.greeks_of(landed_history(spark, sf))).select(
         "symbol", "opt_right", "strike_milli", "exp", "trade_date", "ms_of_day", "implied_vol", "underlying", "strike", "strike_pct_diff"
     )
 
@@ -340,7 +352,8 @@ def job_history(spark, sf):
         F.concat(F.lit("calendar_C_2_weeks/"), "symbol", F.lit("/"), "symbol", F.lit("_2023Q4")).alias("filepath")
     )
     plan = history_plan(reports.drop("dte"), roots, done, HIST_WEEKS, "C", fx.AS_OF)
-    out = equity_history(plan, fx.quotes(spark, sf), fx.greeks(spark, sf), fx.open_interest(spark, sf), "C")
+    rows = landed_history(spark, sf)
+    out = equity_history(plan, fx.quotes_of(rows), fx.greeks_of(rows), fx.open_interest_of(rows), "C")
     return out.select(
         "symbol", "weeks", "fQuarter", "report_date", "filepath", "exp_front", "exp_back", "strike_milli", "trade_date", "ms_of_day",
         F.col("bid_quote_front").alias("bid_front"), F.col("bid_quote_back").alias("bid_back"),
@@ -390,7 +403,7 @@ GROUP BY 1, 2, 3, 4 HAVING count(*) = 8""",
       SEMI JOIN (SELECT symbol FROM gap_rows GROUP BY 1 HAVING count(DISTINCT trade_date) > 5) k USING (symbol)""",
 )
 def job_multi_gap(spark, sf):
-    d = fx.daily(spark, sf)
+    d = settle(fx.daily(spark, sf), "daily")
     keys = ["symbol", "opt_right", "strike_milli", "exp", "trade_date", "ms_of_day"]
     out = multi_gap_history(d.select(*keys, "bid", "ask"), d.select(*keys, "implied_vol", "underlying"))
     return out.drop("exps")

@@ -127,13 +127,21 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chain(spark, sf_dir).select(
+    return snapshot_quotes_of(chain(spark, sf_dir))
+
+
+def snapshot_quotes_of(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "symbol", "opt_right", "strike_milli", "exp", "trade_date", "bid_size", "bid", "ask_size", "ask"
     )
 
 
 def snapshot_greeks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chain(spark, sf_dir).select(
+    return snapshot_greeks_of(chain(spark, sf_dir))
+
+
+def snapshot_greeks_of(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "symbol",
         "opt_right",
         "strike_milli",
@@ -147,9 +155,12 @@ def snapshot_greeks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_open_interest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshot_open_interest_of(chain(spark, sf_dir))
+
+
+def snapshot_open_interest_of(rows: DataFrame) -> DataFrame:
     return (
-        chain(spark, sf_dir)
-        .filter(F.col("bid_size") <= 40)
+        rows.filter(F.col("bid_size") <= 40)
         .select("symbol", "opt_right", "strike_milli", "exp", "trade_date", "open_interest")
     )
 
@@ -172,7 +183,11 @@ def snapshot_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history(spark, sf_dir).select(
+    return quotes_of(history(spark, sf_dir))
+
+
+def quotes_of(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "symbol",
         "opt_right",
         "strike_milli",
@@ -192,8 +207,11 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def greeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greeks of the history; the smallest contracts (one open lot) have none."""
-    h = history(spark, sf_dir)
-    return h.filter((F.col("open_interest") > 1) | (F.col("ask_size") > 5)).select(
+    return greeks_of(history(spark, sf_dir))
+
+
+def greeks_of(rows: DataFrame) -> DataFrame:
+    return rows.filter((F.col("open_interest") > 1) | (F.col("ask_size") > 5)).select(
         "symbol",
         "opt_right",
         "strike_milli",
@@ -212,9 +230,12 @@ def greeks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def open_interest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open interest per bar; none for contracts whose smallest lot is above 40."""
+    return open_interest_of(history(spark, sf_dir))
+
+
+def open_interest_of(rows: DataFrame) -> DataFrame:
     return (
-        history(spark, sf_dir)
-        .filter(F.col("bid_size") <= 40)
+        rows.filter(F.col("bid_size") <= 40)
         .select("symbol", "opt_right", "strike_milli", "exp", "trade_date", "ms_of_day", "open_interest")
     )
 
