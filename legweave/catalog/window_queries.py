@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from legweave import fixtures as fx
 from legweave.catalog.filter_queries import LADDER_KEYS, cols
-from legweave.catalog.join_queries import MEASURES
+from legweave.catalog.join_queries import MEASURES, rounded_trend
 from legweave.catalog.projection_queries import PAIR_IDS, chain_pairs
 from legweave.catalog.registry import query
 from legweave.operators import alerts, enrich, expirations as ex, legs, planning
@@ -103,19 +103,11 @@ def w06(spark, sf):
 
 @query(
     "w08_trend_slice",
-    "SELECT symbol, weeks, bdte, "
-    + ", ".join(
-        f'round("pre_{i}_{m}", 8) AS "pre_{i}_{m}"' if m in ("stddev", "upper_ci", "lower_ci") else f'"pre_{i}_{m}"'
-        for i in range(3)
-        for m in MEASURES
-    )
-    + " FROM slices",
+    f"SELECT symbol, weeks, bdte, {', '.join(f'\"pre_{i}_{m}\"' for i in range(3) for m in MEASURES)} FROM slices",
 )
 def w08(spark, sf):
     trades = fx.candidates(spark, sf).select("symbol", "weeks", "bdte")
-    out = trend_slice(trades, snapshot_trend(fx.snapshot_log(spark, sf), fx.cal_days(spark)))
-    loose = [n for n in out.columns if n.endswith(("stddev", "upper_ci", "lower_ci"))]
-    return out.withColumns({n: F.round(n, 8) for n in loose})
+    return trend_slice(trades, rounded_trend(snapshot_trend(fx.snapshot_log(spark, sf), fx.cal_days(spark))))
 
 
 @query("t01_result_order", "SELECT symbol, strike_milli, trade_date, ms_of_day, exp, opt_right, bid FROM hist")
