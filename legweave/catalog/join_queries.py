@@ -82,13 +82,13 @@ def j06(spark, sf):
 
 @query(
     "j06_put_call_join",
-    """SELECT symbol, strike_milli, trade_date, exp, p.ms_of_day AS "ms_of_day_P", c.ms_of_day AS "ms_of_day_C", p.bid AS "bid_P", c.bid AS "bid_C"
-      FROM (SELECT * FROM hist WHERE opt_right = 'P') p JOIN (SELECT * FROM hist WHERE opt_right = 'C') c USING (symbol, strike_milli, trade_date, exp)""",
+    """SELECT symbol, strike_milli, trade_date, exp, ms_of_day, p.bid AS "bid_P", c.bid AS "bid_C"
+      FROM (SELECT * FROM hist WHERE opt_right = 'P') p JOIN (SELECT * FROM hist WHERE opt_right = 'C') c USING (symbol, strike_milli, trade_date, exp, ms_of_day)""",
 )
 def j06_join(spark, sf):
-    """The form for keys that repeat: here the bars of a day."""
+    """The join form, for tables whose keys may repeat."""
     rows = fx.history(spark, sf).select("symbol", "strike_milli", "trade_date", "exp", "opt_right", "ms_of_day", "bid")
-    return legs.join_put_call(rows, ["symbol", "strike_milli", "trade_date", "exp"])
+    return legs.join_put_call(rows, ["symbol", "strike_milli", "trade_date", "exp", "ms_of_day"])
 
 
 FOLD_KEYS = "symbol, trade_date, ms_of_day, strike_milli, opt_right"
@@ -377,7 +377,7 @@ def rounded_trend(df):
 def j21(spark, sf):
     rows = fx.candidates(spark, sf).select("row_id", "symbol", "weeks", "bdte")
     slices = trend_slice(rows, snapshot_trend(fx.snapshot_log(spark, sf), fx.cal_days(spark)))
-    return rows.join(slices, ["symbol", "weeks", "bdte"]).select(
+    return salted_join(rows, slices, ["symbol", "weeks", "bdte"]).select(
         "row_id", "symbol", "weeks", "bdte", "pre_0_avg", "pre_1_avg", "pre_2_max", "pre_2_count"
     )
 

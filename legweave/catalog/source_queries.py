@@ -379,9 +379,9 @@ def k01(spark: SparkSession, sf: str) -> DataFrame:
     """Writes all dates, then rewrites one: only that partition changes."""
     path = fresh_path(spark, "calendar")
     rows = fx.chain(spark, sf).select("symbol", "opt_right", "strike_milli", "exp", "trade_date", "bid", "ask")
-    wr.write_partitioned(rows, path, ["trade_date"], sort=["symbol", "strike_milli"], salts=4)
+    wr.write_partitioned(rows, path, ["trade_date"], sort=["symbol", "strike_milli"])
     fixed = rows.filter(F.col("trade_date") == 20240109).withColumn("ask", F.col("ask") + 1)
-    wr.write_partitioned(fixed, path, ["trade_date"], sort=["symbol", "strike_milli"], salts=4)
+    wr.write_partitioned(fixed, path, ["trade_date"], sort=["symbol", "strike_milli"])
     return spark.read.schema(rows.schema).parquet(path)
 
 

@@ -84,7 +84,7 @@ def past_cooldown(alerts: DataFrame, todays_log: DataFrame, seconds: int = COOLD
     The log is reduced to one time per key before the join.
     """
     last = todays_log.groupBy(*ALERT_KEYS).agg(F.max("alert_time").alias("__last"))
-    joined = alerts.join(last, ALERT_KEYS, "left")
+    joined = salted_join(alerts, last, ALERT_KEYS, "left")
     return joined.filter(
         F.col("__last").isNull() | (F.col("alert_time") - F.col("__last") > seconds)
     ).drop("__last")

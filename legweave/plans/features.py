@@ -17,6 +17,7 @@ from legweave.functions.numeric import finite_or_null
 from legweave.operators.enrich import with_backtest_aggs, with_sector
 from legweave.operators.trading_calendar import with_day_counts
 from legweave.operators.trend import SLICE_ROWS, TREND_KEYS, TREND_MEASURES, price_trend, trend_slice, with_trade_sizes
+from legweave.skew import salted_join
 
 SCORE_KEYS = ["symbol", "strike", "opt_right", "exp_front", "weeks"]
 
@@ -84,7 +85,7 @@ def feature_frame(
     frame = no_infinities(with_trade_sizes(frame))
     frame = frame.withColumn("calGapPctAdjusted", adjusted_gap("calGapPct", "weeks"))
     trend = snapshot_trend(log, calendar)
-    return frame.join(trend_slice(frame, trend), TREND_KEYS)
+    return salted_join(frame, trend_slice(frame, trend), TREND_KEYS)
 
 
 def snapshot_trend(log: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -134,7 +135,7 @@ def with_label(df: DataFrame, score: str) -> DataFrame:
 def scores_back(snapshot: DataFrame, scored: DataFrame) -> DataFrame:
     """Scores on every snapshot row; null where the model had no features."""
     scores = scored.select(*SCORE_KEYS, "prediction_label", "prediction_score_0", "prediction_score_1")
-    return snapshot.join(scores, SCORE_KEYS, "left")
+    return salted_join(snapshot, scores, SCORE_KEYS, "left")
 
 
 def matthews(df: DataFrame, label: str, prediction: str) -> DataFrame:

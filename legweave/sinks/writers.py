@@ -14,20 +14,16 @@ SECONDS_PER_DAY = 86_400
 RETENTION_DAYS = 7
 
 
-def write_partitioned(
-    df: DataFrame, path: str, by: Sequence[str], sort: Sequence[str] = (), salts: int = 1
-) -> None:
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str], sort: Sequence[str] = ()) -> None:
     """Parquet partitioned by ``by``, replacing only the partitions present in ``df``.
 
-    Rows are clustered by partition value so each one gets few files, and sorted
-    inside a task so row-group statistics can skip.  ``salts`` spreads one huge
-    partition value over several tasks and files.
+    Rows are rebalanced by partition value: each value gets few files, and one
+    that holds a large share of the rows is split over several tasks by its
+    measured size.  Rows are sorted inside a task so row-group statistics skip.
     """
     by = list(by)
-    others = [n for n in df.columns if n not in by]
-    spread = [F.pmod(F.xxhash64(*others), F.lit(salts))] if salts > 1 else []
     (
-        df.repartition(*[F.col(b) for b in by], *spread)
+        df.hint("rebalance", *[F.col(b) for b in by])
         .sortWithinPartitions(*by, *sort)
         .write.partitionBy(*by)
         .mode("overwrite")

@@ -90,3 +90,13 @@ def test_streamed_cooldown_survives_a_restart(spark):
             runner.catch_up(stream, out, state)
     got = [r.event_id for r in spark.read.parquet(out).collect()]
     assert len(got) == len(set(got)) and set(got) == emitted_by_loop(attempts())
+
+
+def test_partitioned_write_rebalances_and_replaces(spark, rows):
+    path = fresh_path(spark, "parts")
+    df = spark.createDataFrame([(d, i) for d in (1, 2) for i in range(5)], "day int, i int")
+    wr.write_partitioned(df, path, ["day"], ["i"])
+    wr.write_partitioned(spark.createDataFrame([(2, 99)], "day int, i int"), path, ["day"])
+    assert rows(spark.read.parquet(path), "day", "i") == [*[(1, i) for i in range(5)], (2, 99)]
+    plan = df.hint("rebalance", F.col("day"))._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
