@@ -252,8 +252,9 @@ GROUP BY 1, 2, 3 HAVING count(*) FILTER (WHERE off <= 2) = 3 OR count(*) FILTER
       JOIN snap_slices USING (symbol, weeks, bdte)""",
 )
 def m02(spark, sf):
+    snapshot = settle(_snapshot(spark, sf), "snapshot")
     frame = feature_frame(
-        _snapshot(spark, sf), fx.sectors(spark, sf), fx.backtest_aggs(spark, sf), fx.snapshot_log(spark, sf), fx.cal_days(spark)
+        snapshot, fx.sectors(spark, sf), fx.backtest_aggs(spark, sf), fx.snapshot_log(spark, sf), fx.cal_days(spark)
     )
     return frame.select(
         "symbol", "strike", "opt_right", "exp_front", "weeks", "sector", "all_pl_pct_mean", "min_entry_size", "max_exit_size",

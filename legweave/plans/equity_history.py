@@ -13,6 +13,7 @@ from legweave.operators.filters import enough_dates, strike_corridor
 from legweave.operators.legs import earliest_per_day, merge
 from legweave.operators.planning import dataset_key, for_weeks, not_in, rows_of_roots, settled, with_quarters
 from legweave.schemas import BAR_KEYS, CONTRACT_KEYS
+from legweave.scratch import settle
 from legweave.skew import salted_join
 from legweave.sources.scans import of_right
 
@@ -35,7 +36,8 @@ def history_plan(
 def plan_strikes(plan: DataFrame, quotes: DataFrame, greeks: DataFrame, right: str) -> DataFrame:
     """Plan rows with their expirations, shared days and corridor strikes."""
     chosen = choose_expirations(plan, expiration_lists(quotes))
-    shared = common_listing(chosen, contract_listing(quotes), MIN_COMMON_DATES)
+    # The corridor reads the plan twice, so it is written once.
+    shared = settle(common_listing(chosen, contract_listing(quotes), MIN_COMMON_DATES), "history-plan")
     return strike_corridor(shared, greeks, PLAN_KEYS, right)
 
 

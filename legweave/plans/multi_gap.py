@@ -9,6 +9,7 @@ from legweave.operators.expirations import expiration_runs, in_all_groups, runs_
 from legweave.operators.filters import enough_dates, strike_corridor
 from legweave.operators.legs import merge, widen_legs
 from legweave.schemas import BAR_KEYS
+from legweave.scratch import settle
 from legweave.skew import salted_join
 
 # Back legs per run, shared trade dates a run needs.
@@ -31,7 +32,8 @@ def run_plan(quotes: DataFrame, greeks: DataFrame, gaps: int = GAPS, min_dates:
     plan = runs.join(strikes, RUN_KEYS).withColumns(
         {"exp_front": F.get("exps", F.lit(0)), "trade_dates": F.array("first_day", "last_day")}
     )
-    return strike_corridor(plan, greeks, RUN_KEYS, CORRIDOR_RIGHT)
+    # The corridor reads the plan twice, so it is written once.
+    return strike_corridor(settle(plan, "run-plan"), greeks, RUN_KEYS, CORRIDOR_RIGHT)
 
 
 def leg_names(gaps: int) -> list[str]:
