@@ -1,4 +1,4 @@
-"""Whole jobs: the reference's runs from landed tables to result."""
+"""Whole jobs, from landed tables to result."""
 
 from __future__ import annotations
 
