@@ -1,13 +1,16 @@
 """Where intermediate tables, sinks under test and stream checkpoints go.
 
-On a cluster this is the shared folder named by ``spark.checkpoint.dir``.  A
-machine-local folder is used only when that is unset *and* the master is local,
-because executors elsewhere could not read it.
+This is the shared folder that the cluster names in ``spark.checkpoint.dir``.
+Where that is unset, as in a bare local session, it is a folder of the
+warehouse, which every executor shares as well.  No machine-local folder is
+used on a cluster.
+
+Tables of one application lie below one folder, so :func:`clear` removes them
+together; :func:`discard` removes one that later steps no longer read.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +19,12 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder for this session."""
+    """The shared folder of this application."""
     root = spark.conf.get(CHECKPOINT_DIR, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{CHECKPOINT_DIR} must name a shared folder on a cluster")
-    root = tempfile.mkdtemp(prefix="legweave-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        spark.conf.set(CHECKPOINT_DIR, root)
+    return f"{root.rstrip('/')}/legweave-{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -40,4 +40,22 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    settled = df.sparkSession.read.schema(df.schema).parquet(path)
+    settled._settled_path = path
+    return settled
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of :func:`settle` that no DataFrame still in use reads."""
+    for df in tables:
+        _remove(df.sparkSession, df._settled_path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove everything this application has left in the shared folder."""
+    _remove(spark, shared_root(spark))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

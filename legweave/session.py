@@ -6,6 +6,9 @@ session that a cluster's launcher already created.
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 from pyspark.sql import SparkSession
 
 RUNTIME_SETTINGS = {
@@ -30,7 +33,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def local_session(app: str = "legweave", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A single-machine session for tests and the bench."""
+    """A single-machine session for tests and the bench, with a shared folder of its own."""
+    shared = os.path.join(tempfile.gettempdir(), f"legweave-shared-{os.getpid()}")
     return tune(
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -38,5 +42,6 @@ def local_session(app: str = "legweave", cores: int | str = "*", shuffle_partiti
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"file://{shared}")
         .getOrCreate()
     )

@@ -5,6 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from legweave import scratch  # noqa: E402
 from legweave.session import local_session  # noqa: E402
 
 
@@ -13,6 +14,7 @@ def spark():
     session = local_session("tests", 4, shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    scratch.clear(session)
     session.stop()
 
 
