@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legweave.llm import exact_dedup, language, mixing, sentencepiece
-from legweave.llm.queries import MODEL_FILE
+from legweave.llm.sentencepiece import MODEL_FILE
 from legweave.scratch import shared_root
 from legweave.session import tune
 
@@ -16,8 +16,8 @@ from legweave.session import tune
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose text is null or holds no letter, so that no language fits."""
     model = language.fit_language_model(docs)
-    judged = language.identify_languages(docs.select("*", F.lit(True).alias("__row")), model)
-    return judged.filter(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
+    judged = language.identify_languages(docs.select(F.struct("*").alias("row"), "text"), model)
+    return judged.filter(F.col("lang_pred") != language.UNDETERMINED).select("row.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legweave.llm import exact_dedup, language, mixing, quality, samples, secrets, sentencepiece, sharding
+from legweave.llm.sentencepiece import MODEL_FILE
 from legweave.session import tune
 
-MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 SHARDS = 16
 QUALITY_FLOOR = 0.3
 
@@ -116,3 +117,9 @@ def op7(spark, sf_dir):
 def op8(spark, sf_dir):
     """Every document's shard among 16, its slot, and its shard among 17."""
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARDS)
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    """All stages of the corpus pipeline in turn."""
+    return corpus_pipeline.run(spark, sf_dir)

@@ -17,6 +17,8 @@ from legweave.llm.batches import list_column, ragged
 from legweave.llm.samples import with_scores
 
 SPACE = "▁"
+# The model file that the queries and the pipeline use; a parameter everywhere else.
+MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 # Fixed values of the model file's format: kinds of pieces and of models.
 NORMAL, CONTROL, BYTE = 1, 3, 6
 UNIGRAM, BPE = 1, 2
