@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legweave.llm import exact_dedup, language, mixing, quality, samples, secrets, sentencepiece, sharding
+from legweave.llm import embeddings, exact_dedup, language, mixing, quality, samples, secrets, sentencepiece, sharding
 from legweave.llm.sentencepiece import MODEL_FILE
 from legweave.session import tune
 
@@ -59,6 +59,12 @@ def op2(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op3_pivot_range_join")
+def op3(spark, sf_dir):
+    """Near-duplicate vectors of one label."""
+    return embeddings.near_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
 OP4_SQL = r"""
 WITH squeezed AS (
     SELECT doc_id, length(coalesce(text, '')) AS points,
