@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legweave.llm import embeddings, exact_dedup, language, mixing, quality, samples, secrets, sentencepiece, sharding
+from legweave.llm import embeddings, exact_dedup, language, mixing, quality, samples, secrets, sentencepiece, sharding, substrings
 from legweave.llm.sentencepiece import MODEL_FILE
 from legweave.session import tune
 
@@ -129,3 +129,9 @@ def op8(spark, sf_dir):
 def pipeline(spark, sf_dir):
     """All stages of the corpus pipeline in turn."""
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("op9_merged_transforms")
+def op9(spark, sf_dir):
+    """Every document without the bytes of 100-byte strings that start earlier."""
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"))
