@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legweave.llm import exact_dedup, language, mixing, sentencepiece
+from legweave.llm import exact_dedup, jaccard, language, mixing, sentencepiece
 from legweave.llm.sentencepiece import MODEL_FILE
 from legweave.scratch import shared_root
 from legweave.session import tune
@@ -25,6 +25,11 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.kept_documents(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group tied together by a five-word shingle similarity of 0.8 or more."""
+    return jaccard.kept_documents(docs, percent=80, size=5)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mixed_documents(docs)
@@ -39,6 +44,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language ID", identify),
     ("exact dedup", drop_exact_copies),
+    ("n-gram Jaccard join", drop_near_copies),
     ("mixing sources to target weights", mix),
     ("SentencePiece encoding and decoding", encode),
 ]

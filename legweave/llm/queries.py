@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legweave.llm import embeddings, exact_dedup, language, mixing, quality, samples, secrets, sentencepiece, sharding, substrings
+from legweave.llm import embeddings, exact_dedup, jaccard, language, mixing, quality, samples, secrets, sentencepiece, sharding, substrings
 from legweave.llm.sentencepiece import MODEL_FILE
 from legweave.session import tune
 
@@ -135,3 +135,9 @@ def pipeline(spark, sf_dir):
 def op9(spark, sf_dir):
     """Every document without the bytes of 100-byte strings that start earlier."""
     return substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+@query("op10_shingle_tiles")
+def op10(spark, sf_dir):
+    """Documents tied together by a shingle similarity of 80 per cent or more."""
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
