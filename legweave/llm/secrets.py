@@ -133,8 +133,11 @@ def labelled_strings(found: DataFrame, docs: DataFrame, id_col: str, text_col: s
     value = F.regexp_extract(F.col("span.hit"), r"([A-Za-z0-9+/_-]+)[.=]*$", 1)
     random = found.select(hit).select(value.alias("string")).filter(F.length("string") >= 12).distinct()
     random = random.orderBy(F.xxhash64("string"), "string").limit(SAMPLE_STRINGS).withColumn("random", F.lit(True))
-    some = docs.select(id_col, text_col).orderBy(F.xxhash64(F.col(id_col)), id_col).limit(SAMPLE_DOCUMENTS)
-    bare = F.col(text_col)
+    # The ids are drawn without their texts, so that no task gathers those of all others.
+    ids = docs.select(F.col(id_col).alias("id")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCUMENTS).distinct()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    some = texts.join(settle(ids, "drawn"), "id", "left_semi")
+    bare = F.col("text")
     for _, pattern, *_ in PATTERNS:
         bare = F.regexp_replace(bare, pattern, " ")
     words = some.select(F.explode(F.regexp_extract_all(bare, F.lit(WORD), F.lit(0))).alias("string")).distinct()
