@@ -24,20 +24,19 @@ def components(links: DataFrame) -> DataFrame:
         both = both.unionByName(edges.select(F.col("y").alias("v"), F.col("x").alias("u")))
         near = settle(both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("to")), "nearest")
         far = near.select(F.col("v").alias("to"), F.col("to").alias("root"))
-        roots = settle(near.join(far, "to").select("v", "root"), "roots")
+        roots = near.join(far, "to").select("v", "root")
         if members is None:
-            merged = roots
+            merged = settle(roots, "members")
         else:
             moved = roots.select(F.col("v").alias("root"), F.col("root").alias("next"))
-            merged = settle(
-                members.join(moved, "root", "left").select("v", F.coalesce("next", "root").alias("root")), "members"
-            )
+            merged = members.join(moved, "root", "left").select("v", F.coalesce("next", "root").alias("root"))
+            merged = settle(merged, "members")
             discard(members)
         rx = roots.select(F.col("v").alias("x"), F.col("root").alias("rx"))
         ry = roots.select(F.col("v").alias("y"), F.col("root").alias("ry"))
-        half = settle(edges.join(rx, "x").select("rx", "y"), "half")
-        rest = settle(_between(half.join(ry, "y").select(F.col("rx").alias("x"), F.col("ry").alias("y"))), "links")
-        discard(edges, near, half, *([] if merged is roots else [roots]))
+        moved = edges.join(rx, "x").join(ry, "y").select(F.col("rx").alias("x"), F.col("ry").alias("y"))
+        rest = settle(_between(moved), "links")
+        discard(edges, near)
         edges, members = rest, merged
     discard(edges)
     return members.select(F.col("v").alias("id"), F.col("root").alias("component"))

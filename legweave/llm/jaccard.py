@@ -23,7 +23,9 @@ LEAST_BITS, MOST_BITS = 64, 1 << 15
 # Rows that one part of a tile compares with the tile, rows of a task, pairs compared at a time.
 PART, TASK_ROWS, PAIRS = 4_096, 4_000, 400_000
 # Tiles above this size are first compared with one of their members only.
-STAR = 32
+STAR = 64
+# Partners that each row offers in the first round, and times as many in each one after.
+FIRST_BEST, GROWTH = 2, 16
 
 
 def signature(one: np.ndarray) -> bytes:
@@ -173,13 +175,14 @@ class _Signatures:
         return out
 
 
-def _tile(percent: int, best: int | None):
+def _tile(percent: int, best: int, star: bool):
     """One task's tiles: pairs (a, b) of different components that their signatures let through.
 
     Rows of a tile are sorted by size, so each meets the band of sizes that can
     reach ``percent``.  Each row gives its ``best`` partners by signature, and
-    ``more`` says that it has others.  With ``best`` None only tiles above STAR
-    rows are looked at, and each row meets only the tile's most typical one.
+    ``more`` says that it has others.  With ``star`` the rows of tiles above
+    STAR rows meet only the tile's most typical one, and come back as pairs of
+    themselves too, as do all that may meet later.
     """
 
     def reaches(n: np.ndarray, apart: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -195,47 +198,41 @@ def _tile(percent: int, best: int | None):
         begin = np.flatnonzero(fresh)
         size = np.diff(np.append(begin, len(n)))
         signatures = _Signatures(table["sig"])
-        found = []
-        if best is None:
-            for a, m in zip(begin[size > STAR].tolist(), size[size > STAR].tolist(), strict=True):
-                row = np.arange(a, a + m)
-                typical = a + _typical(signatures, row)
-                row = row[(row != typical) & (comp[row] != comp[typical])]
-                centre = np.full(len(row), typical)
-                low, high = np.minimum(n[row], n[centre]), np.maximum(n[row], n[centre])
-                row, centre = row[100 * low >= percent * high], centre[100 * low >= percent * high]
-                close = reaches(n, signatures.apart(row, centre), row, centre)
-                found.append((row[close], centre[close], np.zeros(close.sum(), bool)))
-        else:
-            key = tile * (int(n.max()) + 1 if len(n) else 1)
-            band = np.searchsorted(key + n, key + np.minimum(100 * n // percent, n.max()), "right")
-            partners = band - np.arange(len(n)) - 1
-            mates = np.minimum.reduceat(comp, begin) == np.maximum.reduceat(comp, begin)
-            partners[mates[tile]] = 0  # all of one component
-            upto = np.cumsum(partners)
-            lo = 0
-            left, right, bits = [], [], []
-            while lo < len(n):
-                hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS, "right")))
-                i = np.repeat(np.arange(lo, hi), partners[lo:hi])
-                j = ragged(np.arange(lo, hi) + 1, partners[lo:hi])
-                apart_now = (comp[i] != comp[j]) & (own[i] | own[j])
-                i, j = i[apart_now], j[apart_now]
-                apart = signatures.apart(i, j)
-                close = reaches(n, apart, i, j)
-                left.append(i[close])
-                right.append(j[close])
-                bits.append(apart[close])
-                lo = hi
-            i, j, d = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right, bits))
-            found.append(_best_of(i, j, d, best))
-        i, j, more = (np.concatenate(x) if x else np.empty(0, np.int64) for x in zip(*found, strict=True)) if found else (
-            np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
-        )
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))]
+        large = (size > STAR) & star
+        for a, m in zip(begin[large].tolist(), size[large].tolist(), strict=True):
+            row = np.arange(a, a + m)
+            centre = np.full(m, a + _typical(signatures, row))
+            found.append((row, row, np.ones(m, bool)))
+            low, high = np.minimum(n[row], n[centre]), np.maximum(n[row], n[centre])
+            row, centre = row[100 * low >= percent * high], centre[100 * low >= percent * high]
+            close = reaches(n, signatures.apart(row, centre), row, centre)
+            found.append((row[close], centre[close], np.ones(close.sum(), bool)))
+        key = tile * (int(n.max()) + 1)
+        band = np.searchsorted(key + n, key + np.minimum(100 * n // percent, n.max()), "right")
+        partners = band - np.arange(len(n)) - 1
+        alike = np.minimum.reduceat(comp, begin) == np.maximum.reduceat(comp, begin)
+        partners[(alike | large)[tile]] = 0
+        upto = np.cumsum(partners)
+        lo = 0
+        left, right, bits = [], [], []
+        while lo < len(n):
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS, "right")))
+            i = np.repeat(np.arange(lo, hi), partners[lo:hi])
+            j = ragged(np.arange(lo, hi) + 1, partners[lo:hi])
+            differ = (comp[i] != comp[j]) & (own[i] | own[j])
+            i, j = i[differ], j[differ]
+            apart = signatures.apart(i, j)
+            close = reaches(n, apart, i, j)
+            left.append(i[close])
+            right.append(j[close])
+            bits.append(apart[close])
+            lo = hi
+        found.append(_best_of(*(np.concatenate(x) for x in (left, right, bits)), best))
+        i, j, more = (np.concatenate(x) for x in zip(*found, strict=True))
         a, b = np.minimum(c[i], c[j]), np.maximum(c[i], c[j])
-        pairs = np.unique(np.stack([a, b, more.astype(np.int64)]), axis=1) if len(a) else np.empty((3, 0), np.int64)
-        pairs = pairs[:, pairs[0] != pairs[1]]
-        return pa.table({"a": pairs[0].astype(np.int64), "b": pairs[1].astype(np.int64), "more": pairs[2].astype(bool)})
+        pairs = np.unique(np.stack([a, b, more.astype(np.int64)]), axis=1)
+        return pa.table({"a": pairs[0], "b": pairs[1], "more": pairs[2].astype(bool)})
 
     return run
 
@@ -283,8 +280,8 @@ def jaccard_components(
     signatures bound the overlap from above, and sets of the pairs left are
     intersected.  Rows that links have already tied together are not compared
     again: large tiles start with links to their most typical member, and each
-    round then takes four times as many partners per row as the one before,
-    until no row has others.
+    round then takes more partners per row than the one before, until no row
+    has others.
 
     Null texts and texts without words have size 0 and link with nothing.  Rows
     that repeat an id have their own sizes and share their links.  A null id
@@ -348,47 +345,56 @@ def _linked_components(base: DataFrame, rows: DataFrame, percent: int, size: int
     """(id, component) of the classes that links tie together, found in rounds."""
     spark = rows.sparkSession
     tasks = max(1, rows.count() // TASK_ROWS)
-    links = tested = comps = None
-    best: int | None = None
+    mine = F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")
+    spread = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    spread = spread.withColumn("own", F.col("part") == mine)
+    task = F.pmod(F.xxhash64("shingle", "part"), F.lit(tasks)).alias("task")
+    links = comps = tested = sets = None
+    best = FIRST_BEST
     while True:
-        tiled = rows if comps is None else rows.join(comps.select(F.col("id").alias("c"), "component"), "c", "left")
-        comp = F.col("c") if comps is None else F.coalesce("component", "c")
-        tiled = tiled.withColumn("comp", comp).drop("component")
-        mine = F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")
-        spread = tiled.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        spread = spread.withColumn("own", F.col("part") == mine)
-        task = F.pmod(F.xxhash64("shingle", "part"), F.lit(tasks))
+        if comps is None:
+            tiled = spread.withColumn("comp", F.col("c"))
+        else:
+            tiled = spread.join(comps.select(F.col("id").alias("c"), "component"), "c", "left")
+            tiled = tiled.withColumn("comp", F.coalesce("component", "c"))
         offered = settle(
-            spread.select(task.alias("task"), "shingle", "part", "own", "c", "comp", "n", "sig")
+            tiled.select(task, "shingle", "part", "own", "c", "comp", "n", "sig")
             .groupBy("task")
-            .applyInArrow(_tile(percent, best), "a long, b long, more boolean"),
+            .applyInArrow(_tile(percent, best, star=sets is None), "a long, b long, more boolean"),
             "offered",
         )
-        unfinished = best is None or not offered.filter("more").isEmpty()
-        pairs = offered.select("a", "b").distinct()
+        if sets is None:
+            # Whoever has a partner by signature has offered one or stands in a large tile, so these are all.
+            sets = settle(_sets_of(base, offered, size), "sets")
+        pairs = offered.filter("a <> b").select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = settle(pairs, "pairs")
-        if not pairs.isEmpty():
-            found = settle(_verified(base, pairs, percent, size), "links")
-            links = found if links is None else settle(links.unionByName(found), "links")
-            tested = pairs if tested is None else settle(tested.unionByName(pairs), "tested")
-            if comps is not None:
-                discard(comps)
-            comps = settle(components(links), "comps")
+        found = settle(_verified(sets, pairs, percent), "links")
+        links = found if links is None else settle(links.unionByName(found), "links")
+        tested = pairs if tested is None else settle(tested.unionByName(pairs), "tested")
+        comps = settle(components(links), "comps")
+        unfinished = not offered.filter("more").isEmpty()
         discard(offered)
         _release(spark)
         if not unfinished:
-            break
-        best = 1 if best is None else best * 4
-    return comps if comps is not None else components(rows.select(F.col("c").alias("a"), F.col("c").alias("b")).limit(0))
+            discard(sets)
+            return comps
+        best *= GROWTH
+
+
+def _sets_of(base: DataFrame, offered: DataFrame, size: int) -> DataFrame:
+    """(id, members) of the documents in the pairs.
+
+    The texts are dealt by id once, whatever the number of pairs.
+    """
+    wanted = offered.select(F.col("a").alias("id")).union(offered.select(F.col("b").alias("id"))).distinct()
+    texts = base.join(wanted.hint("merge"), "id", "left_semi")
+    return texts.mapInArrow(_sets(size), "id long, members array<bigint>").filter(F.size("members") > 0)
 
 
-def _verified(base: DataFrame, pairs: DataFrame, percent: int, size: int) -> DataFrame:
+def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets reach ``percent``."""
-    wanted = settle(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "wanted")
-    sets = settle(base.join(wanted, "id", "left_semi").mapInArrow(_sets(size), "id long, members array<bigint>"), "sets")
-    sets = sets.filter(F.size("members") > 0)
     one = pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("one")), "a")
     both = one.join(sets.select(F.col("id").alias("b"), F.col("members").alias("two")), "b")
     linked = both.select("a", "b", "one", "two").mapInArrow(_linked(percent), "a long, b long")
@@ -400,6 +406,7 @@ def kept_documents(
 ) -> DataFrame:
     """The documents whose id is the smallest of their component, with the columns of ``docs``."""
     tied = jaccard_components(docs, percent, size, id_col, text_col)
-    stay = tied.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct()
+    stay = tied.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("stay_id")).distinct()
+    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"))
     stay = settle(stay, "stay")
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["__id"]), "left_semi")
+    return packed.join(stay, F.col("id").eqNullSafe(F.col("stay_id")), "left_semi").select("row.*")
