@@ -28,6 +28,7 @@ SAMPLE_STRINGS = 20_000
 SAMPLE_DOCUMENTS = 1_000
 # Average log-likelihood ratio per sign from which a run counts as random.
 RATIO = 0.8
+BACKOFF = 16.0
 SPAN = "struct<start:int,kind:int,end:int,hit:string>"
 
 
@@ -77,6 +78,10 @@ def spans_of(text: Column, hits: Column, good: Column, kind: int, pattern: str)
     return F.when(F.exists(good, lambda g: g), walked["out"]).otherwise(none)
 
 
+def _at_least(signs: int):
+    return lambda part: F.length(part) >= signs
+
+
 def matches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id``, ``base`` (spans of the fixed patterns) and ``runs`` (spans of long runs) per document; one pass."""
     found = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -88,7 +93,7 @@ def matches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     for n, (kind, pattern, group, least) in enumerate(patterns):
         hits = F.col(f"hits_{kind}")
         judged = F.regexp_extract_all("text", F.lit(pattern), F.lit(group)) if group else hits
-        long_enough = F.transform(judged, lambda part, least=least: F.length(part) >= least)
+        long_enough = F.transform(judged, _at_least(least))
         good[f"good_{kind}"] = F.when(F.size(hits) > 0, long_enough).otherwise(F.array().cast("array<boolean>"))
         spans[kind] = spans_of(F.col("text"), hits, F.col(f"good_{kind}"), n, pattern)
     return found.withColumns(good).select(
@@ -97,7 +102,7 @@ def matches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def fit(labelled: DataFrame) -> MarkovRatio:
-    """The ratios learned from rows (string, random), each side with one count added to every step."""
+    """The ratios learned from rows (string, random)."""
     walk = F.concat(F.array(F.lit(0)), codes(F.col("string")))
     pairs = F.arrays_zip(F.slice(walk, 1, F.size(walk) - 1).alias("a"), F.slice(walk, 2, F.size(walk)).alias("b"))
     seen = (
@@ -107,7 +112,7 @@ def fit(labelled: DataFrame) -> MarkovRatio:
         .count()
     )
     width = len(SIGNS)
-    counts = {side: [1.0] * ((width + 1) * width) for side in (True, False)}
+    counts = {side: [0.0] * ((width + 1) * width) for side in (True, False)}
     for side, a, b, n in seen.collect():  # at most two rows per pair of signs
         counts[side][a * width + b - 1] += n
     logs = {side: _conditional(table, width) for side, table in counts.items()}
@@ -115,10 +120,13 @@ def fit(labelled: DataFrame) -> MarkovRatio:
 
 
 def _conditional(table: Sequence[float], width: int) -> list[float]:
+    """log P(sign | sign before); BACKOFF counts of each row follow the shares of single signs, one added to each."""
+    whole = sum(table) + width
+    single = [(sum(table[b::width]) + 1) / whole for b in range(width)]
     out: list[float] = []
     for row in range(0, len(table), width):
-        whole = math.log(sum(table[row : row + width]))
-        out += [math.log(n) - whole for n in table[row : row + width]]
+        total = sum(table[row : row + width]) + BACKOFF
+        out += [math.log((n + BACKOFF * p) / total) for n, p in zip(table[row : row + width], single, strict=True)]
     return out
 
 
