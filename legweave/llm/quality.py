@@ -16,7 +16,7 @@ from legweave.llm.samples import bounded_sample, with_scores
 WIDTH, FILTERS, STRIDE = 5, 12, 256
 # Bounds of the fit: labelled documents per label, and chunks drawn from each.
 PER_LABEL, CHUNKS = 1_500, 6
-EPOCHS, BATCH, RATE, SEED = 6, 64, 0.01, 11
+STEPS, BATCH, RATE, SEED = 1_200, 64, 0.01, 11
 # So many of the chunks in training are cut to a random length, as documents may be a word long.
 CUT_SHARE, CUT_BYTES = 0.4, 160
 
@@ -50,11 +50,16 @@ class ByteNetwork:
         at = np.append(0, np.cumsum(room))
         padded = np.zeros(at[-1], np.uint8)
         padded[np.arange(len(data)) + np.repeat(np.arange(rows), lengths) * WIDTH] = data
+        # A stride's places end with the document's bytes; what follows, up to the next document, is cut off.
         strides = np.maximum(1, -(-lengths // STRIDE))
-        owner = np.repeat(np.arange(rows), strides)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(strides) - strides, strides)
-        cuts = at[owner] + nth * STRIDE
-        high = np.maximum.reduceat(self.answers(padded), np.minimum(cuts, len(padded) - WIDTH), axis=0)
+        owner = np.repeat(np.arange(rows), strides + 1)
+        first = np.cumsum(strides + 1) - (strides + 1)
+        nth = np.arange(len(owner)) - first[owner]
+        cuts = at[owner] + np.minimum(nth * STRIDE, np.maximum(lengths, 1)[owner])
+        answers = self.answers(padded)
+        high = np.maximum.reduceat(answers, np.minimum(cuts, len(answers) - 1), axis=0)
+        inside = nth < strides[owner]
+        high, owner, nth = high[inside], owner[inside], nth[inside]
         paired = high.copy()
         follows = np.flatnonzero(owner[1:] == owner[:-1])
         paired[follows] = np.maximum(high[follows], high[follows + 1])
@@ -72,7 +77,7 @@ class ByteNetwork:
 
 
 def train(chunks: np.ndarray, labels: np.ndarray) -> ByteNetwork:
-    """A network fitted on chunks of equal length by Adam, both labels weighing alike."""
+    """A network fitted on chunks of equal length by Adam, each batch half of either label."""
     rng = np.random.default_rng(SEED)
     state = {
         "filters": rng.normal(0, 0.3, (WIDTH, 256, FILTERS)).astype(np.float32),
@@ -82,36 +87,30 @@ def train(chunks: np.ndarray, labels: np.ndarray) -> ByteNetwork:
     }
     first = {k: np.zeros_like(v) for k, v in state.items()}
     second = {k: np.zeros_like(v) for k, v in state.items()}
-    share = max(labels.mean(), 1e-6) if len(labels) else 0.5
-    weight = np.where(labels > 0, 0.5 / share, 0.5 / max(1 - share, 1e-6)).astype(np.float32)
+    sides = [side for side in (np.flatnonzero(labels > 0), np.flatnonzero(labels <= 0)) if len(side)]
     places = chunks.shape[1] - WIDTH + 1 if len(chunks) else 0
-    step = 0
-    for _ in range(EPOCHS if len(chunks) else 0):
-        order = rng.permutation(len(chunks))
-        for lo in range(0, len(order), BATCH):
-            pick = order[lo : lo + BATCH]
-            x, y, w = chunks[pick], labels[pick], weight[pick]
-            cut = np.where(rng.random(len(pick)) < CUT_SHARE, rng.integers(2, CUT_BYTES, len(pick)), x.shape[1])
-            x = np.where(np.arange(x.shape[1]) < cut[:, None], x, 0)
-            answers = sum(state["filters"][k].take(x[:, k : k + places], axis=0) for k in range(WIDTH)) + state["bias"]
-            where = answers.argmax(1)
-            top = np.take_along_axis(answers, where[:, None, :], 1)[:, 0]
-            pooled = np.maximum(top, 0)
-            p = 1 / (1 + np.exp(-np.clip(pooled @ state["out"] + state["shift"], -30, 30)))
-            slope = (w * (p - y) / len(pick)).astype(np.float32)
-            back = np.outer(slope, state["out"]) * (top > 0)
-            filters = np.zeros_like(state["filters"])
-            of = np.broadcast_to(np.arange(FILTERS), where.shape)
-            for k in range(WIDTH):
-                np.add.at(filters[k], (np.take_along_axis(x, where + k, 1), of), back)
-            slopes = {"filters": filters, "bias": back.sum(0), "out": pooled.T @ slope, "shift": slope.sum(keepdims=True)}
-            step += 1
-            for k, g in slopes.items():
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.999 * second[k] + 0.001 * g * g
-                state[k] = state[k] - RATE * (first[k] / (1 - 0.9**step)) / (
-                    np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8
-                )
+    for step in range(1, STEPS + 1 if len(chunks) else 1):
+        pick = np.concatenate([rng.choice(side, BATCH // len(sides)) for side in sides])
+        x, y = chunks[pick], labels[pick]
+        cut = np.where(rng.random(len(pick)) < CUT_SHARE, rng.integers(2, CUT_BYTES, len(pick)), x.shape[1])
+        x = np.where(np.arange(x.shape[1]) < cut[:, None], x, 0)
+        answers = sum(state["filters"][k].take(x[:, k : k + places], axis=0) for k in range(WIDTH)) + state["bias"]
+        where = answers.argmax(1)
+        top = np.take_along_axis(answers, where[:, None, :], 1)[:, 0]
+        pooled = np.maximum(top, 0)
+        p = 1 / (1 + np.exp(-np.clip(pooled @ state["out"] + state["shift"], -30, 30)))
+        slope = ((p - y) / len(pick)).astype(np.float32)
+        back = np.outer(slope, state["out"]) * (top > 0)
+        filters = np.zeros_like(state["filters"])
+        of = np.broadcast_to(np.arange(FILTERS), where.shape)
+        for k in range(WIDTH):
+            np.add.at(filters[k], (np.take_along_axis(x, where + k, 1), of), back)
+        slopes = {"filters": filters, "bias": back.sum(0), "out": pooled.T @ slope, "shift": slope.sum(keepdims=True)}
+        pace = RATE * (1 - step / (STEPS + 1))
+        for k, g in slopes.items():
+            first[k] = 0.9 * first[k] + 0.1 * g
+            second[k] = 0.999 * second[k] + 0.001 * g * g
+            state[k] = state[k] - pace * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
     return ByteNetwork(
         np.ascontiguousarray(state["filters"], np.float32), state["bias"], state["out"], float(state["shift"][0])
     )
@@ -153,7 +152,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     got = made.orderBy(F.xxhash64("id"), "id", F.xxhash64("chunks")).limit(2 * PER_LABEL).collect()
     chunks = [np.frombuffer(c, np.uint8) for r in got for c in r.chunks]
     marks = np.array([r.quality for r in got for _ in r.chunks], np.float32)
-    return train(np.array(chunks).reshape(len(chunks), -1), marks)
+    return train(np.array(chunks, np.uint8).reshape(len(chunks), 2 * STRIDE + WIDTH - 1), marks)
 
 
 def score_quality(docs: DataFrame, model: ByteNetwork, text_col: str = "text") -> DataFrame:

@@ -28,18 +28,19 @@ Scorer = Callable[[np.ndarray, np.ndarray], dict[str, pa.Array]]
 
 
 def with_scores(df: DataFrame, text: Column, scorer: Scorer, fields: list[T.StructField]) -> DataFrame:
-    """``df`` and the columns that ``scorer(bytes, starts)`` gives for blocks of whole texts."""
+    """``df`` and the columns that ``scorer(bytes, starts)`` gives for blocks of whole texts.
+
+    The row travels as one struct, so no name of its own can clash.
+    """
+    packed = df.select(F.struct("*").alias("row"), text.alias("text"))
     names = [f.name for f in fields]
-    schema = T.StructType(df.schema.fields + fields)
-    kept = len(df.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, starts = utf8(batch.column(kept))
+            data, starts = utf8(batch.column("text"))
             for lo, hi in blocks(starts):
                 made = scorer(data[starts[lo] : starts[hi]], starts[lo : hi + 1] - starts[lo])
-                rows = batch.slice(lo, hi - lo)
-                columns = [*rows.columns[:kept], *[made[n] for n in names]]
-                yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names[:kept], *names])
+                rows = batch.column("row").slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([rows, *[made[n] for n in names]], ["row", *names])
 
-    return df.withColumn("__text", text).mapInArrow(run, schema)
+    return packed.mapInArrow(run, T.StructType([packed.schema["row"], *fields])).select("row.*", *names)
