@@ -156,21 +156,26 @@ def _told_apart(hashed, recipes, chunks, clashes, hash_bits, kind) -> DataFrame:
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with the columns of ``docs``; one row for rows that repeat an id and a text."""
-    stay = (
+    stay = settle(
         exact_groups(docs, id_col, text_col)
         .filter("kept")
-        .select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"))
-        .distinct()
+        .groupBy(F.col(id_col).alias("stay_id"), F.col("text_sha256").alias("stay_sha"))
+        .agg(F.count(F.lit(1)).alias("rows")),
+        "stay",
+    )
+    packed = docs.select(
+        F.struct("*").alias("row"), F.col(id_col).alias("id"), F.sha2(squeezed(F.col(text_col)), 256).alias("sha")
     )
-    marked = docs.withColumn("__sha", F.sha2(squeezed(F.col(text_col)), 256))
-    stay = settle(stay, "stay")
-    same = marked[id_col].eqNullSafe(stay["__id"]) & (marked["__sha"] == stay["__sha"])
-    staying = marked.join(stay, same, "left_semi")
-    return _one_each(staying, [id_col, "__sha"]).select(*docs.columns)
-
-
-def _one_each(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row of those that agree in ``keys``: the first by all other sortable columns."""
-    rest = [f.name for f in df.schema.fields if f.name not in keys and "map" not in f.dataType.simpleString()]
-    w = Window.partitionBy(*keys).orderBy(*rest)
-    return df.withColumn("__nth", F.row_number().over(w)).filter("__nth = 1").drop("__nth")
+
+    def rows_of(keys: DataFrame) -> DataFrame:
+        same = packed["id"].eqNullSafe(keys["stay_id"]) & (packed["sha"] == keys["stay_sha"])
+        return packed.join(keys, same, "left_semi")
+
+    once = rows_of(stay.filter("rows = 1")).select("row.*")
+    again = settle(stay.filter("rows > 1"), "again")
+    if again.isEmpty():
+        return once
+    order = [F.col("row").getField(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    w = Window.partitionBy("id", "sha").orderBy(*order)
+    first = rows_of(again).withColumn("nth", F.row_number().over(w)).filter("nth = 1")
+    return once.unionByName(first.select("row.*"))

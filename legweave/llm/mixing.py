@@ -138,13 +138,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     once_more = ((partial > 0) & (partial * 2 >= F.col("size"))).cast("int")
     copies = (
         mix_sources(docs, id_col=id_col, text_col=text_col, **how)
-        .groupBy(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"))
-        .agg(F.max(F.col("epochs") + once_more).alias("__copies"))
-        .filter("__copies > 0")
+        .groupBy(F.col(id_col).alias("copy_id"), F.col("text_hash").alias("copy_hash"))
+        .agg(F.max(F.col("epochs") + once_more).alias("copies"))
+        .filter("copies > 0")
     )
-    hashed = docs.withColumn("__hash", F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0)))
-    same = hashed[id_col].eqNullSafe(F.col("__id")) & (hashed["__hash"] == copies["__hash"])
-    taken = hashed.join(copies, same)
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(
-        *[hashed[c] for c in docs.columns]
+    packed = docs.select(
+        F.struct("*").alias("row"), F.col(id_col).alias("id"), F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0)).alias("hash")
     )
+    taken = packed.join(copies, F.col("id").eqNullSafe(F.col("copy_id")) & (F.col("hash") == F.col("copy_hash")))
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

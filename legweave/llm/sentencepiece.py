@@ -119,6 +119,8 @@ class Codec:
         self.byte_ids = np.full(256, NO_PIECE, np.int64)
         for i in np.flatnonzero(v.kinds == BYTE).tolist():
             self.byte_ids[int(v.pieces[i][3:5], 16)] = i
+        self.spells = bool((self.byte_ids >= 0).all())
+        self.signs = np.unique(np.array([ord(a) for i in usable for a in v.pieces[i]], np.uint32))
         self.unknown = int(np.flatnonzero(v.kinds == 2)[0]) if (v.kinds == 2).any() else 0
         # Pairs of neighbouring pieces, and whether merging would have left them so; a later pair takes a place over.
         self.pair_keys = np.full(1 << PAIR_SLOTS, -1, np.int64)
@@ -174,6 +176,9 @@ class Codec:
             keys = (left[rare].astype(np.uint64) << np.uint64(32)) | right[rare]
             at = np.minimum(np.searchsorted(self.far, keys), len(self.far) - 1)
             out[rare] = self.far[at] == keys
+        if not self.spells:  # a run of unknown signs is one unknown piece
+            lost = [~np.isin(side, self.signs) for side in (left, right)]
+            out |= lost[0] & lost[1]
         return out
 
     def _looked_up(self, points: np.ndarray, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -306,7 +311,7 @@ class Codec:
 
     def _spell(self, sign: int, before: list[int]) -> list[int]:
         """An unknown sign as byte pieces; without them, one unknown piece for a run of such signs."""
-        if (self.byte_ids >= 0).all():
+        if self.spells:
             return [int(self.byte_ids[b]) for b in chr(sign).encode("utf-8", "surrogatepass")]
         return [] if before and before[-1] == self.unknown else [self.unknown]
 
