@@ -53,11 +53,11 @@ def _pivots(classes: DataFrame) -> dict[tuple, np.ndarray]:
     spark = classes.sparkSession
     label_type = classes.schema["label"].dataType.simpleString()
     spaces = F.broadcast(spark.createDataFrame(chosen, f"label {label_type}, dim int, k int"))  # bounded above
-    pool = classes.join(spaces, ["label", "dim"]).withColumn("__space", F.struct("label", "dim"))
-    order = F.struct(F.xxhash64("cid"), F.col("cid"))
-    picked = bounded_sample(pool, "__space", order, PIVOTS).withColumn("__n", F.row_number().over(
-        Window.partitionBy("label", "dim").orderBy(order)
-    )).filter("__n <= k").select("label", "dim", "embedding").collect()
+    pool = classes.join(spaces, ["label", "dim"]).withColumn("space", F.struct("label", "dim"))
+    drawn = bounded_sample(pool.select("space", "label", "dim", "k", "cid"), "space", "cid", PIVOTS)
+    nth = F.row_number().over(Window.partitionBy("space").orderBy(F.xxhash64("cid"), "cid"))
+    drawn = settle(drawn.withColumn("nth", nth).filter("nth <= k").select("cid", "label", "dim"), "drawn")
+    picked = classes.join(drawn, ["cid", "label", "dim"], "left_semi").select("label", "dim", "embedding").collect()
     out: dict[tuple, list] = {}
     for r in picked:
         out.setdefault((r.label, r.dim), []).append(r.embedding)

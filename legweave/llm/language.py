@@ -134,8 +134,7 @@ def fit_language_model(
     rows = usable.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     languages = rows.select("lang").distinct().count()
     per_language = max(1, min(PER_LANGUAGE, MOST_DOCUMENTS // max(languages, 1)))
-    order = F.struct(F.xxhash64("id"), F.col("id"))
-    chosen = bounded_sample(rows.select("id", "lang"), "lang", order, per_language).distinct()
+    chosen = bounded_sample(rows.select("id", "lang").distinct(), "lang", "id", per_language)
     sample = rows.join(chosen, ["id", "lang"], "left_semi").select("id", "lang", "text")
 
     def profiles(data, starts):

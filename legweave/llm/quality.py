@@ -139,8 +139,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
         .groupBy(F.col(id_col).alias("id"))
         .agg(F.max("quality").cast("int").alias("quality"))
     )
-    order = F.struct(F.xxhash64("id"), F.col("id"))
-    chosen = bounded_sample(marked, "quality", order, PER_LABEL)
+    chosen = bounded_sample(marked, "quality", "id", PER_LABEL)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sample = rows.join(chosen, "id")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from legweave.llm.batches import blocks, utf8
+from legweave.scratch import settle
 
 
 def id_remainder(id_col: str, folds: int) -> Column:
@@ -18,10 +19,20 @@ def id_remainder(id_col: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
-def bounded_sample(rows: DataFrame, label: str, order: Column, per_label: int) -> DataFrame:
-    """Up to ``per_label`` rows of each label, the first by ``order``; Spark trims before the shuffle."""
-    w = Window.partitionBy(label).orderBy(order)
-    return rows.withColumn("__nth", F.row_number().over(w)).filter(F.col("__nth") <= per_label).drop("__nth")
+def bounded_sample(rows: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
+    """Up to ``per_label`` rows of each label, the first in the order of a hash of ``key``, as a written table.
+
+    Labels are counted first, and rows whose hash is too large for a label of
+    that size are left out at once, so that no task gathers more than about
+    twice the sample whatever the table's size.
+    """
+    sizes = rows.groupBy(F.col(label).alias("__label")).agg(F.count(F.lit(1)).alias("__size"))
+    draw = F.shiftrightunsigned(F.xxhash64(F.col(key)), 11) / F.lit(float(1 << 53))
+    likely = rows.withColumn("__draw", draw).join(settle(sizes, "sizes"), F.col(label) == F.col("__label"))
+    likely = likely.filter(F.col("__draw") * F.col("__size") <= F.lit(2.0 * per_label + 20))
+    w = Window.partitionBy(label).orderBy("__draw", key)
+    first = likely.withColumn("__nth", F.row_number().over(w)).filter(F.col("__nth") <= per_label)
+    return settle(first.select(*rows.columns), "sample")
 
 
 Scorer = Callable[[np.ndarray, np.ndarray], dict[str, pa.Array]]
