@@ -16,7 +16,7 @@ from legweave.plans.features import matthews, snapshot_trend
 
 @query("a01_price_trend", TREND_SQL)
 def a01(spark, sf):
-    return rounded_trend(snapshot_trend(fx.snapshot_log(spark, sf), fx.cal_days(spark)))
+    return rounded_trend(snapshot_trend(fx.snapshot_log(spark, sf), fx.HOLIDAYS))
 
 
 @query(

@@ -85,7 +85,7 @@ def days_sql(start: str, end: str) -> str:
 )
 def job_index(spark, sf):
     rows = landed_chain(spark, sf)
-    out = index_calendars(fx.snapshot_greeks_of(rows), fx.snapshot_quotes_of(rows), fx.cal_days(spark))
+    out = index_calendars(fx.snapshot_greeks_of(rows), fx.snapshot_quotes_of(rows), fx.HOLIDAYS)
     return out.withColumn("undPricePctDiff", F.col("undPricePctDiff").cast("double"))
 
 
@@ -129,7 +129,7 @@ def job_recovered(spark, sf):
     rows = landed_history(spark, sf)
     g = fx.greeks_of(rows).select(*cols("symbol, opt_right, strike_milli, exp, trade_date, ms_of_day"), "implied_vol", "underlying")
     q = fx.quotes_of(rows).select(*cols("symbol, opt_right, strike_milli, exp, trade_date, ms_of_day"), "bid", "ask")
-    out = recovered_calendars(g, q, fx.cal_days(spark), 20240102, 30)
+    out = recovered_calendars(g, q, fx.HOLIDAYS, 20240102, 30)
     metric = [n for n in out.columns if n.startswith(("mark", "cal", "ask_cal", "bid_cal", "spread"))]
     iv = [F.col(f"iv_pct_diff_{r}_G1").cast("double").alias(f"iv_pct_diff_{r}_G1") for r in ("C", "P")]
     return out.select(*RECOVERED_OUT, *metric, *iv, "bdtfexp", "bdtbexp_G1")
@@ -224,7 +224,7 @@ def _snapshot(spark, sf):
         fx.earnings(spark, sf),
         fx.grades(spark, sf),
         fx.cost_stats(spark, sf),
-        fx.cal_days(spark),
+        fx.HOLIDAYS,
     )
 
 
@@ -254,7 +254,7 @@ GROUP BY 1, 2, 3 HAVING count(*) FILTER (WHERE off <= 2) = 3 OR count(*) FILTER
 def m02(spark, sf):
     snapshot = settle(_snapshot(spark, sf), "snapshot")
     frame = feature_frame(
-        snapshot, fx.sectors(spark, sf), fx.backtest_aggs(spark, sf), fx.snapshot_log(spark, sf), fx.cal_days(spark)
+        snapshot, fx.sectors(spark, sf), fx.backtest_aggs(spark, sf), fx.snapshot_log(spark, sf), fx.HOLIDAYS
     )
     return frame.select(
         "symbol", "strike", "opt_right", "exp_front", "weeks", "sector", "all_pl_pct_mean", "min_entry_size", "max_exit_size",

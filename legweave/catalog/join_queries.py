@@ -376,7 +376,7 @@ def rounded_trend(df):
 )
 def j21(spark, sf):
     rows = fx.candidates(spark, sf).select("row_id", "symbol", "weeks", "bdte")
-    slices = trend_slice(rows, snapshot_trend(fx.snapshot_log(spark, sf), fx.cal_days(spark)))
+    slices = trend_slice(rows, snapshot_trend(fx.snapshot_log(spark, sf), fx.HOLIDAYS))
     return salted_join(rows, slices, ["symbol", "weeks", "bdte"]).select(
         "row_id", "symbol", "weeks", "bdte", "pre_0_avg", "pre_1_avg", "pre_2_max", "pre_2_count"
     )

@@ -83,9 +83,8 @@ def w05(spark, sf):
     """Counts to the front expiration, and from it to the report (often negative)."""
     days = fx.quotes(spark, sf).select("symbol", "trade_date", "exp").distinct()
     rows = days.join(fx.earnings(spark, sf).select("symbol", "report_date"), "symbol")
-    cal = fx.cal_days(spark)
-    counted = with_day_counts(rows, cal, "trade_date", "exp", "fexp")
-    return with_day_counts(counted, cal, "exp", "report_date", "earnings", "x")
+    counted = with_day_counts(rows, fx.HOLIDAYS, "trade_date", "exp", "fexp")
+    return with_day_counts(counted, fx.HOLIDAYS, "exp", "report_date", "earnings", "x")
 
 
 @query(
@@ -106,7 +105,7 @@ def w06(spark, sf):
 )
 def w08(spark, sf):
     trades = fx.candidates(spark, sf).select("symbol", "weeks", "bdte")
-    return trend_slice(trades, rounded_trend(snapshot_trend(fx.snapshot_log(spark, sf), fx.cal_days(spark))))
+    return trend_slice(trades, rounded_trend(snapshot_trend(fx.snapshot_log(spark, sf), fx.HOLIDAYS)))
 
 
 @query("t01_result_order", "SELECT symbol, strike_milli, trade_date, ms_of_day, exp, opt_right, bid FROM hist")
@@ -146,7 +145,7 @@ def t03(spark, sf):
       FROM trend WHERE "count" > 4) WHERE place <= 3""",
 )
 def t04(spark, sf):
-    rows = snapshot_trend(fx.snapshot_log(spark, sf), fx.cal_days(spark)).filter(F.col("count") > 4)
+    rows = snapshot_trend(fx.snapshot_log(spark, sf), fx.HOLIDAYS).filter(F.col("count") > 4)
     return top_k(rows, ["symbol", "weeks"], [F.asc("bdte")], 3).select("symbol", "weeks", "bdte")
 
 

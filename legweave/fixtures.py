@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legweave.operators.trading_calendar import calendar_index
 
 EXPIRATIONS = [20240119, 20240126, 20240202, 20240209]
 HISTORY_DAYS = [20240102, 20240103, 20240104, 20240105, 20240108, 20240109, 20240110, 20240111]
@@ -240,10 +239,6 @@ def open_interest_of(rows: DataFrame) -> DataFrame:
     )
 
 
-def cal_days(spark: SparkSession) -> DataFrame:
-    return calendar_index(spark, *CALENDAR_SPAN, HOLIDAYS)
-
-
 def earnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One upcoming report per supplier, with estimates and a date comment."""
     k = F.col("s_suppkey")

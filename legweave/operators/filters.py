@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from legweave.functions.numeric import c
+from legweave.scratch import settle
 from legweave.skew import attach_aggregates, salted_join, top_k
 
 # Fixed values of the near-the-money ladder: the band, and how much each rung
@@ -126,7 +127,11 @@ def strike_corridor(plans: DataFrame, greeks: DataFrame, plan_keys: Sequence[str
 
 
 def enough_dates(df: DataFrame, keys: Sequence[str], min_dates: int = MIN_RESULT_DATES) -> DataFrame:
-    """Rows of those groups with more than ``min_dates`` distinct trade dates."""
+    """Rows of those groups with more than ``min_dates`` distinct trade dates.
+
+    The result is written once and gated by itself, so what made it runs once.
+    """
+    df = settle(df, "dated")
     gate = (
         df.select(*keys, "trade_date")
         .distinct()
@@ -140,26 +145,27 @@ def enough_dates(df: DataFrame, keys: Sequence[str], min_dates: int = MIN_RESULT
 
 def drop_edge_bars(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drops the first and the last bar of each slice."""
-    edges = attach_aggregates(
-        df, keys, F.min("ms_of_day").alias("__first"), F.max("ms_of_day").alias("__last")
-    )
+    # A slice is one expiration on one day, bounded by the exchange.
+    edges = attach_aggregates(df, keys, {"__first": F.min("ms_of_day"), "__last": F.max("ms_of_day")})
     return edges.filter(
         (F.col("ms_of_day") != F.col("__first")) & (F.col("ms_of_day") != F.col("__last"))
     ).drop("__first", "__last")
 
 
 def complete_slices(greeks: DataFrame, quotes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Greeks of slices that hold both rights of every quoted strike."""
+    """Greeks of slices that hold both rights of every quoted strike.
+
+    A slice is one expiration on one day, so its strikes fit in an array; each
+    table is read once.
+    """
     keys = list(keys)
-    expected = (
-        quotes.select(*keys, "strike_milli").distinct().groupBy(*keys).agg((F.count("*") * 2).alias("__want"))
-    )
-    found = (
-        greeks.select(*keys, "strike_milli", "opt_right")
-        .distinct()
-        .join(quotes.select(*keys, "strike_milli").distinct(), [*keys, "strike_milli"], "left_semi")
-        .groupBy(*keys)
-        .agg(F.count("*").alias("__have"))
+    quoted = quotes.groupBy(*keys).agg(F.collect_set("strike_milli").alias("__quoted"))
+    slices = Window.partitionBy(*keys)
+    held = {f"__{r}": F.collect_set(F.when(F.col("opt_right") == r, F.col("strike_milli"))).over(slices) for r in ("P", "C")}
+    lacking = [F.size(F.array_except("__quoted", name)) for name in held]
+    return (
+        greeks.withColumns(held)
+        .join(quoted, keys)
+        .filter((lacking[0] == 0) & (lacking[1] == 0))
+        .drop("__quoted", *held)
     )
-    complete = found.join(expected, keys).filter(F.col("__have") == F.col("__want")).select(*keys)
-    return salted_join(greeks, complete, keys, "left_semi")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from legweave.functions.dates import days_between
+from legweave.functions.dates import to_day
 from legweave.functions.pricing import midpoint_ms
 
 SNAPSHOT_LEG_KEYS = ("symbol", "opt_right", "trade_date", "strike_milli")
@@ -83,21 +83,28 @@ def earliest_per_day(oi: DataFrame, keys: Sequence[str]) -> DataFrame:
 def widen_put_call(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Put and call rows of a strike side by side as ``_P`` / ``_C`` columns.
 
-    Needs (keys, right) to be unique.  One aggregation replaces the self-join;
-    a strike with only one right is dropped.
+    One aggregation replaces the self-join; a strike with only one right is
+    dropped, and a right that comes twice under the same keys is an error.
     """
     keys = list(keys)
     values = [n for n in df.columns if n not in keys and n != "opt_right"]
     cells = [
         F.max(F.when(F.col("opt_right") == r, F.col(v))).alias(f"{v}_{r}") for r in ("P", "C") for v in values
     ]
-    both = [F.count_if(F.col("opt_right") == r).alias(f"__n_{r}") for r in ("P", "C")]
-    return (
-        df.groupBy(*keys)
-        .agg(*cells, *both)
-        .filter((F.col("__n_P") > 0) & (F.col("__n_C") > 0))
-        .drop("__n_P", "__n_C")
-    )
+    return _all_present(df.groupBy(*keys).agg(*cells, *_counts("opt_right", ("P", "C"))), ("P", "C"))
+
+
+def _counts(leg: str, names: Sequence[str]) -> list[Column]:
+    return [F.count_if(F.col(leg) == n).alias(f"__n_{n}") for n in names]
+
+
+def _all_present(wide: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows that have every name, by counts ``__n_<name>``; a name that repeats is an error."""
+    counts = [F.col(f"__n_{n}") for n in names]
+    every = reduce(lambda a, b: a & b, [n > 0 for n in counts])
+    repeated = reduce(lambda a, b: a | b, [n > 1 for n in counts])
+    said = F.raise_error(F.lit("a leg comes more than once under the same keys")).cast("boolean")
+    return wide.filter(F.when(repeated, said).otherwise(every)).drop(*[f"__n_{n}" for n in names])
 
 
 def join_put_call(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -120,13 +127,13 @@ def fold_legs(legs: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
 
 
 def widen_legs(df: DataFrame, keys: Sequence[str], leg: str, names: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """:func:`fold_legs` in one shuffle, for unique (keys, leg).
+    """:func:`fold_legs` in one shuffle.
 
-    ``leg`` holds the leg's name; rows with any of ``names`` missing are dropped.
+    ``leg`` holds the leg's name; rows with any of ``names`` missing are
+    dropped, and a leg that comes twice under the same keys is an error.
     """
     cells = [F.max(F.when(F.col(leg) == n, F.col(v))).alias(f"{v}_{n}") for n in names for v in values]
-    present = F.count_if(F.col(leg).isin(*names)).alias("__legs")
-    return df.groupBy(*keys).agg(*cells, present).filter(F.col("__legs") == len(names)).drop("__legs")
+    return _all_present(df.groupBy(*keys).agg(*cells, *_counts(leg, names)), names)
 
 
 def calendar_pairs(
@@ -146,15 +153,18 @@ def calendar_pairs(
     """
     keys = list(keys)
     others = [n for n in df.columns if n not in keys]
-    front = df
+    # The expiration as a day number once per row, so that the join compares whole numbers.
+    numbered = df.withColumn("__day", F.unix_date(to_day("exp")))
+    front = numbered
     if max_front_days is not None:
-        front = front.filter(days_between(F.lit(from_day), "exp") + 1 <= max_front_days)
-    back = df.select(*[F.col(k).alias(f"__b_{k}") for k in keys], *[F.col(n).alias(n + suffix) for n in others])
-    same = [F.col(k) == F.col(f"__b_{k}") for k in keys]
-    later = (F.col("exp") < F.col("exp" + suffix)) & (
-        days_between("exp", "exp" + suffix) + 1 <= max_span_days
+        front = front.filter(F.col("__day") - F.unix_date(to_day(F.lit(from_day))) + 1 <= max_front_days)
+    back = numbered.select(
+        *[F.col(k).alias(f"__b_{k}") for k in keys], *[F.col(n).alias(n + suffix) for n in others], F.col("__day").alias("__b_day")
     )
-    joined = front.join(back, [*same, later], "inner").drop(*[f"__b_{k}" for k in keys])
+    same = [F.col(k) == F.col(f"__b_{k}") for k in keys]
+    span = F.col("__b_day") - F.col("__day")
+    joined = front.join(back, [*same, span > 0, span + 1 <= max_span_days], "inner")
+    joined = joined.drop("__day", "__b_day", *[f"__b_{k}" for k in keys])
     if "ms_of_day" in others:
         joined = joined.withColumn("ms_of_day", midpoint_ms("ms_of_day", f"ms_of_day{suffix}")).drop(
             f"ms_of_day{suffix}"

@@ -54,7 +54,7 @@ def active_symbols(entries: DataFrame, start: int = HISTORY_START, min_entries:
     """Entries of symbols with enough of them, the last one on or after ``start``."""
     return (
         attach_aggregates(
-            entries, ["symbol"], F.count("*").alias("entries"), F.max("report_date").alias("last_entry")
+            entries, ["symbol"], {"entries": F.count("*"), "last_entry": F.max("report_date")}
         )
         .filter((F.col("entries") >= min_entries) & (F.col("last_entry") >= start))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,7 +85,7 @@ def equity_snapshot(
     earnings: DataFrame,
     grades: DataFrame,
     cost_stats: DataFrame,
-    calendar: DataFrame,
+    holidays: Sequence[int],
     right: str = "C",
 ) -> DataFrame:
     """The whole snapshot of one trade date, up to the features."""
@@ -93,4 +95,4 @@ def equity_snapshot(
     snap = expected_price(enrich.with_cost_stats(snap, enrich.latest_cost_stats(cost_stats)))
     peaks = peaks_by_right(peak_expirations(volatility_chain(greeks)))
     snap = with_iv_flags(snap, peaks)
-    return with_day_counts(snap, calendar, "trade_date", "exp_front", "fexp")
+    return with_day_counts(snap, holidays, "trade_date", "exp_front", "fexp")

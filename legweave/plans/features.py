@@ -72,7 +72,7 @@ def no_infinities(df: DataFrame) -> DataFrame:
 
 
 def feature_frame(
-    snapshot: DataFrame, sectors: DataFrame, backtest: DataFrame, log: DataFrame, calendar: DataFrame
+    snapshot: DataFrame, sectors: DataFrame, backtest: DataFrame, log: DataFrame, holidays: Sequence[int]
 ) -> DataFrame:
     """Time, sector, backtest, size, gap and trend features of a snapshot.
 
@@ -84,13 +84,13 @@ def feature_frame(
     frame = with_backtest_aggs(with_sector(frame, sectors), backtest, latest=True)
     frame = no_infinities(with_trade_sizes(frame))
     frame = frame.withColumn("calGapPctAdjusted", adjusted_gap("calGapPct", "weeks"))
-    trend = snapshot_trend(log, calendar)
+    trend = snapshot_trend(log, holidays)
     return salted_join(frame, trend_slice(frame, trend), TREND_KEYS)
 
 
-def snapshot_trend(log: DataFrame, calendar: DataFrame) -> DataFrame:
+def snapshot_trend(log: DataFrame, holidays: Sequence[int]) -> DataFrame:
     """Price trend of earlier snapshots by business days to their report."""
-    return price_trend(with_day_counts(with_trade_sizes(log), calendar, "trade_date", "report_date", "earnings"))
+    return price_trend(with_day_counts(with_trade_sizes(log), holidays, "trade_date", "report_date", "earnings"))
 
 
 def score_with_model(df: DataFrame, model: Transformer) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,26 +26,26 @@ def both_rights(greeks: DataFrame, quotes: DataFrame) -> DataFrame:
     return wide.withColumn("ms_of_day", midpoint_ms("ms_of_day_P", "ms_of_day_C")).drop("ms_of_day_P", "ms_of_day_C")
 
 
-def _priced_pairs(pairs: DataFrame, calendar: DataFrame) -> DataFrame:
+def _priced_pairs(pairs: DataFrame, holidays: Sequence[int]) -> DataFrame:
     with_money = pairs.withColumn("undPricePctDiff", moneyness("strike_milli", "underlying"))
     metrics = wide_calendar_metrics(with_money, gaps=1)
-    to_front = with_day_counts(metrics, calendar, "trade_date", "exp", "fexp")
-    return with_day_counts(to_front, calendar, "trade_date", "exp_G1", "bexp", "G1")
+    to_front = with_day_counts(metrics, holidays, "trade_date", "exp", "fexp")
+    return with_day_counts(to_front, holidays, "trade_date", "exp_G1", "bexp", "G1")
 
 
 def index_calendars(
-    greeks: DataFrame, quotes: DataFrame, calendar: DataFrame, max_span_days: int = SNAPSHOT_SPAN_DAYS
+    greeks: DataFrame, quotes: DataFrame, holidays: Sequence[int], max_span_days: int = SNAPSHOT_SPAN_DAYS
 ) -> DataFrame:
     """The index snapshot: joined, widened, paired, priced and day-counted."""
     wide = both_rights(greeks, quotes)
     pairs = calendar_pairs(wide, ["symbol", "trade_date", "strike_milli"], max_span_days)
-    return _priced_pairs(pairs, calendar)
+    return _priced_pairs(pairs, holidays)
 
 
 def recovered_calendars(
     greeks: DataFrame,
     quotes: DataFrame,
-    calendar: DataFrame,
+    holidays: Sequence[int],
     from_day: int,
     max_front_days: int,
     max_span_days: int = RECOVERY_SPAN_DAYS,
@@ -62,4 +64,4 @@ def recovered_calendars(
         max_front_days=max_front_days,
         from_day=from_day,
     )
-    return wide_iv_diff(_priced_pairs(pairs, calendar), gaps=1)
+    return wide_iv_diff(_priced_pairs(pairs, holidays), gaps=1)

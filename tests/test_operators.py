@@ -2,6 +2,7 @@
 
 import math
 import random
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from legweave.operators.trading_calendar import calendar_index, with_day_counts
 from legweave.operators.trend import TREND_MEASURES, trend_slice
 from legweave.operators.typeplan import infer_types, plan_types
 from legweave.plans.features import MODEL_FEATURES, matthews, missing_features
-from legweave.skew import attach_aggregates, salted_join, top_k
+from legweave.skew import attach_aggregates, hot_keys, salted_join, top_k
 
 HOLIDAYS = [20240101, 20240115]
 
@@ -57,34 +58,43 @@ def test_score_tier_and_label_bounds(spark):
     assert [one(spark, lb.score_tier(F.lit(s))) for s in (0.96, 0.95, 0.9, 0.51, 0.0)] == ["top", "high", "good", "fair", "none"]
 
 
-def ladder_by_loop(values, max_rows):
-    """The rule as a plain loop over (strike, x) rows in strike order."""
-    band = [(k, x) for k, x in sorted(values) if -0.003 <= x <= 0.05]
-    kept = band
-    if len(band) > max_rows:
-        for i in range(20):
-            lo, hi = round(-0.00025 * i, 6), round(0.003 * i, 6)
-            if hi > 0.05:
-                break
-            hit = [(k, x) for k, x in band if lo <= x <= hi]
-            if len(hit) >= max_rows:
-                kept = hit
-                break
-    return kept[:max_rows]
+@pytest.mark.parametrize(
+    ("moneyness", "kept"),
+    [
+        ([0.01], [0]),  # one row in the band is kept whatever its rung
+        ([0.01, 0.051, -0.0031], [0]),  # the band's bounds are inclusive, beyond them nothing counts
+        ([0.05, -0.003], [0, 1]),
+        ([0.04, 0.001, 0.002], [1, 2]),  # the second rung has two, so the wide one goes
+        ([0.04, 0.001, 0.03], [1, 2]),  # 0.03 stands in an earlier rung than 0.04
+        ([0.0, 0.0, 0.0], [0, 1]),  # all in the first rung: the lowest strikes
+        ([0.003, 0.0031, 0.0], [0, 2]),  # a rung's bound belongs to it
+        ([-0.00025, -0.00026, 0.0], [0, 2]),
+        ([0.049, 0.05, 0.001], [0, 1]),  # the last rung ends at 0.048 and has one, so the band decides
+    ],
+)
+def test_ladder_by_hand(spark, moneyness, kept):
+    data = [(1, 90 + i, x) for i, x in enumerate(moneyness)]
+    df = spark.createDataFrame(data, "g int, strike_milli int, undPricePctDiff double")
+    got = sorted(r.strike_milli - 90 for r in filters.near_the_money(df, ["g"], 2).collect())
+    assert got == kept
 
 
-def test_ladder_equals_plain_loop(spark):
+def test_ladder_takes_the_smallest_rung_that_has_enough(spark):
+    """Stated by counts per rung: of all rungs whose count reaches the number wanted, the narrowest decides."""
     rnd = random.Random(5)
-    edge = [0.0, -0.003, 0.05, -0.00025, 0.003, 0.051, -0.0031]
-    data, want = [], set()
+    data = [
+        (g, 90 + i, rnd.choice([0.0, -0.003, 0.05, 0.003, rnd.uniform(-0.006, 0.056), rnd.uniform(0, 0.02)]))
+        for g in range(60)
+        for i in range(rnd.randint(1, 9))
+    ]
+    want = set()
     for g in range(60):
-        xs = [rnd.choice(edge) if rnd.random() < 0.3 else rnd.uniform(-0.006, 0.056) for _ in range(rnd.randint(1, 9))]
-        group = [(90 + i, x) for i, x in enumerate(xs)]
-        data += [(g, k, x) for k, x in group]
-        want |= {(g, k) for k, _ in ladder_by_loop(group, 2)}
+        rows = [(k, x) for h, k, x in data if h == g and filters.BAND_LOW <= x <= filters.BAND_HIGH]
+        inside = [[k for k, x in rows if low <= x <= high] for low, high in filters.ladder_rungs()]
+        enough = min((strikes for strikes in inside if len(strikes) >= 2), key=len, default=[k for k, _ in rows])
+        want |= {(g, k) for k in sorted(enough)[:2]}
     df = spark.createDataFrame(data, "g int, strike_milli int, undPricePctDiff double")
-    got = {(r.g, r.strike_milli) for r in filters.near_the_money(df, ["g"], 2).collect()}
-    assert got == want
+    assert {(r.g, r.strike_milli) for r in filters.near_the_money(df, ["g"], 2).collect()} == want
 
 
 def test_ladder_trims_before_the_shuffle(spark):
@@ -113,15 +123,28 @@ def test_expiration_choice_drops(spark, rows):
 
 
 def test_day_counts_half_open_and_negative(spark, rows):
-    cal = calendar_index(spark, 20240101, 20240131, HOLIDAYS)
     df = spark.createDataFrame([(20240112, 20240116), (20240116, 20240112), (20240102, 20240102)], "a int, b int")
-    got = rows(with_day_counts(df, cal, "a", "b", "earnings"), "a", "b", "bdte", "dte")
+    got = rows(with_day_counts(df, HOLIDAYS, "a", "b", "earnings"), "a", "b", "bdte", "dte")
     assert got == [(20240102, 20240102, 0, 0), (20240112, 20240116, 1, 4), (20240116, 20240112, -1, -4)]
 
 
-def test_calendar_span_is_limited(spark):
-    with pytest.raises(Exception, match="too long"):
-        calendar_index(spark, 18000101, 24000101, []).collect()
+def test_open_days_of_any_span_equal_a_count(spark):
+    """The closed form against counting day by day, on both sides of its origin."""
+    holidays = [19690101, 19700101, 20240101, 20240115, 20240113, 20241225]
+    first = date(1968, 12, 20)
+    days = [first + timedelta(days=i) for i in (0, 1, 5, 9, 12, 13, 20, 370, 376, 381, 382, 383, 500, 20_000, 20_115, 20_129, 20_500)]
+    number = lambda d: d.year * 10_000 + d.month * 100 + d.day
+    df = spark.createDataFrame([(number(a), number(b)) for a in days for b in days], "a int, b int")
+    for r in with_day_counts(df, holidays, "a", "b", "earnings").collect():
+        a, b = (date(x // 10_000, x // 100 % 100, x % 100) for x in sorted((r.a, r.b)))
+        every = [a + timedelta(days=i) for i in range((b - a).days)]
+        count = sum(d.weekday() < 5 and number(d) not in holidays for d in every)
+        assert r.bdte == (count if r.a <= r.b else -count)
+
+
+def test_calendar_table_counts_from_its_first_day(spark, rows):
+    got = rows(calendar_index(spark, 20240112, 20240117, [20240115]))
+    assert got == [(20240112, True, 0), (20240113, False, 1), (20240114, False, 1), (20240115, False, 1), (20240116, True, 1), (20240117, True, 2)]
 
 
 def test_trend_slice_gaps(spark):
@@ -229,16 +252,37 @@ def test_dataset_key(spark):
 def test_salted_join_equals_plain_join(spark, rows, how):
     facts = spark.createDataFrame([("hot" if i % 3 else f"k{i}", i, i * 0.5) for i in range(300)], "k string, i int, v double")
     dim = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3)], "k string, w int")
-    assert rows(salted_join(facts, dim, ["k"], how)) == rows(facts.join(dim, ["k"], how))
+    plain = rows(facts.join(dim, ["k"], how))
+    assert rows(salted_join(facts, dim, ["k"], how)) == plain
+    assert rows(salted_join(facts, dim, ["k"], how, hot_keys(facts, ["k"], 8))) == plain
+
+
+def test_hot_keys_by_share(spark, rows):
+    facts = spark.createDataFrame([("hot" if i % 4 else f"k{i % 40}", i) for i in range(400)], "k string, i int")
+    assert rows(hot_keys(facts, ["k"], 8)) == [("hot", 6)]
+    even = spark.range(400).select((F.col("id") % 8).alias("k"), "id")
+    assert rows(hot_keys(even, ["k"], 8)) == []
+
+
+def test_salting_needs_a_column_to_spread_by(spark):
+    facts = spark.createDataFrame([("a",)], "k string")
+    with pytest.raises(ValueError, match="spread"):
+        salted_join(facts, facts, ["k"], hot=hot_keys(facts, ["k"], 8))
+
+
+def test_joins_without_hot_keys_repeat_nothing(spark):
+    plan = salted_join(spark.range(9), spark.range(9), ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "explode" not in plan
 
 
 def test_salting_splits_a_hot_key(spark):
     hot = spark.range(4000).select(F.lit("hot").alias("k"), "id")
+    shares = hot_keys(hot, ["k"])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         dim = spark.createDataFrame([("hot", 1)], "k string, w int")
-        sizes = [r[0] for r in salted_join(hot, dim, ["k"]).groupBy(F.spark_partition_id()).count().select("count").collect()]
+        sizes = [r[0] for r in salted_join(hot, dim, ["k"], hot=shares).groupBy(F.spark_partition_id()).count().select("count").collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -247,5 +291,5 @@ def test_salting_splits_a_hot_key(spark):
 
 def test_attached_totals_and_top_k(spark, rows):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
-    assert rows(attach_aggregates(df, ["k"], F.sum("v").alias("s"))) == [("a", 1, 3), ("a", 2, 3), ("b", 3, 3)]
+    assert rows(attach_aggregates(df, ["k"], {"s": F.sum("v")})) == [("a", 1, 3), ("a", 2, 3), ("b", 3, 3)]
     assert rows(top_k(df, ["k"], [F.desc("v")], 1)) == [("a", 2), ("b", 3)]
