@@ -364,8 +364,15 @@ def _linked_components(base: DataFrame, rows: DataFrame, percent: int, size: int
             "offered",
         )
         if sets is None:
-            # Whoever has a partner by signature has offered one or stands in a large tile, so these are all.
-            sets = settle(_sets_of(base, offered, size), "sets")
+            # Whoever has a partner by signature has offered one or stands in a large tile, so these are all:
+            # the others' rows need not be compared again.
+            live = settle(
+                offered.select(F.col("a").alias("c")).union(offered.select(F.col("b").alias("c"))).distinct(), "live"
+            )
+            sets = settle(_sets_of(base, live.withColumnRenamed("c", "id"), size), "sets")
+            spread = settle(spread.join(live, "c", "left_semi"), "spread")
+            tasks = max(1, spread.count() // TASK_ROWS)
+            task = F.pmod(F.xxhash64("shingle", "part"), F.lit(tasks)).alias("task")
         pairs = offered.filter("a <> b").select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -383,12 +390,11 @@ def _linked_components(base: DataFrame, rows: DataFrame, percent: int, size: int
         best *= GROWTH
 
 
-def _sets_of(base: DataFrame, offered: DataFrame, size: int) -> DataFrame:
-    """(id, members) of the documents in the pairs.
+def _sets_of(base: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(id, members) of the wanted documents.
 
-    The texts are dealt by id once, whatever the number of pairs.
+    The texts are dealt by id once, however many are wanted.
     """
-    wanted = offered.select(F.col("a").alias("id")).union(offered.select(F.col("b").alias("id"))).distinct()
     texts = base.join(wanted.hint("merge"), "id", "left_semi")
     return texts.mapInArrow(_sets(size), "id long, members array<bigint>").filter(F.size("members") > 0)
 
