@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from legweave import fixtures as fx
 from legweave.catalog.ctes import define
+from legweave.catalog.filter_queries import day_sql
 from legweave.catalog.join_queries import TREND_SQL, rounded_trend
 from legweave.catalog.projection_queries import round_sql
 from legweave.catalog.registry import query
@@ -41,54 +42,54 @@ def a04(spark, sf):
     return fx.versions(spark, sf).agg(F.max("lastUpdated").alias("newest"), F.count("*").alias("n"))
 
 
+define("near_greeks", f"SELECT * FROM greeks WHERE date_diff('day', {day_sql('trade_date')}, {day_sql('exp')}) BETWEEN 0 AND 90")
 define(
     "modal",
-    """SELECT symbol, opt_right, strike_milli, n_exp FROM (
-  SELECT *, max(n_exp) OVER (PARTITION BY symbol, opt_right) AS most FROM (
-    SELECT symbol, opt_right, strike_milli, count(DISTINCT exp) AS n_exp FROM greeks GROUP BY 1, 2, 3)) WHERE n_exp = most""",
+    """SELECT symbol, trade_date, opt_right, strike_milli, n_exp FROM (
+  SELECT *, max(n_exp) OVER (PARTITION BY symbol, trade_date, opt_right) AS most FROM (
+    SELECT symbol, trade_date, opt_right, strike_milli, count(DISTINCT exp) AS n_exp FROM near_greeks GROUP BY 1, 2, 3, 4)) WHERE n_exp = most""",
 )
 
 
-@query("a05_modal_strikes", "SELECT symbol, opt_right, strike_milli, n_exp FROM modal")
+@query("a05_modal_strikes", "SELECT symbol, trade_date, opt_right, strike_milli, n_exp FROM modal")
 def a05(spark, sf):
-    return ivchain.modal_strikes(fx.greeks(spark, sf))
+    return ivchain.modal_strikes(ivchain.in_horizon(fx.greeks(spark, sf)))
 
 
-@query("a05_few_modal_strikes", "SELECT symbol, opt_right, count(*) AS n FROM (SELECT * FROM modal WHERE strike_milli < 101000) GROUP BY 1, 2 HAVING count(*) < 3")
+@query("a05_few_modal_strikes", "SELECT symbol, trade_date, opt_right, count(*) AS n FROM modal GROUP BY 1, 2, 3 HAVING count(*) < 3")
 def a05_few(spark, sf):
     """The warning case: symbols and rights with under three modal strikes."""
-    strikes = ivchain.modal_strikes(fx.greeks(spark, sf)).filter(F.col("strike_milli") < 101000)
-    return ivchain.few_modal_strikes(strikes)
+    return ivchain.few_modal_strikes(ivchain.modal_strikes(ivchain.in_horizon(fx.greeks(spark, sf))))
 
 
-define("mean_und", f"SELECT symbol, {round_sql('avg(underlying)', 2)} AS underlying FROM greeks GROUP BY symbol")
+define("mean_und", f"SELECT symbol, trade_date, {round_sql('avg(underlying)', 2)} AS underlying FROM near_greeks GROUP BY 1, 2")
 define(
     "nearest",
-    """SELECT symbol, opt_right, strike_milli, underlying FROM (
-  SELECT m.symbol, opt_right, strike_milli, underlying, row_number() OVER (PARTITION BY m.symbol, opt_right
-    ORDER BY abs(strike_milli - underlying * 1000), strike_milli) AS place FROM modal m JOIN mean_und u ON m.symbol = u.symbol) WHERE place = 1""",
+    """SELECT symbol, trade_date, opt_right, strike_milli, underlying FROM (
+  SELECT symbol, trade_date, opt_right, strike_milli, underlying, row_number() OVER (PARTITION BY symbol, trade_date, opt_right
+    ORDER BY abs(strike_milli - underlying * 1000), strike_milli) AS place FROM modal JOIN mean_und USING (symbol, trade_date)) WHERE place = 1""",
 )
 
 
-@query("a06_nearest_modal_strike", "SELECT symbol, opt_right, strike_milli, underlying FROM nearest")
+@query("a06_nearest_modal_strike", "SELECT symbol, trade_date, opt_right, strike_milli, underlying FROM nearest")
 def a06(spark, sf):
-    g = fx.greeks(spark, sf)
+    g = ivchain.in_horizon(fx.greeks(spark, sf))
     return ivchain.nearest_strike(ivchain.modal_strikes(g), ivchain.mean_underlying(g))
 
 
-define("gpeaks", "SELECT symbol, opt_right, exp FROM (SELECT *, row_number() OVER (PARTITION BY symbol, opt_right ORDER BY implied_vol DESC, exp DESC) AS place FROM greeks WHERE implied_vol IS NOT NULL) WHERE place = 1")
+define("gpeaks", "SELECT symbol, trade_date, opt_right, exp FROM (SELECT *, row_number() OVER (PARTITION BY symbol, trade_date, opt_right ORDER BY implied_vol DESC, exp DESC) AS place FROM greeks WHERE implied_vol IS NOT NULL) WHERE place = 1")
 
 
-@query("a07_iv_peak_expiration", "SELECT symbol, opt_right, exp FROM gpeaks")
+@query("a07_iv_peak_expiration", "SELECT symbol, trade_date, opt_right, exp FROM gpeaks")
 def a07(spark, sf):
     return ivchain.peak_expirations(fx.greeks(spark, sf))
 
 
 @query(
     "a08_peaks_by_right",
-    """SELECT symbol, iv_max_exp_c, iv_max_exp_p, coalesce(iv_max_exp_c = iv_max_exp_p, false) AS iv_pc_max_same FROM (
-      SELECT symbol, max(CASE WHEN opt_right = 'C' THEN exp END) AS iv_max_exp_c, max(CASE WHEN opt_right = 'P' THEN exp END) AS iv_max_exp_p
-      FROM gpeaks GROUP BY symbol)""",
+    """SELECT symbol, trade_date, iv_max_exp_c, iv_max_exp_p, coalesce(iv_max_exp_c = iv_max_exp_p, false) AS iv_pc_max_same FROM (
+      SELECT symbol, trade_date, max(CASE WHEN opt_right = 'C' THEN exp END) AS iv_max_exp_c, max(CASE WHEN opt_right = 'P' THEN exp END) AS iv_max_exp_p
+      FROM gpeaks GROUP BY symbol, trade_date)""",
 )
 def a08(spark, sf):
     return ivchain.peaks_by_right(ivchain.peak_expirations(fx.greeks(spark, sf)))
@@ -134,9 +135,9 @@ def a12(spark, sf):
     return quality.duplicate_keys(fx.open_interest(spark, sf), ["symbol", "exp"], ["strike_milli", "trade_date"])
 
 
-@query("a13_mean_underlying", "SELECT symbol, underlying FROM mean_und")
+@query("a13_mean_underlying", "SELECT symbol, trade_date, underlying FROM mean_und")
 def a13(spark, sf):
-    return ivchain.mean_underlying(fx.greeks(spark, sf))
+    return ivchain.mean_underlying(ivchain.in_horizon(fx.greeks(spark, sf)))
 
 
 @query(

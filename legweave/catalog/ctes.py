@@ -8,6 +8,7 @@ from legweave import fixtures as fx
 
 EXPS = str(fx.EXPIRATIONS)
 DAYS = str(fx.HISTORY_DAYS)
+EXP_SQL = f"CASE WHEN l_partkey % {fx.FAR_EVERY} = 0 THEN {fx.FAR_EXPIRATION} ELSE {EXPS}[CAST(l_partkey % 4 AS INT) + 1] END"
 
 
 def _history(n_days: int, n_bars: int) -> str:
@@ -23,7 +24,7 @@ SELECT concat('S', l_suppkey) AS symbol, opt_right, strike_milli, exp,
 FROM (
   SELECT l_suppkey, CASE WHEN l_linestatus = 'O' THEN 'C' ELSE 'P' END AS opt_right,
     CAST(98000 + 1000*l_linenumber AS BIGINT) AS strike_milli,
-    {EXPS}[CAST(l_partkey % 4 AS INT) + 1] AS exp,
+    {EXP_SQL} AS exp,
     CAST(l_orderkey % {n_days} AS INT) AS d,
     CAST({fx.OPEN_MS} + ((l_partkey // 4) % {n_bars}) * {fx.BAR_MS} AS INT) AS ms_of_day,
     min(l_extendedprice) AS min_price, max(l_discount) AS max_disc, min(l_quantity) AS min_qty,
@@ -37,7 +38,7 @@ CTES: dict[str, str] = {
 SELECT concat('S', l_suppkey) AS symbol,
   CASE WHEN l_linestatus = 'O' THEN 'C' ELSE 'P' END AS opt_right,
   CAST(98000 + 1000*l_linenumber AS BIGINT) AS strike_milli,
-  {EXPS}[CAST(l_partkey % 4 AS INT) + 1] AS exp,
+  {EXP_SQL} AS exp,
   CAST(20240107 + quarter(l_shipdate) AS INT) AS trade_date,
   floor(min(l_extendedprice))/1000 AS bid,
   floor(min(l_extendedprice))/1000 + max(l_discount) AS ask,
@@ -62,15 +63,16 @@ FROM hist WHERE bid_size <= 40""",
 SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS day, is_open,
   CAST(coalesce(sum(CAST(is_open AS INT)) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INT) AS idx
 FROM (SELECT d, isodow(d) <= 5 AND CAST(strftime(d, '%Y%m%d') AS INT) NOT IN ({', '.join(map(str, fx.HOLIDAYS))}) AS is_open
-      FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-03-31', INTERVAL 1 DAY)) AS d))""",
+      FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-12-31', INTERVAL 1 DAY)) AS d))""",
     "earnings": """
-SELECT concat('S', s_suppkey) AS symbol, CAST(20240115 + s_suppkey % 9 AS INT) AS report_date,
+SELECT concat('S', s_suppkey) AS symbol, CAST(CASE n WHEN 1 THEN 20240415 ELSE 20240115 END + s_suppkey % 9 AS INT) AS report_date,
   s_nationkey AS "noOfEsts", floor(s_acctbal)/1000 AS "epsForecast",
-  CASE WHEN s_suppkey % 2 = 0 THEN 20231231 ELSE 20230930 END AS "fiscalQuarterEnding",
-  CAST(s_suppkey % 12 + 1 AS INT) AS bdte, CAST(s_suppkey % 25 AS INT) AS dte,
+  CASE WHEN n = 1 THEN 20240331 WHEN s_suppkey % 2 = 0 THEN 20231231 ELSE 20230930 END AS "fiscalQuarterEnding",
+  CAST(CASE WHEN n = 1 THEN 70 WHEN s_suppkey % 6 = 5 THEN s_suppkey % 12 + 15 ELSE s_suppkey % 12 + 1 END AS INT) AS bdte,
+  CAST(CASE WHEN n = 1 THEN 97 ELSE s_suppkey % 25 END AS INT) AS dte,
   CASE s_suppkey % 5 WHEN 0 THEN 'Same Date' WHEN 1 THEN ' same week ' WHEN 2 THEN 'Different Week'
        WHEN 3 THEN 'unconfirmed' END AS comment,
-  concat('src', s_suppkey % 3) AS "sourceUsed" FROM supplier""",
+  concat('src', s_suppkey % 3) AS "sourceUsed" FROM supplier, (SELECT unnest([0, 1]) AS n) WHERE n = 0 OR s_suppkey % 4 = 0""",
     "past_earnings": """
 SELECT concat('S', s_suppkey) AS symbol,
   CAST(strftime(DATE '2024-01-15' + CAST(s_suppkey % 9 - n * 91 * (s_suppkey % 3 + 1) AS INT), '%Y%m%d') AS INT) AS report_date

@@ -87,7 +87,8 @@ def f02(spark, sf):
 def f03(spark, sf):
     q = fx.quotes(spark, sf)
     listing = ex.contract_listing(q)
-    plan = fx.earnings(spark, sf).select("symbol", F.lit(20240119).alias("exp_front"), F.lit(20240126).alias("exp_back"))
+    symbols = fx.earnings(spark, sf).select("symbol").distinct()
+    plan = symbols.select("symbol", F.lit(20240119).alias("exp_front"), F.lit(20240126).alias("exp_back"))
     # Every history date lies between the first and last shared date of a plan.
     ready = filters.strike_corridor(
         ex.common_listing(plan, listing, 1).withColumn("trade_dates", F.array(F.lit(20240101), F.lit(20240201))),
@@ -137,9 +138,9 @@ def f07(spark, sf):
 )
 def f08(spark, sf):
     q = fx.quotes(spark, sf)
-    plan = fx.earnings(spark, sf).select(
-        "symbol", F.lit(20240119).alias("exp_front"), F.explode(F.array(*[F.lit(e) for e in fx.EXPIRATIONS[1:]])).alias("exp_back")
-    )
+    later = F.array(*[F.lit(e) for e in (*fx.EXPIRATIONS[1:], fx.FAR_EXPIRATION)])
+    symbols = fx.earnings(spark, sf).select("symbol").distinct()
+    plan = symbols.select("symbol", F.lit(20240119).alias("exp_front"), F.explode(later).alias("exp_back"))
     return ex.common_listing(plan, ex.contract_listing(q), 5).select(
         "symbol", "exp_front", "exp_back", F.size("trade_dates").alias("n_dates")
     )
@@ -248,12 +249,12 @@ def f18(spark, sf):
     "f19_sql_predicates",
     """SELECT symbol, weeks, undmean_avg_trade_class_combined_grade AS grade FROM grades
       WHERE weeks <> 'Average' AND CAST(CASE WHEN weeks = 'Average' THEN '0' ELSE weeks END AS INT) <= 5 AND latest
-        AND symbol IN (SELECT symbol FROM earnings WHERE dte <= 20)""",
+        AND symbol IN (SELECT symbol FROM earnings WHERE bdte <= 20)""",
 )
 def f19(spark, sf):
     """Comparisons and set membership as filters and a semi join."""
     current = enrich.weeks_as_int(fx.grades(spark, sf).filter("latest")).filter(F.col("weeks") <= 5)
-    chosen = enrich.in_symbols(current, enrich.upcoming(fx.earnings(spark, sf), column="dte"))
+    chosen = enrich.in_symbols(current, enrich.upcoming(fx.earnings(spark, sf)))
     return chosen.select("symbol", F.col("weeks").cast("string").alias("weeks"), F.col("undmean_avg_trade_class_combined_grade").alias("grade"))
 
 

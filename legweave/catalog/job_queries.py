@@ -20,7 +20,6 @@ from legweave.plans.index_calendar import index_calendars, recovered_calendars
 from legweave.plans.multi_gap import multi_gap_history
 from legweave.scratch import settle
 
-SNAP_DAY = 20240110
 
 
 def landed_chain(spark, sf):
@@ -139,7 +138,7 @@ def job_recovered(spark, sf):
 
 define(
     "snap_listed",
-    f"SELECT DISTINCT symbol, exp FROM squotes WHERE trade_date = {SNAP_DAY}",
+    "SELECT DISTINCT symbol, exp FROM squotes",
 )
 define(
     "snap_plan",
@@ -165,30 +164,35 @@ FROM snap_plan p JOIN snap_contracts f ON p.symbol = f.symbol AND p.exp_front =
 define(
     "snap_contracts",
     f"""SELECT * FROM squotes JOIN sgreeks USING (symbol, opt_right, strike_milli, exp, trade_date)
-  LEFT JOIN soi USING (symbol, opt_right, strike_milli, exp, trade_date) WHERE opt_right = 'C' AND trade_date = {SNAP_DAY}""",
+  LEFT JOIN soi USING (symbol, opt_right, strike_milli, exp, trade_date) WHERE opt_right = 'C'""",
 )
 _RUNGS = ", ".join(f"({i}, {(-0.00025 * i):.5f}e0, {(0.003 * i):.3f}e0)" for i in range(17))
 define(
     "snap_near",
-    f"""SELECT * EXCLUDE (n, best, place) FROM (SELECT *, row_number() OVER (PARTITION BY symbol, weeks ORDER BY strike_milli) AS place FROM (
-  SELECT b.* FROM (SELECT band.*, best FROM (SELECT *, count(*) OVER (PARTITION BY symbol, weeks) AS n FROM snap_legs WHERE x >= -0.003e0 AND x <= 0.05e0) band
-    LEFT JOIN (SELECT symbol, weeks, min(i) AS best FROM (SELECT symbol, weeks, i, count(*) AS m FROM snap_legs, (VALUES {_RUNGS}) AS r(i, lo, hi)
-      WHERE x >= lo AND x <= hi AND x >= -0.003e0 AND x <= 0.05e0 GROUP BY ALL) WHERE m >= 2 GROUP BY ALL) USING (symbol, weeks)) b
+    f"""SELECT * EXCLUDE (n, best, place) FROM (SELECT *, row_number() OVER (PARTITION BY symbol, weeks, trade_date ORDER BY strike_milli) AS place FROM (
+  SELECT b.* FROM (SELECT band.*, best FROM (SELECT *, count(*) OVER (PARTITION BY symbol, weeks, trade_date) AS n FROM snap_legs WHERE x >= -0.003e0 AND x <= 0.05e0) band
+    LEFT JOIN (SELECT symbol, weeks, trade_date, min(i) AS best FROM (SELECT symbol, weeks, trade_date, i, count(*) AS m FROM snap_legs, (VALUES {_RUNGS}) AS r(i, lo, hi)
+      WHERE x >= lo AND x <= hi AND x >= -0.003e0 AND x <= 0.05e0 GROUP BY ALL) WHERE m >= 2 GROUP BY ALL) USING (symbol, weeks, trade_date)) b
   LEFT JOIN (VALUES {_RUNGS}) AS r2(i, lo, hi) ON best = i
   WHERE n <= 2 OR best IS NULL OR (x >= lo AND x <= hi))) WHERE place <= 2""",
 )
+define("near_sgreeks", f"SELECT * FROM sgreeks WHERE date_diff('day', {day_sql('trade_date')}, {day_sql('exp')}) BETWEEN 0 AND 90")
+define(
+    "snap_modal",
+    """SELECT symbol, trade_date, opt_right, strike_milli FROM (SELECT *, max(n) OVER (PARTITION BY symbol, trade_date, opt_right) AS most FROM (
+  SELECT symbol, trade_date, opt_right, strike_milli, count(DISTINCT exp) AS n FROM near_sgreeks GROUP BY 1, 2, 3, 4)) WHERE n = most""",
+)
+define(
+    "snap_nearest",
+    f"""SELECT symbol, trade_date, opt_right, arg_min(strike_milli, (abs(strike_milli - underlying * 1000), strike_milli)) AS strike_milli
+FROM snap_modal JOIN (SELECT symbol, trade_date, {round_sql('avg(underlying)', 2)} AS underlying FROM near_sgreeks GROUP BY 1, 2) USING (symbol, trade_date)
+GROUP BY 1, 2, 3""",
+)
 define(
     "snap_chain_peaks",
-    f"""SELECT symbol, max(CASE WHEN opt_right = 'C' THEN exp END) AS iv_max_exp_c, max(CASE WHEN opt_right = 'P' THEN exp END) AS iv_max_exp_p
-FROM (SELECT v.symbol, v.opt_right, v.exp, row_number() OVER (PARTITION BY v.symbol, v.opt_right ORDER BY implied_vol DESC, v.exp DESC) AS place
-  FROM sgreeks v JOIN (
-    SELECT symbol, opt_right, strike_milli FROM (SELECT m.symbol, m.opt_right, m.strike_milli, row_number() OVER (PARTITION BY m.symbol, m.opt_right
-        ORDER BY abs(m.strike_milli - u.underlying * 1000), m.strike_milli) AS place
-      FROM (SELECT *, max(n) OVER (PARTITION BY symbol, opt_right) AS most FROM (SELECT symbol, opt_right, strike_milli, count(DISTINCT exp) AS n
-            FROM sgreeks WHERE trade_date = {SNAP_DAY} GROUP BY 1, 2, 3)) m
-      JOIN (SELECT symbol, {round_sql('avg(underlying)', 2)} AS underlying FROM sgreeks WHERE trade_date = {SNAP_DAY} GROUP BY 1) u ON m.symbol = u.symbol
-      WHERE m.n = m.most) WHERE place = 1) k ON v.symbol = k.symbol AND v.opt_right = k.opt_right AND v.strike_milli = k.strike_milli
-  WHERE v.trade_date = {SNAP_DAY}) WHERE place = 1 GROUP BY symbol""",
+    """SELECT symbol, trade_date, max(CASE WHEN opt_right = 'C' THEN exp END) AS iv_max_exp_c, max(CASE WHEN opt_right = 'P' THEN exp END) AS iv_max_exp_p
+FROM (SELECT symbol, trade_date, opt_right, arg_max(exp, (implied_vol, exp)) AS exp
+  FROM near_sgreeks JOIN snap_nearest USING (symbol, trade_date, opt_right, strike_milli) GROUP BY 1, 2, 3) GROUP BY 1, 2""",
 )
 define(
     "snapshot",
@@ -200,10 +204,10 @@ define(
   z."calCostPctMean" AS "calCostPctMeanDayZero", s."calCostPctMean", s."histEarningsCount", s."calCostPctMean" / 100 * n.underlying AS "avgCalCost",
   z."calCostPctMean" / 100 * n.underlying AS "expectedCalCost", iv_max_exp_c, iv_max_exp_p,
   coalesce(iv_max_exp_c = exp_front, false) AND coalesce(iv_max_exp_p = exp_front, false) AS iv_consensus, c2.idx - c1.idx AS bdtfexp
-FROM snap_near n JOIN earnings e ON n.symbol = e.symbol JOIN plan_grades g ON n.symbol = g.symbol AND n.weeks = g.weeks
+FROM snap_near n JOIN near_earnings e ON n.symbol = e.symbol JOIN plan_grades g ON n.symbol = g.symbol AND n.weeks = g.weeks
   JOIN stats z ON n.symbol = z.symbol AND n.weeks = z.weeks AND z.bdte = 1
   JOIN stats s ON n.symbol = s.symbol AND n.weeks = s.weeks AND e.bdte = s.bdte
-  JOIN snap_chain_peaks k ON n.symbol = k.symbol JOIN cal c1 ON n.trade_date = c1.day JOIN cal c2 ON n.exp_front = c2.day""",
+  JOIN snap_chain_peaks k ON n.symbol = k.symbol AND n.trade_date = k.trade_date JOIN cal c1 ON n.trade_date = c1.day JOIN cal c2 ON n.exp_front = c2.day""",
 )
 
 SNAP_OUT = [
@@ -216,7 +220,7 @@ SNAP_OUT = [
 
 
 def _snapshot(spark, sf):
-    rows = landed_chain(spark, sf).filter(F.col("trade_date") == SNAP_DAY)
+    rows = landed_chain(spark, sf)
     return equity_snapshot(
         fx.snapshot_quotes_of(rows),
         fx.snapshot_greeks_of(rows),
@@ -247,7 +251,7 @@ GROUP BY 1, 2, 3 HAVING count(*) FILTER (WHERE off <= 2) = 3 OR count(*) FILTER
     "m02_feature_frame",
     f"""SELECT symbol, strike, opt_right, exp_front, weeks, sector, all_pl_pct_mean, least(ask_size_front, bid_size_back) AS min_entry_size,
       greatest(ask_size_back, bid_size_front) AS max_exit_size, "calGapPct" - {GAP_SQL} AS "calGapPctAdjusted", pre_0_avg, pre_2_count,
-      2024 AS year, round(cos(2 * pi() * 10 / 365), 9) AS cos_day, bdte
+      2024 AS year, round(cos(2 * pi() * (trade_date % 100) / 365), 9) AS cos_day, bdte
       FROM snapshot JOIN sectors USING (symbol) JOIN (SELECT * EXCLUDE (weeks), CAST(weeks AS INT) AS weeks FROM aggs WHERE latest) a USING (symbol, weeks, bdte)
       JOIN snap_slices USING (symbol, weeks, bdte)""",
 )
@@ -266,8 +270,8 @@ def m02(spark, sf):
     "job_volatility_chain",
     f"""SELECT g.symbol, g.opt_right, g.strike_milli, g.exp, g.trade_date, g.ms_of_day, implied_vol, n.underlying,
       {round_sql('g.strike_milli / 1000', 2)} AS strike,
-      {round_sql(f"({round_sql('g.strike_milli / 1000', 2)} - n.underlying) / n.underlying", 3)} AS strike_pct_diff
-      FROM greeks g JOIN nearest n ON g.symbol = n.symbol AND g.opt_right = n.opt_right AND g.strike_milli = n.strike_milli""",
+      {round_sql(f"({round_sql('g.strike_milli / 1000', 2)} - n.underlying) / nullif(n.underlying, 0)", 3)} AS strike_pct_diff
+      FROM near_greeks g JOIN nearest n ON g.symbol = n.symbol AND g.opt_right = n.opt_right AND g.strike_milli = n.strike_milli AND g.trade_date = n.trade_date""",
 )
 def job_chain(spark, sf):
     return volatility_chain(fx.greeks_of(landed_history(spark, sf))).select(
@@ -281,8 +285,8 @@ HIST_WEEKS = [1, 2, 3]
 define(
     "work",
     """SELECT symbol, report_date, "noOfEsts", "epsForecast", weeks, "fQuarter", filepath FROM (
-  SELECT r.symbol, e.report_date, e."noOfEsts", e."epsForecast", weeks, CASE WHEN e."fiscalQuarterEnding" = 20231231 THEN '2023Q4' ELSE '2023Q3' END AS "fQuarter",
-    concat('calendar_C_', weeks, '_weeks/', r.symbol, '/', r.symbol, '_', CASE WHEN e."fiscalQuarterEnding" = 20231231 THEN '2023Q4' ELSE '2023Q3' END) AS filepath
+  SELECT r.symbol, e.report_date, e."noOfEsts", e."epsForecast", weeks, concat(e."fiscalQuarterEnding" // 10000, 'Q', (e."fiscalQuarterEnding" // 100 % 100 + 2) // 3) AS "fQuarter",
+    concat('calendar_C_', weeks, '_weeks/', r.symbol, '/', r.symbol, '_', concat(e."fiscalQuarterEnding" // 10000, 'Q', (e."fiscalQuarterEnding" // 100 % 100 + 2) // 3)) AS filepath
   FROM earnings e JOIN roots r ON e.symbol = r.root, (SELECT unnest([1, 2, 3]) AS weeks)
   WHERE date_diff('day', strptime(CAST(e.report_date AS VARCHAR), '%Y%m%d'), DATE '2024-02-12') >= 14)
 WHERE filepath NOT IN (SELECT concat('calendar_C_2_weeks/', symbol, '/', symbol, '_2023Q4') FROM earnings WHERE dte < 5)""",
@@ -365,48 +369,58 @@ def job_history(spark, sf):
 
 # ---------------------------------------------------------- multi-gap history
 
-define("dgreeks", "SELECT symbol, opt_right, strike_milli, exp, trade_date, ms_of_day, implied_vol, underlying FROM daily")
+# Calls report another underlying than puts here, so that the kept one shows.
+define("mg_bars", "SELECT * REPLACE (underlying + CASE opt_right WHEN 'C' THEN 0.5e0 ELSE 0e0 END AS underlying) FROM daily")
+_RUNS = [[*fx.EXPIRATIONS, fx.FAR_EXPIRATION][i : i + 4] for i in range(2)]
+define(
+    "run_bars",
+    f"""SELECT m.*, r.exps, list_position(r.exps, m.exp) AS leg FROM mg_bars m
+JOIN (SELECT unnest({_RUNS}) AS exps) r ON list_contains(r.exps, m.exp)""",
+)
 define(
     "run_days",
-    """SELECT symbol, min(trade_date) AS d0, max(trade_date) AS d1 FROM (SELECT symbol, trade_date FROM (SELECT DISTINCT symbol, exp, trade_date FROM daily)
-  GROUP BY 1, 2 HAVING count(*) = 4) GROUP BY 1 HAVING count(*) >= 5""",
+    """SELECT symbol, exps, min(trade_date) AS d0, max(trade_date) AS d1 FROM (
+  SELECT symbol, exps, trade_date FROM run_bars GROUP BY 1, 2, 3 HAVING count(DISTINCT exp) = 4) GROUP BY 1, 2 HAVING count(*) >= 5""",
 )
 define(
     "run_strikes",
-    """SELECT symbol, list(strike_milli ORDER BY strike_milli) AS ks FROM (SELECT symbol, strike_milli FROM (SELECT DISTINCT symbol, exp, strike_milli FROM daily)
-  GROUP BY 1, 2 HAVING count(*) = 4) GROUP BY 1""",
+    """SELECT symbol, exps, list(strike_milli ORDER BY strike_milli) AS ks FROM (
+  SELECT symbol, exps, strike_milli FROM run_bars GROUP BY 1, 2, 3 HAVING count(DISTINCT exp) = 4) GROUP BY 1, 2""",
 )
 define(
     "run_range",
-    """SELECT symbol, min(underlying) AS lo, max(underlying) AS hi FROM dgreeks JOIN run_strikes USING (symbol) JOIN run_days USING (symbol)
-  WHERE exp = 20240119 AND opt_right = 'C' AND underlying <> 0 AND strike_milli = ks[len(ks) // 2 + 1] AND trade_date BETWEEN d0 AND d1 GROUP BY 1""",
+    """SELECT symbol, exps, min(underlying) AS lo, max(underlying) AS hi FROM run_bars JOIN run_strikes USING (symbol, exps) JOIN run_days USING (symbol, exps)
+  WHERE leg = 1 AND opt_right = 'C' AND underlying <> 0 AND strike_milli = ks[len(ks) // 2 + 1] AND trade_date BETWEEN d0 AND d1 GROUP BY 1, 2""",
 )
 
 
 def _cell(r: str, i: int, value: str) -> str:
-    return f"max(CASE WHEN opt_right = '{r}' AND exp = {fx.EXPIRATIONS[i]} THEN {value} END)"
+    return f"max(CASE WHEN opt_right = '{r}' AND leg = {i + 1} THEN {value} END)"
 
 
 MG_NAMES = ["front", "back_G1", "back_G2", "back_G3"]
 define(
     "gap_rows",
-    f"""SELECT symbol, strike_milli, trade_date, ms_of_day, {_cell('C', 0, 'underlying')} AS underlying,
+    f"""SELECT symbol, exps, strike_milli, trade_date, ms_of_day, {_cell('P', 0, 'underlying')} AS underlying,
   {', '.join(f'{_cell(r, i, v)} AS "{v}_{r}_{n}"' for r in ('P', 'C') for i, n in enumerate(MG_NAMES) for v in ('bid', 'ask', 'implied_vol'))}
-FROM daily JOIN run_days USING (symbol) JOIN run_range USING (symbol) JOIN run_strikes USING (symbol)
+FROM run_bars JOIN run_days USING (symbol, exps) JOIN run_range USING (symbol, exps) JOIN run_strikes USING (symbol, exps)
 WHERE trade_date BETWEEN d0 AND d1 AND list_contains(ks, strike_milli) AND strike_milli / 1000 > lo * 0.94e0 AND strike_milli / 1000 < hi * 1.06e0
-GROUP BY 1, 2, 3, 4 HAVING count(*) = 8""",
+GROUP BY 1, 2, 3, 4, 5 HAVING count(*) = 8""",
 )
 
 
 @query(
     "job_multi_gap_history",
-    f"""SELECT g.*, {', '.join(f'{e} AS "exp_{n}"' for e, n in zip(fx.EXPIRATIONS, MG_NAMES))} FROM gap_rows g
-      SEMI JOIN (SELECT symbol FROM gap_rows GROUP BY 1 HAVING count(DISTINCT trade_date) > 5) k USING (symbol)""",
+    f"""SELECT g.* EXCLUDE (exps), {', '.join(f'exps[{i + 1}] AS "exp_{n}"' for i, n in enumerate(MG_NAMES))} FROM gap_rows g
+      SEMI JOIN (SELECT symbol, exps FROM gap_rows GROUP BY 1, 2 HAVING count(DISTINCT trade_date) > 5) k USING (symbol, exps)""",
 )
 def job_multi_gap(spark, sf):
     d = settle(fx.daily(spark, sf), "daily")
     keys = ["symbol", "opt_right", "strike_milli", "exp", "trade_date", "ms_of_day"]
-    out = multi_gap_history(d.select(*keys, "bid", "ask"), d.select(*keys, "implied_vol", "underlying"))
+    price = F.col("underlying") + F.when(F.col("opt_right") == "C", 0.5).otherwise(0.0)
+    out = multi_gap_history(
+        d.select(*keys, "bid", "ask"), d.select(*keys, "implied_vol", price.alias("underlying"))
+    )
     return out.drop("exps")
 
 

@@ -237,7 +237,7 @@ def j13(spark, sf):
 @query(
     "j14_skip_failed",
     """SELECT filepath FROM (SELECT concat('calendar_C_', weeks, '_weeks/', symbol, '/', symbol, '_',
-        CASE WHEN "fiscalQuarterEnding" = 20231231 THEN '2023Q4' ELSE '2023Q3' END) AS filepath, dte
+        concat("fiscalQuarterEnding" // 10000, 'Q', ("fiscalQuarterEnding" // 100 % 100 + 2) // 3)) AS filepath, dte
       FROM earnings, (SELECT unnest([1, 2, 3]) AS weeks)) WHERE dte > 4 OR NOT contains(filepath, '_2_weeks')""",
 )
 def j14(spark, sf):
@@ -255,7 +255,7 @@ define(
 WHERE weeks <> 'Average' AND latest AND weeks <= '5'
   AND symbol IN (SELECT symbol FROM grades GROUP BY symbol HAVING max(undmean_avg_trade_class_combined_grade) >= 1.25e0)""",
 )
-define("near_earnings", 'SELECT * FROM earnings WHERE dte <= 20')
+define("near_earnings", 'SELECT * FROM earnings WHERE bdte <= 20')
 
 
 @query(
@@ -263,7 +263,7 @@ define("near_earnings", 'SELECT * FROM earnings WHERE dte <= 20')
     'SELECT symbol, weeks, "Grade", undmean_avg_trade_class_combined_grade, report_date, dte, "noOfEsts" FROM plan_grades JOIN near_earnings USING (symbol)',
 )
 def j15(spark, sf):
-    earnings = enrich.upcoming(fx.earnings(spark, sf), column="dte")
+    earnings = enrich.upcoming(fx.earnings(spark, sf))
     return enrich.grades_with_earnings(enrich.plan_grades(fx.grades(spark, sf)), earnings).select(
         "symbol", "weeks", "Grade", "undmean_avg_trade_class_combined_grade", "report_date", "dte", "noOfEsts"
     )
@@ -417,9 +417,9 @@ def j22(spark, sf):
 
 define(
     "peaks",
-    """SELECT symbol, max(CASE WHEN opt_right = 'C' THEN exp END) AS iv_max_exp_c, max(CASE WHEN opt_right = 'P' THEN exp END) AS iv_max_exp_p
-FROM (SELECT symbol, opt_right, exp, row_number() OVER (PARTITION BY symbol, opt_right ORDER BY implied_vol DESC, exp DESC) AS place FROM sgreeks
-      WHERE implied_vol IS NOT NULL) WHERE place = 1 GROUP BY symbol""",
+    """SELECT symbol, trade_date, max(CASE WHEN opt_right = 'C' THEN exp END) AS iv_max_exp_c, max(CASE WHEN opt_right = 'P' THEN exp END) AS iv_max_exp_p
+FROM (SELECT symbol, trade_date, opt_right, exp, row_number() OVER (PARTITION BY symbol, trade_date, opt_right ORDER BY implied_vol DESC, exp DESC) AS place FROM sgreeks
+      WHERE implied_vol IS NOT NULL) WHERE place = 1 GROUP BY symbol, trade_date""",
 )
 
 
@@ -428,12 +428,13 @@ FROM (SELECT symbol, opt_right, exp, row_number() OVER (PARTITION BY symbol, opt
     """SELECT row_id, symbol, iv_max_exp_c, iv_max_exp_p, coalesce(iv_max_exp_c = iv_max_exp_p, false) AS iv_pc_max_same,
       coalesce(iv_max_exp_c = exp_front, false) AS iv_fexp_c, coalesce(iv_max_exp_p = exp_front, false) AS iv_fexp_p,
       coalesce(iv_max_exp_c = exp_front, false) AND coalesce(iv_max_exp_p = exp_front, false) AS iv_consensus
-      FROM (SELECT row_id, symbol, exp_front FROM candidates) JOIN peaks USING (symbol)""",
+      FROM (SELECT row_id, symbol, exp_front, CAST(20240108 + row_id // 8 % 4 AS INT) AS trade_date FROM candidates) JOIN peaks USING (symbol, trade_date)""",
 )
 def j23(spark, sf):
     peaks = ivchain.peaks_by_right(ivchain.peak_expirations(fx.snapshot_greeks(spark, sf)))
-    rows = fx.candidates(spark, sf).select("row_id", "symbol", "exp_front")
-    return ivchain.with_iv_flags(rows, peaks).drop("exp_front")
+    day = (F.lit(20240108) + F.floor(F.col("row_id") / 8) % 4).cast("int")
+    rows = fx.candidates(spark, sf).select("row_id", "symbol", "exp_front", day.alias("trade_date"))
+    return ivchain.with_iv_flags(rows, peaks).drop("exp_front", "trade_date")
 
 
 @query(
@@ -447,7 +448,8 @@ def j24(spark, sf):
 
 @query(
     "j25_symbol_aliases",
-    "SELECT r.symbol, r.root, report_date, count(*) OVER (PARTITION BY r.symbol) > 1 AS several FROM earnings e JOIN roots r ON e.symbol = r.root",
+    """SELECT r.symbol, r.root, report_date, n > 1 AS several FROM earnings e JOIN roots r ON e.symbol = r.root
+      JOIN (SELECT symbol, count(DISTINCT root) AS n FROM roots WHERE root IN (SELECT symbol FROM earnings) GROUP BY 1) k ON r.symbol = k.symbol""",
 )
 def j25(spark, sf):
     symbols = fx.earnings(spark, sf).select("symbol", "report_date")
@@ -488,7 +490,8 @@ def j27(spark, sf):
       WHERE f.exp = 20240119 AND b.exp = 20240209 AND len(list_intersect(f.d, b.d)) >= 1""",
 )
 def u01(spark, sf):
-    plan = fx.earnings(spark, sf).select("symbol", F.lit(20240119).alias("exp_front"), F.lit(20240209).alias("exp_back"))
+    symbols = fx.earnings(spark, sf).select("symbol").distinct()
+    plan = symbols.select("symbol", F.lit(20240119).alias("exp_front"), F.lit(20240209).alias("exp_back"))
     common = ex.common_listing(plan, ex.contract_listing(fx.chain(spark, sf)), 1)
     return common.select(
         "symbol", "exp_front", "exp_back", F.concat_ws(",", F.array_sort("trade_dates").cast("array<string>")).alias("trade_dates")

@@ -262,7 +262,7 @@ def p19(spark, sf):
 @query(
     "p20_leg_stamps",
     """SELECT c.symbol, opt_right, strike_milli, exp, trade_date, weeks, report_date, "noOfEsts", "epsForecast",
-      "fiscalQuarterEnding", CASE WHEN "fiscalQuarterEnding" = 20231231 THEN '2023Q4' ELSE '2023Q3' END AS "fQuarter", '2024Q1' AS "rQuarter"
+      "fiscalQuarterEnding", concat("fiscalQuarterEnding" // 10000, 'Q', ("fiscalQuarterEnding" // 100 % 100 + 2) // 3) AS "fQuarter", concat(report_date // 10000, 'Q', (report_date // 100 % 100 + 2) // 3) AS "rQuarter"
       FROM chain c JOIN earnings e ON c.symbol = e.symbol, (SELECT unnest([1, 2, 3]) AS weeks)""",
 )
 def p20(spark, sf):
@@ -356,7 +356,7 @@ def p27(spark, sf):
 @query(
     "p29_dataset_keys",
     """SELECT concat('calendar_C_', weeks, '_weeks/', symbol, '/', symbol, '_',
-        CASE WHEN "fiscalQuarterEnding" = 20231231 THEN '2023Q4' ELSE '2023Q3' END) AS filepath,
+        concat("fiscalQuarterEnding" // 10000, 'Q', ("fiscalQuarterEnding" // 100 % 100 + 2) // 3)) AS filepath,
       concat(symbol, '_', report_date, '_', 20240119) AS exp_key
       FROM earnings, (SELECT unnest([1, 2, 3, 4, 5]) AS weeks)""",
 )

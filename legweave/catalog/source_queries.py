@@ -311,11 +311,11 @@ def s16(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "s18_table_or_query_scan",
-    "SELECT symbol, report_date, dte, 'query' AS via FROM earnings WHERE dte <= 20 UNION ALL SELECT symbol, report_date, dte, 'table' FROM earnings",
+    "SELECT symbol, report_date, dte, 'query' AS via FROM earnings WHERE bdte <= 20 UNION ALL SELECT symbol, report_date, dte, 'table' FROM earnings",
 )
 def s18(spark: SparkSession, sf: str) -> DataFrame:
     fx.earnings(spark, sf).createOrReplaceTempView("upcoming_earnings")
-    by_query = tables.read_table(spark, query="SELECT symbol, report_date, dte FROM upcoming_earnings WHERE dte <= 20")
+    by_query = tables.read_table(spark, query="SELECT symbol, report_date, dte FROM upcoming_earnings WHERE bdte <= 20")
     by_name = tables.read_table(spark, table="upcoming_earnings").select("symbol", "report_date", "dte")
     return by_query.withColumn("via", F.lit("query")).unionByName(by_name.withColumn("via", F.lit("table")))
 

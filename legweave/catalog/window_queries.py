@@ -126,7 +126,7 @@ def t01(spark, sf):
 )
 def t02(spark, sf):
     graded = fx.grades(spark, sf).filter(F.col("Grade") == "A")
-    ordered = planning.by_priority(fx.earnings(spark, sf).select("symbol"), graded, enrich.GRADE)
+    ordered = planning.by_priority(fx.earnings(spark, sf).select("symbol").distinct(), graded, enrich.GRADE)
     return ordered.select("symbol", F.round("mean_grade", 9).alias("mean_grade"))
 
 

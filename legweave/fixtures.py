@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 EXPIRATIONS = [20240119, 20240126, 20240202, 20240209]
 HISTORY_DAYS = [20240102, 20240103, 20240104, 20240105, 20240108, 20240109, 20240110, 20240111]
 HOLIDAYS = [20240101, 20240115, 20240219, 20240329]
-CALENDAR_SPAN = (20240101, 20240331)
+# An expiration beyond every horizon, listed by a few contracts.
+FAR_EXPIRATION, FAR_EVERY = 20240621, 23
 OPEN_MS = 34_200_000
 BAR_MS = 900_000
 AS_OF = 20240212
@@ -42,7 +43,9 @@ def _contract_columns(li: DataFrame, n_days: int = 8, n_bars: int = 3) -> DataFr
         "l_suppkey",
         F.when(F.col("l_linestatus") == "O", "C").otherwise("P").alias("opt_right"),
         (F.lit(98000) + F.col("l_linenumber") * 1000).cast("long").alias("strike_milli"),
-        _pick(EXPIRATIONS, F.col("l_partkey") % 4).alias("exp"),
+        F.when(F.col("l_partkey") % FAR_EVERY == 0, FAR_EXPIRATION)
+        .otherwise(_pick(EXPIRATIONS, F.col("l_partkey") % 4))
+        .alias("exp"),
         F.quarter("l_shipdate").alias("q"),
         (F.col("l_orderkey") % n_days).cast("int").alias("d"),
         (F.lit(OPEN_MS) + F.floor(F.col("l_partkey") / 4) % n_bars * BAR_MS).cast("int").alias("ms_of_day"),
@@ -240,16 +243,20 @@ def open_interest_of(rows: DataFrame) -> DataFrame:
 
 
 def earnings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One upcoming report per supplier, with estimates and a date comment."""
-    k = F.col("s_suppkey")
-    return table(spark, sf_dir, "supplier").select(
+    """The next report of each supplier, and for some the one after, with estimates and a date comment.
+
+    Some next reports are more than 20 business days ahead, all later ones are.
+    """
+    k, later = F.col("s_suppkey"), F.col("n") == 1
+    reports = table(spark, sf_dir, "supplier").withColumn("n", F.explode(F.array(F.lit(0), F.lit(1))))
+    return reports.filter(~later | (k % 4 == 0)).select(
         _symbol("s_suppkey").alias("symbol"),
-        (F.lit(20240115) + k % 9).cast("int").alias("report_date"),
+        (F.when(later, 20240415).otherwise(20240115) + k % 9).cast("int").alias("report_date"),
         F.col("s_nationkey").alias("noOfEsts"),
         (F.floor("s_acctbal") / 1000).alias("epsForecast"),
-        F.when(k % 2 == 0, 20231231).otherwise(20230930).alias("fiscalQuarterEnding"),
-        (k % 12 + 1).cast("int").alias("bdte"),
-        (k % 25).cast("int").alias("dte"),
+        F.when(later, 20240331).when(k % 2 == 0, 20231231).otherwise(20230930).alias("fiscalQuarterEnding"),
+        F.when(later, 70).when(k % 6 == 5, k % 12 + 15).otherwise(k % 12 + 1).cast("int").alias("bdte"),
+        F.when(later, 97).otherwise(k % 25).cast("int").alias("dte"),
         F.when(k % 5 == 0, "Same Date")
         .when(k % 5 == 1, " same week ")
         .when(k % 5 == 2, "Different Week")

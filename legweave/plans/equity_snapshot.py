@@ -38,8 +38,8 @@ def contracts(quotes: DataFrame, greeks: DataFrame, oi: DataFrame) -> DataFrame:
 
 
 def strategy_plan(earnings: DataFrame, grades: DataFrame, listed: DataFrame) -> DataFrame:
-    """(symbol, weeks, report_date) of graded symbols with their two expirations."""
-    graded = enrich.grades_with_earnings(enrich.plan_grades(grades), enrich.upcoming(earnings, column="dte"))
+    """(symbol, weeks, report_date) of graded symbols with their two expirations, for reports ahead."""
+    graded = enrich.grades_with_earnings(enrich.plan_grades(grades), earnings)
     return choose_expirations(graded.select("symbol", "weeks", "report_date"), expiration_lists(listed))
 
 
@@ -88,7 +88,14 @@ def equity_snapshot(
     holidays: Sequence[int],
     right: str = "C",
 ) -> DataFrame:
-    """The whole snapshot of one trade date, up to the features."""
+    """The whole snapshot of every trade date in the tables, up to the features.
+
+    Only reports within 20 business days take part, in the plan and joined back
+    by symbol.  Open interest is joined per leg, so a leg without it leaves the
+    other one's intact: a choice of ours, where joining the pair first would
+    empty both.
+    """
+    earnings = enrich.upcoming(earnings)
     plan = strategy_plan(earnings, grades, quotes)
     snap = priced_snapshot(plan, quotes, greeks, oi, right)
     snap = enrich.with_earnings_and_grades(snap, earnings, enrich.plan_grades(grades))

@@ -69,14 +69,12 @@ def multi_gap_history(quotes: DataFrame, greeks: DataFrame, gaps: int = GAPS) ->
     )
     cells = rows.withColumn("__cell", F.concat_ws("_", "opt_right", "__name"))
     values = [n for n in bars.columns if n not in BAR_KEYS and n != "underlying"]
-    # One underlying is kept for the row: that of the front call.
-    with_front = cells.withColumn(
-        "underlying", F.when(F.col("__cell") == f"{CORRIDOR_RIGHT}_front", F.col("underlying"))
-    )
+    # One underlying is kept for the row: that of the front put.
+    with_front = cells.withColumn("underlying", F.when(F.col("__cell") == "P_front", F.col("underlying")))
     keys = [*RUN_KEYS, "strike_milli", "trade_date", "ms_of_day"]
     columns = [f"{r}_{n}" for r in ("P", "C") for n in leg_names(gaps)]
     wide = widen_legs(with_front, keys, "__cell", columns, [*values, "underlying"])
-    front_price = f"underlying_{CORRIDOR_RIGHT}_front"
+    front_price = "underlying_P_front"
     others = [f"underlying_{n}" for n in columns if f"underlying_{n}" != front_price]
     wide = wide.drop(*others).withColumnRenamed(front_price, "underlying")
     exps = {f"exp_{n}": F.get("exps", F.lit(i)) for i, n in enumerate(leg_names(gaps))}
