@@ -18,12 +18,14 @@ from legweave.scratch import discard, settle
 
 # Common shingles that come last in the order of prefixes: at most so many, each in so many documents.
 COMMON, COMMON_FROM = 200_000, 64
-# Bits of a signature: twice its set's size or more, in powers of two, between these.
+# Documents of a batch that share a shingle before the batch reports it.
+SEEN_IN_BATCH = 4
+# Bits of a signature: its set's size or more, in powers of two, between these.
 LEAST_BITS, MOST_BITS = 64, 1 << 15
 # Rows that one part of a tile compares with the tile, rows of a task, pairs compared at a time.
 PART, TASK_ROWS, PAIRS = 4_096, 4_000, 400_000
 # Tiles above this size are first compared with one of their members only.
-STAR = 64
+STAR = 512
 # Partners that each row offers in the first round, and times as many in each one after.
 FIRST_BEST, GROWTH = 2, 16
 
@@ -31,7 +33,7 @@ FIRST_BEST, GROWTH = 2, 16
 def signature(one: np.ndarray) -> bytes:
     """The parities of a set's hashes per bit; two signatures differ in no more bits than the sets in members."""
     bits = LEAST_BITS
-    while bits < min(2 * len(one), MOST_BITS):
+    while bits < min(len(one), MOST_BITS):
         bits *= 2
     spots = (mixed(one * np.uint64(0xD6E8FEB86659FD93)) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(spots, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
@@ -60,7 +62,7 @@ def _profiles(size: int):
             if not members:
                 continue
             seen, times = np.unique(np.concatenate(members), return_counts=True)
-            often = times >= max(4, batch.num_rows // 100)
+            often = times >= SEEN_IN_BATCH
             k = int(often.sum())
             nothing = pa.nulls(k, batch.schema.field("id").type)
             yield _profile_rows(
@@ -320,14 +322,12 @@ def jaccard_components(
     seen = settle(prefixes.join(shared, "shingle").distinct(), "seen")
     parts = F.ceil(F.col("rows") / PART).cast("int")
     rows = settle(
-        seen.join(classes.select("k1", "c", "n", "sig"), "k1").select(
-            "shingle", "c", "n", "sig", parts.alias("parts")
-        ),
+        seen.join(classes.select("k1", "c", "n"), "k1").select("shingle", "k1", "c", "n", parts.alias("parts")),
         "rows",
     )
     discard(shared, seen)
     _release(spark)
-    comps = settle(_linked_components(base, rows, percent, size), "comps")
+    comps = settle(_linked_components(base, rows, classes, percent, size), "comps")
     discard(rows)
     tied = classes.join(comps.withColumnRenamed("id", "c"), "c", "left").select(
         "k1", "k2", "n", F.coalesce("component", "c").alias("component")
@@ -341,7 +341,7 @@ def jaccard_components(
     )
 
 
-def _linked_components(base: DataFrame, rows: DataFrame, percent: int, size: int) -> DataFrame:
+def _linked_components(base: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
     """(id, component) of the classes that links tie together, found in rounds."""
     spark = rows.sparkSession
     tasks = max(1, rows.count() // TASK_ROWS)
@@ -357,6 +357,8 @@ def _linked_components(base: DataFrame, rows: DataFrame, percent: int, size: int
         else:
             tiled = spread.join(comps.select(F.col("id").alias("c"), "component"), "c", "left")
             tiled = tiled.withColumn("comp", F.coalesce("component", "c"))
+        # Signatures join the rows on their way to the tiles, and are not written with them.
+        tiled = tiled.join(classes.select("k1", "c", "n", "sig"), ["k1", "c", "n"])
         offered = settle(
             tiled.select(task, "shingle", "part", "own", "c", "comp", "n", "sig")
             .groupBy("task")
