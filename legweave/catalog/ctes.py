@@ -13,7 +13,7 @@ EXP_SQL = f"CASE WHEN l_partkey % {fx.FAR_EVERY} = 0 THEN {fx.FAR_EXPIRATION} EL
 
 def _history(n_days: int, n_bars: int) -> str:
     return f"""
-SELECT concat('S', l_suppkey) AS symbol, opt_right, strike_milli, exp,
+SELECT concat(CASE WHEN l_suppkey % 10 = 0 AND d < 2 THEN 'O' ELSE 'S' END, l_suppkey) AS symbol, opt_right, strike_milli, exp,
   {DAYS}[d + 1] AS trade_date, ms_of_day,
   floor(min_price)/1000 AS bid, floor(min_price)/1000 + max_disc AS ask,
   CAST(min_qty AS INT) AS bid_size, CAST(max_qty AS INT) AS ask_size,
@@ -99,10 +99,12 @@ SELECT concat('S', k) AS symbol, CAST(b AS INT) AS bdte, CAST(w AS VARCHAR) AS w
   ((k * 7 + b + w) % 50 / 8 + 0.5e0) * 2 AS "calCostPctMax", ((k * 7 + b + w) % 50 / 8 + 0.5e0) / 8 AS "calCostPctMin",
   k % 12 + 4 AS "histEarningsCount", k % 20 + 4 AS "histCalCostCount", k % 8 <> 7 AS latest
 FROM (SELECT s_suppkey AS k FROM supplier), (SELECT unnest(range(1, 6)) AS w), (SELECT unnest(range(0, 13)) AS b)""",
-    "aliases": """SELECT concat('S', s_suppkey) AS symbol, concat('S', s_suppkey + 1) AS symbol_changes
-FROM supplier WHERE s_suppkey % 10 = 0""",
+    "aliases": """SELECT concat('S', s_suppkey) AS symbol, concat(CASE n WHEN 0 THEN 'O' ELSE 'S' END, s_suppkey) AS symbol_changes,
+  CAST(CASE WHEN s_suppkey % 40 = 0 THEN 20140106 ELSE 20180105 END + n AS INT) AS date
+FROM supplier, (SELECT unnest([0, 1]) AS n) WHERE s_suppkey % 10 = 0 AND (n = 0 OR s_suppkey % 20 = 0)""",
     "roots": """SELECT concat('S', s_suppkey) AS symbol, concat('S', s_suppkey) AS root FROM supplier
-UNION SELECT symbol, symbol_changes FROM aliases""",
+UNION SELECT symbol, symbol_changes FROM aliases WHERE symbol IN (
+  SELECT symbol FROM aliases GROUP BY 1 HAVING count(*) >= 2 AND max(date) >= 20160101)""",
     "sectors": """SELECT concat('S', s_suppkey) AS symbol, s_name AS "longName", n_name AS sector
 FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 11 <> 10""",
     "muted": """SELECT chat_id, concat('S', s_suppkey) AS ticker, CAST(20240108 + s_suppkey % 5 AS INT) AS mute_end

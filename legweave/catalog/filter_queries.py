@@ -78,7 +78,7 @@ def f02(spark, sf):
         SELECT symbol, strikes[len(strikes) // 2 + 1] AS mid FROM (
           SELECT symbol, list(strike_milli ORDER BY strike_milli) AS strikes FROM (
             SELECT symbol, strike_milli FROM quotes WHERE exp = 20240119 INTERSECT
-            SELECT symbol, strike_milli FROM quotes WHERE exp = 20240126) GROUP BY 1)) m USING (symbol)
+            SELECT symbol, strike_milli FROM quotes WHERE exp = 20240126) WHERE symbol IN (SELECT symbol FROM earnings) GROUP BY 1)) m USING (symbol)
       WHERE strike_milli = mid AND exp = 20240119 AND opt_right = 'C' AND underlying <> 0 GROUP BY 1) u
     JOIN (SELECT symbol, strike_milli FROM quotes WHERE exp = 20240119 INTERSECT
           SELECT symbol, strike_milli FROM quotes WHERE exp = 20240126) p USING (symbol)

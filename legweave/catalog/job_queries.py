@@ -9,11 +9,12 @@ from legweave.catalog.ctes import define
 from legweave.catalog.filter_queries import PRESET_SQL, cols, day_sql
 from legweave.catalog.projection_queries import GAP_SQL, metric_sql, round_sql
 from legweave.catalog.registry import query
+from legweave.functions.dates import EXCHANGE_ZONE, epoch_to_local_day
 from legweave.functions.labels import iv_agreement, score_tier
 from legweave.operators import alerts, planning
 from legweave.operators.ivchain import volatility_chain
 from legweave.plans.best_calendars import best_calendars
-from legweave.plans.equity_history import equity_history, history_plan
+from legweave.plans.equity_history import equity_history, history_failures, history_plan, history_roots
 from legweave.plans.equity_snapshot import equity_snapshot
 from legweave.plans.features import feature_frame
 from legweave.plans.index_calendar import index_calendars, recovered_calendars
@@ -282,19 +283,22 @@ def job_chain(spark, sf):
 # ------------------------------------------------------------- equity history
 
 HIST_WEEKS = [1, 2, 3]
+for _table in ("quotes", "greeks", "oi"):
+    _lost = " WHERE NOT (t.exp = 20240126 AND t.symbol LIKE '%3')" if _table == "oi" else ""
+    define(f"root_{_table}", f"SELECT r.symbol, t.* EXCLUDE (symbol) FROM {_table} t JOIN roots r ON t.symbol = r.root{_lost}")
 define(
     "work",
-    """SELECT symbol, report_date, "noOfEsts", "epsForecast", weeks, "fQuarter", filepath FROM (
-  SELECT r.symbol, e.report_date, e."noOfEsts", e."epsForecast", weeks, concat(e."fiscalQuarterEnding" // 10000, 'Q', (e."fiscalQuarterEnding" // 100 % 100 + 2) // 3) AS "fQuarter",
-    concat('calendar_C_', weeks, '_weeks/', r.symbol, '/', r.symbol, '_', concat(e."fiscalQuarterEnding" // 10000, 'Q', (e."fiscalQuarterEnding" // 100 % 100 + 2) // 3)) AS filepath
-  FROM earnings e JOIN roots r ON e.symbol = r.root, (SELECT unnest([1, 2, 3]) AS weeks)
-  WHERE date_diff('day', strptime(CAST(e.report_date AS VARCHAR), '%Y%m%d'), DATE '2024-02-12') >= 14)
+    """SELECT symbol, report_date, "noOfEsts", "epsForecast", "fiscalQuarterEnding", weeks, "fQuarter", filepath FROM (
+  SELECT e.*, weeks, concat(e."fiscalQuarterEnding" // 10000, 'Q', (e."fiscalQuarterEnding" // 100 % 100 + 2) // 3) AS "fQuarter",
+    concat('calendar_C_', weeks, '_weeks/', symbol, '/', symbol, '_', "fQuarter") AS filepath
+  FROM earnings e, (SELECT unnest([1, 2, 3]) AS weeks)
+  WHERE date_diff('day', strptime(CAST(e.report_date AS VARCHAR), '%Y%m%d'), DATE '2024-02-12') >= 14 AND symbol IN (SELECT symbol FROM sectors))
 WHERE filepath NOT IN (SELECT concat('calendar_C_2_weeks/', symbol, '/', symbol, '_2023Q4') FROM earnings WHERE dte < 5)""",
 )
-define("hist_listed", "SELECT DISTINCT symbol, exp FROM quotes")
+define("hist_listed", "SELECT DISTINCT symbol, exp FROM root_quotes")
 define(
     "work_chosen",
-    f"""SELECT symbol, report_date, "noOfEsts", "epsForecast", weeks, "fQuarter", filepath, exp_front, arg_min(exp_back, prio) AS exp_back FROM (
+    f"""SELECT symbol, report_date, "noOfEsts", "epsForecast", "fiscalQuarterEnding", weeks, "fQuarter", filepath, exp_front, arg_min(exp_back, prio) AS exp_back FROM (
   SELECT w.*, exp_front, prio, CAST(strftime({day_sql('exp_front')} + INTERVAL 1 DAY * (7 * weeks + off), '%Y%m%d') AS INT) AS exp_back
   FROM (SELECT w.*, (SELECT min(exp) FROM hist_listed l WHERE l.symbol = w.symbol AND l.exp >= w.report_date) AS exp_front FROM work w) w,
     (VALUES (0, 0), (1, 1), (2, -1), (3, 2), (4, -2), (5, 3), (6, -3)) AS o(prio, off)) t
@@ -304,67 +308,98 @@ WHERE exp_back >= report_date AND date_diff('day', {day_sql('report_date')}, {da
 define(
     "work_days",
     """SELECT symbol, weeks, "fQuarter", report_date, min(f.trade_date) AS d0, max(f.trade_date) AS d1 FROM work_chosen c
-  JOIN (SELECT DISTINCT symbol, exp AS exp_front, trade_date FROM quotes) f USING (symbol, exp_front)
-  JOIN (SELECT DISTINCT symbol, exp AS exp_back, trade_date FROM quotes) b USING (symbol, exp_back, trade_date)
+  JOIN (SELECT DISTINCT symbol, exp AS exp_front, trade_date FROM root_quotes) f USING (symbol, exp_front)
+  JOIN (SELECT DISTINCT symbol, exp AS exp_back, trade_date FROM root_quotes) b USING (symbol, exp_back, trade_date)
   GROUP BY 1, 2, 3, 4 HAVING count(*) >= 5""",
 )
 define(
     "work_strikes",
     """SELECT symbol, weeks, "fQuarter", report_date, strike_milli, row_number() OVER (PARTITION BY symbol, weeks, "fQuarter", report_date ORDER BY strike_milli) AS place,
   count(*) OVER (PARTITION BY symbol, weeks, "fQuarter", report_date) AS n FROM work_chosen c
-  JOIN (SELECT DISTINCT symbol, exp AS exp_front, strike_milli FROM quotes) f USING (symbol, exp_front)
-  JOIN (SELECT DISTINCT symbol, exp AS exp_back, strike_milli FROM quotes) b USING (symbol, exp_back, strike_milli)""",
+  JOIN (SELECT DISTINCT symbol, exp AS exp_front, strike_milli FROM root_quotes) f USING (symbol, exp_front)
+  JOIN (SELECT DISTINCT symbol, exp AS exp_back, strike_milli FROM root_quotes) b USING (symbol, exp_back, strike_milli)""",
 )
 define(
     "work_range",
     """SELECT c.symbol, c.weeks, c."fQuarter", c.report_date, min(underlying) AS lo, max(underlying) AS hi FROM work_chosen c
   JOIN work_days d USING (symbol, weeks, "fQuarter", report_date)
   JOIN (SELECT * FROM work_strikes WHERE place = n // 2 + 1) m USING (symbol, weeks, "fQuarter", report_date)
-  JOIN greeks g ON g.symbol = c.symbol AND g.exp = c.exp_front AND g.strike_milli = m.strike_milli AND g.opt_right = 'C'
+  JOIN root_greeks g ON g.symbol = c.symbol AND g.exp = c.exp_front AND g.strike_milli = m.strike_milli AND g.opt_right = 'C'
     AND g.trade_date BETWEEN d0 AND d1 AND g.underlying <> 0 GROUP BY 1, 2, 3, 4""",
 )
 define(
     "hist_legs",
-    """SELECT c.symbol, c.weeks, c."fQuarter", c.report_date, c.filepath, c.exp_front, c.exp_back, s.strike_milli, f.trade_date, f.ms_of_day,
+    """SELECT c.symbol, c.weeks, c."fQuarter", c.report_date, c.filepath, c."fiscalQuarterEnding", c.exp_front, c.exp_back, s.strike_milli, f.trade_date, f.ms_of_day,
   f.bid AS bid_front, b.bid AS bid_back, gf.implied_vol AS iv_front, gb.implied_vol AS iv_back, gf.underlying
 FROM work_chosen c JOIN work_days d USING (symbol, weeks, "fQuarter", report_date) JOIN work_range r USING (symbol, weeks, "fQuarter", report_date)
   JOIN work_strikes s ON s.symbol = c.symbol AND s.weeks = c.weeks AND s."fQuarter" = c."fQuarter" AND s.report_date = c.report_date
     AND s.strike_milli / 1000 > lo * 0.94e0 AND s.strike_milli / 1000 < hi * 1.06e0
-  JOIN quotes f ON f.symbol = c.symbol AND f.exp = c.exp_front AND f.strike_milli = s.strike_milli AND f.opt_right = 'C' AND f.trade_date BETWEEN d0 AND d1
-  JOIN quotes b ON b.symbol = c.symbol AND b.exp = c.exp_back AND b.strike_milli = s.strike_milli AND b.opt_right = 'C' AND b.trade_date = f.trade_date AND b.ms_of_day = f.ms_of_day
-  JOIN greeks gf ON gf.symbol = c.symbol AND gf.exp = c.exp_front AND gf.strike_milli = s.strike_milli AND gf.opt_right = 'C' AND gf.trade_date = f.trade_date AND gf.ms_of_day = f.ms_of_day
-  JOIN greeks gb ON gb.symbol = c.symbol AND gb.exp = c.exp_back AND gb.strike_milli = s.strike_milli AND gb.opt_right = 'C' AND gb.trade_date = f.trade_date AND gb.ms_of_day = f.ms_of_day""",
+  JOIN root_quotes f ON f.symbol = c.symbol AND f.exp = c.exp_front AND f.strike_milli = s.strike_milli AND f.opt_right = 'C' AND f.trade_date BETWEEN d0 AND d1
+  JOIN root_quotes b ON b.symbol = c.symbol AND b.exp = c.exp_back AND b.strike_milli = s.strike_milli AND b.opt_right = 'C' AND b.trade_date = f.trade_date AND b.ms_of_day = f.ms_of_day
+  JOIN root_greeks gf ON gf.symbol = c.symbol AND gf.exp = c.exp_front AND gf.strike_milli = s.strike_milli AND gf.opt_right = 'C' AND gf.trade_date = f.trade_date AND gf.ms_of_day = f.ms_of_day
+  JOIN root_greeks gb ON gb.symbol = c.symbol AND gb.exp = c.exp_back AND gb.strike_milli = s.strike_milli AND gb.opt_right = 'C' AND gb.trade_date = f.trade_date AND gb.ms_of_day = f.ms_of_day""",
 )
 define(
     "first_oi",
     """SELECT symbol, opt_right, strike_milli, exp, trade_date, open_interest FROM (SELECT *, row_number() OVER (
-  PARTITION BY symbol, opt_right, strike_milli, exp, trade_date ORDER BY ms_of_day, open_interest) AS place FROM oi) WHERE place = 1 AND opt_right = 'C'""",
-)
+  PARTITION BY symbol, opt_right, strike_milli, exp, trade_date ORDER BY ms_of_day, open_interest) AS place FROM root_oi) WHERE place = 1 AND opt_right = 'C'""",
+)
+for _leg in ("front", "back"):
+    define(
+        f"held_{_leg}",
+        f"""SELECT DISTINCT c.symbol, c.weeks, c."fQuarter", c.report_date FROM work_chosen c
+  JOIN work_days USING (symbol, weeks, "fQuarter", report_date) JOIN work_range USING (symbol, weeks, "fQuarter", report_date)
+  JOIN work_strikes USING (symbol, weeks, "fQuarter", report_date) JOIN first_oi o
+    ON o.symbol = c.symbol AND o.exp = c.exp_{_leg} AND o.strike_milli = work_strikes.strike_milli AND o.trade_date BETWEEN d0 AND d1
+  WHERE work_strikes.strike_milli / 1000 > lo * 0.94e0 AND work_strikes.strike_milli / 1000 < hi * 1.06e0""",
+    )
 HISTORY_SQL = """SELECT h.*, strike_milli / 1000 AS strike,
   CASE WHEN a.open_interest IS NOT NULL AND b.open_interest IS NOT NULL THEN a.open_interest ELSE 0 END AS open_interest_front,
   CASE WHEN a.open_interest IS NOT NULL AND b.open_interest IS NOT NULL THEN b.open_interest ELSE 0 END AS open_interest_back
 FROM hist_legs h LEFT JOIN (SELECT symbol, strike_milli, exp AS exp_front, trade_date, open_interest FROM first_oi) a USING (symbol, strike_milli, exp_front, trade_date)
   LEFT JOIN (SELECT symbol, strike_milli, exp AS exp_back, trade_date, open_interest FROM first_oi) b USING (symbol, strike_milli, exp_back, trade_date)
 SEMI JOIN (SELECT symbol, weeks, "fQuarter", report_date FROM hist_legs GROUP BY 1, 2, 3, 4 HAVING count(DISTINCT trade_date) > 5) k
-  USING (symbol, weeks, "fQuarter", report_date)"""
+  USING (symbol, weeks, "fQuarter", report_date) SEMI JOIN held_front USING (symbol, weeks, "fQuarter", report_date)
+  SEMI JOIN held_back USING (symbol, weeks, "fQuarter", report_date)"""
 
 
 @query("job_equity_history", HISTORY_SQL)
 def job_history(spark, sf):
+    return _history(spark, sf)[1].withColumnsRenamed(HISTORY_NAMES).select(*HISTORY_OUT)
+
+
+HISTORY_OUT = [
+    "symbol", "weeks", "fQuarter", "report_date", "filepath", "fiscalQuarterEnding", "exp_front", "exp_back", "strike_milli",
+    "trade_date", "ms_of_day", "bid_front", "bid_back", "iv_front", "iv_back", "underlying", "strike",
+    "open_interest_front", "open_interest_back",
+]
+HISTORY_NAMES = {
+    "bid_quote_front": "bid_front", "bid_quote_back": "bid_back", "implied_vol_front": "iv_front", "implied_vol_back": "iv_back",
+}
+
+
+def _history(spark, sf):
     reports = fx.earnings(spark, sf).select("symbol", "report_date", "noOfEsts", "epsForecast", "fiscalQuarterEnding", "dte")
-    roots = planning.symbol_roots(reports, fx.aliases(spark, sf))
     done = reports.filter(F.col("dte") < 5).select(
         F.concat(F.lit("calendar_C_2_weeks/"), "symbol", F.lit("/"), "symbol", F.lit("_2023Q4")).alias("filepath")
     )
-    plan = history_plan(reports.drop("dte"), roots, done, HIST_WEEKS, "C", fx.AS_OF)
+    symbols = fx.sectors(spark, sf).select("symbol")
+    plan = history_plan(reports.drop("dte"), symbols, done, HIST_WEEKS, "C", fx.AS_OF)
+    roots = history_roots(symbols, fx.aliases(spark, sf))
     rows = landed_history(spark, sf)
-    out = equity_history(plan, fx.quotes_of(rows), fx.greeks_of(rows), fx.open_interest_of(rows), "C")
-    return out.select(
-        "symbol", "weeks", "fQuarter", "report_date", "filepath", "exp_front", "exp_back", "strike_milli", "trade_date", "ms_of_day",
-        F.col("bid_quote_front").alias("bid_front"), F.col("bid_quote_back").alias("bid_back"),
-        F.col("implied_vol_front").alias("iv_front"), F.col("implied_vol_back").alias("iv_back"),
-        "underlying", "strike", "open_interest_front", "open_interest_back",
-    )
+    # Some contracts' open interest is missing altogether, for whole legs too.
+    interest = fx.open_interest_of(rows).filter(~((F.col("exp") == 20240126) & F.col("symbol").endswith("3")))
+    return plan, equity_history(plan, fx.quotes_of(rows), fx.greeks_of(rows), interest, "C", roots)
+
+
+@query(
+    "job_history_failures",
+    f"""SELECT DISTINCT filepath FROM work WHERE filepath NOT IN (SELECT filepath FROM ({HISTORY_SQL}))""",
+)
+def job_failures(spark, sf):
+    """The units of work that gave nothing, as the ledger of failed work takes them."""
+    plan, result = _history(spark, sf)
+    return history_failures(plan, result)
 
 
 # ---------------------------------------------------------- multi-gap history
@@ -455,9 +490,11 @@ def job_alerts(spark, sf):
         F.broadcast(scored.agg(F.max("lastUpdated").alias("lastUpdated"))), "lastUpdated", "left_semi"
     )
     kept = alerts.gap_below_limit(alerts.passes_preset(alerts.rounded(newest)))
-    best = alerts.best_per_key(kept, ["row_id"]).withColumn("alert_time", c("lastUpdated"))
+    best = alerts.best_per_key(kept, ["row_id"]).withColumns(
+        {"alert_time": c("lastUpdated"), "alert_date": epoch_to_local_day("lastUpdated", EXCHANGE_ZONE)}
+    )
     log = scored.filter((c("lastUpdated") < fx.SNAPSHOT_EPOCH + 1800) & (c("row_id") % 50 == 3)).select(
-        "symbol", "weeks", c("lastUpdated").alias("alert_time")
+        "symbol", "weeks", c("lastUpdated").alias("alert_time"), epoch_to_local_day("lastUpdated", EXCHANGE_ZONE).alias("alert_date")
     )
     fresh = alerts.past_cooldown(best, log)
     commented = alerts.salted_join(fresh, fx.earnings(spark, sf).select("symbol", "comment"), ["symbol"], "left")

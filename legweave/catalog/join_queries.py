@@ -453,7 +453,7 @@ def j24(spark, sf):
 )
 def j25(spark, sf):
     symbols = fx.earnings(spark, sf).select("symbol", "report_date")
-    rows = planning.rows_of_roots(symbols, planning.symbol_roots(symbols, fx.aliases(spark, sf)))
+    rows = planning.rows_of_roots(symbols, planning.symbol_roots(symbols, planning.active_symbols(fx.aliases(spark, sf))))
     flagged = planning.several_roots(rows).select("symbol", F.lit(True).alias("several"))
     return salted_join(rows, flagged, ["symbol"], "left").select(
         "symbol", "root", "report_date", F.coalesce("several", F.lit(False)).alias("several")

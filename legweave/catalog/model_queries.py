@@ -57,9 +57,16 @@ def m03(spark, sf):
     return scored.withColumns({f"prediction_score_{i}": F.round(f"prediction_score_{i}", 9) for i in (0, 1)})
 
 
-@query("m03_score_with_model")
+# Bound of the fit: so many labelled rows, the first in the order of a hash of the id.
+FIT_ROWS = 20_000
+
+
+@query("m03_score_with_model", "SELECT row_id, 1.0e0 AS whole, true AS in_range, true AS labelled FROM candidates SEMI JOIN sectors USING (symbol)")
 def m03_model(spark, sf):
-    """Fits a small boosted-tree model on scored calendars and scores them all."""
+    """Fits a small boosted-tree model on a bounded sample of scored calendars and scores them all.
+
+    Per row: the two scores add up to 1, lie in 0 to 1, and the label follows from them.
+    """
     rows = with_sector(fx.candidates(spark, sf), fx.sectors(spark, sf)).withColumn(
         "label", F.when((F.col("calCost") < 4) & (F.col("calGapPct") < 0.2), 1.0).otherwise(0.0)
     )
@@ -69,9 +76,13 @@ def m03_model(spark, sf):
             VectorAssembler(inputCols=[*NUMERIC, "sector_idx"], outputCol="features", handleInvalid="keep"),
             GBTClassifier(labelCol="label", featuresCol="features", maxIter=3, maxDepth=3, seed=7),
         ]
-    ).fit(rows)
+    ).fit(rows.orderBy(F.xxhash64("row_id"), "row_id").limit(FIT_ROWS))
+    p0, p1 = F.col("prediction_score_0"), F.col("prediction_score_1")
     return ft.score_with_model(rows, model).select(
-        "row_id", "prediction_score_0", "prediction_score_1", "prediction_label"
+        "row_id",
+        F.round(p0 + p1, 9).alias("whole"),
+        (p0.between(0, 1) & p1.between(0, 1)).alias("in_range"),
+        (F.col("prediction_label") == F.when(p1 > 0.85, 1).otherwise(0)).alias("labelled"),
     )
 
 

@@ -69,7 +69,7 @@ TICK_FIELDS = {
 
 @query(
     "s01_tick_json_flatten",
-    f"""SELECT symbol, CAST(exp AS VARCHAR) AS exp, CAST(strike_milli AS VARCHAR) AS strike_milli, opt_right,
+    f"""SELECT symbol, exp, strike_milli, opt_right,
       {fx.OPEN_MS} AS ms_of_day, bid, ask, implied_vol, underlying, trade_date FROM chain""",
 )
 def s01(spark: SparkSession, sf: str) -> DataFrame:
@@ -454,6 +454,20 @@ def k06_rows(spark: SparkSession, sf: str) -> DataFrame:
     return wr.retained(fx.versions(spark, sf), NOW).select("event_id", "user_id", "lastUpdated")
 
 
+@query(
+    "k06_retention_deletes",
+    f"""SELECT event_id, "lastUpdated", c.* FROM versions, (SELECT count(*) AS initial_rows, count(*) FILTER (WHERE "lastUpdated" < {NOW} - 7*86400) AS deleted_rows,
+      count(*) FILTER (WHERE "lastUpdated" >= {NOW} - 7*86400) AS remaining_rows FROM versions) c WHERE "lastUpdated" >= {NOW} - 7*86400""",
+)
+def k06_deletes(spark: SparkSession, sf: str) -> DataFrame:
+    """The table as it is read back after its old versions are gone, beside the three counts."""
+    path = fresh_path(spark, "versions")
+    wr.write_partitioned(fx.versions(spark, sf), path, ["lastUpdated"])
+    counts = wr.delete_old_versions(spark, path, NOW)
+    left = spark.read.parquet(path).select("event_id", F.col("lastUpdated").cast("long").alias("lastUpdated"))
+    return left.crossJoin(F.broadcast(counts))  # one row
+
+
 @query("k07_version_stamp", f'SELECT symbol, exp, bid, CAST({NOW} AS BIGINT) AS "lastUpdated" FROM chain')
 def k07(spark: SparkSession, sf: str) -> DataFrame:
     return wr.stamp_version(fx.chain(spark, sf).select("symbol", "exp", "bid"), NOW)
@@ -472,6 +486,16 @@ def k08(spark: SparkSession, sf: str) -> DataFrame:
     return not_in(work, wr.read_ledger(spark, path), ["filepath"]).select("symbol", "report_date")
 
 
+@query("k08_ledger_reset", "SELECT symbol, report_date FROM earnings")
+def k08_reset(spark: SparkSession, sf: str) -> DataFrame:
+    """After a reset nothing counts as failed."""
+    path = fresh_path(spark, "ledger")
+    work = fx.earnings(spark, sf).withColumn("filepath", F.concat_ws("/", "symbol", F.col("report_date").cast("string")))
+    wr.append_ledger(work, path)
+    wr.reset_ledger(spark, path)
+    return not_in(work, wr.read_ledger(spark, path), ["filepath"]).select("symbol", "report_date")
+
+
 @query(
     "k10_alert_log",
     "SELECT symbol, weeks, alert_time, event_id % 2 AS run FROM alert_events",

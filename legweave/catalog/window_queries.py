@@ -21,11 +21,11 @@ from legweave.skew import top_k
 
 @query(
     "w01_group_count_and_max",
-    """SELECT symbol, report_date, entries, last_entry FROM (SELECT *, count(*) OVER (PARTITION BY symbol) AS entries,
-      max(report_date) OVER (PARTITION BY symbol) AS last_entry FROM past_earnings) WHERE entries >= 2 AND last_entry >= 20160101""",
+    """SELECT symbol, symbol_changes, date, entries, last_entry FROM (SELECT *, count(*) OVER (PARTITION BY symbol) AS entries,
+      max(date) OVER (PARTITION BY symbol) AS last_entry FROM aliases) WHERE entries >= 2 AND last_entry >= 20160101""",
 )
 def w01(spark, sf):
-    return planning.active_symbols(fx.past_earnings(spark, sf))
+    return planning.active_symbols(fx.aliases(spark, sf))
 
 
 @query(

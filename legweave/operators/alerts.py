@@ -78,13 +78,15 @@ def best_per_key(df: DataFrame, tie_breakers: Sequence[str]) -> DataFrame:
     return top_k(df, ALERT_KEYS, [F.asc("undPricePctDiff"), *[F.asc(t) for t in tie_breakers]], 1)
 
 
-def past_cooldown(alerts: DataFrame, todays_log: DataFrame, seconds: int = COOLDOWN_SECONDS) -> DataFrame:
-    """Alerts of one run whose key has no alert today, or none within ``seconds``.
+def past_cooldown(alerts: DataFrame, log: DataFrame, seconds: int = COOLDOWN_SECONDS) -> DataFrame:
+    """Alerts of one run whose key has no alert on their day, or none within ``seconds``.
 
-    The log is reduced to one time per key before the join.
+    Both sides carry ``alert_date``.  The log is reduced to one time per key and
+    day before the join.
     """
-    last = todays_log.groupBy(*ALERT_KEYS).agg(F.max("alert_time").alias("__last"))
-    joined = salted_join(alerts, last, ALERT_KEYS, "left")
+    keys = [*ALERT_KEYS, "alert_date"]
+    last = log.groupBy(*keys).agg(F.max("alert_time").alias("__last"))
+    joined = salted_join(alerts, last, keys, "left")
     return joined.filter(
         F.col("__last").isNull() | (F.col("alert_time") - F.col("__last") > seconds)
     ).drop("__last")

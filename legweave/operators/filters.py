@@ -106,17 +106,14 @@ def strike_corridor(plans: DataFrame, greeks: DataFrame, plan_keys: Sequence[str
         F.array_min("trade_dates").alias("__from"),
         F.array_max("trade_dates").alias("__to"),
     )
-    # Bars shrink to one range per contract and day before they meet the plans.
-    per_day = (
-        nonzero_underlying(greeks.filter(F.col("opt_right") == right))
-        .groupBy("symbol", "exp", "strike_milli", "trade_date")
-        .agg(F.min("underlying").alias("__low"), F.max("underlying").alias("__high"))
-    )
+    # Only the probed contracts of the plans' days are aggregated.
+    probed = greeks.filter(F.col("opt_right") == right).select("symbol", "exp", "strike_milli", "trade_date", "underlying")
     und_range = (
-        per_day.join(probe, ["symbol", "exp", "strike_milli"])
+        nonzero_underlying(probed)
+        .join(probe, ["symbol", "exp", "strike_milli"])
         .filter(F.col("trade_date").between(F.col("__from"), F.col("__to")))
         .groupBy(*plan_keys)
-        .agg(F.min("__low").alias("min_und"), F.max("__high").alias("max_und"))
+        .agg(F.min("underlying").alias("min_und"), F.max("underlying").alias("max_und"))
     )
     low, high = F.col("min_und") * CORRIDOR_LOW, F.col("max_und") * CORRIDOR_HIGH
     return (

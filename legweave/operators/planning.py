@@ -50,11 +50,16 @@ def several_roots(rows: DataFrame) -> DataFrame:
     )
 
 
-def active_symbols(entries: DataFrame, start: int = HISTORY_START, min_entries: int = MIN_ENTRIES) -> DataFrame:
-    """Entries of symbols with enough of them, the last one on or after ``start``."""
+def active_symbols(
+    entries: DataFrame, date: str = "date", start: int = HISTORY_START, min_entries: int = MIN_ENTRIES
+) -> DataFrame:
+    """Entries of symbols with enough of them, the last one on or after ``start``.
+
+    The history run applies it to the table of symbol changes.
+    """
     return (
         attach_aggregates(
-            entries, ["symbol"], {"entries": F.count("*"), "last_entry": F.max("report_date")}
+            entries, ["symbol"], {"entries": F.count("*"), "last_entry": F.max(date)}
         )
         .filter((F.col("entries") >= min_entries) & (F.col("last_entry") >= start))
     )

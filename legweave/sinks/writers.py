@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legweave.sources.tables import check_format
+from legweave.scratch import settle
+from legweave.sources.tables import check_format, delete, manifest
 
 SECONDS_PER_DAY = 86_400
 RETENTION_DAYS = 7
@@ -82,11 +83,28 @@ def retention_counts(df: DataFrame, now: int, days: int = RETENTION_DAYS) -> Dat
     )
 
 
+def delete_old_versions(spark: SparkSession, path: str, now: int, days: int = RETENTION_DAYS) -> DataFrame:
+    """Deletes the version partitions older than ``days`` and returns :func:`retention_counts` as of before.
+
+    The table is partitioned by ``lastUpdated``, so nothing is rewritten.
+    """
+    counts = settle(retention_counts(spark.read.parquet(path), now, days), "retention")
+    for version in manifest(spark, path, ["lastUpdated"]).collect():  # one row per version
+        if int(version["lastUpdated"]) < now - days * SECONDS_PER_DAY:
+            delete(spark, f"{path}/lastUpdated={version['lastUpdated']}")
+    return counts
+
+
 def append_ledger(failed: DataFrame, path: str, key: str = "filepath") -> None:
     """Adds the keys of failed work to the ledger."""
     failed.select(key).write.mode("append").parquet(path)
 
 
+def reset_ledger(spark: SparkSession, path: str, key: str = "filepath") -> None:
+    """Empties the ledger, as a run that has come to its end does."""
+    spark.createDataFrame([], f"{key} string").write.mode("overwrite").parquet(path)
+
+
 def read_ledger(spark, path: str, key: str = "filepath") -> DataFrame:
     return spark.read.schema(f"{key} string").parquet(path).distinct()
 

@@ -9,7 +9,7 @@ from legweave.schemas import PAGE_SCHEMA, VENDOR_NAMES
 
 CONTRACT_TYPE = "root string, expiration string, strike string, right string"
 ITEM_TYPE = f"contract struct<{CONTRACT_TYPE}>, ticks array<array<string>>"
-CONTRACT_FIELDS = ["root", "expiration", "strike", "right"]
+CONTRACT_FIELDS = {"root": "string", "expiration": "int", "strike": "bigint", "right": "string"}
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -41,7 +41,7 @@ def flatten_pages(pages: DataFrame, fields: dict[str, str], contract: bool = Tru
         "contract",
         F.map_from_arrays(F.slice("names", F.lit(1), n), F.slice("values", F.lit(1), n)).alias("tick"),
     )
-    contract_cols = [F.col(f"contract.{f}").alias(f) for f in CONTRACT_FIELDS] if contract else []
+    contract_cols = [F.col(f"contract.{f}").cast(t).alias(f) for f, t in CONTRACT_FIELDS.items()] if contract else []
     ticks = [F.try_element_at("tick", F.lit(f)).cast(t).alias(f) for f, t in fields.items()]
     flat = rows.select(*contract_cols, *ticks)
     return flat.withColumnsRenamed({k: v for k, v in VENDOR_NAMES.items() if k in flat.columns})

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 from datetime import date, timedelta
 
 import pytest
@@ -161,9 +162,29 @@ def test_trend_slice_gaps(spark):
 
 
 def test_cooldown_is_strict(spark, rows):
-    run = spark.createDataFrame([("A", 1, 7200), ("B", 1, 7201), ("C", 1, 100)], "symbol string, weeks int, alert_time bigint")
-    log = spark.createDataFrame([("A", 1, 3600), ("B", 1, 3600), ("B", 1, 10)], "symbol string, weeks int, alert_time bigint")
-    assert rows(alerts.past_cooldown(run, log), "symbol") == [("B",), ("C",)]
+    columns = "symbol string, weeks int, alert_date int, alert_time bigint"
+    run = spark.createDataFrame([("A", 1, 1, 7200), ("B", 1, 1, 7201), ("C", 1, 1, 100), ("A", 1, 2, 7200)], columns)
+    log = spark.createDataFrame([("A", 1, 1, 3600), ("B", 1, 1, 3600), ("B", 1, 1, 10)], columns)
+    assert rows(alerts.past_cooldown(run, log), "symbol", "alert_date") == [("A", 2), ("B", 1), ("C", 1)]
+
+
+def test_short_state_lets_a_key_alert_again(spark, tmp_path):
+    """The state of a key is gone after its time to live, so a second run emits within the cooldown."""
+    from legweave.streaming import cooldown, runner
+
+    columns = "symbol string, weeks int, alert_date int, alert_time bigint, event_id bigint"
+    landed = str(tmp_path / "landed")
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    emitted = []
+    with runner.ttl_state(spark):
+        for n, at in enumerate((100, 200)):
+            spark.createDataFrame([("A", 1, 1, at, n)], columns).write.mode("append").parquet(landed)
+            stream = cooldown.cooldown_stream(spark.readStream.schema(columns).parquet(landed), ttl_ms=500)
+            query = stream.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(out)
+            query.awaitTermination()
+            emitted.append(spark.read.parquet(out).count())
+            time.sleep(1)
+    assert emitted == [1, 2]
 
 
 def test_mute_ending_today_is_over(spark, rows):
@@ -173,17 +194,21 @@ def test_mute_ending_today_is_over(spark, rows):
 
 
 def test_nearest_strike_prefers_lower_on_tie(spark, rows):
-    strikes = spark.createDataFrame([("A", "C", 99000, 2), ("A", "C", 101000, 2)], "symbol string, opt_right string, strike_milli bigint, n_exp bigint")
-    und = spark.createDataFrame([("A", 100.0)], "symbol string, underlying double")
+    columns = "symbol string, trade_date int, opt_right string, strike_milli bigint, n_exp bigint"
+    strikes = spark.createDataFrame([("A", 1, "C", 99000, 2), ("A", 1, "C", 101000, 2)], columns)
+    und = spark.createDataFrame([("A", 1, 100.0)], "symbol string, trade_date int, underlying double")
     assert rows(ivchain.nearest_strike(strikes, und), "strike_milli") == [(99000,)]
 
 
 def test_peak_ignores_missing_volatility(spark, rows):
-    df = spark.createDataFrame(
-        [("A", "C", 1, 0.5), ("A", "C", 2, float("nan")), ("A", "C", 3, None), ("A", "C", 4, 0.5)],
-        "symbol string, opt_right string, exp int, implied_vol double",
-    )
-    assert rows(ivchain.peak_expirations(df), "exp") == [(4,)]
+    data = [("A", 9, "C", 1, 0.5), ("A", 9, "C", 2, float("nan")), ("A", 9, "C", 3, None), ("A", 9, "C", 4, 0.5), ("A", 8, "C", 2, 0.1)]
+    df = spark.createDataFrame(data, "symbol string, trade_date int, opt_right string, exp int, implied_vol double")
+    assert rows(ivchain.peak_expirations(df), "trade_date", "exp") == [(8, 2), (9, 4)]
+
+
+def test_chain_ends_at_the_horizon(spark, rows):
+    df = spark.createDataFrame([(20240110, e) for e in (20240109, 20240110, 20240409, 20240410)], "trade_date int, exp int")
+    assert rows(ivchain.in_horizon(df), "exp") == [(20240110,), (20240409,)]
 
 
 def test_missing_leg_interest_stays_separate(spark, rows):

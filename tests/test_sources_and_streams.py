@@ -20,7 +20,7 @@ def test_tick_pages(spark, rows):
     spark.createDataFrame([(p,) for p in PAGES], "value string").coalesce(1).write.text(path)
     flat = ticks.flatten_pages(ticks.read_pages(spark, path), {"bid": "double", "date": "int", "ms_of_day": "int"})
     assert rows(flat, "symbol", "strike_milli", "bid", "trade_date", "ms_of_day") == [
-        ("A", "100000", 2.5, 20240102, 1), (None, None, 3.5, 20240103, None), (None, None, 4.5, 20240104, None),
+        ("A", 100000, 2.5, 20240102, 1), (None, None, 3.5, 20240103, None), (None, None, 4.5, 20240104, None),
     ]
 
 
