@@ -11,6 +11,7 @@ together; :func:`discard` removes one that later steps no longer read.
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,16 @@ def discard(*tables: DataFrame) -> None:
         _remove(df.sparkSession, df._settled_path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files that no DataFrame refers to any more.
+
+    Spark does so when the driver collects its garbage, which a long job of
+    large shuffles and few driver objects may not do for a while.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def clear(spark: SparkSession) -> None:
     """Remove everything this application has left in the shared folder."""
     _remove(spark, shared_root(spark))
