@@ -11,7 +11,7 @@ from legweave.catalog.projection_queries import GAP_SQL, metric_sql, round_sql
 from legweave.catalog.registry import query
 from legweave.functions.dates import EXCHANGE_ZONE, epoch_to_local_day
 from legweave.functions.labels import iv_agreement, score_tier
-from legweave.operators import alerts, planning
+from legweave.operators import alerts
 from legweave.operators.ivchain import volatility_chain
 from legweave.plans.best_calendars import best_calendars
 from legweave.plans.equity_history import equity_history, history_failures, history_plan, history_roots
@@ -59,11 +59,20 @@ def _g1(names: list[str]) -> str:
     return ", ".join(f'b."{n}" AS "{n}_G1"' for n in names)
 
 
+_OFF = "underlying + CASE WHEN symbol LIKE '%7' AND exp = 20240202 THEN 1e0 ELSE 0e0 END"
+_NEAR = f"date_diff('day', {day_sql('trade_date')}, {day_sql('exp')}) BETWEEN 0 AND 60"
+define(
+    "agreed_days",
+    f"""SELECT symbol, trade_date FROM (SELECT symbol, trade_date, {round_sql('avg(price)', 2)} AS mean_price, min(price) AS lo, max(price) AS hi FROM (
+    SELECT symbol, trade_date, exp, arg_min({_OFF}, strike_milli) AS price FROM sgreeks WHERE {_NEAR} GROUP BY 1, 2, 3) GROUP BY 1, 2)
+WHERE greatest(abs(mean_price - lo), abs(mean_price - hi)) / nullif(mean_price, 0) <= 0.0005e0""",
+)
+define("agreed_wide", f"SELECT * REPLACE ({_OFF} AS underlying) FROM wide SEMI JOIN agreed_days USING (symbol, trade_date) WHERE {_NEAR}")
 define(
     "index_pairs",
     f"""SELECT f.* EXCLUDE (ms_of_day), CAST(floor((f.ms_of_day + b.ms_of_day) / 2) AS INT) AS ms_of_day,
   {_g1(['underlying', 'exp', *[f'{v}_{r}' for r in ('P', 'C') for v in WIDE_VALUES]])}
-FROM wide f JOIN wide b ON f.symbol = b.symbol AND f.strike_milli = b.strike_milli AND f.trade_date = b.trade_date AND f.exp < b.exp
+FROM agreed_wide f JOIN agreed_wide b ON f.symbol = b.symbol AND f.strike_milli = b.strike_milli AND f.trade_date = b.trade_date AND f.exp < b.exp
   AND date_diff('day', {day_sql('f.exp')}, {day_sql('b.exp')}) + 1 <= 10""",
 )
 INDEX_OUT = [
@@ -85,7 +94,10 @@ def days_sql(start: str, end: str) -> str:
 )
 def job_index(spark, sf):
     rows = landed_chain(spark, sf)
-    out = index_calendars(fx.snapshot_greeks_of(rows), fx.snapshot_quotes_of(rows), fx.HOLIDAYS)
+    # Some symbols' expirations disagree about the price, so their days drop out.
+    off = F.when(F.col("symbol").endswith("7") & (F.col("exp") == 20240202), 1.0).otherwise(0.0)
+    greeks = fx.snapshot_greeks_of(rows).withColumn("underlying", F.col("underlying") + off)
+    out = index_calendars(greeks, fx.snapshot_quotes_of(rows), fx.HOLIDAYS)
     return out.withColumn("undPricePctDiff", F.col("undPricePctDiff").cast("double"))
 
 
@@ -93,7 +105,7 @@ define(
     "inner_bars",
     """SELECT * EXCLUDE (lo, hi) FROM (SELECT q.symbol, q.opt_right, q.strike_milli, q.exp, q.trade_date, q.ms_of_day, q.bid, q.ask, implied_vol,
   underlying, min(q.ms_of_day) OVER w AS lo, max(q.ms_of_day) OVER w AS hi
-  FROM quotes q JOIN greeks g USING (symbol, opt_right, strike_milli, exp, trade_date, ms_of_day)
+  FROM quotes q JOIN greeks g USING (symbol, opt_right, strike_milli, exp, trade_date, ms_of_day) WHERE trade_date BETWEEN 20240103 AND 20240110
   WINDOW w AS (PARTITION BY q.symbol, q.exp, q.trade_date)) WHERE ms_of_day <> lo AND ms_of_day <> hi""",
 )
 define(
@@ -107,7 +119,7 @@ define(
     "recovered_pairs",
     f"""SELECT f.*, {_g1(['exp', 'bid_P', 'ask_P', 'implied_vol_P', 'bid_C', 'ask_C', 'implied_vol_C'])} FROM recovered f JOIN recovered b
   ON f.symbol = b.symbol AND f.strike_milli = b.strike_milli AND f.trade_date = b.trade_date AND f.ms_of_day = b.ms_of_day AND f.exp < b.exp
-  AND date_diff('day', {day_sql('f.exp')}, {day_sql('b.exp')}) + 1 <= 45 AND date_diff('day', DATE '2024-01-02', {day_sql('f.exp')}) + 1 <= 30""",
+  AND date_diff('day', {day_sql('f.exp')}, {day_sql('b.exp')}) + 1 <= 45 AND date_diff('day', DATE '2024-01-03', {day_sql('f.exp')}) + 1 <= 30""",
 )
 
 
@@ -129,7 +141,7 @@ def job_recovered(spark, sf):
     rows = landed_history(spark, sf)
     g = fx.greeks_of(rows).select(*cols("symbol, opt_right, strike_milli, exp, trade_date, ms_of_day"), "implied_vol", "underlying")
     q = fx.quotes_of(rows).select(*cols("symbol, opt_right, strike_milli, exp, trade_date, ms_of_day"), "bid", "ask")
-    out = recovered_calendars(g, q, fx.HOLIDAYS, 20240102, 30)
+    out = recovered_calendars(g, q, fx.HOLIDAYS, 20240103, 20240110, 30)
     metric = [n for n in out.columns if n.startswith(("mark", "cal", "ask_cal", "bid_cal", "spread"))]
     iv = [F.col(f"iv_pct_diff_{r}_G1").cast("double").alias(f"iv_pct_diff_{r}_G1") for r in ("C", "P")]
     return out.select(*RECOVERED_OUT, *metric, *iv, "bdtfexp", "bdtbexp_G1")

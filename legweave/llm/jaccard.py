@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 from legweave.llm.batches import blocks, list_column, ragged, utf8
 from legweave.llm.components import components
 from legweave.llm.shingles import mixed, shingle_sets
-from legweave.scratch import discard, settle
+from legweave.scratch import discard, release, settle
 
 # Common shingles that come last in the order of prefixes: at most so many, each in so many documents.
 COMMON, COMMON_FROM = 200_000, 64
@@ -262,12 +261,6 @@ def _best_of(i: np.ndarray, j: np.ndarray, d: np.ndarray, best: int) -> tuple[np
     return i[kept], j[kept], more[kept]
 
 
-def _release(spark) -> None:
-    """Lets Spark delete shuffle files that no DataFrame refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def jaccard_components(
     docs: DataFrame, percent: int = 80, size: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -318,7 +311,7 @@ def jaccard_components(
         postings.filter("rows > 1").groupBy("rows", "x1", "x2").agg(F.min("shingle").alias("shingle")).select("shingle", "rows"),
         "shared",
     )
-    _release(spark)
+    release(spark)
     seen = settle(prefixes.join(shared, "shingle").distinct(), "seen")
     parts = F.ceil(F.col("rows") / PART).cast("int")
     rows = settle(
@@ -326,7 +319,7 @@ def jaccard_components(
         "rows",
     )
     discard(shared, seen)
-    _release(spark)
+    release(spark)
     comps = settle(_linked_components(base, rows, classes, percent, size), "comps")
     discard(rows)
     tied = classes.join(comps.withColumnRenamed("id", "c"), "c", "left").select(
@@ -385,7 +378,7 @@ def _linked_components(base: DataFrame, rows: DataFrame, classes: DataFrame, per
         comps = settle(components(links), "comps")
         unfinished = not offered.filter("more").isEmpty()
         discard(offered)
-        _release(spark)
+        release(spark)
         if not unfinished:
             discard(sets)
             return comps

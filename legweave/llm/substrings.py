@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legweave.llm.batches import blocks, ragged, utf8
-from legweave.scratch import discard, settle
+from legweave.scratch import discard, release, settle
 
 # Bytes of the grams that deal windows to classes at first; classes too large are dealt again by longer ones.
 FIRST_GRAM = 32
@@ -255,12 +254,6 @@ def _merge(length: int):
 # The operator
 
 
-def _release(spark) -> None:
-    """Lets Spark delete shuffle files that no DataFrame refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def _split_by_first(pieces: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
     """Spans of the pieces that are not the first of their class and fingerprint: all their windows came before."""
     keyed = pieces.join(firsts.select("class", "print", F.col("first.d").alias("fd"), F.col("first.p").alias("fp")), ["class", "print"])
@@ -282,11 +275,11 @@ def repeated_spans(texts: DataFrame, length: int, class_limit: int = CLASS_LIMIT
     gram = min(FIRST_GRAM, length)
     counted = texts.mapInArrow(_cut(length, gram, "count"), "class long, times long")
     repeated = settle(counted.groupBy("class").agg(F.sum("times").alias("times")).filter("times > 1").select("class"), "repeated")
-    _release(spark)
+    release(spark)
     cut = texts.mapInArrow(_cut(length, gram, "runs"), "class long, print long, d long, p long, n int")
     seen = settle(cut.join(repeated, "class"), "seen")
     discard(repeated)
-    _release(spark)
+    release(spark)
     firsts = settle(
         seen.groupBy("class", "print").agg(F.min(F.struct("d", "p", "n")).alias("first")), "firsts"
     )
@@ -306,7 +299,7 @@ def repeated_spans(texts: DataFrame, length: int, class_limit: int = CLASS_LIMIT
         "pieces",
     )
     discard(firsts, mixed)
-    _release(spark)
+    release(spark)
     found = [spans]
     while not pieces.isEmpty():
         small = pieces.filter(F.col("variants") <= class_limit)

@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 
 from legweave.functions.pricing import midpoint_ms, moneyness, wide_calendar_metrics, wide_iv_diff
 from legweave.operators.filters import drop_edge_bars
+from legweave.operators.ivchain import in_horizon
 from legweave.operators.legs import calendar_pairs, merge, widen_put_call
+from legweave.operators.quality import underlying_consensus
 from legweave.operators.trading_calendar import with_day_counts
 from legweave.schemas import BAR_KEYS, CONTRACT_KEYS
+from legweave.scratch import settle
+from legweave.skew import salted_join
 from legweave.sources.csv_scan import drop_null_keys
 
-# Longest span of a pair, both ends counted.
+# Longest span of a pair, both ends counted, and furthest expiration from the trade date.
 SNAPSHOT_SPAN_DAYS = 10
 RECOVERY_SPAN_DAYS = 45
+HORIZON_DAYS = 60
 
 
 def both_rights(greeks: DataFrame, quotes: DataFrame) -> DataFrame:
@@ -36,8 +41,16 @@ def _priced_pairs(pairs: DataFrame, holidays: Sequence[int]) -> DataFrame:
 def index_calendars(
     greeks: DataFrame, quotes: DataFrame, holidays: Sequence[int], max_span_days: int = SNAPSHOT_SPAN_DAYS
 ) -> DataFrame:
-    """The index snapshot: joined, widened, paired, priced and day-counted."""
-    wide = both_rights(greeks, quotes)
+    """The index snapshot: joined, widened, paired, priced and day-counted.
+
+    Expirations beyond the horizon take no part.  Days on which a symbol's
+    expirations disagree about its price give nothing; ``underlying_consensus``
+    says which.
+    """
+    day = ["symbol", "trade_date"]
+    near = settle(in_horizon(greeks, HORIZON_DAYS), "near-greeks")
+    agreed = underlying_consensus(near, day).filter("agrees").select(*day)
+    wide = both_rights(salted_join(near, agreed, day, "left_semi"), quotes)
     pairs = calendar_pairs(wide, ["symbol", "trade_date", "strike_milli"], max_span_days)
     return _priced_pairs(pairs, holidays)
 
@@ -47,14 +60,18 @@ def recovered_calendars(
     quotes: DataFrame,
     holidays: Sequence[int],
     from_day: int,
+    last_day: int,
     max_front_days: int,
     max_span_days: int = RECOVERY_SPAN_DAYS,
 ) -> DataFrame:
     """The same from intraday history: bars in the keys, edge bars dropped.
 
+    Trade dates run from ``from_day`` to ``last_day``, both included.
+
     The edges are found on the joined slice, before puts and calls are matched.
     """
-    priced = merge(drop_null_keys(greeks), quotes, BAR_KEYS)
+    days = F.col("trade_date").between(from_day, last_day)
+    priced = merge(drop_null_keys(greeks.filter(days)), quotes.filter(days), BAR_KEYS)
     inner = drop_edge_bars(priced, ["symbol", "exp", "trade_date"])
     wide = widen_put_call(inner, ["symbol", "strike_milli", "trade_date", "ms_of_day", "underlying", "exp"])
     pairs = calendar_pairs(
