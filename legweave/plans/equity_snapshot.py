@@ -21,6 +21,7 @@ from legweave.operators.ivchain import peak_expirations, peaks_by_right, volatil
 from legweave.operators.legs import merge
 from legweave.operators.trading_calendar import with_day_counts
 from legweave.schemas import CONTRACT_KEYS
+from legweave.scratch import settle
 from legweave.skew import salted_join
 from legweave.sources.scans import of_right
 
@@ -43,6 +44,12 @@ def strategy_plan(earnings: DataFrame, grades: DataFrame, listed: DataFrame) ->
     return choose_expirations(graded.select("symbol", "weeks", "report_date"), expiration_lists(listed))
 
 
+def of_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows of the expirations that some plan row wants."""
+    wanted = plan.select("symbol", F.col("exp_front").alias("exp")).union(plan.select("symbol", "exp_back")).distinct()
+    return rows.join(wanted, ["symbol", "exp"], "left_semi")
+
+
 def matched_legs(plan: DataFrame, rows: DataFrame) -> DataFrame:
     """Both legs of every plan row; underlying and time come from the front leg."""
     values = [n for n in rows.columns if n not in (*LEG_KEYS, "exp")]
@@ -61,8 +68,12 @@ def matched_legs(plan: DataFrame, rows: DataFrame) -> DataFrame:
 def priced_snapshot(
     plan: DataFrame, quotes: DataFrame, greeks: DataFrame, oi: DataFrame, right: str, min_oi: int = 0
 ) -> DataFrame:
-    """Near-the-money calendars of the plan with their prices."""
-    legs = matched_legs(plan, of_right(contracts(quotes, greeks, oi), right))
+    """Near-the-money calendars of the plan with their prices.
+
+    Each table is cut to the plan's expirations before they are joined.
+    """
+    cut = [of_plan(of_right(t, right), plan) for t in (quotes, greeks, oi)]
+    legs = matched_legs(plan, contracts(*cut))
     priced = equity_calendar_metrics(legs)
     for leg in ("front", "back"):
         priced = with_leg_spread(priced, leg)
@@ -96,7 +107,7 @@ def equity_snapshot(
     empty both.
     """
     earnings = enrich.upcoming(earnings)
-    plan = strategy_plan(earnings, grades, quotes)
+    plan = settle(strategy_plan(earnings, grades, quotes), "snapshot-plan")
     snap = priced_snapshot(plan, quotes, greeks, oi, right)
     snap = enrich.with_earnings_and_grades(snap, earnings, enrich.plan_grades(grades))
     snap = expected_price(enrich.with_cost_stats(snap, enrich.latest_cost_stats(cost_stats)))

@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from legweave.operators.expirations import expiration_runs, in_all_groups, runs_with_common_days, sorted_set
+from legweave.operators.expirations import (
+    contract_listing,
+    expiration_runs,
+    in_all_groups,
+    runs_with_common_days,
+    sorted_set,
+)
 from legweave.operators.filters import enough_dates, strike_corridor
 from legweave.operators.legs import merge, widen_legs
+from legweave.plans.equity_history import reduced
 from legweave.schemas import BAR_KEYS
 from legweave.scratch import settle
 from legweave.skew import salted_join
@@ -20,10 +27,14 @@ RUN_KEYS = ["symbol", "exps"]
 
 
 def run_plan(quotes: DataFrame, greeks: DataFrame, gaps: int = GAPS, min_dates: int = MIN_RUN_DATES) -> DataFrame:
-    """Runs with their shared dates, shared strikes and corridor."""
-    days = quotes.select("symbol", "exp", "trade_date").distinct()
+    """Runs with their shared dates, shared strikes and corridor.
+
+    The quotes are listed once, per expiration; the rest reads that listing.
+    """
+    listing = settle(contract_listing(quotes), "listing")
+    days = listing.select("symbol", "exp", F.explode("trade_dates").alias("trade_date"))
     runs = runs_with_common_days(expiration_runs(days, gaps + 1), days, min_dates)
-    listed = quotes.select("symbol", "exp", "strike_milli").distinct()
+    listed = listing.select("symbol", "exp", F.explode("strikes").alias("strike_milli"))
     legs = runs.select(*RUN_KEYS, F.explode("exps").alias("exp"))
     shared = in_all_groups(
         salted_join(listed, legs, ["symbol", "exp"]), RUN_KEYS, "strike_milli", "exp", gaps + 1
@@ -63,7 +74,18 @@ def multi_gap_history(quotes: DataFrame, greeks: DataFrame, gaps: int = GAPS) ->
         F.get(names, F.col("__leg")).alias("__name"),
         F.explode("strikes").alias("strike_milli"),
     )
-    bars = merge(quotes, greeks.drop("bid", "ask"), BAR_KEYS)
+    wanted = settle(wanted, "wanted")
+    contracts = settle(
+        wanted.groupBy("symbol", "exp", "strike_milli").agg(
+            F.min("first_day").alias("from_day"), F.max("last_day").alias("to_day")
+        ),
+        "contracts",
+    )
+    days = contracts.agg(F.min("from_day").alias("first"), F.max("to_day").alias("last")).first()  # one row
+    first, last = days.first or 0, days.last or 0
+    # Both tables are cut to the wanted contracts and days before they meet.
+    quoted, greek = (reduced(t, contracts, first, last) for t in (quotes, greeks.drop("bid", "ask")))
+    bars = merge(quoted, greek, BAR_KEYS)
     rows = salted_join(bars, wanted, ["symbol", "exp", "strike_milli"]).filter(
         F.col("trade_date").between(F.col("first_day"), F.col("last_day"))
     )
