@@ -18,7 +18,7 @@ from legweave.scratch import discard, release, settle
 # Bytes of the grams that deal windows to classes at first; classes too large are dealt again by longer ones.
 FIRST_GRAM = 32
 # Fragments that a class may have, fragments of one merge, and shards whose transforms it merges.
-CLASS_LIMIT, MERGE_FRAGMENTS, SHARDS = 8_192, 1_500, 4
+CLASS_LIMIT, MERGE_FRAGMENTS, SHARDS = 8_192, 300, 4
 # Rows that repeat an id are told apart in the upper bits of a position.
 ROW_SHIFT = 40
 
@@ -142,9 +142,12 @@ def _slices(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> pa.Array:
 # Merging transforms
 
 
-def _step(length: int) -> int:
-    """Bytes that one symbol of the transforms holds: the longest of 5, 4, 3, 2, 1 that divides a window."""
-    return next(t for t in (5, 4, 3, 2, 1) if length % t == 0)
+def _step(length: int, size: int) -> int:
+    """Bytes that one symbol of the transforms holds: the most that divide a window, up to 10.
+
+    Up to 5 where there are so many bytes that the ranks of longer ones might need more than 16 bits.
+    """
+    return next(t for t in range(10 if size <= 1 << 16 else 5, 0, -1) if length % t == 0)
 
 
 def _small(ranks: np.ndarray) -> np.ndarray:
@@ -196,16 +199,19 @@ def later_windows(bodies: list[bytes], length: int) -> np.ndarray:
     window is compared within its body only.  Bodies are in the order in which
     windows count as earlier.
     """
-    step = _step(length)
-    rounds = length // step
     sizes = np.array([len(b) for b in bodies], np.int64)
+    step = _step(length, int(sizes.sum()))
+    rounds = length // step
     ends = np.cumsum(sizes)
     starts = ends - sizes
     data = np.frombuffer(b"".join(bodies), np.uint8)
     base, size = np.repeat(starts, sizes), np.repeat(sizes, sizes)
     place = np.arange(len(data)) - base
+    # Symbols are dense ranks of their bytes: of the first up to five, then of that rank and the bytes after.
     gram = np.zeros(len(data), np.uint64)
     for k in range(step):
+        if k == 5:
+            gram = np.unique(gram, return_inverse=True)[1].astype(np.uint64)
         gram = (gram << np.uint64(8)) | data[base + (place + k) % size]
     symbols = _small(np.unique(gram, return_inverse=True)[1])
     before = base + (place - step) % size
