@@ -79,7 +79,7 @@ def _profile_rows(ids, n, k1, k2, sig, shingle) -> pa.RecordBatch:
 
 
 def _prefixes(size: int, percent: int, common: np.ndarray):
-    """Texts to rows (shingle, k1): the members of each set's prefix, rare ones first.
+    """Texts to rows (shingle, k1, n): the members of each set's prefix, rare ones first, and its size.
 
     Sets that reach ``percent`` share a member of their prefixes, whatever the
     order is, if it is the same for all: first members that aren't common,
@@ -107,8 +107,12 @@ def _prefixes(size: int, percent: int, common: np.ndarray):
                 single[once] = True
                 kept = (rank < (n - -(-percent * n // 100) + 1)[owner]) & single[owner]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sets[kept].view(np.int64)), pa.array(np.array(keys, np.uint64).view(np.int64)[owner[kept]])],
-                    ["shingle", "k1"],
+                    [
+                        pa.array(sets[kept].view(np.int64)),
+                        pa.array(np.array(keys, np.uint64).view(np.int64)[owner[kept]]),
+                        pa.array(n[owner[kept]].astype(np.int32)),
+                    ],
+                    ["shingle", "k1", "n"],
                 )
 
     return run
@@ -302,17 +306,20 @@ def jaccard_components(
     classes = settle(
         usable.groupBy("k1", "k2", "n").agg(F.min("id").alias("c"), F.min("sig").alias("sig")), "classes"
     )
-    prefixes = base.filter("id IS NOT NULL").mapInArrow(_prefixes(size, percent, common), "shingle long, k1 long")
+    prefixes = base.filter("id IS NOT NULL").mapInArrow(_prefixes(size, percent, common), "shingle long, k1 long, n int")
     dealt = prefixes.repartition("shingle").dropDuplicates(["shingle", "k1"])
     postings = dealt.groupBy("shingle").agg(
-        F.count(F.lit(1)).alias("rows"), F.bit_xor("k1").alias("x1"), F.bit_xor(F.xxhash64("k1")).alias("x2")
+        F.count(F.lit(1)).alias("rows"), F.bit_xor("k1").alias("x1"), F.bit_xor(F.xxhash64("k1")).alias("x2"),
+        F.min("n").alias("least"), F.max("n").alias("most"),
     )
+    # Two sets whose sizes are too far apart can't be linked.
+    possible = (F.col("rows") > 1) & ((F.col("rows") > 2) | (F.col("least") * 100 >= F.col("most") * percent))
     shared = settle(
-        postings.filter("rows > 1").groupBy("rows", "x1", "x2").agg(F.min("shingle").alias("shingle")).select("shingle", "rows"),
+        postings.filter(possible).groupBy("rows", "x1", "x2").agg(F.min("shingle").alias("shingle")).select("shingle", "rows"),
         "shared",
     )
     release(spark)
-    seen = settle(prefixes.join(shared, "shingle").distinct(), "seen")
+    seen = settle(prefixes.select("shingle", "k1").join(shared, "shingle").distinct(), "seen")
     parts = F.ceil(F.col("rows") / PART).cast("int")
     rows = settle(
         seen.join(classes.select("k1", "c", "n"), "k1").select("shingle", "k1", "c", "n", parts.alias("parts")),
@@ -395,9 +402,13 @@ def _sets_of(base: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets reach ``percent``."""
+    """The pairs whose sets reach ``percent``.
+
+    Sets are large and pairs may be many, so both are dealt by id whatever their number.
+    """
+    pairs = pairs.hint("merge")
     one = pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("one")), "a")
-    both = one.join(sets.select(F.col("id").alias("b"), F.col("members").alias("two")), "b")
+    both = one.hint("merge").join(sets.select(F.col("id").alias("b"), F.col("members").alias("two")), "b")
     linked = both.select("a", "b", "one", "two").mapInArrow(_linked(percent), "a long, b long")
     return linked.distinct()
 
