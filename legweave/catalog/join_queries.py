@@ -10,6 +10,7 @@ from legweave.catalog.filter_queries import cols, day_sql
 from legweave.catalog.projection_queries import round_sql, wide_rows
 from legweave.catalog.registry import query
 from legweave.operators import enrich, expirations as ex, ivchain, legs, planning
+from legweave.operators.trend import TREND_MEASURES
 from legweave.plans.features import scores_back, snapshot_trend, trend_slice
 from legweave.schemas import BAR_KEYS, CONTRACT_KEYS
 from legweave.skew import salted_join
@@ -351,13 +352,11 @@ TREND_SQL = """SELECT symbol, weeks, t.idx - f.idx AS bdte, round(stddev_samp("c
 FROM snap_log JOIN cal f ON trade_date = f.day JOIN cal t ON report_date = t.day GROUP BY 1, 2, 3"""
 define("trend", TREND_SQL)
 
-MEASURES = ["stddev", "max", "min", "avg", "count", "min_entry_size_mean", "max_entry_size_mean",
-            "min_exit_size_mean", "max_exit_size_mean", "upper_ci", "lower_ci"]
 define(
     "slices",
     "SELECT symbol, weeks, b AS bdte, "
     + ", ".join(
-        f'max(CASE WHEN place = {i + 1} THEN "{m}" END) AS "pre_{i}_{m}"' for i in range(3) for m in MEASURES
+        f'max(CASE WHEN place = {i + 1} THEN "{m}" END) AS "pre_{i}_{m}"' for i in range(3) for m in TREND_MEASURES
     )
     + """ FROM (SELECT w.bdte AS b, t.*, t.bdte - w.bdte AS off, row_number() OVER (PARTITION BY w.symbol, w.weeks, w.bdte ORDER BY t.bdte) AS place
   FROM (SELECT DISTINCT symbol, weeks, bdte FROM candidates) w JOIN trend t ON w.symbol = t.symbol AND w.weeks = t.weeks

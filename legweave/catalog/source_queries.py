@@ -20,6 +20,7 @@ from legweave.sources import csv_scan, scans, tables, ticks
 
 # ---------------------------------------------------------------- landed JSON
 
+# Header names of the tick service.
 TICK_NAMES = ["ms_of_day", "bid", "ask", "implied_vol", "underlying_price", "date"]
 
 
@@ -125,6 +126,7 @@ def s04(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ bulk CSV
 
+# Header names of the bulk files.
 CSV_COLUMNS = [
     "root", "expiration", "strike", "right", "ms_of_day", "bid_size", "bid_condition", "bid_exchange", "bid",
     "ask_size", "ask_condition", "ask_exchange", "ask", "date",

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from legweave import fixtures as fx
 from legweave.catalog.filter_queries import LADDER_KEYS, cols
-from legweave.catalog.join_queries import MEASURES, rounded_trend
+from legweave.catalog.join_queries import rounded_trend
 from legweave.catalog.projection_queries import PAIR_IDS, chain_pairs
 from legweave.catalog.registry import query
 from legweave.operators import alerts, enrich, expirations as ex, legs, planning
 from legweave.operators.trading_calendar import calendar_over, span_bounds, trading_days, with_day_counts
-from legweave.operators.trend import trend_slice
+from legweave.operators.trend import TREND_MEASURES, trend_slice
 from legweave.plans.features import snapshot_trend
 from legweave.schemas import CONTRACT_KEYS
 from legweave.scratch import fresh_path
@@ -101,7 +101,7 @@ def w06(spark, sf):
 
 @query(
     "w08_trend_slice",
-    f"SELECT symbol, weeks, bdte, {', '.join(f'\"pre_{i}_{m}\"' for i in range(3) for m in MEASURES)} FROM slices",
+    f"SELECT symbol, weeks, bdte, {', '.join(f'\"pre_{i}_{m}\"' for i in range(3) for m in TREND_MEASURES)} FROM slices",
 )
 def w08(spark, sf):
     trades = fx.candidates(spark, sf).select("symbol", "weeks", "bdte")

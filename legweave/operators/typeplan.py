@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed value: how a date starts.
 DATE_PREFIX = r"^\d{4}-\d{2}-\d{2}"
 
 

@@ -22,7 +22,7 @@ from legweave.skew import salted_join
 SCORE_KEYS = ["symbol", "strike", "opt_right", "exp_front", "weeks"]
 
 # The model's input columns.  ``lambda_`` follows our naming.
-LEG_FEATURES = [
+MODEL_FEATURES = [
     "bid_front", "ask_front", "symbol", "bid_back", "ask_back",
     "delta_front", "theta_front", "vega_front", "rho_front", "epsilon_front", "lambda_front",
     "implied_vol_front", "iv_error_front", "underlying",
@@ -32,8 +32,7 @@ LEG_FEATURES = [
     "mark_front", "mark_back", "spread_front", "spreadPct_front", "spread_back", "spreadPct_back",
     "ask_cal", "bid_cal", "spread_cal", "mark_cal", "spreadPct_cal",
     "calCost", "undPricePctDiff", "calCostPct", "bdte", "bdtfexp", "ms_of_day",
-]
-HISTORY_FEATURES = [
+    *[f"pre_{i}_{m}" for i in range(SLICE_ROWS) for m in TREND_MEASURES],
     "calCostPctMean", "calCostPctStd", "calCostPctMax", "calCostPctMin", "histCalCostCount", "histEarningsCount",
     "all_pl_pct_mean", "all_total_trades", "all_total_wins", "all_total_losses",
     "all_avg_trade_class", "all_avg_bdit", "all_win_rate",
@@ -49,8 +48,6 @@ HISTORY_FEATURES = [
     "sector", "cos_day", "sin_day", "cos_month", "sin_month", "cos_weekday", "sin_weekday", "year",
     "calGapPctAdjusted", "min_entry_size", "max_entry_size", "min_exit_size", "max_exit_size",
 ]
-TREND_FEATURES = [f"pre_{i}_{m}" for i in range(SLICE_ROWS) for m in TREND_MEASURES]
-MODEL_FEATURES = [*LEG_FEATURES, *TREND_FEATURES, *HISTORY_FEATURES]
 
 
 def missing_features(df: DataFrame, wanted: Sequence[str] = MODEL_FEATURES) -> list[str]:
