@@ -16,9 +16,11 @@ from legweave.session import tune
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose text is null or holds no letter, so that no language fits."""
     model = language.fit_language_model(docs)
-    # The row as one struct, so that no column of the documents clashes with the prediction.
-    judged = language.identify_languages(docs.select(F.struct("*").alias("row"), "text"), model)
-    return judged.filter(F.col("lang_pred") != language.UNDETERMINED).select("row.*")
+    # Names that no column of the documents has.
+    longest = max(map(len, docs.columns))
+    names = ("l" * (longest + 1), "s" * (longest + 1))
+    judged = language.identify_languages(docs, model, names=names)
+    return judged.filter(F.col(names[0]) != language.UNDETERMINED).select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 
 # Bytes of text that one numpy step works on at a time; a longer document is a block of its own.
 BLOCK_BYTES = 2_000_000
+# Documents of such a step at most, so that what is held per document is bounded too.
+BLOCK_ROWS = 1_024
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -24,12 +26,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocks(starts: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges whose bytes stay within ``limit``, one row at least."""
+    """Row ranges of at most BLOCK_ROWS rows whose bytes stay within ``limit``, one row at least."""
     lo, rows = 0, len(starts) - 1
     while lo < rows:
         hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + limit, "right")) - 1)
-        yield lo, min(hi, rows)
-        lo = min(hi, rows)
+        hi = min(hi, rows, lo + BLOCK_ROWS)
+        yield lo, hi
+        lo = hi
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

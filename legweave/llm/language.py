@@ -141,7 +141,7 @@ def fit_language_model(
         return {"profile": pa.array([p.tobytes() for p in trigram_profile(data, starts)], pa.binary())}
 
     field = T.StructField("profile", T.BinaryType())
-    made = with_scores(sample, F.col("text"), profiles, [field]).drop("text")
+    made = with_scores(sample, "text", profiles, [field]).drop("text")
     got = made.orderBy("lang", F.xxhash64("id"), "id").limit(MOST_DOCUMENTS).collect()
     x = np.array([np.frombuffer(r.profile, np.float32) for r in got]).reshape(len(got), BUCKETS)
     return LanguageModel.fit(x, np.array([r.lang for r in got], object))
@@ -152,8 +152,10 @@ def has_letter(text) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def identify_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, from whole texts alone.
+def identify_languages(
+    docs: DataFrame, model: LanguageModel, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` (or other ``names``), from whole texts alone.
 
     Texts that are null or hold no letter get ``und`` and score 0, as does every
     text under a model that learned no language.  Rows are judged one by one, so
@@ -161,15 +163,15 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text_col: str = "t
     """
 
     def scores(data, starts):
-        names, score = model.predict(trigram_profile(data, starts))
-        return {"lang_pred": pa.array(names, pa.string()), "score": pa.array(score)}
+        langs, score = model.predict(trigram_profile(data, starts))
+        return {names[0]: pa.array(langs, pa.string()), names[1]: pa.array(score)}
 
-    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    judged = with_scores(docs.drop("lang_pred", "score"), F.col(text_col), scores, fields)
+    fields = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
+    judged = with_scores(docs.drop(*names), text_col, scores, fields)
     letters = has_letter(F.col(text_col))
     return judged.withColumns(
         {
-            "lang_pred": F.when(letters, F.col("lang_pred")).otherwise(F.lit(UNDETERMINED)),
-            "score": F.when(letters, F.col("score")).otherwise(F.lit(0.0)),
+            names[0]: F.when(letters, F.col(names[0])).otherwise(F.lit(UNDETERMINED)),
+            names[1]: F.when(letters, F.col(names[1])).otherwise(F.lit(0.0)),
         }
     )

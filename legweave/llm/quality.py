@@ -147,7 +147,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
         return {"chunks": pa.array(spread_chunks(data, starts), pa.list_(pa.binary()))}
 
     field = T.StructField("chunks", T.ArrayType(T.BinaryType()))
-    made = with_scores(sample, F.col("text"), pieces, [field]).drop("text")
+    made = with_scores(sample, "text", pieces, [field]).drop("text")
     got = made.orderBy(F.xxhash64("id"), "id", F.xxhash64("chunks")).limit(2 * PER_LABEL).collect()
     chunks = [np.frombuffer(c, np.uint8) for r in got for c in r.chunks]
     marks = np.array([r.quality for r in got for _ in r.chunks], np.float32)
@@ -165,4 +165,4 @@ def score_quality(docs: DataFrame, model: ByteNetwork, text_col: str = "text") -
         return {"score": pa.array(model.score(data, starts))}
 
     fields = [T.StructField("score", T.DoubleType())]
-    return with_scores(docs.drop("score"), F.col(text_col), scores, fields)
+    return with_scores(docs.drop("score"), text_col, scores, fields)

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,17 +39,19 @@ def bounded_sample(rows: DataFrame, label: str, key: str, per_label: int) -> Dat
 Scorer = Callable[[np.ndarray, np.ndarray], dict[str, pa.Array]]
 
 
-def with_scores(df: DataFrame, text: Column, scorer: Scorer, fields: list[T.StructField]) -> DataFrame:
+def with_scores(df: DataFrame, text_col: str, scorer: Scorer, fields: list[T.StructField]) -> DataFrame:
     """``df`` and the columns that ``scorer(bytes, starts)`` gives for blocks of whole texts.
 
-    The row travels as one struct, so no name of its own can clash.
+    The row travels as one struct, so no name of its own can clash, and the text
+    in it is sent once.
     """
-    packed = df.select(F.struct("*").alias("row"), text.alias("text"))
+    packed = df.select(F.struct("*").alias("row"))
+    name = df.select(text_col).columns[0]
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, starts = utf8(batch.column("text"))
+            data, starts = utf8(pc.struct_field(batch.column("row"), name))
             for lo, hi in blocks(starts):
                 made = scorer(data[starts[lo] : starts[hi]], starts[lo : hi + 1] - starts[lo])
                 rows = batch.column("row").slice(lo, hi - lo)

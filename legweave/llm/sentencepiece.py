@@ -411,7 +411,7 @@ def encode_texts(docs: DataFrame, model_file: str, text_col: str = "text", decod
     fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_ids", T.IntegerType())]
     if decode:
         fields.append(T.StructField("decoded", T.StringType()))
-    return with_scores(docs.drop(*[f.name for f in fields]), F.col(text_col), coded, fields)
+    return with_scores(docs.drop(*[f.name for f in fields]), text_col, coded, fields)
 
 
 def _int_lists(begins: np.ndarray, ids: np.ndarray) -> pa.Array:
