@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,10 +22,10 @@ COMMON, COMMON_FROM = 200_000, 64
 SEEN_IN_BATCH = 4
 # Bits of a signature: its set's size or more, in powers of two, between these.
 LEAST_BITS, MOST_BITS = 64, 1 << 15
-# Rows that one part of a tile compares with the tile, rows of a task, pairs compared at a time.
+# Rows of a block of a large tile, rows of a task, pairs compared at a time.
 PART, TASK_ROWS, PAIRS = 4_096, 4_000, 400_000
-# Tiles above this size are first compared with one of their members only.
-STAR = 512
+# Tiles above this size are first compared with one of their members only; rows so compared at a time.
+STAR, STAR_ROWS = 512, 2_000
 # Partners that each row offers in the first round, and times as many in each one after.
 FIRST_BEST, GROWTH = 2, 16
 
@@ -180,44 +181,34 @@ class _Signatures:
         return out
 
 
-def _tile(percent: int, best: int, star: bool):
-    """One task's tiles: pairs (a, b) of different components that their signatures let through.
+def _reaches(n: np.ndarray, apart: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Whether rows of sizes n that differ in so many bits may reach ``percent``."""
+    return apart * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
 
-    Rows of a tile are sorted by size, so each meets the band of sizes that can
-    reach ``percent``.  Each row gives its ``best`` partners by signature, and
-    ``more`` says that it has others.  With ``star`` the rows of tiles above
-    STAR rows meet only the tile's most typical one, and come back as pairs of
-    themselves too, as do all that may meet later.
-    """
 
-    def reaches(n: np.ndarray, apart: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        return apart * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
+def _tile(percent: int, best: int):
+    """One task's cells: pairs (a, b) of different components that their signatures let through.
+
+    Rows of a cell are sorted by size, so each meets the band of sizes that can
+    reach ``percent``; rows of side 0 meet all others, those of sides 1 and 2
+    the other side.  Each row gives its ``best`` partners by signature, and
+    ``more`` says that it has others.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("shingle", "ascending"), ("part", "ascending"), ("n", "ascending"), ("c", "ascending")])
-        n, c, comp = (table[k].to_numpy() for k in ("n", "c", "comp"))
-        own = table["own"].to_numpy()
-        shingle, part = table["shingle"].to_numpy(), table["part"].to_numpy()
-        fresh = np.append(True, (shingle[1:] != shingle[:-1]) | (part[1:] != part[:-1]))
+        order = [("shingle", "ascending"), ("lo", "ascending"), ("hi", "ascending"), ("n", "ascending"), ("c", "ascending")]
+        table = table.sort_by(order)
+        n, c, comp, side = (table[k].to_numpy() for k in ("n", "c", "comp", "side"))
+        cell = [table[k].to_numpy() for k in ("shingle", "lo", "hi")]
+        fresh = np.append(True, np.logical_or.reduce([x[1:] != x[:-1] for x in cell]))
         tile = np.cumsum(fresh) - 1
         begin = np.flatnonzero(fresh)
-        size = np.diff(np.append(begin, len(n)))
         signatures = _Signatures(table["sig"])
-        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))]
-        large = (size > STAR) & star
-        for a, m in zip(begin[large].tolist(), size[large].tolist(), strict=True):
-            row = np.arange(a, a + m)
-            centre = np.full(m, a + _typical(signatures, row))
-            found.append((row, row, np.ones(m, bool)))
-            low, high = np.minimum(n[row], n[centre]), np.maximum(n[row], n[centre])
-            row, centre = row[100 * low >= percent * high], centre[100 * low >= percent * high]
-            close = reaches(n, signatures.apart(row, centre), row, centre)
-            found.append((row[close], centre[close], np.ones(close.sum(), bool)))
         key = tile * (int(n.max()) + 1)
         band = np.searchsorted(key + n, key + np.minimum(100 * n // percent, n.max()), "right")
         partners = band - np.arange(len(n)) - 1
         alike = np.minimum.reduceat(comp, begin) == np.maximum.reduceat(comp, begin)
-        partners[(alike | large)[tile]] = 0
+        partners[alike[tile]] = 0
         upto = np.cumsum(partners)
         lo = 0
         left, right, bits = [], [], []
@@ -225,16 +216,15 @@ def _tile(percent: int, best: int, star: bool):
             hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS, "right")))
             i = np.repeat(np.arange(lo, hi), partners[lo:hi])
             j = ragged(np.arange(lo, hi) + 1, partners[lo:hi])
-            differ = (comp[i] != comp[j]) & (own[i] | own[j])
+            differ = (comp[i] != comp[j]) & ((side[i] == 0) | (side[i] != side[j]))
             i, j = i[differ], j[differ]
             apart = signatures.apart(i, j)
-            close = reaches(n, apart, i, j)
+            close = _reaches(n, apart, i, j, percent)
             left.append(i[close])
             right.append(j[close])
             bits.append(apart[close])
             lo = hi
-        found.append(_best_of(*(np.concatenate(x) for x in (left, right, bits)), best))
-        i, j, more = (np.concatenate(x) for x in zip(*found, strict=True))
+        i, j, more = _best_of(*(np.concatenate(x) for x in (left, right, bits)), best)
         a, b = np.minimum(c[i], c[j]), np.maximum(c[i], c[j])
         pairs = np.unique(np.stack([a, b, more.astype(np.int64)]), axis=1)
         return pa.table({"a": pairs[0], "b": pairs[1], "more": pairs[2].astype(bool)})
@@ -242,11 +232,116 @@ def _tile(percent: int, best: int, star: bool):
     return run
 
 
-def _typical(signatures: _Signatures, rows: np.ndarray) -> int:
-    """Which of the rows is closest to the bits that most of them have."""
-    width = int(signatures.words[rows].min())
-    bits = np.unpackbits(signatures.folded[width][rows].view(np.uint8), axis=1)
-    return int(np.abs(bits - bits.mean(0)).sum(1).argmin())
+def _near_centre(percent: int):
+    """Rows (c, n, sig, z, zn, zsig) to the pairs (a, b) of c and z that their signatures let through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, STAR_ROWS):
+                some = batch.slice(at, STAR_ROWS)
+                signatures = _Signatures(pa.chunked_array([some["sig"], some["zsig"]]))
+                n = np.concatenate([some["n"].to_numpy(), some["zn"].to_numpy()])
+                i = np.arange(some.num_rows)
+                j = i + some.num_rows
+                close = _reaches(n, signatures.apart(i, j), i, j, percent)
+                c, z = some["c"].to_numpy()[close], some["z"].to_numpy()[close]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(c, z)), pa.array(np.maximum(c, z))], ["a", "b"])
+
+    return run
+
+
+def _stars(large: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, more) of the rows of each tile with one of its members, the same for tiles of the same rows.
+
+    Every row meets its centre by a join; no row is repeated for the others of its tile.
+    """
+    least = F.min(F.struct(F.xxhash64("k1").alias("h"), "k1", "c", "n")).alias("z")
+    centres = large.groupBy("shingle").agg(least).select(
+        "shingle", F.col("z.k1").alias("zk"), F.col("z.c").alias("z"), F.col("z.n").alias("zn")
+    )
+    centres = settle(centres, "centres")
+    fits = F.least("n", "zn") * 100 >= F.greatest("n", "zn") * percent
+    met = large.join(centres, "shingle").filter((F.col("c") != F.col("z")) & fits)
+    met = met.select("k1", "c", "n", "zk", "z", "zn").distinct().join(classes.select("k1", "c", "n", "sig"), ["k1", "c", "n"])
+    theirs = classes.select(F.col("k1").alias("zk"), F.col("c").alias("z"), F.col("n").alias("zn"), F.col("sig").alias("zsig"))
+    theirs = theirs.join(centres.select("zk", "z", "zn").distinct(), ["zk", "z", "zn"], "left_semi")
+    both = met.join(theirs, ["zk", "z", "zn"]).select("c", "n", "sig", "z", "zn", "zsig")
+    return both.mapInArrow(_near_centre(percent), "a long, b long").withColumn("more", F.lit(False))
+
+
+def _cells(rows: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """Rows (shingle, lo, hi, side, k1, c, n, comp): each row once for every cell of its tile that it is compared in.
+
+    A tile whose rows are all tied together is left out.  A tile of up to PART
+    rows is one cell.  A larger one is cut into blocks of about PART rows: by
+    bands of sizes, where only neighbours can reach ``percent``; by whether a
+    row belongs to the tile's largest component, whose rows do not meet each
+    other; and by hash.  A cell is two such blocks, or one with itself.
+    """
+    tied = rows.join(comps.select(F.col("id").alias("c"), "component"), "c", "left")
+    tied = settle(tied.select("shingle", "k1", "c", "n", F.coalesce("component", "c").alias("comp")), "tied")
+    counts = tied.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("k"))
+    tiles = counts.groupBy("shingle").agg(
+        F.sum("k").alias("rows"), F.count(F.lit(1)).alias("comps"), F.max(F.struct("k", "comp")).alias("largest")
+    )
+    tiles = settle(tiles.filter("comps > 1").select("shingle", "rows", F.col("largest.comp").alias("largest")), "tiles")
+    # A little wider than the ratio of sizes that can reach percent, so that rounding puts no such pair two bands apart.
+    width = math.log(100 / percent) * 1.000001
+    band = F.floor(F.log("n") / width) if percent < 100 else F.col("n")
+    left = tied.join(tiles, "shingle").select(
+        "shingle", "k1", "c", "n", "comp", "rows", (F.col("comp") == F.col("largest")).alias("main"), band.cast("long").alias("band")
+    )
+    left = settle(left, "left")
+    discard(tied, tiles)
+    names = ["shingle", "lo", "hi", "side", "k1", "c", "n", "comp"]
+    zero = F.lit(0).cast("long")
+    whole = left.filter(F.col("rows") <= PART).withColumns({"lo": zero, "hi": zero, "side": F.lit(0)}).select(*names)
+    large = left.filter(F.col("rows") > PART)
+    blocks = large.groupBy("shingle", "band", "main").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"))
+    meets = (
+        blocks.withColumn("at", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+        .groupBy("shingle", "at")
+        .agg(F.collect_list(F.struct("band", "main", "parts")).alias("meets"))
+        .withColumnRenamed("at", "band")
+    )
+    meets = settle(meets, "meets")
+
+    def block(band, main, part):
+        return F.shiftleft(band, 30) + F.shiftleft(main.cast("long"), 29) + part
+
+    own = F.filter("meets", lambda m: (m["band"] == F.col("band")) & (m["main"] == F.col("main")))[0]["parts"]
+    other = F.flatten(
+        F.transform(
+            F.filter("meets", lambda m: ~(m["main"] & F.col("main"))),
+            lambda m: F.transform(F.sequence(zero, m["parts"] - 1), lambda part: block(m["band"], m["main"], part)),
+        )
+    )
+    dealt = large.join(meets, ["shingle", "band"]).withColumn(
+        "mine", block(F.col("band"), F.col("main"), F.pmod(F.xxhash64("c"), own))
+    )
+    dealt = dealt.withColumn("other", F.explode(other)).withColumns(
+        {
+            "lo": F.least("mine", "other"),
+            "hi": F.greatest("mine", "other"),
+            "side": F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1).otherwise(2),
+        }
+    )
+    cells = settle(whole.unionByName(dealt.select(*names)), "cells")
+    discard(left, meets)
+    return cells
+
+
+def _offers(cells: DataFrame, classes: DataFrame, percent: int, best: int) -> DataFrame:
+    """Pairs (a, b, more) that the cells offer; a task has about TASK_ROWS rows, or one cell."""
+    tasks = max(1, cells.count() // TASK_ROWS)
+    task = F.pmod(F.xxhash64("shingle", "lo", "hi"), F.lit(tasks)).alias("task")
+    # Signatures join the rows on their way to the cells, and are not written with them.
+    signed = cells.join(classes.select("k1", "c", "n", "sig"), ["k1", "c", "n"])
+    return (
+        signed.select(task, "shingle", "lo", "hi", "side", "c", "comp", "n", "sig")
+        .groupBy("task")
+        .applyInArrow(_tile(percent, best), "a long, b long, more boolean")
+    )
 
 
 def _best_of(i: np.ndarray, j: np.ndarray, d: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -278,9 +373,9 @@ def jaccard_components(
     those with the same classes; its rows meet in bands of sizes, bitmap
     signatures bound the overlap from above, and sets of the pairs left are
     intersected.  Rows that links have already tied together are not compared
-    again: large tiles start with links to their most typical member, and each
-    round then takes more partners per row than the one before, until no row
-    has others.
+    again: large tiles start with links to one member, those that are left meet
+    in cells of two blocks of bounded size, and each round takes more partners
+    per row than the one before, until no row has others.
 
     Null texts and texts without words have size 0 and link with nothing.  Rows
     that repeat an id have their own sizes and share their links.  A null id
@@ -320,11 +415,7 @@ def jaccard_components(
     )
     release(spark)
     seen = settle(prefixes.select("shingle", "k1").join(shared, "shingle").distinct(), "seen")
-    parts = F.ceil(F.col("rows") / PART).cast("int")
-    rows = settle(
-        seen.join(classes.select("k1", "c", "n"), "k1").select("shingle", "k1", "c", "n", parts.alias("parts")),
-        "rows",
-    )
+    rows = settle(seen.join(classes.select("k1", "c", "n"), "k1").select("shingle", "k1", "c", "n", "rows"), "rows")
     discard(shared, seen)
     release(spark)
     comps = settle(_linked_components(base, rows, classes, percent, size), "comps")
@@ -344,38 +435,26 @@ def jaccard_components(
 def _linked_components(base: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
     """(id, component) of the classes that links tie together, found in rounds."""
     spark = rows.sparkSession
-    tasks = max(1, rows.count() // TASK_ROWS)
-    mine = F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")
-    spread = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    spread = spread.withColumn("own", F.col("part") == mine)
-    task = F.pmod(F.xxhash64("shingle", "part"), F.lit(tasks)).alias("task")
-    links = comps = tested = sets = None
+    large = rows.filter(F.col("rows") > STAR).select("shingle", "k1", "c", "n")
+    zero = F.lit(0).cast("long")
+    small = rows.filter(F.col("rows") <= STAR).withColumns({"lo": zero, "hi": zero, "side": F.lit(0), "comp": F.col("c")})
     best = FIRST_BEST
+    offered = settle(
+        _offers(small, classes, percent, best).unionByName(_stars(large, classes, percent)), "offered"
+    )
+    # Whoever has a partner by signature has offered one or stands in a large tile, so these are all:
+    # the others' rows need not be compared again.
+    live = offered.select(F.col("a").alias("c")).union(offered.select(F.col("b").alias("c"))).union(large.select("c"))
+    live = settle(live.distinct(), "live")
+    sets = settle(_sets_of(base, live.withColumnRenamed("c", "id"), size), "sets")
+    rows = settle(rows.join(live, "c", "left_semi"), "live rows")
+    release(spark)
+    # Rows of large tiles that the stars did not tie are compared next, each with few partners again.
+    starred = not large.isEmpty()
+    unfinished = False
+    links = tested = None
     while True:
-        if comps is None:
-            tiled = spread.withColumn("comp", F.col("c"))
-        else:
-            tiled = spread.join(comps.select(F.col("id").alias("c"), "component"), "c", "left")
-            tiled = tiled.withColumn("comp", F.coalesce("component", "c"))
-        # Signatures join the rows on their way to the tiles, and are not written with them.
-        tiled = tiled.join(classes.select("k1", "c", "n", "sig"), ["k1", "c", "n"])
-        offered = settle(
-            tiled.select(task, "shingle", "part", "own", "c", "comp", "n", "sig")
-            .groupBy("task")
-            .applyInArrow(_tile(percent, best, star=sets is None), "a long, b long, more boolean"),
-            "offered",
-        )
-        if sets is None:
-            # Whoever has a partner by signature has offered one or stands in a large tile, so these are all:
-            # the others' rows need not be compared again.
-            live = settle(
-                offered.select(F.col("a").alias("c")).union(offered.select(F.col("b").alias("c"))).distinct(), "live"
-            )
-            sets = settle(_sets_of(base, live.withColumnRenamed("c", "id"), size), "sets")
-            spread = settle(spread.join(live, "c", "left_semi"), "spread")
-            tasks = max(1, spread.count() // TASK_ROWS)
-            task = F.pmod(F.xxhash64("shingle", "part"), F.lit(tasks)).alias("task")
-        pairs = offered.filter("a <> b").select("a", "b").distinct()
+        pairs = offered.select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = settle(pairs, "pairs")
@@ -383,13 +462,22 @@ def _linked_components(base: DataFrame, rows: DataFrame, classes: DataFrame, per
         links = found if links is None else settle(links.unionByName(found), "links")
         tested = pairs if tested is None else settle(tested.unionByName(pairs), "tested")
         comps = settle(components(links), "comps")
-        unfinished = not offered.filter("more").isEmpty()
+        unfinished = unfinished or not offered.filter("more").isEmpty()
         discard(offered)
         release(spark)
-        if not unfinished:
-            discard(sets)
+        if starred:
+            again = rows.filter(F.col("rows") > STAR)
+        elif unfinished:
+            again = rows
+            best *= GROWTH
+            unfinished = False
+        else:
+            discard(sets, rows)
             return comps
-        best *= GROWTH
+        starred = False
+        cells = _cells(again, comps, percent)
+        offered = settle(_offers(cells, classes, percent, best), "offered")
+        discard(cells)
 
 
 def _sets_of(base: DataFrame, wanted: DataFrame, size: int) -> DataFrame:

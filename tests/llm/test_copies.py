@@ -214,6 +214,37 @@ def test_jaccard_components(spark, monkeypatch, percent, size, star, part, best)
     assert Counter(map(tuple, got)) == ties_by_hand(rows, percent, size)
 
 
+def test_no_group_of_a_large_tile_grows_with_it(spark, monkeypatch):
+    """A tile of near copies and strangers of the same shingle: every group that is compared stays bounded."""
+    for name, value in {"STAR": 8, "PART": 30, "FIRST_BEST": 1, "GROWTH": 4, "COMMON_FROM": 10}.items():
+        monkeypatch.setattr(jaccard, name, value)
+    inner = jaccard._tile
+
+    def watched(*args, **more):
+        run = inner(*args, **more)
+
+        def checked(table):
+            keys = [k for k in ("shingle", "part", "lo", "hi") if k in table.schema.names]
+            most = max(table.group_by(keys).aggregate([("c", "count")])["c_count"].to_pylist())
+            assert most <= 120, f"a group of {most} rows"
+            return run(table)
+
+        return checked
+
+    monkeypatch.setattr(jaccard, "_tile", watched)
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(300)}" for _ in range(90)]
+    rows = []
+    for d in range(260):
+        some = list(base)
+        for _ in range(rng.randint(1, 2) if d % 4 else rng.randint(4, 8)):
+            some[rng.randrange(len(some))] = f"v{rng.randrange(900)}"
+        rows.append((d, " ".join(some[: rng.randint(45, 90)] if d % 5 == 0 else some)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard.jaccard_components(docs, 80, 5).collect()
+    assert Counter(map(tuple, got)) == ties_by_hand(rows, 80, 5)
+
+
 def test_jaccard_of_odd_rows(odd_docs, odd_rows, no_docs):
     got = jaccard.jaccard_components(odd_docs).collect()
     want = ties_by_hand([r[:2] for r in odd_rows], 80, 5)
