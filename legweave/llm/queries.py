@@ -9,12 +9,28 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legweave.llm import embeddings, exact_dedup, jaccard, language, mixing, quality, samples, secrets, sentencepiece, sharding, substrings
+from legweave.llm import (
+    collocations,
+    embeddings,
+    exact_dedup,
+    jaccard,
+    language,
+    mixing,
+    quality,
+    samples,
+    secrets,
+    sentencepiece,
+    sharding,
+    spelling,
+    substrings,
+    toxicity,
+)
 from legweave.llm.sentencepiece import MODEL_FILE
 from legweave.session import tune
 
 SHARDS = 16
 QUALITY_FLOOR = 0.3
+TOXIC_FLOOR = 0.5
 
 
 @dataclass(frozen=True)
@@ -141,3 +157,69 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """Documents tied together by a shingle similarity of 80 per cent or more."""
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+@query("op11_string_kernel")
+def op11(spark, sf_dir):
+    """A toxicity score of every document, learned from the labels outside the held-out fifth."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = samples.id_remainder("doc_id", 5) == 0
+    model = toxicity.fit_toxicity(docs, labels.filter(~held_out))
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FLOOR).cast("int").alias("predicted")
+    )
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws
+    FROM (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)
+), grams AS (
+    SELECT lang, k, phrase, count(*)::HUGEINT AS f
+    FROM (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2),
+                                                lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+          FROM (SELECT *, unnest([1, 2, 3, 4]) AS k FROM pieces))
+    GROUP BY ALL
+), candidates AS (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM grams WHERE k >= 2 AND f >= 30
+), halves AS (
+    SELECT lang, phrase, a, j, array_to_string(ws[1:j], ' ') AS first, array_to_string(ws[j + 1:], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates)
+), cuts AS (
+    SELECT h.lang, h.phrase, h.a, j, x.f AS l, y.f AS r, 2000000 * h.a // (x.f + y.f) AS score
+    FROM halves h JOIN grams x ON x.lang = h.lang AND x.phrase = h.first
+                  JOIN grams y ON y.lang = h.lang AND y.phrase = h.rest
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), covered AS (
+    SELECT DISTINCT c.lang, c.phrase
+    FROM (SELECT lang, a, unnest(flatten(list_transform(range(2, k), lambda m:
+                 list_transform(range(1, k - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))))) AS phrase
+          FROM candidates WHERE k >= 3) longer
+    JOIN candidates c ON c.lang = longer.lang AND c.phrase = longer.phrase AND 100 * longer.a >= 80 * c.a
+), totals AS (
+    SELECT lang, sum(f) AS n FROM grams WHERE k = 1 GROUP BY lang
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM lowest ANTI JOIN covered USING (lang, phrase) JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
+
+@query("op12_collocations", OP12_SQL)
+def op12(spark, sf_dir):
+    """The 2,000 best phrases of every language."""
+    return collocations.mine_collocations(_table(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling_variants")
+def op13(spark, sf_dir):
+    """The words of all documents, and the near word that each is taken for."""
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))

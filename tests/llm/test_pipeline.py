@@ -83,16 +83,17 @@ def test_run_gives_the_last_stage(spark):
 def test_registered(spark):
     names = set(entry.queries())
     assert set(REGISTRY) <= names and "pipeline" in REGISTRY
-    assert {n.split("_")[0] for n in REGISTRY if n != "pipeline"} == {f"op{n}" for n in range(1, 11)}
-    assert {n for n in REGISTRY if n in entry.oracle_sql()} == {"op4_chunk_recipes"}
+    assert {n.split("_")[0] for n in REGISTRY if n != "pipeline"} == {f"op{n}" for n in range(1, 14)}
+    assert {n for n in REGISTRY if n in entry.oracle_sql()} == {"op4_chunk_recipes", "op12_collocations"}
 
 
-def test_exact_groups_equal_their_oracle(spark):
+@pytest.mark.parametrize(("name", "folder"), [("op4_chunk_recipes", SF), ("op12_collocations", "/root/testdata/sf0.01")])
+def test_queries_equal_their_oracle(spark, name, folder):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
-    cur = con.execute(entry.oracle_sql()["op4_chunk_recipes"])
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    cur = con.execute(entry.oracle_sql()[name])
     names = [d[0] for d in cur.description]
-    mine = REGISTRY["op4_chunk_recipes"].run(spark, SF).select(*names)
+    mine = REGISTRY[name].run(spark, folder).select(*names)
     assert sorted(map(tuple, mine.collect())) == sorted(cur.fetchall())
 
 
