@@ -44,6 +44,28 @@ def leg_slice(scan: DataFrame, leg: str, exp: Column, kind: str) -> DataFrame:
     return rows
 
 
+def leg_scan(scan: DataFrame, pairs: DataFrame, leg: str, kind: str) -> DataFrame:
+    """:func:`leg_slice` of many pairs at once: rows of the leg's expiration with the pair they belong to.
+
+    ``pairs`` has symbol, exp_front and exp_back; rows come once per pair.
+    """
+    if leg not in LEGS:
+        raise ValueError(f"leg must be one of {LEGS}, not {leg!r}")
+    named = scan.withColumnRenamed("exp", f"exp_{leg}")
+    rows = named.join(pairs.select("symbol", "exp_front", "exp_back"), ["symbol", f"exp_{leg}"])
+    if leg == "back":
+        rows = rows.drop({"greeks": "underlying", "quotes": "ms_of_day"}.get(kind, ""))
+    return rows
+
+
+def join_pair_legs(
+    front: DataFrame, back: DataFrame, keys: Sequence[str] = SNAPSHOT_LEG_KEYS, how: str = "inner"
+) -> DataFrame:
+    """Both legs of every pair on those of ``keys`` that both have."""
+    on = [k for k in front.columns if k in keys and k in back.columns]
+    return merge(front, back, [*on, "exp_front", "exp_back"], how, ("_front", "_back"))
+
+
 def join_front_back(front: DataFrame, back: DataFrame, keys: Sequence[str] = SNAPSHOT_LEG_KEYS) -> DataFrame:
     """Front and back leg on those of ``keys`` that the front has."""
     on = [k for k in front.columns if k in keys]
@@ -178,19 +200,21 @@ def front_back_pairs(df: DataFrame, keys: Sequence[str], max_span_days: int) ->
     return pairs.withColumnsRenamed({n: f"{n}_front" for n in df.columns if n not in keys})
 
 
+def duplicates_agree(groups: dict[str, Sequence[str]]) -> Column:
+    """Whether the columns of every group hold the same value in a row; nulls agree with each other."""
+    agree = F.lit(True)
+    for first, *rest in groups.values():
+        for other in rest:
+            agree = agree & F.col(first).eqNullSafe(F.col(other))
+    return agree
+
+
 def collapse_duplicates(df: DataFrame, groups: dict[str, Sequence[str]]) -> tuple[DataFrame, Column]:
     """Keep the first column of each group under a new name.
 
     Also returns an aggregate that is true when the columns of every group agree
     on all rows (for ``observe`` or ``agg``).
     """
-    agree = F.lit(True)
-    renames: dict[str, str] = {}
-    drops: list[str] = []
-    for name, cols in groups.items():
-        first, *rest = cols
-        for other in rest:
-            agree = agree & F.col(first).eqNullSafe(F.col(other))
-        renames[first] = name
-        drops.extend(rest)
-    return df.drop(*drops).withColumnsRenamed(renames), F.bool_and(agree)
+    renames = {first: name for name, (first, *_) in groups.items()}
+    drops = [other for _, *rest in groups.values() for other in rest]
+    return df.drop(*drops).withColumnsRenamed(renames), F.bool_and(duplicates_agree(groups))

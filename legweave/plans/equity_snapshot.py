@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from legweave.functions.pricing import (
@@ -17,6 +17,7 @@ from legweave.functions.pricing import (
 from legweave.operators import enrich
 from legweave.operators.expirations import choose_expirations, expiration_lists
 from legweave.operators.filters import near_the_money, open_interest_above
+from legweave.operators.gates import Gate, Watch, key_of
 from legweave.operators.ivchain import peak_expirations, peaks_by_right, volatility_chain, with_iv_flags
 from legweave.operators.legs import merge
 from legweave.operators.trading_calendar import with_day_counts
@@ -98,19 +99,51 @@ def equity_snapshot(
     cost_stats: DataFrame,
     holidays: Sequence[int],
     right: str = "C",
+    watch: Watch | None = None,
 ) -> DataFrame:
     """The whole snapshot of every trade date in the tables, up to the features.
 
     Only reports within 20 business days take part, in the plan and joined back
     by symbol.  Open interest is joined per leg, so a leg without it leaves the
     other one's intact: a choice of ours, where joining the pair first would
-    empty both.
+    empty both.  ``watch`` (a :func:`snapshot_watch`) counts rows that break the
+    snapshot's gates while whoever reads the result does so.
     """
     earnings = enrich.upcoming(earnings)
     plan = settle(strategy_plan(earnings, grades, quotes), "snapshot-plan")
     snap = priced_snapshot(plan, quotes, greeks, oi, right)
     snap = enrich.with_earnings_and_grades(snap, earnings, enrich.plan_grades(grades))
     snap = expected_price(enrich.with_cost_stats(snap, enrich.latest_cost_stats(cost_stats)))
-    peaks = peaks_by_right(peak_expirations(volatility_chain(greeks)))
+    # Only the plan's symbols have calendars to flag.
+    of_symbols = greeks.join(plan.select("symbol").distinct(), "symbol", "left_semi")
+    peaks = peaks_by_right(peak_expirations(volatility_chain(of_symbols)))
     snap = with_iv_flags(snap, peaks)
-    return with_day_counts(snap, holidays, "trade_date", "exp_front", "fexp")
+    counted = with_day_counts(snap, holidays, "trade_date", "exp_front", "fexp")
+    return counted if watch is None else watched(counted, watch)
+
+
+def snapshot_watch() -> Watch:
+    """Gates of a snapshot: one row per strike, one price per symbol and day, legs in order, a cost."""
+    key = key_of("symbol", "weeks", "trade_date", "strike_milli")
+    return Watch(
+        [
+            Gate("strike_repeats", F.col("__repeats") > 1, key),
+            Gate("several_prices", F.col("__low") != F.col("__high"), key),
+            Gate("legs_out_of_order", F.col("exp_front") >= F.col("exp_back"), key),
+            Gate("no_cost", F.col("calCost").isNull(), key),
+        ]
+    )
+
+
+def watched(snapshot: DataFrame, watch: Watch) -> DataFrame:
+    """The snapshot with the watch on it; its few rows per symbol and day are counted by windows."""
+    strikes = Window.partitionBy("symbol", "trade_date", "weeks", "opt_right", "strike_milli")
+    prices = Window.partitionBy("symbol", "trade_date")
+    counted = snapshot.withColumns(
+        {
+            "__repeats": F.count(F.lit(1)).over(strikes),
+            "__low": F.min("underlying").over(prices),
+            "__high": F.max("underlying").over(prices),
+        }
+    )
+    return watch.on(counted).drop("__repeats", "__low", "__high")

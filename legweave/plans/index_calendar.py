@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legweave.functions.pricing import midpoint_ms, moneyness, wide_calendar_metrics, wide_iv_diff
 from legweave.operators.filters import drop_edge_bars
+from legweave.operators.gates import Gate, Watch, key_of
 from legweave.operators.ivchain import in_horizon
 from legweave.operators.legs import calendar_pairs, merge, widen_put_call
 from legweave.operators.quality import underlying_consensus
@@ -38,21 +40,49 @@ def _priced_pairs(pairs: DataFrame, holidays: Sequence[int]) -> DataFrame:
     return with_day_counts(to_front, holidays, "trade_date", "exp_G1", "bexp", "G1")
 
 
-def index_calendars(
-    greeks: DataFrame, quotes: DataFrame, holidays: Sequence[int], max_span_days: int = SNAPSHOT_SPAN_DAYS
-) -> DataFrame:
+@dataclass(frozen=True)
+class IndexSnapshot:
+    """Calendars of the days whose prices agree, the other days, and the gate that parted them."""
+
+    calendars: DataFrame
+    disagreeing: DataFrame
+    watch: Watch
+
+
+def index_snapshot(
+    greeks: DataFrame,
+    quotes: DataFrame,
+    holidays: Sequence[int],
+    max_span_days: int = SNAPSHOT_SPAN_DAYS,
+    strict: bool = False,
+) -> IndexSnapshot:
     """The index snapshot: joined, widened, paired, priced and day-counted.
 
     Expirations beyond the horizon take no part.  Days on which a symbol's
-    expirations disagree about its price give nothing; ``underlying_consensus``
-    says which.
+    expirations disagree about its price give no calendars; they are returned
+    with their mean price and deviation, and with ``strict`` they are an error.
+    The prices come from a pass over the columns they need; its result, a row
+    per symbol and day, is written once.
     """
     day = ["symbol", "trade_date"]
-    near = settle(in_horizon(greeks, HORIZON_DAYS), "near-greeks")
-    agreed = underlying_consensus(near, day).filter("agrees").select(*day)
+    near = in_horizon(greeks, HORIZON_DAYS)
+    watch = Watch([Gate("price_disagreement", ~F.col("agrees"), key_of(*day))])
+    prices = near.select(*day, "exp", "strike_milli", "opt_right", "underlying")
+    consensus = settle(watch.on(underlying_consensus(prices, day)), "consensus")
+    if strict:
+        watch.require()
+    agreed = consensus.filter("agrees").select(*day)
     wide = both_rights(salted_join(near, agreed, day, "left_semi"), quotes)
     pairs = calendar_pairs(wide, ["symbol", "trade_date", "strike_milli"], max_span_days)
-    return _priced_pairs(pairs, holidays)
+    disagreeing = consensus.filter("NOT agrees").select(*day, "mean_price", "deviation")
+    return IndexSnapshot(_priced_pairs(pairs, holidays), disagreeing, watch)
+
+
+def index_calendars(
+    greeks: DataFrame, quotes: DataFrame, holidays: Sequence[int], max_span_days: int = SNAPSHOT_SPAN_DAYS
+) -> DataFrame:
+    """The calendars of :func:`index_snapshot` alone."""
+    return index_snapshot(greeks, quotes, holidays, max_span_days).calendars
 
 
 def recovered_calendars(

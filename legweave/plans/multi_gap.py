@@ -13,7 +13,9 @@ from legweave.operators.expirations import (
     sorted_set,
 )
 from legweave.operators.filters import enough_dates, strike_corridor
-from legweave.operators.legs import merge, widen_legs
+from legweave.operators.gates import Gate, Watch, key_of
+from legweave.operators.legs import collapse_duplicates, duplicates_agree, merge, widen_legs
+from legweave.market import covered_days, on_days
 from legweave.plans.equity_history import reduced
 from legweave.schemas import BAR_KEYS
 from legweave.scratch import settle
@@ -44,20 +46,41 @@ def run_plan(quotes: DataFrame, greeks: DataFrame, gaps: int = GAPS, min_dates:
         {"exp_front": F.get("exps", F.lit(0)), "trade_dates": F.array("first_day", "last_day")}
     )
     # The corridor reads the plan twice, so it is written once.
-    return strike_corridor(settle(plan, "run-plan"), greeks, RUN_KEYS, CORRIDOR_RIGHT)
+    plan = settle(plan, "run-plan")
+    return strike_corridor(plan, on_days(greeks, covered_days(plan, "first_day", "last_day")), RUN_KEYS, CORRIDOR_RIGHT)
 
 
 def leg_names(gaps: int) -> list[str]:
     return ["front", *[f"back_G{g}" for g in range(1, gaps + 1)]]
 
 
-def multi_gap_history(quotes: DataFrame, greeks: DataFrame, gaps: int = GAPS) -> DataFrame:
+def leg_columns(gaps: int) -> list[str]:
+    """Suffixes of the legs' columns: puts, then calls."""
+    return [f"{r}_{n}" for r in ("P", "C") for n in leg_names(gaps)]
+
+
+def one_underlying(gaps: int) -> dict[str, list[str]]:
+    """The underlyings of all legs, of which that of the front put is kept."""
+    return {"underlying": [f"underlying_{n}" for n in leg_columns(gaps)]}
+
+
+def agreement_watch(gaps: int = GAPS) -> Watch:
+    """Counts the bars whose legs report different underlyings."""
+    key = key_of("symbol", "trade_date", "ms_of_day", "strike_milli")
+    return Watch([Gate("underlying_differs", ~duplicates_agree(one_underlying(gaps)), key)])
+
+
+def multi_gap_history(
+    quotes: DataFrame, greeks: DataFrame, gaps: int = GAPS, watch: Watch | None = None, strict: bool = False
+) -> DataFrame:
     """Quotes and greeks of all legs and both rights per strike and bar.
 
     Every leg of every run is looked up in one pass over the bars, then the legs
     are put side by side by one aggregation.  Runs with five trade dates or
-    fewer give nothing.
+    fewer give nothing.  Legs may report different underlyings: ``watch`` (an
+    :func:`agreement_watch`) counts them, and with ``strict`` they are an error.
     """
+    watch = watch or agreement_watch(gaps)
     plan = run_plan(quotes, greeks, gaps)
     names = F.array(*[F.lit(n) for n in leg_names(gaps)])
     wanted = plan.select(
@@ -84,20 +107,19 @@ def multi_gap_history(quotes: DataFrame, greeks: DataFrame, gaps: int = GAPS) ->
     days = contracts.agg(F.min("from_day").alias("first"), F.max("to_day").alias("last")).first()  # one row
     first, last = days.first or 0, days.last or 0
     # Both tables are cut to the wanted contracts and days before they meet.
-    quoted, greek = (reduced(t, contracts, first, last) for t in (quotes, greeks.drop("bid", "ask")))
+    wanted_days = covered_days(contracts, "from_day", "to_day")
+    quoted, greek = (reduced(t, contracts, first, last, wanted_days) for t in (quotes, greeks.drop("bid", "ask")))
     bars = merge(quoted, greek, BAR_KEYS)
     rows = salted_join(bars, wanted, ["symbol", "exp", "strike_milli"]).filter(
         F.col("trade_date").between(F.col("first_day"), F.col("last_day"))
     )
     cells = rows.withColumn("__cell", F.concat_ws("_", "opt_right", "__name"))
     values = [n for n in bars.columns if n not in BAR_KEYS and n != "underlying"]
-    # One underlying is kept for the row: that of the front put.
-    with_front = cells.withColumn("underlying", F.when(F.col("__cell") == "P_front", F.col("underlying")))
     keys = [*RUN_KEYS, "strike_milli", "trade_date", "ms_of_day"]
-    columns = [f"{r}_{n}" for r in ("P", "C") for n in leg_names(gaps)]
-    wide = widen_legs(with_front, keys, "__cell", columns, [*values, "underlying"])
-    front_price = "underlying_P_front"
-    others = [f"underlying_{n}" for n in columns if f"underlying_{n}" != front_price]
-    wide = wide.drop(*others).withColumnRenamed(front_price, "underlying")
+    wide = watch.on(widen_legs(cells, keys, "__cell", leg_columns(gaps), [*values, "underlying"]))
+    wide, _ = collapse_duplicates(wide, one_underlying(gaps))
     exps = {f"exp_{n}": F.get("exps", F.lit(i)) for i, n in enumerate(leg_names(gaps))}
-    return enough_dates(wide, RUN_KEYS).withColumns(exps)
+    result = enough_dates(wide, RUN_KEYS).withColumns(exps)
+    if strict:
+        watch.require()
+    return result
