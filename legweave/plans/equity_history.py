@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legweave.functions.pricing import strike_price
+from legweave.market import covered_days, on_days
 from legweave.operators.enrich import in_symbols
 from legweave.operators.expirations import choose_expirations, common_listing, contract_listing, sorted_set
 from legweave.operators.filters import enough_dates, strike_corridor
@@ -60,7 +61,8 @@ def plan_strikes(plan: DataFrame, quotes: DataFrame, greeks: DataFrame, right: s
     expirations = listing.groupBy("symbol").agg(sorted_set("exp").alias("expirations"))
     chosen = choose_expirations(plan, expirations)
     shared = settle(common_listing(chosen, listing, MIN_COMMON_DATES), "history-plan")
-    return strike_corridor(shared, greeks, PLAN_KEYS, right)
+    days = shared.select(F.explode("trade_dates").alias("trade_date"))
+    return strike_corridor(shared, on_days(greeks, days), PLAN_KEYS, right)
 
 
 def wanted_contracts(ready: DataFrame) -> DataFrame:
@@ -83,9 +85,13 @@ def wanted_contracts(ready: DataFrame) -> DataFrame:
     )
 
 
-def reduced(rows: DataFrame, contracts: DataFrame, first: int, last: int) -> DataFrame:
-    """Rows of the wanted contracts on their days; ``first`` and ``last`` bound the scan."""
+def reduced(
+    rows: DataFrame, contracts: DataFrame, first: int, last: int, days: DataFrame | None = None
+) -> DataFrame:
+    """Rows of the wanted contracts on their days; ``first`` and ``last`` bound the scan, ``days`` prune it."""
     near = rows.filter(F.col("trade_date").between(first, last))
+    if days is not None:
+        near = on_days(near, days)
     return (
         near.join(contracts, CONTRACT)
         .filter(F.col("trade_date").between(F.col("from_day"), F.col("to_day")))
@@ -113,7 +119,8 @@ def equity_history(
     contracts = settle(wanted_contracts(ready), "contracts")
     days = contracts.agg(F.min("from_day").alias("first"), F.max("to_day").alias("last")).first()  # one row
     first, last = days.first or 0, days.last or 0
-    quoted, greek, interest = (reduced(t, contracts, first, last) for t in market)
+    wanted_days = covered_days(contracts, "from_day", "to_day")
+    quoted, greek, interest = (reduced(t, contracts, first, last, wanted_days) for t in market)
     # Quote and greek rows keep their own columns apart only where both have one.
     bars = settle(merge(quoted, greek, BAR_KEYS, "inner", ("_quote", "_ivgreek")), "bars")
     daily_oi = settle(earliest_per_day(interest, CONTRACT_KEYS), "daily-oi")

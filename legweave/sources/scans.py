@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legweave.functions.pricing import mark
+from legweave.market import covered_days, on_days
 from legweave.schemas import QUOTE_EXTRAS
 from legweave.skew import salted_join
 
@@ -38,10 +39,12 @@ def history_slices(rows: DataFrame, requests: DataFrame) -> DataFrame:
 
     ``requests`` holds symbol, exp, strike_milli, opt_right, start_date and
     end_date.  All requests are answered by one scan and one join; a request
-    without data gives no rows.
+    without data gives no rows.  Of a table partitioned by trade date only the
+    days that some request covers are read.
     """
     keys = ["symbol", "exp", "strike_milli", "opt_right"]
-    hits = salted_join(rows, requests, keys)
+    near = on_days(rows, covered_days(requests, "start_date", "end_date"))
+    hits = salted_join(near, requests, keys)
     return hits.filter(F.col("trade_date").between(F.col("start_date"), F.col("end_date"))).drop(
         "start_date", "end_date"
     )
