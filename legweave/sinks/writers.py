@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legweave.scratch import settle
-from legweave.sources.tables import check_format, delete, manifest
+from legweave.sources.tables import check_format, delete, exists, manifest
 
 SECONDS_PER_DAY = 86_400
 RETENTION_DAYS = 7
@@ -95,29 +96,67 @@ def delete_old_versions(spark: SparkSession, path: str, now: int, days: int = RE
     return counts
 
 
-def append_ledger(failed: DataFrame, path: str, key: str = "filepath") -> None:
-    """Adds the keys of failed work to the ledger."""
-    failed.select(key).write.mode("append").parquet(path)
+def append_run(rows: DataFrame, path: str, run: int) -> None:
+    """Writes one run's rows as its own partition; repeating a run replaces it, so a retry adds nothing twice."""
+    (
+        rows.withColumn("run", F.lit(run).cast("long"))
+        .write.partitionBy("run")
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .parquet(path)
+    )
 
 
-def reset_ledger(spark: SparkSession, path: str, key: str = "filepath") -> None:
+def append_ledger(failed: DataFrame, path: str, run: int, key: str = "filepath") -> None:
+    """Adds the keys of one run's failed work to the ledger."""
+    append_run(failed.select(key).distinct(), path, run)
+
+
+def reset_ledger(spark: SparkSession, path: str) -> None:
     """Empties the ledger, as a run that has come to its end does."""
-    spark.createDataFrame([], f"{key} string").write.mode("overwrite").parquet(path)
+    delete(spark, path)
+
 
+def read_ledger(spark: SparkSession, path: str, key: str = "filepath") -> DataFrame:
+    """The distinct keys of the ledger; none where nothing has failed yet."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], f"{key} string")
+    return spark.read.schema(f"{key} string, run long").parquet(path).select(key).distinct()
 
-def read_ledger(spark, path: str, key: str = "filepath") -> DataFrame:
-    return spark.read.schema(f"{key} string").parquet(path).distinct()
+
+def compact_ledger(spark: SparkSession, path: str, run: int, key: str = "filepath") -> None:
+    """Gathers the keys of all runs up to ``run`` in the partition of ``run``, then removes the earlier ones.
+
+    A crash between the two leaves keys twice, which readers and a later
+    compaction do not mind; it never leaves one out.
+    """
+    if not exists(spark, path):
+        return
+    kept = settle(spark.read.schema(f"{key} string, run long").parquet(path).filter(F.col("run") <= run), "ledger")
+    append_run(kept.select(key).distinct(), path, run)
+    for earlier in kept.filter(F.col("run") < run).select("run").distinct().collect():  # one row per run
+        delete(spark, f"{path}/run={earlier['run']}")
 
 
 def append_alerts(alerts: DataFrame, path: str, run: int) -> None:
-    """Writes one run's alerts as its own partition of the log.
+    """Writes one run's alerts as its own partition of the log."""
+    append_run(alerts, path, run)
+
+
+def replace_view(df: DataFrame, name: str, root: str) -> str:
+    """Writes a new version below ``root``, then points the view ``name`` at it; returns the version's path.
 
-    Repeating a run replaces its partition, so a retried run adds no duplicates.
+    The view is switched in one catalog operation once the files are complete,
+    so readers see the old version until then, and keep it if the write fails.
     """
-    (
-        alerts.withColumn("run", F.lit(run).cast("long"))
-        .write.partitionBy("run")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+    path = f"{root}/version={uuid.uuid4().hex}"
+    df.write.parquet(path)
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT * FROM parquet.`{path}`")
+    return path
+
+
+def replace_by_union(frames: Sequence[DataFrame], name: str, root: str) -> str | None:
+    """:func:`replace_view` by the union of the frames, absent columns null."""
+    if not frames:
+        return None
+    return replace_view(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), name, root)
