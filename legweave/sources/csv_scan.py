@@ -24,6 +24,37 @@ def read_bulk_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
     )
 
 
+REJECTED = "rejected"
+
+
+def read_bulk_csv_or_reject(
+    spark: SparkSession, path: str, schema: T.StructType, needed: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows of all CSV files below ``path``, and the text and file of the rows that are none.
+
+    A row is rejected when it has too few or too many values, when a value
+    doesn't fit its type, or when one of ``needed`` is empty.
+    """
+    wide = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    rows = (
+        spark.read.schema(wide)
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .csv(path)
+        .withColumn("file", F.input_file_name())
+    )
+    names = [f.name for f in schema.fields]
+    lacking = F.lit(False)
+    for name in needed:
+        lacking = lacking | F.col(name).isNull()
+    # True of every row.  It reads all columns, or a value that no later step asks for would not be checked.
+    read = F.xxhash64(*names) >= F.lit(-(2**63))
+    good = rows.filter(read & F.col(REJECTED).isNull() & ~lacking).select(*names)
+    text = F.coalesce(REJECTED, F.to_csv(F.struct(*names)))
+    return good, rows.filter(F.col(REJECTED).isNotNull() | lacking).select("file", text.alias(REJECTED))
+
+
 def with_our_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in VENDOR_NAMES.items() if k in df.columns})
 

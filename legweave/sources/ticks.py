@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from legweave.schemas import PAGE_SCHEMA, VENDOR_NAMES
 
@@ -17,6 +18,21 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE_SCHEMA).json(path)
 
 
+REJECTED = "rejected"
+
+
+def read_pages_or_reject(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Good pages, and the text and file of those that are no page: not JSON, or without header or response."""
+    schema = T.StructType([*PAGE_SCHEMA.fields, T.StructField(REJECTED, T.StringType())])
+    lines = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECTED).json(path)
+    # Spark does not let the rejected text be read alone, so each side keeps the page's columns.
+    lines = lines.withColumn("file", F.input_file_name())
+    whole = F.col("header.format").isNotNull() & F.col("response").isNotNull()
+    good = lines.filter(F.col(REJECTED).isNull() & whole).select("header", "response")
+    text = F.coalesce(REJECTED, F.to_json(F.struct("header", "response")))
+    return good, lines.filter(F.col(REJECTED).isNotNull() | ~whole).select("file", text.alias(REJECTED))
+
+
 def flatten_pages(pages: DataFrame, fields: dict[str, str], contract: bool = True) -> DataFrame:
     """One row per response item, with the requested header fields cast.
 
