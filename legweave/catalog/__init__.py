@@ -3,6 +3,7 @@
 from legweave.catalog import (  # noqa: F401
     aggregate_queries,
     filter_queries,
+    gate_queries,
     job_queries,
     join_queries,
     model_queries,

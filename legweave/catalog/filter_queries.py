@@ -71,32 +71,42 @@ def f02(spark, sf):
     return filters.near_the_money(pairs, LADDER_KEYS, 2).select(*cols(PAIR_IDS), "undPricePctDiff")
 
 
+_LISTED = "(SELECT DISTINCT symbol, exp AS exp_{leg}, {what} FROM quotes)"
+define(
+    "leg_pairs",
+    """SELECT f.symbol, f.exp AS exp_front, b.exp AS exp_back FROM (SELECT DISTINCT symbol, exp FROM quotes) f
+  JOIN (SELECT DISTINCT symbol, exp FROM quotes) b ON f.symbol = b.symbol AND f.exp < b.exp""",
+)
+define(
+    "pair_days",
+    f"""SELECT symbol, exp_front, exp_back, min(trade_date) AS d0, max(trade_date) AS d1, CAST(count(*) AS INT) AS n_dates FROM leg_pairs
+  JOIN {_LISTED.format(leg='front', what='trade_date')} f USING (symbol, exp_front) JOIN {_LISTED.format(leg='back', what='trade_date')} b USING (symbol, exp_back, trade_date)
+  GROUP BY 1, 2, 3""",
+)
+define(
+    "pair_strikes",
+    f"""SELECT symbol, exp_front, exp_back, strike_milli, row_number() OVER (PARTITION BY symbol, exp_front, exp_back ORDER BY strike_milli) AS place,
+  count(*) OVER (PARTITION BY symbol, exp_front, exp_back) AS n FROM leg_pairs
+  JOIN {_LISTED.format(leg='front', what='strike_milli')} f USING (symbol, exp_front) JOIN {_LISTED.format(leg='back', what='strike_milli')} b USING (symbol, exp_back, strike_milli)""",
+)
+
+
 @query(
     "f03_strike_corridor",
-    """SELECT p.symbol, strike_milli, min_und, max_und FROM (
-      SELECT symbol, min(underlying) AS min_und, max(underlying) AS max_und FROM greeks g JOIN (
-        SELECT symbol, strikes[len(strikes) // 2 + 1] AS mid FROM (
-          SELECT symbol, list(strike_milli ORDER BY strike_milli) AS strikes FROM (
-            SELECT symbol, strike_milli FROM quotes WHERE exp = 20240119 INTERSECT
-            SELECT symbol, strike_milli FROM quotes WHERE exp = 20240126) WHERE symbol IN (SELECT symbol FROM earnings) GROUP BY 1)) m USING (symbol)
-      WHERE strike_milli = mid AND exp = 20240119 AND opt_right = 'C' AND underlying <> 0 GROUP BY 1) u
-    JOIN (SELECT symbol, strike_milli FROM quotes WHERE exp = 20240119 INTERSECT
-          SELECT symbol, strike_milli FROM quotes WHERE exp = 20240126) p USING (symbol)
+    """SELECT symbol, exp_front, exp_back, strike_milli, min_und, max_und FROM pair_strikes JOIN (
+      SELECT symbol, exp_front, exp_back, min(underlying) AS min_und, max(underlying) AS max_und FROM pair_days
+      JOIN (SELECT symbol, exp_front, exp_back, strike_milli FROM pair_strikes WHERE place = n // 2 + 1) m USING (symbol, exp_front, exp_back)
+      JOIN (SELECT symbol, exp AS exp_front, strike_milli, trade_date, underlying FROM greeks WHERE opt_right = 'C' AND underlying <> 0) g
+        USING (symbol, exp_front, strike_milli) WHERE trade_date BETWEEN d0 AND d1 GROUP BY 1, 2, 3) u USING (symbol, exp_front, exp_back)
     WHERE strike_milli / 1000 > min_und * 0.94e0 AND strike_milli / 1000 < max_und * 1.06e0""",
 )
 def f03(spark, sf):
-    q = fx.quotes(spark, sf)
-    listing = ex.contract_listing(q)
-    symbols = fx.earnings(spark, sf).select("symbol").distinct()
-    plan = symbols.select("symbol", F.lit(20240119).alias("exp_front"), F.lit(20240126).alias("exp_back"))
-    # Every history date lies between the first and last shared date of a plan.
-    ready = filters.strike_corridor(
-        ex.common_listing(plan, listing, 1).withColumn("trade_dates", F.array(F.lit(20240101), F.lit(20240201))),
-        fx.greeks(spark, sf),
-        ["symbol"],
-        "C",
-    )
-    return ready.select("symbol", F.explode("strikes").alias("strike_milli"), "min_und", "max_und")
+    """The corridor of every pair of listed expirations."""
+    keys = ["symbol", "exp_front", "exp_back"]
+    listed = ex.common_listing(ex.expiration_pairs(fx.quotes(spark, sf)), ex.contract_listing(fx.quotes(spark, sf)), 1)
+    plans = listed.withColumn("strikes", F.array_sort("strikes"))
+    ready = filters.strike_corridor(plans, fx.greeks(spark, sf), keys, "C")
+    return ready.select(*keys, F.explode("strikes").alias("strike_milli"), "min_und", "max_und")
 
 
 @query("f04_zero_underlying", f"SELECT {BAR_IDS}, underlying FROM greeks WHERE underlying <> 0")
@@ -130,18 +140,11 @@ def f07(spark, sf):
     return rows.filter((F.col("exp") >= F.col("report_date")) & ex.front_near_report("report_date", "exp"))
 
 
-@query(
-    "f08_minimum_common_dates",
-    """SELECT symbol, f.exp AS exp_front, b.exp AS exp_back, CAST(count(*) AS INT) AS n_dates
-      FROM (SELECT DISTINCT symbol, exp, trade_date FROM quotes) f JOIN (SELECT DISTINCT symbol, exp, trade_date FROM quotes) b
-      USING (symbol, trade_date) WHERE f.exp = 20240119 AND b.exp > f.exp GROUP BY 1, 2, 3 HAVING count(*) >= 5""",
-)
+@query("f08_minimum_common_dates", "SELECT symbol, exp_front, exp_back, n_dates FROM pair_days WHERE n_dates >= 5")
 def f08(spark, sf):
+    """Pairs of listed expirations with five shared trade dates or more."""
     q = fx.quotes(spark, sf)
-    later = F.array(*[F.lit(e) for e in (*fx.EXPIRATIONS[1:], fx.FAR_EXPIRATION)])
-    symbols = fx.earnings(spark, sf).select("symbol").distinct()
-    plan = symbols.select("symbol", F.lit(20240119).alias("exp_front"), F.explode(later).alias("exp_back"))
-    return ex.common_listing(plan, ex.contract_listing(q), 5).select(
+    return ex.common_listing(ex.expiration_pairs(q), ex.contract_listing(q), 5).select(
         "symbol", "exp_front", "exp_back", F.size("trade_dates").alias("n_dates")
     )
 

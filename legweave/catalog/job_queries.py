@@ -9,6 +9,7 @@ from legweave.catalog.ctes import define
 from legweave.catalog.filter_queries import PRESET_SQL, cols, day_sql
 from legweave.catalog.projection_queries import GAP_SQL, metric_sql, round_sql
 from legweave.catalog.registry import query
+from legweave.catalog.source_queries import landed_by_day
 from legweave.functions.dates import EXCHANGE_ZONE, epoch_to_local_day
 from legweave.functions.labels import iv_agreement, score_tier
 from legweave.operators import alerts
@@ -17,7 +18,7 @@ from legweave.plans.best_calendars import best_calendars
 from legweave.plans.equity_history import equity_history, history_failures, history_plan, history_roots
 from legweave.plans.equity_snapshot import equity_snapshot
 from legweave.plans.features import feature_frame
-from legweave.plans.index_calendar import index_calendars, recovered_calendars
+from legweave.plans.index_calendar import index_snapshot, recovered_calendars
 from legweave.plans.multi_gap import multi_gap_history
 from legweave.scratch import settle
 
@@ -93,12 +94,15 @@ def days_sql(start: str, end: str) -> str:
       FROM index_pairs JOIN cal t ON trade_date = t.day JOIN cal e ON exp = e.day JOIN cal g ON "exp_G1" = g.day""",
 )
 def job_index(spark, sf):
+    return index_run(spark, sf).calendars.withColumn("undPricePctDiff", F.col("undPricePctDiff").cast("double"))
+
+
+def index_run(spark, sf):
     rows = landed_chain(spark, sf)
     # Some symbols' expirations disagree about the price, so their days drop out.
     off = F.when(F.col("symbol").endswith("7") & (F.col("exp") == 20240202), 1.0).otherwise(0.0)
     greeks = fx.snapshot_greeks_of(rows).withColumn("underlying", F.col("underlying") + off)
-    out = index_calendars(greeks, fx.snapshot_quotes_of(rows), fx.HOLIDAYS)
-    return out.withColumn("undPricePctDiff", F.col("undPricePctDiff").cast("double"))
+    return index_snapshot(greeks, fx.snapshot_quotes_of(rows), fx.HOLIDAYS)
 
 
 define(
@@ -232,7 +236,7 @@ SNAP_OUT = [
 ]
 
 
-def _snapshot(spark, sf):
+def _snapshot(spark, sf, watch=None):
     rows = landed_chain(spark, sf)
     return equity_snapshot(
         fx.snapshot_quotes_of(rows),
@@ -242,6 +246,7 @@ def _snapshot(spark, sf):
         fx.grades(spark, sf),
         fx.cost_stats(spark, sf),
         fx.HOLIDAYS,
+        watch=watch,
     )
 
 
@@ -398,7 +403,7 @@ def _history(spark, sf):
     symbols = fx.sectors(spark, sf).select("symbol")
     plan = history_plan(reports.drop("dte"), symbols, done, HIST_WEEKS, "C", fx.AS_OF)
     roots = history_roots(symbols, fx.aliases(spark, sf))
-    rows = landed_history(spark, sf)
+    rows = landed_by_day(fx.history(spark, sf), "history")
     # Some contracts' open interest is missing altogether, for whole legs too.
     interest = fx.open_interest_of(rows).filter(~((F.col("exp") == 20240126) & F.col("symbol").endswith("3")))
     return plan, equity_history(plan, fx.quotes_of(rows), fx.greeks_of(rows), interest, "C", roots)
@@ -416,8 +421,8 @@ def job_failures(spark, sf):
 
 # ---------------------------------------------------------- multi-gap history
 
-# Calls report another underlying than puts here, so that the kept one shows.
-define("mg_bars", "SELECT * REPLACE (underlying + CASE opt_right WHEN 'C' THEN 0.5e0 ELSE 0e0 END AS underlying) FROM daily")
+# Calls of every other strike report another underlying than puts here, so that the kept one shows.
+define("mg_bars", "SELECT * REPLACE (underlying + CASE WHEN opt_right = 'C' AND strike_milli % 2000 = 0 THEN 0.5e0 ELSE 0e0 END AS underlying) FROM daily")
 _RUNS = [[*fx.EXPIRATIONS, fx.FAR_EXPIRATION][i : i + 4] for i in range(2)]
 define(
     "run_bars",
@@ -462,13 +467,17 @@ GROUP BY 1, 2, 3, 4, 5 HAVING count(*) = 8""",
       SEMI JOIN (SELECT symbol, exps FROM gap_rows GROUP BY 1, 2 HAVING count(DISTINCT trade_date) > 5) k USING (symbol, exps)""",
 )
 def job_multi_gap(spark, sf):
-    d = settle(fx.daily(spark, sf), "daily")
+    return multi_gap_run(spark, sf).drop("exps")
+
+
+def multi_gap_run(spark, sf, watch=None):
+    d = landed_by_day(fx.daily(spark, sf), "daily")
     keys = ["symbol", "opt_right", "strike_milli", "exp", "trade_date", "ms_of_day"]
-    price = F.col("underlying") + F.when(F.col("opt_right") == "C", 0.5).otherwise(0.0)
-    out = multi_gap_history(
-        d.select(*keys, "bid", "ask"), d.select(*keys, "implied_vol", price.alias("underlying"))
+    odd = (F.col("opt_right") == "C") & (F.col("strike_milli") % 2000 == 0)
+    price = F.col("underlying") + F.when(odd, 0.5).otherwise(0.0)
+    return multi_gap_history(
+        d.select(*keys, "bid", "ask"), d.select(*keys, "implied_vol", price.alias("underlying")), watch=watch
     )
-    return out.drop("exps")
 
 
 # ---------------------------------------------------------------------- alerts

@@ -21,24 +21,25 @@ LEG_IDS = "symbol, opt_right, strike_milli, trade_date"
 @query(
     "j01_front_back_snapshot",
     f"""SELECT {LEG_IDS}, f.bid AS bid_front, f.ask AS ask_front, f.exp AS exp_front, b.bid AS bid_back, b.ask AS ask_back, b.exp AS exp_back
-      FROM (SELECT * FROM chain WHERE exp = 20240119) f JOIN (SELECT * FROM chain WHERE exp = 20240202) b USING ({LEG_IDS})""",
+      FROM chain f JOIN chain b USING ({LEG_IDS}) WHERE f.exp < b.exp""",
 )
 def j01(spark, sf):
+    """The legs of every pair of listed expirations."""
     q = fx.chain(spark, sf).select(*cols(LEG_IDS), "exp", "bid", "ask")
-    front = legs.leg_slice(q, "front", F.lit(20240119), "quotes")
-    back = legs.leg_slice(q, "back", F.lit(20240202), "quotes")
-    return legs.join_front_back(front, back)
+    pairs = ex.expiration_pairs(q)
+    return legs.join_pair_legs(*[legs.leg_scan(q, pairs, leg, "quotes") for leg in legs.LEGS])
 
 
 @query(
     "j02_front_back_history",
     f"""SELECT {LEG_IDS}, ms_of_day, f.bid AS bid_front, b.bid AS bid_back, f.exp AS exp_front, b.exp AS exp_back
-      FROM (SELECT * FROM hist WHERE exp = 20240126) f JOIN (SELECT * FROM hist WHERE exp = 20240209) b USING ({LEG_IDS}, ms_of_day)""",
+      FROM hist f JOIN hist b USING ({LEG_IDS}, ms_of_day) WHERE f.exp < b.exp""",
 )
 def j02(spark, sf):
     q = fx.history(spark, sf).select(*cols(LEG_IDS), "ms_of_day", "exp", "bid")
-    front, back = (q.filter(F.col("exp") == e) for e in (20240126, 20240209))
-    return legs.join_front_back(front, back, legs.HISTORY_LEG_KEYS)
+    pairs = ex.expiration_pairs(q)
+    front, back = (legs.leg_scan(q, pairs, leg, "bars") for leg in legs.LEGS)
+    return legs.join_pair_legs(front, back, legs.HISTORY_LEG_KEYS)
 
 
 @query(
@@ -129,20 +130,20 @@ def j07_widen(spark, sf):
 
 @query(
     "j08_wide_greeks_quotes",
-    """SELECT q.symbol, q.trade_date, q.ms_of_day, q.strike_milli, q."bid_P", q."bid_C", g."iv_P", g."iv_C" FROM
-      (SELECT p.symbol, p.trade_date, p.ms_of_day, p.strike_milli, p.bid AS "bid_P", c.bid AS "bid_C" FROM daily p JOIN daily c
+    """SELECT q.symbol, q.exp, q.trade_date, q.ms_of_day, q.strike_milli, q."bid_P", q."bid_C", g."iv_P", g."iv_C" FROM
+      (SELECT p.symbol, p.exp, p.trade_date, p.ms_of_day, p.strike_milli, p.bid AS "bid_P", c.bid AS "bid_C" FROM daily p JOIN daily c
         ON p.symbol = c.symbol AND p.trade_date = c.trade_date AND p.ms_of_day = c.ms_of_day AND p.strike_milli = c.strike_milli
-        AND p.exp = c.exp WHERE p.opt_right = 'P' AND c.opt_right = 'C' AND p.exp = 20240119) q JOIN
-      (SELECT p.symbol, p.trade_date, p.ms_of_day, p.strike_milli, p.implied_vol AS "iv_P", c.implied_vol AS "iv_C" FROM daily p JOIN daily c
+        AND p.exp = c.exp WHERE p.opt_right = 'P' AND c.opt_right = 'C') q JOIN
+      (SELECT p.symbol, p.exp, p.trade_date, p.ms_of_day, p.strike_milli, p.implied_vol AS "iv_P", c.implied_vol AS "iv_C" FROM daily p JOIN daily c
         ON p.symbol = c.symbol AND p.trade_date = c.trade_date AND p.ms_of_day = c.ms_of_day AND p.strike_milli = c.strike_milli
-        AND p.exp = c.exp WHERE p.opt_right = 'P' AND c.opt_right = 'C' AND p.exp = 20240119) g
-      USING (symbol, trade_date, ms_of_day, strike_milli)""",
+        AND p.exp = c.exp WHERE p.opt_right = 'P' AND c.opt_right = 'C') g
+      USING (symbol, exp, trade_date, ms_of_day, strike_milli)""",
 )
 def j08(spark, sf):
-    keys = ["symbol", "trade_date", "ms_of_day", "strike_milli"]
-    front = fx.daily(spark, sf).filter(F.col("exp") == 20240119)
-    q = legs.widen_put_call(front.select(*keys, "opt_right", "bid"), keys)
-    g = legs.widen_put_call(front.select(*keys, "opt_right", F.col("implied_vol").alias("iv")), keys)
+    keys = ["symbol", "exp", "trade_date", "ms_of_day", "strike_milli"]
+    bars = fx.daily(spark, sf)
+    q = legs.widen_put_call(bars.select(*keys, "opt_right", "bid"), keys)
+    g = legs.widen_put_call(bars.select(*keys, "opt_right", F.col("implied_vol").alias("iv")), keys)
     return q.join(g, keys)
 
 
@@ -438,11 +439,13 @@ def j23(spark, sf):
 
 @query(
     "j24_earnings_comment",
-    "SELECT row_id, symbol, comment, \"sourceUsed\" FROM candidates LEFT JOIN (SELECT * FROM earnings WHERE dte < 12) USING (symbol)",
+    """SELECT row_id, c.symbol, comment, "sourceUsed" FROM (SELECT row_id, CASE WHEN row_id % 9 = 0 THEN concat('N', symbol) ELSE symbol END AS symbol FROM candidates) c
+      LEFT JOIN earnings e ON c.symbol = e.symbol""",
 )
 def j24(spark, sf):
-    rows = fx.candidates(spark, sf).select("row_id", "symbol")
-    return enrich.with_comment(rows, fx.earnings(spark, sf).filter(F.col("dte") < 12))
+    """Some candidates have no report; a symbol with two reports has a row for each."""
+    unknown = F.when(F.col("row_id") % 9 == 0, F.concat(F.lit("N"), "symbol")).otherwise(F.col("symbol"))
+    return enrich.with_comment(fx.candidates(spark, sf).select("row_id", unknown.alias("symbol")), fx.earnings(spark, sf))
 
 
 @query(
@@ -486,12 +489,11 @@ def j27(spark, sf):
       (SELECT string_agg(x, ',' ORDER BY x) FROM (SELECT unnest(list_intersect(f.d, b.d)) AS x)) AS trade_dates
       FROM (SELECT symbol, exp, list(DISTINCT trade_date) AS d FROM chain GROUP BY 1, 2) f
       JOIN (SELECT symbol, exp, list(DISTINCT trade_date) AS d FROM chain GROUP BY 1, 2) b ON f.symbol = b.symbol
-      WHERE f.exp = 20240119 AND b.exp = 20240209 AND len(list_intersect(f.d, b.d)) >= 1""",
+      WHERE f.exp < b.exp AND len(list_intersect(f.d, b.d)) >= 1""",
 )
 def u01(spark, sf):
-    symbols = fx.earnings(spark, sf).select("symbol").distinct()
-    plan = symbols.select("symbol", F.lit(20240119).alias("exp_front"), F.lit(20240209).alias("exp_back"))
-    common = ex.common_listing(plan, ex.contract_listing(fx.chain(spark, sf)), 1)
+    rows = fx.chain(spark, sf)
+    common = ex.common_listing(ex.expiration_pairs(rows), ex.contract_listing(rows), 1)
     return common.select(
         "symbol", "exp_front", "exp_back", F.concat_ws(",", F.array_sort("trade_dates").cast("array<string>")).alias("trade_dates")
     )

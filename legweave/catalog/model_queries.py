@@ -86,14 +86,22 @@ def m03_model(spark, sf):
     )
 
 
-@query("m04_missing_features")
+# Model inputs that the table of scored calendars has; none of them is ever null there.
+HELD = ["symbol", "bdte", "weeks", "histEarningsCount", "calCost", "pct_under_over_mean", "spreadPct_front", "spreadPct_back",
+        "spreadPct_cal", "undPricePctDiff", "undmean_avg_trade_class_combined_grade"]
+_NAMES = ", ".join(f"({i}, '{n}')" for i, n in enumerate(ft.MODEL_FEATURES))
+_HELD_NULLS = " ".join(f"""WHEN '{n}' THEN count(*) FILTER (WHERE "{n}" IS NULL)""" for n in HELD)
+
+
+@query(
+    "m04_missing_features",
+    f"""SELECT place, name, count(*) AS n_rows, CASE name {_HELD_NULLS} ELSE count(*) END AS n_null
+      FROM candidates, (VALUES {_NAMES}) f(place, name) GROUP BY 1, 2""",
+)
 def m04(spark, sf):
-    """Model inputs that the scored-calendar table lacks, with their position."""
+    """How many rows of the scored calendars lack each model input, by one pass over all of them."""
     rows = fx.candidates(spark, sf)
-    absent = ft.missing_features(rows)
-    place = {n: i for i, n in enumerate(ft.MODEL_FEATURES)}
-    counted = rows.agg(F.count("*").alias("n_rows"))
-    return counted.select(
-        "n_rows",
-        F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(place[n]).alias("place")) for n in absent])).alias("f"),
-    ).select("n_rows", "f.name", "f.place")
+    lacking = [F.count_if(F.col(n).isNull()) if n in rows.columns else F.count(F.lit(1)) for n in ft.MODEL_FEATURES]
+    counts = rows.agg(F.count(F.lit(1)).alias("n_rows"), *[x.alias(f"n{i}") for i, x in enumerate(lacking)])
+    each = [F.struct(F.lit(i).alias("place"), F.lit(n).alias("name"), F.col(f"n{i}").alias("n_null")) for i, n in enumerate(ft.MODEL_FEATURES)]
+    return counts.select("n_rows", F.explode(F.array(*each)).alias("f")).select("f.place", "f.name", "n_rows", "f.n_null")

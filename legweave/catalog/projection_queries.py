@@ -11,6 +11,7 @@ from legweave.catalog.registry import query
 from legweave.functions import dates as dt
 from legweave.functions import labels as lb
 from legweave.functions import pricing as pr
+from legweave.operators import expirations as ex
 from legweave.operators import legs, planning, trend
 from legweave.operators.alerts import rounded
 from legweave.plans.features import no_infinities
@@ -131,19 +132,23 @@ def p05(spark, sf):
 
 @query(
     "p06_iv_front_back_diff",
-    """SELECT f.symbol, f.opt_right, f.strike_milli, f.trade_date, f.ms_of_day, f.exp AS exp_front, f.implied_vol AS iv_front,
+    """SELECT f.symbol, f.opt_right, f.strike_milli, f.trade_date, f.ms_of_day, p.exp_front, p.exp_back, f.implied_vol AS iv_front,
       b.implied_vol AS iv_back,
       CAST(CAST(CASE WHEN f.implied_vol = 0 AND coalesce(b.implied_vol = 0, false) THEN 0
         WHEN f.implied_vol = 0 THEN 1 ELSE (f.implied_vol - b.implied_vol) / f.implied_vol END AS FLOAT) AS DOUBLE) AS iv_pct_diff
-      FROM (SELECT * FROM hist WHERE exp = 20240119) f
-      LEFT JOIN (SELECT * FROM hist WHERE exp = 20240126) b USING (symbol, opt_right, strike_milli, trade_date, ms_of_day)""",
+      FROM hist f JOIN (SELECT x.symbol, x.exp AS exp_front, y.exp AS exp_back FROM (SELECT DISTINCT symbol, exp FROM hist) x
+        JOIN (SELECT DISTINCT symbol, exp FROM hist) y ON x.symbol = y.symbol AND x.exp < y.exp) p ON f.symbol = p.symbol AND f.exp = p.exp_front
+      LEFT JOIN hist b ON b.symbol = f.symbol AND b.opt_right = f.opt_right AND b.strike_milli = f.strike_milli AND b.trade_date = f.trade_date
+        AND b.ms_of_day = f.ms_of_day AND b.exp = p.exp_back""",
 )
 def p06(spark, sf):
-    h = fx.history(spark, sf)
+    """Every pair of listed expirations; a front leg whose back leg has no bar keeps a null."""
     keys = ["symbol", "opt_right", "strike_milli", "trade_date", "ms_of_day"]
-    front = h.filter(F.col("exp") == 20240119).select(*keys, F.col("exp").alias("exp_front"), F.col("implied_vol").alias("iv_front"))
-    back = h.filter(F.col("exp") == 20240126).select(*keys, F.col("implied_vol").alias("iv_back"))
-    return front.join(back, keys, "left").withColumn("iv_pct_diff", pr.iv_front_back_diff("iv_front", "iv_back").cast("double"))
+    h = fx.history(spark, sf).select(*keys, "exp", F.col("implied_vol").alias("iv"))
+    pairs = ex.expiration_pairs(h)
+    front, back = (legs.leg_scan(h, pairs, leg, "bars") for leg in legs.LEGS)
+    both = legs.join_pair_legs(front, back, keys, "left")
+    return both.withColumn("iv_pct_diff", pr.iv_front_back_diff("iv_front", "iv_back").cast("double"))
 
 
 @query(

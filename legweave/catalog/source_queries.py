@@ -10,11 +10,11 @@ from legweave.catalog.registry import query
 from legweave.functions.dates import to_day
 from legweave.operators import expirations as ex
 from legweave.operators.filters import complete_slices
-from legweave.operators.legs import leg_slice
+from legweave.operators.legs import join_pair_legs, leg_scan
 from legweave.operators.planning import not_in, rows_of_roots, symbol_roots, values_of_roots
 from legweave.operators.typeplan import apply_types, plan_types
 from legweave.schemas import QUOTE_TYPES
-from legweave.scratch import fresh_path
+from legweave.scratch import fresh_path, settle
 from legweave.sinks import writers as wr
 from legweave.sources import csv_scan, scans, tables, ticks
 
@@ -214,6 +214,13 @@ def s12(spark: SparkSession, sf: str) -> DataFrame:
     return scans.scan_open_interest(fx.open_interest(spark, sf), "P")
 
 
+def landed_by_day(rows: DataFrame, name: str) -> DataFrame:
+    """Rows landed with a partition per trade date, and read back."""
+    path = fresh_path(rows.sparkSession, name)
+    wr.write_partitioned(rows, path, ["trade_date"])
+    return rows.sparkSession.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
     """One request per symbol, strike and right: a front expiration and two to four days."""
     chain = fx.chain(spark, sf)
@@ -241,12 +248,14 @@ REQUESTS = """(SELECT symbol, strike_milli, opt_right, min(exp) AS exp, 20240103
       AND g.opt_right = r.opt_right AND trade_date BETWEEN start_date AND end_date""",
 )
 def s13(spark: SparkSession, sf: str) -> DataFrame:
-    requests = _requests(spark, sf)
+    """The requests prune the landed history to their days while it is read."""
+    requests = settle(_requests(spark, sf), "requests")
+    landed = landed_by_day(fx.history(spark, sf), "history")
     parts = []
     for kind, rows, value in (
-        ("greeks", fx.greeks(spark, sf), "implied_vol"),
-        ("quotes", fx.quotes(spark, sf), "bid"),
-        ("oi", fx.open_interest(spark, sf), "open_interest"),
+        ("greeks", fx.greeks_of(landed), "implied_vol"),
+        ("quotes", fx.quotes_of(landed), "bid"),
+        ("oi", fx.open_interest_of(landed), "open_interest"),
     ):
         hits = scans.history_slices(rows, requests)
         parts.append(
@@ -355,18 +364,15 @@ def s20(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "s21_leg_scans",
-    """SELECT f.symbol, f.opt_right, f.strike_milli, f.trade_date, f.ms_of_day, f.underlying, f.implied_vol AS iv_front,
-      b.implied_vol AS iv_back FROM (SELECT * FROM greeks WHERE exp = 20240119) f
-      JOIN (SELECT * FROM greeks WHERE exp = 20240202) b USING (symbol, opt_right, strike_milli, trade_date, ms_of_day)""",
+    """SELECT symbol, opt_right, strike_milli, trade_date, ms_of_day, f.exp AS exp_front, b.exp AS exp_back, f.underlying, f.implied_vol AS iv_front,
+      b.implied_vol AS iv_back FROM greeks f JOIN greeks b USING (symbol, opt_right, strike_milli, trade_date, ms_of_day) WHERE f.exp < b.exp""",
 )
 def s21(spark: SparkSession, sf: str) -> DataFrame:
-    g = fx.greeks(spark, sf)
+    """Both legs of every pair of listed expirations; only the front one brings the underlying."""
     keys = ["symbol", "opt_right", "strike_milli", "trade_date", "ms_of_day"]
-    front = leg_slice(g, "front", F.lit(20240119), "greeks")
-    back = leg_slice(g, "back", F.lit(20240202), "greeks")
-    return front.select(*keys, "underlying", F.col("implied_vol").alias("iv_front")).join(
-        back.select(*keys, F.col("implied_vol").alias("iv_back")), keys
-    )
+    g = fx.greeks(spark, sf).select(*keys, "exp", "underlying", F.col("implied_vol").alias("iv"))
+    pairs = ex.expiration_pairs(g)
+    return join_pair_legs(*[leg_scan(g, pairs, leg, "greeks") for leg in ("front", "back")], keys)
 
 
 # --------------------------------------------------------------------- sinks
@@ -480,11 +486,12 @@ def k07(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT symbol, report_date FROM earnings WHERE report_date NOT IN (20240116, 20240119)",
 )
 def k08(spark: SparkSession, sf: str) -> DataFrame:
-    """Two batches add their failures; the next run skips them."""
+    """Two runs add their failures, the second twice as after a crash; they are gathered, and the next run skips them."""
     path = fresh_path(spark, "ledger")
     work = fx.earnings(spark, sf).withColumn("filepath", F.concat_ws("/", "symbol", F.col("report_date").cast("string")))
-    for day in (20240116, 20240119):
-        wr.append_ledger(work.filter(F.col("report_date") == day), path)
+    for run, day in ((1, 20240116), (2, 20240119), (2, 20240119)):
+        wr.append_ledger(work.filter(F.col("report_date") == day), path, run)
+    wr.compact_ledger(spark, path, 2)
     return not_in(work, wr.read_ledger(spark, path), ["filepath"]).select("symbol", "report_date")
 
 
@@ -493,7 +500,7 @@ def k08_reset(spark: SparkSession, sf: str) -> DataFrame:
     """After a reset nothing counts as failed."""
     path = fresh_path(spark, "ledger")
     work = fx.earnings(spark, sf).withColumn("filepath", F.concat_ws("/", "symbol", F.col("report_date").cast("string")))
-    wr.append_ledger(work, path)
+    wr.append_ledger(work, path, 1)
     wr.reset_ledger(spark, path)
     return not_in(work, wr.read_ledger(spark, path), ["filepath"]).select("symbol", "report_date")
 

@@ -120,13 +120,14 @@ def t01(spark, sf):
 @query(
     "t02_priority_order",
     """SELECT symbol, round(mean_grade, 9) AS mean_grade
-      FROM (SELECT e.symbol, avg(undmean_avg_trade_class_combined_grade) AS mean_grade FROM earnings e
-        LEFT JOIN (SELECT * FROM grades WHERE "Grade" = 'A') g ON e.symbol = g.symbol GROUP BY 1)
+      FROM (SELECT e.symbol, avg(undmean_avg_trade_class_combined_grade) AS mean_grade FROM (SELECT DISTINCT symbol FROM quotes) e
+        LEFT JOIN grades g ON e.symbol = g.symbol GROUP BY 1)
       ORDER BY mean_grade DESC NULLS LAST, symbol""",
 )
 def t02(spark, sf):
-    graded = fx.grades(spark, sf).filter(F.col("Grade") == "A")
-    ordered = planning.by_priority(fx.earnings(spark, sf).select("symbol").distinct(), graded, enrich.GRADE)
+    """Every quoted symbol; the old names of renamed ones have no grade."""
+    symbols = fx.quotes(spark, sf).select("symbol").distinct()
+    ordered = planning.by_priority(symbols, fx.grades(spark, sf), enrich.GRADE)
     return ordered.select("symbol", F.round("mean_grade", 9).alias("mean_grade"))
 
 

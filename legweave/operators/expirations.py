@@ -53,6 +53,13 @@ def expiration_lists(quotes: DataFrame) -> DataFrame:
     return quotes.groupBy("symbol").agg(sorted_set("exp").alias("expirations"))
 
 
+def expiration_pairs(quotes: DataFrame) -> DataFrame:
+    """Every (symbol, exp_front, exp_back) of two listed expirations, the front one earlier."""
+    later = F.explode(F.filter("expirations", lambda e: e > F.col("exp_front")))
+    fronts = expiration_lists(quotes).select("symbol", "expirations", F.explode("expirations").alias("exp_front"))
+    return fronts.select("symbol", "exp_front", later.alias("exp_back"))
+
+
 def first_expiration_from(expirations: Column | str, day: Column | str) -> Column:
     """Smallest expiration on or after ``day``."""
     return F.array_min(F.filter(c(expirations), lambda e: e >= c(day)))

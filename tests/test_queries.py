@@ -45,8 +45,7 @@ def test_entry(spark):
 def test_names_and_oracles():
     names = set(entry.queries())
     assert set(LIBRARY) <= names and set(entry.oracle_sql()) <= names
-    # The feature contract compares column names, which SQL can't see.
-    assert set(LIBRARY) - set(entry.oracle_sql()) == {"m04_missing_features"}
+    assert set(LIBRARY) <= set(entry.oracle_sql())
 
 
 def test_history_cuts_tables_before_they_meet(spark):
@@ -58,14 +57,14 @@ def test_history_cuts_tables_before_they_meet(spark):
     tables = [spark.range(5).selectExpr("'A' symbol", "'C' opt_right", "id strike_milli", "1 exp", "1 trade_date", "1 ms_of_day", f"id v{i}") for i in range(2)]
     cut = [eh.reduced(t, contracts, 1, 2) for t in tables]
     plan = cut[0].join(cut[1], eh.BAR_KEYS)._jdf.queryExecution().optimizedPlan().toString()
-    assert columns and plan.count("Range (0, 5") == 2 and plan.count("Join Inner") == 3
+    assert plan.count("Range (0, 5") == 2 and plan.count("Join Inner") == 3
 
 
 @pytest.mark.parametrize(("name", "scans"), [("f09_result_gate", 1), ("f10_edge_bars", 2), ("s14_complete_slices", 2)])
 def test_filters_read_their_input_once(spark, name, scans):
     """One lineitem scan per derived table: the input of a gate isn't derived again for its totals."""
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("l_suppkey") == 0 or plan.count("Relation [l_orderkey") <= scans
+    assert 0 < plan.count("Relation [l_orderkey") <= scans
 
 
 @pytest.mark.parametrize("name", ["j09_calendar_pairs", "j09_recovery_pairs", "j10_front_expiration", "j11_back_expiration", "w08_trend_slice"])
