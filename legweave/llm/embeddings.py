@@ -14,8 +14,10 @@ from legweave.llm.components import components
 from legweave.llm.samples import bounded_sample
 from legweave.scratch import discard, settle
 
-# Vectors a pivot should hold, pivots of one label, and numbers in all pivots together (16 MB at 8 bytes).
-PER_PIVOT, PIVOTS, PIVOT_NUMBERS = 1_024, 256, 2_000_000
+# Vectors from which on a label has pivots, and numbers in all pivots together (16 MB at 8 bytes).
+FEW, PIVOT_NUMBERS = 2_048, 2_000_000
+# Vectors whose distances to all pivots are held at a time.
+STEP = 1_024
 # Vectors on either side of one tile.
 TILE = 2_048
 # Distances are compared with this much room, so that rounding hides no partner; the cosine decides.
@@ -39,22 +41,29 @@ def usable(embedding: Column, label: Column, vec_id: Column) -> Column:
 
 
 def _pivots(classes: DataFrame) -> dict[tuple, np.ndarray]:
-    """Unit pivots of the largest spaces, drawn in the order of a hash; at most PIVOT_NUMBERS numbers."""
-    sizes = classes.groupBy("label", "dim").count().filter(F.col("count") >= 2 * PER_PIVOT)
-    wanted = F.least(F.ceil(F.col("count") / PER_PIVOT), F.lit(PIVOTS)).cast("int")
+    """Unit pivots of the larger spaces, drawn in the order of a hash; at most PIVOT_NUMBERS numbers.
+
+    They grow with the square root of a space, as the vectors of a cell then do
+    too, and visitors are not copied to more and more small cells.  A space that
+    finds no room for so many has fewer.
+    """
+    sizes = classes.groupBy("label", "dim").count().filter(F.col("count") >= FEW)
+    wanted = F.ceil(F.sqrt("count") / 2).cast("int")
     largest = sizes.select("label", "dim", "count", wanted.alias("k")).orderBy(F.desc("count"), "label", "dim")
     room, chosen = PIVOT_NUMBERS, []
-    for r in largest.limit(PIVOT_NUMBERS // 1_000).collect():
-        if r.k * r.dim <= room:
-            chosen.append((r.label, r.dim, r.k))
-            room -= r.k * r.dim
+    for r in largest.limit(max(100, PIVOT_NUMBERS // 1_000)).collect():
+        k = min(r.k, room // r.dim)
+        if k > 1:
+            chosen.append((r.label, r.dim, k))
+            room -= k * r.dim
     if not chosen:
         return {}
     spark = classes.sparkSession
     label_type = classes.schema["label"].dataType.simpleString()
     spaces = F.broadcast(spark.createDataFrame(chosen, f"label {label_type}, dim int, k int"))  # bounded above
     pool = classes.join(spaces, ["label", "dim"]).withColumn("space", F.struct("label", "dim"))
-    drawn = bounded_sample(pool.select("space", "label", "dim", "k", "cid"), "space", "cid", PIVOTS)
+    most = max(k for _, _, k in chosen)
+    drawn = bounded_sample(pool.select("space", "label", "dim", "k", "cid"), "space", "cid", most)
     nth = F.row_number().over(Window.partitionBy("space").orderBy(F.xxhash64("cid"), "cid"))
     drawn = settle(drawn.withColumn("nth", nth).filter("nth <= k").select("cid", "label", "dim"), "drawn")
     picked = classes.join(drawn, ["cid", "label", "dim"], "left_semi").select("label", "dim", "embedding").collect()
@@ -87,16 +96,18 @@ def _cells(pivots: dict[tuple, np.ndarray], radius: float):
                     homes.append(np.ones(len(at), bool))
                     continue
                 x = _unit(_matrix(batch["embedding"].take(pa.array(at)), space[1]))
-                squares = np.maximum(2 - 2 * (x @ centres.T), 0)
-                home = squares.argmin(1)
-                apart = np.sqrt(np.maximum(2 - 2 * (centres @ centres.T), 0))[home]
-                gap = squares - squares[np.arange(len(x)), home][:, None]
-                here = gap <= 2 * apart * radius + ROOM
-                here[np.arange(len(x)), home] = True
-                who, cell = np.nonzero(here)
-                rows.append(at[who])
-                cells.append(cell.astype(np.int32))
-                homes.append(cell == home[who])
+                for lo in range(0, len(x), STEP):
+                    squares = np.maximum(2 - 2 * (x[lo : lo + STEP] @ centres.T), 0)
+                    some = np.arange(len(squares))
+                    home = squares.argmin(1)
+                    near, of = np.unique(home, return_inverse=True)
+                    apart = np.sqrt(np.maximum(2 - 2 * (centres[near] @ centres.T), 0))[of]
+                    here = squares - squares[some, home][:, None] <= 2 * apart * radius + ROOM
+                    here[some, home] = True
+                    who, cell = np.nonzero(here)
+                    rows.append(at[lo + who])
+                    cells.append(cell.astype(np.int32))
+                    homes.append(cell == home[who])
             if not rows:
                 continue
             taken = batch.take(pa.array(np.concatenate(rows)))
@@ -109,8 +120,8 @@ def _cells(pivots: dict[tuple, np.ndarray], radius: float):
 
 
 def _tile(threshold: float):
-    """Links between the home and the visiting vectors of one tile: their weights per home vector, and the
-    smallest id that each vector is tied to within the tile."""
+    """Links between the home and the visiting classes of one tile: their weights per home class, and the
+    smallest class that each is tied to within the tile."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -155,8 +166,8 @@ def near_embeddings(
     ``component_id`` (the smallest id that links reach, itself included),
     ``kept`` (it is that id).  The search is exact.
 
-    Equal vectors of a label are one class with a weight.  The classes of a
-    large label are dealt to cells around pivots, each visiting the cells whose
+    Equal vectors of a label are one class with a weight and a number of its
+    own, so ids may repeat across vectors and labels.  The classes of a large label are dealt to cells around pivots, each visiting the cells whose
     border is within reach; a cell's residents meet its residents and visitors
     in tiles of bounded size.  The cosine is computed in double precision.
 
@@ -174,12 +185,14 @@ def near_embeddings(
     good = rows.filter("ok").select("id", "label", "embedding")
     classes = settle(
         good.groupBy("label", "embedding")
-        .agg(F.min("id").cast("long").alias("cid"), F.count(F.lit(1)).alias("weight"))
-        .withColumn("dim", F.size("embedding")),
+        .agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("weight"))
+        # The numbers are written with the classes, so they stay.
+        .withColumns({"dim": F.size("embedding"), "cid": F.monotonically_increasing_id()}),
         "classes",
     )
-    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in classes.schema.fields)
-    placed = settle(classes.mapInArrow(_cells(_pivots(classes), radius), f"{kind}, cell int, home boolean"), "placed")
+    dealt = classes.drop("low")
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema.fields)
+    placed = settle(dealt.mapInArrow(_cells(_pivots(dealt), radius), f"{kind}, cell int, home boolean"), "placed")
     space = ["label", "dim", "cell"]
     parts = settle(
         placed.groupBy(*space).agg(
@@ -205,20 +218,21 @@ def near_embeddings(
     discard(placed, parts)
     tied = components(found.filter("cid <> root").select(F.col("cid").alias("a"), F.col("root").alias("b")))
     counted = found.groupBy("cid").agg(F.sum("links").alias("links"))
+    joined = settle(classes.join(tied.withColumnRenamed("id", "cid"), "cid", "left"), "joined")
+    lowest = joined.filter("component IS NOT NULL").groupBy("component").agg(F.min("low").alias("component_low"))
     merged = settle(
-        classes.join(counted, "cid", "left")
-        .join(tied.withColumnRenamed("id", "cid"), "cid", "left")
+        joined.join(counted, "cid", "left")
+        .join(lowest, "component", "left")
         .select(
             F.col("label").alias("c_label"),
             F.col("embedding").alias("c_embedding"),
             (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-            F.coalesce("component", "cid").alias("component"),
+            F.coalesce("component_low", "low").alias("component_id"),
         ),
         "merged",
     )
     same = (good["label"] == merged["c_label"]) & (good["embedding"] == merged["c_embedding"])
-    kind = vectors.schema[id_col].dataType
-    linked = good.join(merged, same).select("id", "n_links", F.col("component").cast(kind).alias("component_id"))
+    linked = good.join(merged, same).select("id", "n_links", "component_id")
     alone = rows.filter("not ok").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.unionByName(alone).select(
         F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")

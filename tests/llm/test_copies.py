@@ -63,8 +63,9 @@ def links_by_hand(rows, threshold):
 def test_near_embeddings(spark, monkeypatch, small):
     """With small cells every label has pivots, and tiles split."""
     if small:
-        monkeypatch.setattr(embeddings, "PER_PIVOT", 12)
+        monkeypatch.setattr(embeddings, "FEW", 24)
         monkeypatch.setattr(embeddings, "TILE", 7)
+        monkeypatch.setattr(embeddings, "STEP", 16)
     rng = np.random.default_rng(4)
     rows, centres = [], rng.normal(size=(6, 8))
     for i in range(260):
@@ -76,12 +77,32 @@ def test_near_embeddings(spark, monkeypatch, small):
         (405, [None] + [1.0] * 7, 0), (406, [1.0, 2.0], 0), (407, [2.0, 4.0], 0), (None, rows[0][1], 0), (408, [1e-30] * 8, 1),
         (409, [1e30] * 8, 1), (410, [-0.0] * 8, 1),
     ]
+    # Ids that come again with another vector, near their own or not, and with another label.
+    rows += [(i, (np.array(rows[i][1]) * 2 + 0.01).tolist(), rows[i][2]) for i in range(0, 30)]
+    rows += [(i, rows[i + 40][1], rows[i + 40][2]) for i in range(30)] + [(i, rows[i][1], 2) for i in range(20)]
     table = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, label int, cell int")
     got = embeddings.near_embeddings(table.repartition(3), 0.98).collect()
     rows = [(i, None if v is None else [None if c is None else float(np.float32(c)) for c in v], k) for i, v, k in rows]
     assert Counter(map(tuple, got)) == links_by_hand(rows, 0.98)
 
 
+def test_an_id_of_several_vectors_and_labels(spark):
+    rows = [(1, [1.0, 0.0], "a"), (1, [0.99, 0.1], "a"), (2, [0.0, 1.0], "b"), (2, [1.0, 0.0], "c"), (3, [0.0, 1.0], "b"), (4, [1.0, 0.0], "c")]
+    got = embeddings.near_embeddings(spark.createDataFrame(rows, "vec_id int, embedding array<double>, label string"))
+    assert Counter(map(tuple, got.collect())) == links_by_hand(rows, 0.98)
+    assert sorted(r.n_links for r in got.collect()) == [1] * 6 and got.schema["component_id"].dataType.simpleString() == "int"
+
+
+def test_pivots_fit_their_bound(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "FEW", 10)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4).tolist(), "ab"[i % 2]) for i in range(2_000)]
+    classes = spark.createDataFrame(rows, "cid long, embedding array<double>, label string").selectExpr("*", "4 AS dim")
+    assert {k: len(v) for k, v in embeddings._pivots(classes).items()} == {("a", 4): 16, ("b", 4): 16}
+    monkeypatch.setattr(embeddings, "PIVOT_NUMBERS", 80)
+    assert {k: len(v) for k, v in embeddings._pivots(classes).items()} == {("a", 4): 16, ("b", 4): 4}
+
+
 def test_no_embeddings(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embeddings.near_embeddings(empty).collect() == []
