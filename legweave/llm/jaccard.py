@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legweave.llm.batches import blocks, list_column, ragged, utf8
+from legweave.llm.bitsets import BITS, bit_set, contains
 from legweave.llm.components import components
 from legweave.llm.shingles import mixed, shingle_sets
 from legweave.scratch import discard, release, settle
@@ -79,9 +80,11 @@ def _profile_rows(ids, n, k1, k2, sig, shingle) -> pa.RecordBatch:
     )
 
 
-def _prefixes(size: int, percent: int, common: np.ndarray):
+def _prefixes(size: int, percent: int, common: np.ndarray, only=None):
     """Texts to rows (shingle, k1, n): the members of each set's prefix, rare ones first, and its size.
 
+    With ``only``, a broadcast bitmap, members that are not in it are left out.
+
     Sets that reach ``percent`` share a member of their prefixes, whatever the
     order is, if it is the same for all: first members that aren't common,
     then common ones, each by hash.
@@ -107,6 +110,8 @@ def _prefixes(size: int, percent: int, common: np.ndarray):
                 single = np.zeros(len(n), bool)
                 single[once] = True
                 kept = (rank < (n - -(-percent * n // 100) + 1)[owner]) & single[owner]
+                if only is not None:
+                    kept &= contains(only.value, sets)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(sets[kept].view(np.int64)),
@@ -401,7 +406,8 @@ def jaccard_components(
     classes = settle(
         usable.groupBy("k1", "k2", "n").agg(F.min("id").alias("c"), F.min("sig").alias("sig")), "classes"
     )
-    prefixes = base.filter("id IS NOT NULL").mapInArrow(_prefixes(size, percent, common), "shingle long, k1 long, n int")
+    named = base.filter("id IS NOT NULL")
+    prefixes = named.mapInArrow(_prefixes(size, percent, common), "shingle long, k1 long, n int")
     dealt = prefixes.repartition("shingle").dropDuplicates(["shingle", "k1"])
     postings = dealt.groupBy("shingle").agg(
         F.count(F.lit(1)).alias("rows"), F.bit_xor("k1").alias("x1"), F.bit_xor(F.xxhash64("k1")).alias("x2"),
@@ -414,6 +420,10 @@ def jaccard_components(
         "shared",
     )
     release(spark)
+    # Most members are shared by nobody: a bitmap of fixed size keeps nearly all of them out of the shuffle, the
+    # join the rest.
+    only = bit_set(shared.select(F.col("shingle").bitwiseAND(F.lit(BITS - 1)).alias("at")))
+    prefixes = named.mapInArrow(_prefixes(size, percent, common, only), "shingle long, k1 long, n int")
     seen = settle(prefixes.select("shingle", "k1").join(shared, "shingle").distinct(), "seen")
     rows = settle(seen.join(classes.select("k1", "c", "n"), "k1").select("shingle", "k1", "c", "n", "rows"), "rows")
     discard(shared, seen)
