@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from legweave.llm.batches import ragged, utf8
+from legweave.llm.bitsets import bit_set, contains, places
 from legweave.llm.segments import byte_set, segments
 from legweave.llm.shingles import FACTOR, LOWER, UNFACTOR, mixed
 from legweave.scratch import settle
@@ -22,10 +23,8 @@ BREAK, BLANK = byte_set(".,;:!?\n\x0b\x0c\r"), byte_set(" \t")
 MISSING = "und"
 # Scores are parts of so many.
 UNIT = 2_000_000
-# Bits of a set of phrases (2 MB); a fuller set only lets more phrases be counted.
-BITS = 1 << 24
 # Bytes of text that are counted at a time, and bytes of phrases sent on at a time.
-PART_BYTES, SENT_BYTES = 4_000_000, 64_000_000
+PART_BYTES, SENT_BYTES = 2_000_000, 64_000_000
 # The frontier is first expanded down to the score of this many times the phrases that are wanted.
 MARGIN = 2
 # A language's leading phrases are first found in so many parts, so that no task ranks a language alone.
@@ -36,7 +35,7 @@ PARTS = 64
 class Mark:
     """The phrase of ``size`` words, ``at`` words after a phrase's first, is in a set of phrases."""
 
-    phrases: object  # a broadcast array of BITS bits
+    phrases: object  # a broadcast bitmap
     size: int
     at: int
 
@@ -128,8 +127,7 @@ def _counter(size: int, every: Sequence[Mark], any_of: Sequence[Mark], limit: in
         return len(part) - int(begins[-(size - 1) :][0]) if len(begins) else 0
 
     def hit(words: _Words, mark: Mark, n: int) -> np.ndarray:
-        h = words.phrases(mark.size)[mark.at : mark.at + n] & np.uint64(BITS - 1)
-        return (mark.phrases.value[h >> np.uint64(3)] >> (h & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        return contains(mark.phrases.value, words.phrases(mark.size)[mark.at : mark.at + n])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,23 +176,17 @@ def count_phrases(
 
 
 def phrase_set(phrases: DataFrame, size: int):
-    """A broadcast set of the phrases (lang, phrase) of ``size`` words, of BITS bits whatever their number."""
+    """A broadcast set of the phrases (lang, phrase) of ``size`` words, of one size whatever their number."""
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes, seeds = _seeds(batch["lang"])
             data, starts = utf8(batch["phrase"])
             words = _Words(data, starts, seeds[codes])
-            at = words.phrases(size)[np.flatnonzero(words.whole(size))] & np.uint64(BITS - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(at).astype(np.int64))], ["at"])
-
-    spread = phrases.select("lang", "phrase").mapInArrow(places, "at long")
-    bit = F.expr("shiftleft(1L, cast(at % 64 AS int))")
-    # One row for 64 bits: BITS / 64 rows at most.
-    packed = spread.groupBy(F.shiftright("at", 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    bits = np.zeros(BITS // 64, np.int64)
-    bits[packed["at"].to_numpy()] = packed["bits"].to_numpy()
-    return phrases.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
+            at = places(words.phrases(size)[np.flatnonzero(words.whole(size))])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(at))], ["at"])
+
+    return bit_set(phrases.select("lang", "phrase").mapInArrow(spread, "at long"))
 
 
 def _score(a: Column, l: Column, r: Column) -> Column:
