@@ -29,6 +29,8 @@ SAMPLE_DOCUMENTS = 1_000
 # Average log-likelihood ratio per sign from which a run counts as random.
 RATIO = 0.8
 BACKOFF = 16.0
+# Matches that are walked at a time.
+CHUNK = 256
 SPAN = "struct<start:int,kind:int,end:int,hit:string>"
 
 
@@ -62,6 +64,8 @@ def spans_of(text: Column, hits: Column, good: Column, kind: int, pattern: str)
 
     What stands between the matches gives their places, as both come from the
     same leftmost, non-overlapping search.  Texts without a match aren't split.
+    Adding to an array copies it, so matches are walked in chunks: a text of
+    very many costs their number to the power of 1.5.
     """
     steps = F.arrays_zip(F.split(text, pattern).alias("gap"), hits.alias("hit"), good.alias("good"))
     none = F.array().cast(f"array<{SPAN}>")
@@ -74,7 +78,15 @@ def spans_of(text: Column, hits: Column, good: Column, kind: int, pattern: str)
             end.alias("at"), F.when(step["good"], F.array_append(acc["out"], found)).otherwise(acc["out"]).alias("out")
         )
 
-    walked = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("out")), add)
+    def add_chunk(acc, chunk):
+        def after(z):
+            return F.struct(z["at"].alias("at"), F.concat(acc["out"], z["out"]).alias("out"))
+
+        return F.aggregate(chunk, F.struct(acc["at"].alias("at"), none.alias("out")), add, after)
+
+    number = F.floor((F.size(steps) - 1) / CHUNK).cast("int")
+    chunks = F.transform(F.sequence(F.lit(0), number), lambda i: F.slice(steps, i * CHUNK + 1, CHUNK))
+    walked = F.aggregate(chunks, F.struct(F.lit(0).alias("at"), none.alias("out")), add_chunk)
     return F.when(F.exists(good, lambda g: g), walked["out"]).otherwise(none)
 
 

@@ -165,6 +165,44 @@ def test_models_find_bare_random_strings(spark):
     assert got[901].spans == []
 
 
+def test_added_spans_by_hand(spark):
+    """Runs of 16 signs whose average ratio reaches the bound, computed sign by sign."""
+    rng = random.Random(12)
+    signs, width = secrets.SIGNS, len(secrets.SIGNS)
+    rows = []
+    for i in range(120):
+        parts = ["".join(rng.choice(signs) for _ in range(rng.randint(10, 40))), "some_ordinary_name_of_things", "word " * 3]
+        rng.shuffle(parts)
+        rows.append((i, " é ".join(parts) + (f" token={''.join(rng.choice(signs[:62]) for _ in range(20))}" if i % 3 else "")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = secrets.fit(secrets.labelled_strings(secrets.matches(docs, "doc_id", "text"), docs, "doc_id", "text"))
+    got = {r.doc_id: r for r in secrets.find_secrets(docs, model=model).collect()}
+    added = 0
+    for i, text in rows:
+        want = set()
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{16,}", text):
+            last, total = 0, 0.0
+            for sign in m.group():
+                code = signs.index(sign) + 1
+                total += round(model.steps[last * width + code - 1], 6)
+                last = code
+            if total / len(m.group()) >= secrets.RATIO:
+                want.add((m.start(), 3, m.end()))
+        base = {(s.start, s.kind, s.end) for s in got[i].base}
+        assert {(s.start, s.kind, s.end) for s in got[i].spans} == base | want
+        added += len(want - base)
+    assert added > 20
+
+
+def test_a_text_of_very_many_matches(spark):
+    words = [f"{i:016x}" for i in range(40_000)]
+    text = "é " + " ".join(words)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = secrets.matches(docs, "doc_id", "text")
+    places = found.select(mixing.F.expr("transform(base, s -> s.start)").alias("at"), mixing.F.size("base").alias("n")).collect()[0]
+    assert places.n == 40_000 and places.at == list(range(2, 2 + 17 * 40_000, 17))
+
+
 def test_secrets_of_odd_rows(odd_docs, no_docs):
     assert secrets.find_secrets(odd_docs).count() == odd_docs.count()
     assert secrets.find_secrets(no_docs).collect() == []
