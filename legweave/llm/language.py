@@ -29,6 +29,9 @@ FAMILY_OF = {lang: family for family, langs in FAMILIES.items() for lang in lang
 BUCKETS = 1 << 12
 # Bounds of the fit: labelled documents per language, and in all.
 PER_LANGUAGE, MOST_DOCUMENTS = 400, 4_000
+# A text of so many letters is not one of the learned languages when its score is below the model's floor: SLACK of
+# the lowest score of such a text in the sample, and FLOOR at most.
+LEAST_LETTERS, SLACK, FLOOR = 200, 0.75, 0.6
 STEPS, PENALTY = 150, 1e-3
 SHARPNESS = 4.0
 
@@ -82,6 +85,7 @@ class LanguageModel:
     families: list[list[str]]
     family_weights: np.ndarray
     pair_weights: dict[tuple[str, str], np.ndarray] = field(default_factory=dict)
+    floor: float = 0.0
 
     @classmethod
     def fit(cls, x: np.ndarray, langs: np.ndarray) -> LanguageModel:
@@ -141,10 +145,30 @@ def fit_language_model(
         return {"profile": pa.array([p.tobytes() for p in trigram_profile(data, starts)], pa.binary())}
 
     field = T.StructField("profile", T.BinaryType())
-    made = with_scores(sample, "text", profiles, [field]).drop("text")
+    made = with_scores(sample, "text", profiles, [field]).withColumn("letters", letters_in(F.col("text"))).drop("text")
     got = made.orderBy("lang", F.xxhash64("id"), "id").limit(MOST_DOCUMENTS).collect()
     x = np.array([np.frombuffer(r.profile, np.float32) for r in got]).reshape(len(got), BUCKETS)
-    return LanguageModel.fit(x, np.array([r.lang for r in got], object))
+    model = LanguageModel.fit(x, np.array([r.lang for r in got], object))
+    scores = model.predict(x)[1][[r.letters >= LEAST_LETTERS for r in got]]
+    model.floor = min(FLOOR, SLACK * float(scores.min())) if len(scores) else 0.0
+    return model
+
+
+def letters_in(text) -> Column:
+    """How many letters of any script a text holds."""
+    return F.regexp_count(text, F.lit(r"\p{L}"))
+
+
+def in_some_language(text: Column, score: Column, model: LanguageModel) -> Column:
+    """Whether a text may be in one of the model's languages, by its score.
+
+    A text without a letter is in none, and one of LEAST_LETTERS letters is in
+    none when its score is below the model's floor; shorter ones give too little
+    evidence to be turned down.  A model that learned no language turns down
+    nothing that has a letter.
+    """
+    foreign = F.when(score < model.floor, letters_in(text) >= LEAST_LETTERS).otherwise(F.lit(False))
+    return has_letter(text) & ~foreign if model.families else has_letter(text)
 
 
 def has_letter(text) -> Column:
