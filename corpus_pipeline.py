@@ -14,13 +14,16 @@ from legweave.session import tune
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose text is null or holds no letter, so that no language fits."""
+    """Drops documents in no language: without a letter, or long and below the model's floor (language.py).
+
+    Where no language can be learned, all documents with a letter stay.
+    """
     model = language.fit_language_model(docs)
     # Names that no column of the documents has.
     longest = max(map(len, docs.columns))
     names = ("l" * (longest + 1), "s" * (longest + 1))
     judged = language.identify_languages(docs, model, names=names)
-    return judged.filter(F.col(names[0]) != language.UNDETERMINED).select(*docs.columns)
+    return judged.filter(language.in_some_language(F.col("text"), F.col(names[1]), model)).select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
