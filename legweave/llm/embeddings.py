@@ -14,8 +14,8 @@ from legweave.llm.components import components
 from legweave.llm.samples import bounded_sample
 from legweave.scratch import discard, settle
 
-# Vectors from which on a label has pivots, and numbers in all pivots together (16 MB at 8 bytes).
-FEW, PIVOT_NUMBERS = 2_048, 2_000_000
+# Vectors that a pivot should hold at least, and numbers in all pivots together (16 MB at 8 bytes).
+PER_PIVOT, PIVOT_NUMBERS = 2_048, 2_000_000
 # Vectors whose distances to all pivots are held at a time.
 STEP = 1_024
 # Vectors on either side of one tile.
@@ -43,12 +43,12 @@ def usable(embedding: Column, label: Column, vec_id: Column) -> Column:
 def _pivots(classes: DataFrame) -> dict[tuple, np.ndarray]:
     """Unit pivots of the larger spaces, drawn in the order of a hash; at most PIVOT_NUMBERS numbers.
 
-    They grow with the square root of a space, as the vectors of a cell then do
-    too, and visitors are not copied to more and more small cells.  A space that
-    finds no room for so many has fewer.
+    There is one for PER_PIVOT vectors, but no more than half the square root of
+    a space: then cells grow with it as well, and visitors are not copied to
+    more and more small ones.  A space that finds no room for so many has fewer.
     """
-    sizes = classes.groupBy("label", "dim").count().filter(F.col("count") >= FEW)
-    wanted = F.ceil(F.sqrt("count") / 2).cast("int")
+    sizes = classes.groupBy("label", "dim").count().filter(F.col("count") >= 2 * PER_PIVOT)
+    wanted = F.least(F.ceil(F.col("count") / PER_PIVOT), F.ceil(F.sqrt("count") / 2)).cast("int")
     largest = sizes.select("label", "dim", "count", wanted.alias("k")).orderBy(F.desc("count"), "label", "dim")
     room, chosen = PIVOT_NUMBERS, []
     for r in largest.limit(max(100, PIVOT_NUMBERS // 1_000)).collect():

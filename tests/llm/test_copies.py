@@ -63,7 +63,7 @@ def links_by_hand(rows, threshold):
 def test_near_embeddings(spark, monkeypatch, small):
     """With small cells every label has pivots, and tiles split."""
     if small:
-        monkeypatch.setattr(embeddings, "FEW", 24)
+        monkeypatch.setattr(embeddings, "PER_PIVOT", 12)
         monkeypatch.setattr(embeddings, "TILE", 7)
         monkeypatch.setattr(embeddings, "STEP", 16)
     rng = np.random.default_rng(4)
@@ -94,7 +94,7 @@ def test_an_id_of_several_vectors_and_labels(spark):
 
 
 def test_pivots_fit_their_bound(spark, monkeypatch):
-    monkeypatch.setattr(embeddings, "FEW", 10)
+    monkeypatch.setattr(embeddings, "PER_PIVOT", 10)
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=4).tolist(), "ab"[i % 2]) for i in range(2_000)]
     classes = spark.createDataFrame(rows, "cid long, embedding array<double>, label string").selectExpr("*", "4 AS dim")
