@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from legweave import fixtures as fx
 from legweave import market
-from legweave.catalog.ctes import define
-from legweave.catalog.filter_queries import day_sql
-from legweave.catalog.job_queries import _NEAR, _OFF, _snapshot, index_run, multi_gap_run
+from legweave.catalog.ctes import _history, define
+from legweave.catalog.filter_queries import PRESET_SQL, day_sql
+from legweave.catalog.job_queries import _NEAR, _OFF, _snapshot, index_run
+from legweave.catalog.job_queries import multi_gap_run as multi_gap_bars
 from legweave.catalog.model_queries import FIT_ROWS, NUMERIC, WEIGHTS
 from legweave.catalog.projection_queries import GAP_SQL, round_sql
 from legweave.catalog.registry import query
@@ -26,7 +27,8 @@ from legweave.plans import features as ft
 from legweave.plans import models
 from legweave.plans.equity_snapshot import snapshot_watch
 from legweave.plans.index_history import DATASETS, HistoryStore, store_index_history
-from legweave.plans.multi_gap import agreement_watch
+from legweave.plans.alert_run import read_alert_log, run_alerts
+from legweave.plans.multi_gap import agreement_watch, multi_gap_run
 from legweave.plans.scored_snapshot import ROW_KEYS, contract_watch, scored_snapshot, store_versions
 from legweave.schemas import BAR_KEYS
 from legweave.scratch import fresh_path, settle
@@ -78,7 +80,7 @@ GROUP BY 1, 2, 3, 4, 5 HAVING count(*) = 8""",
 def f20_multi_gap(spark, sf):
     """Bars of the multi-gap job whose legs disagree about the underlying."""
     watch = agreement_watch()
-    multi_gap_run(spark, sf, watch)
+    multi_gap_bars(spark, sf, watch)
     return watch.table(spark)
 
 
@@ -470,3 +472,69 @@ def m04_contract(spark, sf):
     watch = contract_watch()
     settle(tail_run(spark, sf, NEWER, watch), "scored")
     return watch.table(spark).select("gate", "n_rows", "n_broken")
+
+
+# ------------------------------------------------------------ work that is left
+
+MG_FIRST, MG_LAST = 20240102, 20240212
+define("week", _history(7, 1))
+define(
+    "mg_inside",
+    f"""SELECT * REPLACE (underlying + CASE WHEN opt_right = 'C' AND strike_milli % 2000 = 0 THEN 0.5e0 ELSE 0e0 END AS underlying) FROM week WHERE trade_date > {MG_FIRST} AND trade_date < {MG_LAST} AND exp < {MG_LAST}""",
+)
+define(
+    "mg_units",
+    f"""SELECT symbol, concat_ws('_', symbol, {', '.join(str(e) for e in fx.EXPIRATIONS)}) AS filepath, min(trade_date) AS d0, max(trade_date) AS d1 FROM (
+  SELECT symbol, trade_date FROM mg_inside GROUP BY 1, 2 HAVING count(DISTINCT exp) = 4) GROUP BY 1 HAVING count(*) >= 5""",
+)
+define("mg_left", "SELECT * FROM mg_units WHERE symbol NOT LIKE '%4'")
+define(
+    "mg_strikes",
+    """SELECT symbol, strike_milli, row_number() OVER (PARTITION BY symbol ORDER BY strike_milli) AS place, count(*) OVER (PARTITION BY symbol) AS n
+FROM (SELECT symbol, strike_milli FROM mg_inside GROUP BY 1, 2 HAVING count(DISTINCT exp) = 4)""",
+)
+define(
+    "mg_rows",
+    f"""SELECT symbol, filepath, strike_milli, trade_date, ms_of_day FROM mg_inside JOIN mg_left USING (symbol) JOIN mg_strikes USING (symbol, strike_milli)
+  JOIN (SELECT symbol, min(underlying) AS lo, max(underlying) AS hi FROM mg_inside JOIN mg_left USING (symbol)
+    JOIN (SELECT symbol, strike_milli FROM mg_strikes WHERE place = n // 2 + 1) m USING (symbol, strike_milli)
+    WHERE exp = {fx.EXPIRATIONS[0]} AND opt_right = 'C' AND underlying <> 0 AND trade_date BETWEEN d0 AND d1 GROUP BY 1) USING (symbol)
+  WHERE trade_date BETWEEN d0 AND d1 AND strike_milli / 1000 > lo * 0.94e0 AND strike_milli / 1000 < hi * 1.06e0
+  GROUP BY 1, 2, 3, 4, 5 HAVING count(*) = 8""",
+)
+define("mg_dated", "SELECT * FROM mg_rows SEMI JOIN (SELECT filepath FROM mg_rows GROUP BY 1 HAVING count(DISTINCT trade_date) > 5) USING (filepath)")
+
+
+@query(
+    "job_multi_gap_run",
+    """SELECT filepath, 'stored' AS status, count(*) AS n_rows FROM mg_dated GROUP BY 1
+      UNION ALL SELECT filepath, 'failed', 0 FROM mg_left WHERE filepath NOT IN (SELECT filepath FROM mg_dated)""",
+)
+def multi_gap_left(spark, sf):
+    """A run within its dates that skips the units of some symbols as done, and tells which of the others gave nothing."""
+    d = landed_by_day(fx.history(spark, sf, 7, 1), "daily")
+    odd = (F.col("opt_right") == "C") & (F.col("strike_milli") % 2000 == 0)
+    price = F.col("underlying") + F.when(odd, 0.5).otherwise(0.0)
+    done = d.filter(F.col("symbol").endswith("4")).select(
+        F.concat_ws("_", "symbol", *[F.lit(str(e)) for e in fx.EXPIRATIONS]).alias("filepath")
+    )
+    run = multi_gap_run(d.select(*BAR_KEYS, "bid", "ask"), d.select(*BAR_KEYS, "implied_vol", price.alias("underlying")), done.distinct(), MG_FIRST, MG_LAST)
+    stored = run.rows.groupBy("filepath").agg(F.lit("stored").alias("status"), F.count(F.lit(1)).alias("n_rows"))
+    return stored.unionByName(run.failures.select("filepath", F.lit("failed").alias("status"), F.lit(0).cast("long").alias("n_rows")))
+
+
+@query(
+    "job_alert_log",
+    f"""SELECT symbol, weeks, min("lastUpdated") AS alert_time FROM (
+      SELECT * REPLACE ({round_sql('"calCost"', 3)} AS "calCost", {round_sql('"calGapPct"', 3)} AS "calGapPct",
+        {round_sql('pct_under_over_mean', 3)} AS pct_under_over_mean, {round_sql('"spreadPct_front"', 2)} AS "spreadPct_front",
+        {round_sql('"spreadPct_back"', 2)} AS "spreadPct_back", {round_sql('"spreadPct_cal"', 2)} AS "spreadPct_cal") FROM candidates
+      WHERE undmean_avg_trade_class_combined_grade >= 1.25e0) WHERE {PRESET_SQL} AND "calGapPct" < {GAP_SQL} GROUP BY 1, 2""",
+)
+def job_alert_log(spark, sf):
+    """Three runs half an hour apart, the second one twice: within the hour a key is logged by the first that has it."""
+    scored = settle(fx.candidates(spark, sf), "scored")
+    log = fresh_path(spark, "alert-log")
+    for run in (0, 1, 1, 2):
+        run_alerts(spark, scored.filter(F.col("lastUpdated") == fx.SNAPSHOT_EPOCH + 1800 * run), log, run)
+    return read_alert_log(spark, log).select("symbol", "weeks", "alert_time")

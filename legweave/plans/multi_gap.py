@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,11 +13,13 @@ from legweave.operators.expirations import (
     in_all_groups,
     runs_with_common_days,
     sorted_set,
+    within_history,
 )
 from legweave.operators.filters import enough_dates, strike_corridor
 from legweave.operators.gates import Gate, Watch, key_of
 from legweave.operators.legs import collapse_duplicates, duplicates_agree, merge, widen_legs
 from legweave.market import covered_days, on_days
+from legweave.operators.planning import expirations_key, not_in
 from legweave.plans.equity_history import reduced
 from legweave.schemas import BAR_KEYS
 from legweave.scratch import settle
@@ -28,21 +32,22 @@ CORRIDOR_RIGHT = "C"
 RUN_KEYS = ["symbol", "exps"]
 
 
-def run_plan(quotes: DataFrame, greeks: DataFrame, gaps: int = GAPS, min_dates: int = MIN_RUN_DATES) -> DataFrame:
-    """Runs with their shared dates, shared strikes and corridor.
-
-    The quotes are listed once, per expiration; the rest reads that listing.
-    """
-    listing = settle(contract_listing(quotes), "listing")
+def listed_runs(listing: DataFrame, gaps: int = GAPS, min_dates: int = MIN_RUN_DATES) -> DataFrame:
+    """Runs of consecutive expirations with enough shared dates, and the ``filepath`` of each as a unit of work."""
     days = listing.select("symbol", "exp", F.explode("trade_dates").alias("trade_date"))
     runs = runs_with_common_days(expiration_runs(days, gaps + 1), days, min_dates)
+    return runs.withColumn("filepath", expirations_key("symbol", "exps"))
+
+
+def run_plan(listing: DataFrame, runs: DataFrame, greeks: DataFrame, gaps: int = GAPS) -> DataFrame:
+    """Runs with their shared dates, shared strikes and corridor; the quotes' listing is all that is read of them."""
     listed = listing.select("symbol", "exp", F.explode("strikes").alias("strike_milli"))
     legs = runs.select(*RUN_KEYS, F.explode("exps").alias("exp"))
     shared = in_all_groups(
         salted_join(listed, legs, ["symbol", "exp"]), RUN_KEYS, "strike_milli", "exp", gaps + 1
     )
     strikes = shared.groupBy(*RUN_KEYS).agg(sorted_set("strike_milli").alias("strikes"))
-    plan = runs.join(strikes, RUN_KEYS).withColumns(
+    plan = runs.drop("filepath").join(strikes, RUN_KEYS).withColumns(
         {"exp_front": F.get("exps", F.lit(0)), "trade_dates": F.array("first_day", "last_day")}
     )
     # The corridor reads the plan twice, so it is written once.
@@ -80,8 +85,45 @@ def multi_gap_history(
     fewer give nothing.  Legs may report different underlyings: ``watch`` (an
     :func:`agreement_watch`) counts them, and with ``strict`` they are an error.
     """
+    listing = settle(contract_listing(quotes), "listing")
+    return _history_of(listing, listed_runs(listing, gaps), quotes, greeks, gaps, watch, strict).drop("filepath")
+
+
+@dataclass(frozen=True)
+class MultiGapRun:
+    """What a run of the job has made, and the ``filepath`` of the units that gave nothing."""
+
+    rows: DataFrame
+    failures: DataFrame
+
+
+def multi_gap_run(
+    quotes: DataFrame,
+    greeks: DataFrame,
+    done: DataFrame,
+    first_day: int,
+    last_day: int,
+    gaps: int = GAPS,
+    watch: Watch | None = None,
+) -> MultiGapRun:
+    """The job over trade dates strictly between the two days, of expirations before the last.
+
+    Units whose ``filepath`` is in ``done`` (existing outputs and the ledger of
+    failures) are skipped; rows carry the ``filepath`` of theirs.
+    """
+    quotes, greeks = (within_history(t, first_day, last_day) for t in (quotes, greeks))
+    listing = settle(contract_listing(quotes), "listing")
+    units = settle(not_in(listed_runs(listing, gaps), done, ["filepath"]), "units")
+    rows = _history_of(listing, units, quotes, greeks, gaps, watch, False)
+    failures = not_in(units, rows.select("filepath").distinct(), ["filepath"]).select("filepath")
+    return MultiGapRun(rows, failures)
+
+
+def _history_of(
+    listing: DataFrame, runs: DataFrame, quotes: DataFrame, greeks: DataFrame, gaps: int, watch: Watch | None, strict: bool
+) -> DataFrame:
     watch = watch or agreement_watch(gaps)
-    plan = run_plan(quotes, greeks, gaps)
+    plan = run_plan(listing, runs, greeks, gaps)
     names = F.array(*[F.lit(n) for n in leg_names(gaps)])
     wanted = plan.select(
         *RUN_KEYS,
@@ -119,6 +161,7 @@ def multi_gap_history(
     wide = watch.on(widen_legs(cells, keys, "__cell", leg_columns(gaps), [*values, "underlying"]))
     wide, _ = collapse_duplicates(wide, one_underlying(gaps))
     exps = {f"exp_{n}": F.get("exps", F.lit(i)) for i, n in enumerate(leg_names(gaps))}
+    exps["filepath"] = expirations_key("symbol", "exps")
     result = enough_dates(wide, RUN_KEYS).withColumns(exps)
     if strict:
         watch.require()

@@ -2,8 +2,8 @@
 
 This is the shared folder that the cluster names in ``spark.checkpoint.dir``.
 Where that is unset, as in a bare local session, it is a folder of the
-warehouse, which every executor shares as well.  No machine-local folder is
-used on a cluster.
+warehouse; on a cluster it must be set, as the warehouse may then lie on the
+driver's own disk.
 
 Tables of one application lie below one folder, so :func:`clear` removes them
 together; :func:`discard` removes one that later steps no longer read.
@@ -23,6 +23,8 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder of this application."""
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share")
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         spark.conf.set(CHECKPOINT_DIR, root)
     return f"{root.rstrip('/')}/legweave-{spark.sparkContext.applicationId}"

@@ -351,3 +351,56 @@ def test_a_snapshot_without_an_input_is_not_scored(spark):
     two = rows.unionByName(rows.withColumn("trade_date", F.lit(3)))
     out = scored_snapshot.scored_snapshot(two, rows, lambda f: f.withColumns(score), 7, wanted=["symbol"])
     assert {(r.trade_date, r.prediction_score_1, r.lastUpdated) for r in out.collect()} == {(2, 0.5, 7), (3, None, 7)}
+
+
+# Work that is left
+
+
+def test_a_repeated_alert_run_logs_the_same(spark):
+    from legweave.plans import alert_run
+
+    scored = settle(fx.candidates(spark, "/root/testdata/sf0.01"), "scored")
+    path = fresh_path(spark, "alerts")
+    first = scored.filter(F.col("lastUpdated") == fx.SNAPSHOT_EPOCH)
+    late = scored.withColumn("lastUpdated", fx.SNAPSHOT_EPOCH + 3601 + F.lit(0).cast("long"))
+    n = alert_run.run_alerts(spark, first, path, 1).count()
+    assert n > 0 and alert_run.run_alerts(spark, first, path, 1).count() == n
+    log = alert_run.read_alert_log(spark, path)
+    assert log.count() == n == log.select("symbol", "weeks").distinct().count()
+    # An hour and a second later every key may alert again.
+    keys = {(r.symbol, r.weeks) for r in alert_run.run_alerts(spark, late, path, 2).collect()}
+    assert {(r.symbol, r.weeks) for r in log.collect()} <= keys
+    assert alert_run.run_alerts(spark, late.filter("weeks = 9"), path, 3).count() == 0
+
+
+def test_multi_gap_runs_skip_what_is_done(spark):
+    rows = settle(fx.daily(spark, SF), "daily")
+    q, g = rows.select(*BAR_KEYS, "bid", "ask"), rows.select(*BAR_KEYS, "implied_vol", "underlying")
+    nothing = spark.createDataFrame([], "filepath string")
+    whole = multi_gap.multi_gap_run(q, g, nothing, 20240101, 20240212)
+    units = {r.filepath for r in whole.rows.select("filepath").distinct().collect()}
+    failed = {r.filepath for r in whole.failures.collect()}
+    assert units and not units & failed and all("20240621" not in u for u in units | failed)
+    one = sorted(units)[0]
+    done = spark.createDataFrame([(u,) for u in failed | {one}], "filepath string")
+    again = multi_gap.multi_gap_run(q, g, done, 20240101, 20240212)
+    assert {r.filepath for r in again.rows.select("filepath").distinct().collect()} == units - {one}
+    assert again.failures.count() == 0
+    assert multi_gap.multi_gap_run(q, g, nothing, 20240105, 20240212).rows.count() == 0
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from legweave.scratch import shared_root
+
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(Session())
