@@ -40,6 +40,18 @@ class Mark:
     at: int
 
 
+# Powers of the hashes' factors, kept by this worker for the largest text so far.
+_POWERS: dict[np.uint64, np.ndarray] = {}
+
+
+def _powers(factor: np.uint64, n: int) -> np.ndarray:
+    if len(_POWERS.get(factor, ())) < n:
+        steps = np.full(max(n, PART_BYTES), factor, np.uint64)
+        steps[0] = 1
+        _POWERS[factor] = np.multiply.accumulate(steps)
+    return _POWERS[factor][:n]
+
+
 class _Words:
     """The words of some texts: hashes, places in the lower-cased bytes, and which are followed in their piece."""
 
@@ -61,12 +73,8 @@ class _Words:
         self.follows = pieces[1:] == pieces[:-1]
         self.text = np.searchsorted(starts[1:] + np.arange(1, rows + 1), first, "right")
         self.seeds = seeds[self.text] if len(first) else np.empty(0, np.uint64)
-        powers = np.full(len(self.bytes), FACTOR, np.uint64)
-        powers[:1] = 1
-        total = np.append(np.uint64(0), np.cumsum((self.bytes + np.uint64(1)) * np.multiply.accumulate(powers)))
-        powers = np.full(len(self.bytes), UNFACTOR, np.uint64)
-        powers[:1] = 1
-        back = np.multiply.accumulate(powers)[self.at[:-1]]
+        total = np.append(np.uint64(0), np.cumsum((self.bytes + np.uint64(1)) * _powers(FACTOR, len(self.bytes))))
+        back = _powers(UNFACTOR, len(self.bytes))[self.at[:-1]]
         self.hashes = mixed((total[self.at[1:]] - total[self.at[:-1]]) * back)
         self._phrases: dict[int, np.ndarray] = {}
 
