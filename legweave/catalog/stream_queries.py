@@ -10,7 +10,7 @@ from legweave.catalog.registry import query
 from legweave.operators import alerts
 from legweave.scratch import fresh_path
 from legweave.sinks.writers import retained
-from legweave.streaming import cooldown, runner
+from legweave.streaming import cooldown, day_cooldown, runner
 from legweave.streaming.bars import WATERMARK, interval_bars
 from legweave.streaming.latest import latest_per_key, upsert_log
 from legweave.streaming.snapshots import priced_snapshots
@@ -147,6 +147,39 @@ def x05(spark, sf):
     return kept.drop("lastUpdated")
 
 
+# The watermark at the end of all attempts, and the second before which every alert has been given out.
+SETTLED_SQL = f"(SELECT max(epoch_ms(ts)) - {day_cooldown.DELAY_SECONDS} * 1000 FROM events WHERE event_type = 'signup')"
+
+
+def _timed_attempts(spark, sf):
+    """The attempts as a stream with their event time."""
+    return fx.alert_columns(event_stream(spark, sf), "ts")
+
+
+@query("x05_day_timers", REPLAY_SQL + f" WHERE (e.alert_time + 1) * 1000 <= {SETTLED_SQL}")
+def x05_timers(spark, sf):
+    """The cooldown under event time: timers settle each second behind the watermark, and end each key's day."""
+    with runner.timed_state(spark):
+        return runner.run_to_table(day_cooldown.day_cooldown_stream(_timed_attempts(spark, sf)), "timed")
+
+
+RETAIN_DAYS = 3
+
+
+@query(
+    "x05_retaining_sink",
+    f"""SELECT * FROM ({REPLAY_SQL} WHERE (e.alert_time + 1) * 1000 <= {SETTLED_SQL})
+      QUALIFY date_diff('day', strptime(alert_date::VARCHAR, '%Y%m%d'), max(strptime(alert_date::VARCHAR, '%Y%m%d')) OVER ()) <= {RETAIN_DAYS}""",
+)
+def x05_sink(spark, sf):
+    """The same stream into a sink that drops its old days while it runs."""
+    out = fresh_path(spark, "retaining")
+    with runner.timed_state(spark):
+        alerts = day_cooldown.day_cooldown_stream(_timed_attempts(spark, sf))
+        runner.catch_up_batches(alerts, day_cooldown.retaining_sink(spark, out, RETAIN_DAYS), fresh_path(spark, "retaining-state"), "append")
+    return spark.read.schema(alerts.schema).parquet(out).select(*alerts.columns)
+
+
 @query("x06_incremental_backfill", "SELECT symbol, opt_right, strike_milli, exp, trade_date, bid FROM chain")
 def x06(spark, sf):
     """Two landings, two catch-up runs: the second reads only the new files."""

@@ -438,7 +438,7 @@ def alert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alert_columns(events(spark, sf_dir))
 
 
-def alert_columns(e: DataFrame) -> DataFrame:
+def alert_columns(e: DataFrame, *more: str) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
     return e.filter(F.col("event_type") == "signup").select(
         "event_id",
@@ -446,6 +446,7 @@ def alert_columns(e: DataFrame) -> DataFrame:
         (F.col("event_id") % 5 + 1).cast("int").alias("weeks"),
         F.unix_timestamp(ts).alias("alert_time"),
         F.date_format(ts, "yyyyMMdd").cast("int").alias("alert_date"),
+        *more,
     )
 
 

@@ -7,25 +7,25 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from legweave.scratch import fresh_path
 
 # Settings a stream with processing-time state needs while it starts.  Its
 # operator always asks for one more empty batch, so a run that should stop when
 # the files are used up must not start batches without data.
-TTL_STATE_SETTINGS = {
+TIMED_STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
-    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
+TTL_STATE_SETTINGS = {**TIMED_STATE_SETTINGS, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 
 
 @contextmanager
-def ttl_state(spark: SparkSession):
-    """Keeps streaming state in RocksDB and runs data batches only."""
-    before = {k: spark.conf.get(k, None) for k in TTL_STATE_SETTINGS}
-    for k, v in TTL_STATE_SETTINGS.items():
+def _settings(spark: SparkSession, settings: dict[str, str]):
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
         spark.conf.set(k, v)
     try:
         yield
@@ -37,6 +37,16 @@ def ttl_state(spark: SparkSession):
                 spark.conf.set(k, v)
 
 
+def ttl_state(spark: SparkSession):
+    """Keeps streaming state in RocksDB and runs data batches only."""
+    return _settings(spark, TTL_STATE_SETTINGS)
+
+
+def timed_state(spark: SparkSession):
+    """Keeps streaming state in RocksDB; event-time timers also fire in a last batch without data."""
+    return _settings(spark, TIMED_STATE_SETTINGS)
+
+
 def stream_files(
     spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None, files_per_batch: int | None = None
 ) -> DataFrame:
@@ -65,16 +75,17 @@ def catch_up(
 
 def catch_up_batches(
     stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "update"
-) -> None:
-    """Hands every micro-batch to ``write(batch, batch_id)``, then stops."""
-    (
+) -> StreamingQuery:
+    """Hands every micro-batch to ``write(batch, batch_id)``, then stops; the ended query has its progress."""
+    run = (
         stream.writeStream.foreachBatch(write)
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
-        .awaitTermination()
     )
+    run.awaitTermination()
+    return run
 
 
 def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
