@@ -17,6 +17,8 @@ WIDTH, FILTERS, STRIDE = 5, 12, 256
 # Bounds of the fit: labelled documents per label, and chunks drawn from each.
 PER_LABEL, CHUNKS = 1_500, 6
 STEPS, BATCH, RATE, SEED = 1_200, 64, 0.01, 11
+# Places whose answers are held at a time, however long a document is.
+PART_PLACES = 1 << 17
 # So many of the chunks in training are cut to a random length, as documents may be a word long.
 CUT_SHARE, CUT_BYTES = 0.4, 160
 
@@ -36,7 +38,20 @@ class ByteNetwork:
         total = self.filters[0].take(padded[:places], axis=0)
         for k in range(1, WIDTH):
             total += self.filters[k].take(padded[k : k + places], axis=0)
-        return total + self.bias
+        total += self.bias
+        return total
+
+    def highest(self, padded: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        """The highest answer of each filter from each cut to the next one, or to the end."""
+        ends = np.append(cuts[1:], len(padded) - WIDTH + 1)
+        out = np.empty((len(cuts), FILTERS), np.float32)
+        lo = 0
+        while lo < len(cuts):
+            hi = max(lo + 1, int(np.searchsorted(ends, cuts[lo] + PART_PLACES, "right")))
+            part = self.answers(padded[cuts[lo] : ends[hi - 1] + WIDTH - 1])
+            out[lo:hi] = np.maximum.reduceat(part, cuts[lo:hi] - cuts[lo], axis=0)
+            lo = hi
+        return out
 
     def pooled(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The highest answer of each filter in each chunk, and each chunk's document.
@@ -46,18 +61,18 @@ class ByteNetwork:
         """
         rows = len(starts) - 1
         lengths = np.diff(starts)
-        room = lengths + WIDTH
+        room = np.maximum(lengths, 1) + WIDTH
         at = np.append(0, np.cumsum(room))
         padded = np.zeros(at[-1], np.uint8)
-        padded[np.arange(len(data)) + np.repeat(np.arange(rows), lengths) * WIDTH] = data
+        for r in range(rows):
+            padded[at[r] : at[r] + lengths[r]] = data[starts[r] : starts[r + 1]]
         # A stride's places end with the document's bytes; what follows, up to the next document, is cut off.
         strides = np.maximum(1, -(-lengths // STRIDE))
         owner = np.repeat(np.arange(rows), strides + 1)
         first = np.cumsum(strides + 1) - (strides + 1)
         nth = np.arange(len(owner)) - first[owner]
         cuts = at[owner] + np.minimum(nth * STRIDE, np.maximum(lengths, 1)[owner])
-        answers = self.answers(padded)
-        high = np.maximum.reduceat(answers, np.minimum(cuts, len(answers) - 1), axis=0)
+        high = self.highest(padded, cuts)
         inside = nth < strides[owner]
         high, owner, nth = high[inside], owner[inside], nth[inside]
         paired = high.copy()
@@ -116,19 +131,26 @@ def train(chunks: np.ndarray, labels: np.ndarray) -> ByteNetwork:
     )
 
 
-def spread_chunks(data: np.ndarray, starts: np.ndarray) -> list[list[bytes]]:
-    """Up to CHUNKS chunks of each document, evenly spread over all of it, filled up with zero bytes."""
+def spread_chunks(data: np.ndarray, starts: np.ndarray, most: int = CHUNKS) -> list[list[bytes]]:
+    """Up to ``most`` chunks of each document, evenly spread over all of it, filled up with zero bytes."""
     size = 2 * STRIDE
     out = []
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-        n = min(CHUNKS, max(1, (b - a) // size))
+        n = min(most, max(1, (b - a) // size))
         at = np.linspace(a, max(a, b - size), n).astype(np.int64)
         out.append([data[i : min(i + size, b)].tobytes().ljust(size + WIDTH - 1, b"\0") for i in at])
     return out
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> ByteNetwork:
-    """A network of a bounded sample: PER_LABEL documents of each label, CHUNKS chunks of each document.
+def fit_quality(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    per_label: int = PER_LABEL,
+    chunks: int = CHUNKS,
+) -> ByteNetwork:
+    """A network of a bounded sample: ``per_label`` documents of each label, ``chunks`` chunks of each document.
 
     ``labels`` has the id and ``quality`` (0 or 1; others are left out); an id
     with both labels counts as 1.  The documents are the first in the order of
@@ -139,26 +161,27 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
         .groupBy(F.col(id_col).alias("id"))
         .agg(F.max("quality").cast("int").alias("quality"))
     )
-    chosen = bounded_sample(marked, "quality", "id", PER_LABEL)
+    chosen = bounded_sample(marked, "quality", "id", per_label)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sample = rows.join(chosen, "id")
 
     def pieces(data, starts):
-        return {"chunks": pa.array(spread_chunks(data, starts), pa.list_(pa.binary()))}
+        return {"chunks": pa.array(spread_chunks(data, starts, chunks), pa.list_(pa.binary()))}
 
     field = T.StructField("chunks", T.ArrayType(T.BinaryType()))
     made = with_scores(sample, "text", pieces, [field]).drop("text")
-    got = made.orderBy(F.xxhash64("id"), "id", F.xxhash64("chunks")).limit(2 * PER_LABEL).collect()
-    chunks = [np.frombuffer(c, np.uint8) for r in got for c in r.chunks]
+    got = made.orderBy(F.xxhash64("id"), "id", F.xxhash64("chunks")).limit(2 * per_label).collect()
+    drawn = [np.frombuffer(c, np.uint8) for r in got for c in r.chunks]
     marks = np.array([r.quality for r in got for _ in r.chunks], np.float32)
-    return train(np.array(chunks, np.uint8).reshape(len(chunks), 2 * STRIDE + WIDTH - 1), marks)
+    return train(np.array(drawn, np.uint8).reshape(len(drawn), 2 * STRIDE + WIDTH - 1), marks)
 
 
 def score_quality(docs: DataFrame, model: ByteNetwork, text_col: str = "text") -> DataFrame:
     """``docs`` with ``score``: the probability of label 1, from the whole text alone.
 
     Null counts as empty; empty texts have a score too.  Rows are judged one by
-    one, so repeated rows agree.  A column of ``docs`` named ``score`` is replaced.
+    one, so repeated rows agree.  Of a long text PART_PLACES places are worked on
+    at a time; 48 bytes stay of every STRIDE.  A column of ``docs`` named ``score`` is replaced.
     """
 
     def scores(data, starts):

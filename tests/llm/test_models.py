@@ -1,5 +1,8 @@
 """Language and quality models on held-out rows, and on odd tables."""
 
+import math
+import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -85,6 +88,101 @@ def test_pooling_covers_the_whole_document():
             assert (lone[owner == 0] == 0).all() and lone[owner == 1, 1].max() == quality.WIDTH - 1
 
 
+def score_by_hand(net, text):
+    """The network's probability, one byte, filter and chunk at a time."""
+    lone = list(text) + [0] * quality.WIDTH
+    places = max(len(text), 1)
+    answers = [
+        [sum(float(net.filters[k, lone[p + k], f]) for k in range(quality.WIDTH)) + float(net.bias[f]) for p in range(places)]
+        for f in range(quality.FILTERS)
+    ]
+    begins = list(range(0, max(places - quality.STRIDE, 1), quality.STRIDE))
+    logits = []
+    for a in begins:
+        pooled = [max(0.0, *row[a : a + 2 * quality.STRIDE], -1e9) for row in answers]
+        logits.append(sum(x * float(w) for x, w in zip(pooled, net.out, strict=True)) + net.shift)
+    return 1 / (1 + math.exp(-sum(logits) / len(logits)))
+
+
+def test_quality_scores_by_hand(spark, monkeypatch):
+    """Whole texts of all lengths around the strides, in one block and in parts of a few strides."""
+    net = quality.train(np.empty((0, 0), np.uint8), np.empty(0, np.float32))
+    rng = random.Random(3)
+    sizes = [0, 1, 4, 5, 255, 256, 257, 300, 511, 512, 513, 700, 768, 769, 1_500, 3_000]
+    texts = ["".join(rng.choice("abc é.\n漢") for _ in range(n)) for n in sizes] + [None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for places in (quality.PART_PLACES, 1, 600):
+        monkeypatch.setattr(quality, "PART_PLACES", places)
+        data = [(t or "").encode() for t in texts]
+        starts = np.append(0, np.cumsum([len(d) for d in data]))
+        got = net.score(np.frombuffer(b"".join(data), np.uint8), starts)
+        assert got == pytest.approx([score_by_hand(net, d) for d in data], abs=1e-5)
+    scored = {r.doc_id: r.score for r in quality.score_quality(docs, net).collect()}
+    assert [scored[n] for n in range(len(texts))] == pytest.approx(got.tolist(), abs=1e-6)
+
+
+def test_a_long_text_is_scored_in_bounded_memory():
+    """24 MB in one text: what is held at a time stays below a few bytes per byte."""
+    net = quality.train(np.empty((0, 0), np.uint8), np.empty(0, np.float32))
+    data = np.random.default_rng(1).integers(32, 127, 24_000_000, dtype=np.uint8)
+    tracemalloc.start()
+    score = net.score(data, np.array([0, len(data)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 <= score[0] <= 1 and peak < 3 * len(data)
+
+
+def test_bounds_of_the_fits(spark):
+    """The documented bounds are arguments, and no language is left out however many there are."""
+    rows = [(n, f"wort{n % 7} " * 30, f"l{n % 9}", n % 2) for n in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    model = language.fit_language_model(docs, per_language=2, most_documents=4)
+    assert sorted(x for family in model.families for x in family) == [f"l{n}" for n in range(9)]
+    data = np.frombuffer(b"x" * 5_000, np.uint8)
+    assert [len(quality.spread_chunks(data, np.array([0, 5_000]), most)[0]) for most in (1, 3, 100)] == [1, 3, 9]
+    net = quality.fit_quality(docs, docs.select("doc_id", "quality"), per_label=3, chunks=1)
+    assert net.filters.shape == (quality.WIDTH, 256, quality.FILTERS)
+
+
+def language_by_hand(model, text):
+    """The language and score of one text in plain Python, from the model's weights."""
+    low = [b + 32 if 65 <= b <= 90 else b for b in text.encode()]
+    counts = Counter(
+        ((sum(b * m for b, m in zip(low[i : i + 3], (40503, 30011, 10007), strict=True)) * 2654435761) % (1 << 32)) >> 20
+        for i in range(len(low) - 2)
+    )
+    profile = {bucket: math.sqrt(n / sum(counts.values())) for bucket, n in counts.items()}
+
+    def heat(w):
+        margin = sum(x * float(w[bucket]) for bucket, x in profile.items()) + float(w[-1])
+        return 1 / (1 + math.exp(-language.SHARPNESS * margin))
+
+    heats = [heat(w) for w in model.family_weights]
+    best = heats.index(max(heats))
+    family = model.families[best]
+    votes = {lang: 0.0 for lang in family}
+    for (a, b), w in model.pair_weights.items():
+        if a in votes:
+            votes[a] += heat(w)
+            votes[b] += 1 - heat(w)
+    pick = max(family, key=votes.get)
+    within = votes[pick] / (len(family) - 1) if len(family) > 1 else 1.0
+    return pick, heats[best] / sum(heats) * within
+
+
+def test_languages_by_hand(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    model = language.fit_language_model(docs, per_language=30)
+    rows = language.identify_languages(docs, model).filter("doc_id % 9 = 0 OR length(text) < 20").collect()
+    assert len(rows) > 20
+    for r in rows:
+        if any(c.isalpha() for c in r.text or ""):
+            pick, score = language_by_hand(model, r.text)
+            assert r.score == pytest.approx(score, abs=1e-4) and (r.lang_pred == pick or score < 0.5)
+        else:
+            assert (r.lang_pred, r.score) == (language.UNDETERMINED, 0)
+
+
 def test_folds(spark):
     rows = spark.createDataFrame([(0,), (17,), (None,)], "doc_id long").select(samples.id_remainder("doc_id", 5).alias("r"))
     import zlib
