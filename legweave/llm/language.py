@@ -126,18 +126,24 @@ class LanguageModel:
 
 
 def fit_language_model(
-    labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+    labelled: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    per_language: int = PER_LANGUAGE,
+    most_documents: int = MOST_DOCUMENTS,
 ) -> LanguageModel:
-    """A model of a bounded sample: PER_LANGUAGE documents of each language, MOST_DOCUMENTS in all.
+    """A model of a bounded sample: ``per_language`` documents of each language, ``most_documents`` in all.
 
-    They are the first in the order of a hash of the id.  Only their profiles
-    come to the driver, of one size whatever their length.  Rows without
+    They are the first in the order of a hash of the id; of more languages than
+    ``most_documents`` each has one document.  Only their profiles come to the
+    driver, of one size whatever their length.  Rows without
     language or letters are left out.
     """
     usable = labelled.filter(F.col(lang_col).isNotNull() & has_letter(F.col(text_col)))
     rows = usable.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     languages = rows.select("lang").distinct().count()
-    per_language = max(1, min(PER_LANGUAGE, MOST_DOCUMENTS // max(languages, 1)))
+    per_language = max(1, min(per_language, most_documents // max(languages, 1)))
     chosen = bounded_sample(rows.select("id", "lang").distinct(), "lang", "id", per_language)
     sample = rows.join(chosen, ["id", "lang"], "left_semi").select("id", "lang", "text")
 
@@ -146,7 +152,7 @@ def fit_language_model(
 
     field = T.StructField("profile", T.BinaryType())
     made = with_scores(sample, "text", profiles, [field]).withColumn("letters", letters_in(F.col("text"))).drop("text")
-    got = made.orderBy("lang", F.xxhash64("id"), "id").limit(MOST_DOCUMENTS).collect()
+    got = made.orderBy("lang", F.xxhash64("id"), "id").limit(max(most_documents, languages)).collect()
     x = np.array([np.frombuffer(r.profile, np.float32) for r in got]).reshape(len(got), BUCKETS)
     model = LanguageModel.fit(x, np.array([r.lang for r in got], object))
     scores = model.predict(x)[1][[r.letters >= LEAST_LETTERS for r in got]]
