@@ -142,26 +142,33 @@ def _conditional(table: Sequence[float], width: int) -> list[float]:
     return out
 
 
-def labelled_strings(found: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def labelled_strings(
+    found: DataFrame,
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    strings: int = SAMPLE_STRINGS,
+    documents: int = SAMPLE_DOCUMENTS,
+) -> DataFrame:
     """Random strings that the fixed patterns found, and the words of some documents, as rows (string, random).
 
-    Both sides are bounded samples in the order of a hash: SAMPLE_STRINGS found
-    strings, and SAMPLE_STRINGS words of SAMPLE_DOCUMENTS documents.  A found
+    Both sides are bounded samples in the order of a hash: ``strings`` found
+    strings, and ``strings`` words of ``documents`` documents.  A found
     string is the last run of its match, without the name before it.
     """
     hit = F.explode("base").alias("span")
     value = F.regexp_extract(F.col("span.hit"), r"([A-Za-z0-9+/_-]+)[.=]*$", 1)
     random = found.select(hit).select(value.alias("string")).filter(F.length("string") >= 12).distinct()
-    random = random.orderBy(F.xxhash64("string"), "string").limit(SAMPLE_STRINGS).withColumn("random", F.lit(True))
+    random = random.orderBy(F.xxhash64("string"), "string").limit(strings).withColumn("random", F.lit(True))
     # The ids are drawn without their texts, so that no task gathers those of all others.
-    ids = docs.select(F.col(id_col).alias("id")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCUMENTS).distinct()
+    ids = docs.select(F.col(id_col).alias("id")).orderBy(F.xxhash64("id"), "id").limit(documents).distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     some = texts.join(settle(ids, "drawn"), "id", "left_semi")
     bare = F.col("text")
     for _, pattern, *_ in PATTERNS:
         bare = F.regexp_replace(bare, pattern, " ")
     words = some.select(F.explode(F.regexp_extract_all(bare, F.lit(WORD), F.lit(0))).alias("string")).distinct()
-    words = words.orderBy(F.xxhash64("string"), "string").limit(SAMPLE_STRINGS).withColumn("random", F.lit(False))
+    words = words.orderBy(F.xxhash64("string"), "string").limit(strings).withColumn("random", F.lit(False))
     return random.unionByName(words)
 
 
