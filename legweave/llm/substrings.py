@@ -12,15 +12,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from legweave.llm.batches import blocks, ragged, utf8
+from legweave.llm.batches import BLOCK_BYTES, blocks, ragged, utf8
+from legweave.llm.ordered import running_totals
 from legweave.scratch import discard, release, settle
 
 # Bytes of the grams that deal windows to classes at first; classes too large are dealt again by longer ones.
 FIRST_GRAM = 32
 # Fragments that a class may have, fragments of one merge, and shards whose transforms it merges.
 CLASS_LIMIT, MERGE_FRAGMENTS, SHARDS = 8_192, 300, 4
-# Rows that repeat an id are told apart in the upper bits of a position.
-ROW_SHIFT = 40
+# Texts that share an id are numbered in the upper bits of a position; a text is shorter than 2 to the 31 bytes.
+ROW_SHIFT = 31
 
 _random = np.random.default_rng(9_173)
 GEAR = _random.integers(1 << 32, size=256, dtype=np.uint32)
@@ -96,7 +97,18 @@ def _fingerprints(data: np.ndarray, first: np.ndarray, count: np.ndarray, length
     return np.array([digest(view[a:b]) for a, b in spans], np.uint64).view(np.int64)
 
 
-def _cut(length: int, gram: int, what: str):
+def parts(starts: np.ndarray, length: int, limit: int) -> Iterator[tuple[int, int, int, int]]:
+    """Blocks as rows lo to hi and bytes a to b; a longer text comes in parts, each of its windows in one of them."""
+    for lo, hi in blocks(starts, limit):
+        a, b = int(starts[lo]), int(starts[hi])
+        if hi - lo > 1 or b - a <= limit:
+            yield lo, hi, a, b
+            continue
+        for at in range(a, max(b - length + 1, a + 1), limit):
+            yield lo, hi, at, min(at + limit + length - 1, b)
+
+
+def _cut(length: int, gram: int, what: str, limit: int):
     """Arrow batches (d, p, text or bytes): a text's runs as hashes and counts (``count``), as rows of class,
     fingerprint, place and number of windows (``runs``), or as such rows with their bytes (``pieces``)."""
 
@@ -104,8 +116,8 @@ def _cut(length: int, gram: int, what: str):
         for batch in batches:
             column = batch.column("body")
             data, starts = utf8(column) if what != "pieces" else _binary(column)
-            for lo, hi in blocks(starts):
-                part, at = data[starts[lo] : starts[hi]], starts[lo : hi + 1] - starts[lo]
+            for lo, hi, a, b in parts(starts, length, limit):
+                part, at = data[a:b], np.clip(starts[lo : hi + 1], a, b) - a
                 first, count, place = runs(part, at, length, gram)
                 if not len(first):
                     continue
@@ -119,7 +131,7 @@ def _cut(length: int, gram: int, what: str):
                     "class": pa.array(hashes),
                     "print": pa.array(_fingerprints(part, first, count, length)),
                     "d": batch.column("d").slice(lo, hi - lo).take(pa.array(row)),
-                    "p": pc.add(batch.column("p").slice(lo, hi - lo).take(pa.array(row)), pa.array(first - at[row])),
+                    "p": pc.add(batch.column("p").slice(lo, hi - lo).take(pa.array(row)), pa.array(first + a - starts[lo + row])),
                     "n": pa.array(count.astype(np.int32)),
                 }
                 if what == "pieces":
@@ -267,9 +279,13 @@ def _split_by_first(pieces: DataFrame, firsts: DataFrame, length: int) -> DataFr
     return later.select("d", F.col("p").alias("lo"), (F.col("p") + F.col("n") + length - 1).alias("hi"))
 
 
-def repeated_spans(texts: DataFrame, length: int, class_limit: int = CLASS_LIMIT) -> DataFrame:
+def repeated_spans(
+    texts: DataFrame, length: int, class_limit: int = CLASS_LIMIT, part_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """Spans (d, lo, hi) of texts (d, p, body) covered by windows of ``length`` bytes that also start earlier.
 
+    No (d, p) may come twice.
+
     Windows are dealt to classes by their smallest gram.  Classes seen once
     hold nothing.  In the others, runs of windows with equal fingerprints of
     class and bytes are settled by the earliest; what is left of classes with
@@ -279,10 +295,10 @@ def repeated_spans(texts: DataFrame, length: int, class_limit: int = CLASS_LIMIT
     """
     spark = texts.sparkSession
     gram = min(FIRST_GRAM, length)
-    counted = texts.mapInArrow(_cut(length, gram, "count"), "class long, times long")
+    counted = texts.mapInArrow(_cut(length, gram, "count", part_bytes), "class long, times long")
     repeated = settle(counted.groupBy("class").agg(F.sum("times").alias("times")).filter("times > 1").select("class"), "repeated")
     release(spark)
-    cut = texts.mapInArrow(_cut(length, gram, "runs"), "class long, print long, d long, p long, n int")
+    cut = texts.mapInArrow(_cut(length, gram, "runs", part_bytes), "class long, print long, d long, p long, n int")
     seen = settle(cut.join(repeated, "class"), "seen")
     discard(repeated)
     release(spark)
@@ -321,7 +337,7 @@ def repeated_spans(texts: DataFrame, length: int, class_limit: int = CLASS_LIMIT
         gram = (gram + length + 1) // 2
         cut = settle(
             large.select("d", "p", "body").mapInArrow(
-                _cut(length, gram, "pieces"), "class long, print long, d long, p long, n int, body binary"
+                _cut(length, gram, "pieces", part_bytes), "class long, print long, d long, p long, n int, body binary"
             ),
             "cut",
         )
@@ -358,6 +374,16 @@ def _fetch(length: int):
     return run
 
 
+def _numbered(texts: DataFrame) -> DataFrame:
+    """Distinct (d, h) with ``row``: the place of h in its d from 0, counted over ranges, so no d is gathered."""
+    ranked = running_totals(texts.withColumn("one", F.lit(1).cast("long")), ["d", "h"], ["one"])
+    first = ranked.groupBy("d").agg(F.min("before_one").alias("first"))
+    row = F.col("before_one") - F.col("first")
+    most = F.lit(1 << (63 - ROW_SHIFT))
+    held = F.when(row < most, row).otherwise(F.raise_error(F.lit("too many texts share one id")).cast("long"))
+    return ranked.join(first, "d").select("d", "h", held.alias("row"))
+
+
 def _cleaned(with_text: bool):
     """Rows (.., body, places): the digest columns of the text without the spans of ``places``."""
 
@@ -401,6 +427,7 @@ def remove_repeats(
     text_col: str = "text",
     with_text: bool = False,
     class_limit: int = CLASS_LIMIT,
+    part_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Each document without the bytes of ``length``-byte strings that also start earlier.
 
@@ -409,9 +436,10 @@ def remove_repeats(
     at the cuts become U+FFFD).  Earlier is a smaller id, or an earlier place in
     the same document; overlaps count, and strings are judged on the input.
 
+    Windows of texts longer than ``part_bytes`` are dealt in parts of that size.
     Null texts count as empty.  A null id comes before all others.  Rows that
     repeat an id are ordered by a hash of their text; rows alike in both are one
-    document and get the same result.  Ids must be whole numbers.  Other columns
+    document and get the same result; 2 to the 32 texts may share an id.  Ids must be whole numbers.  Other columns
     are ignored; an empty table gives no rows.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -423,12 +451,18 @@ def remove_repeats(
         F.coalesce(F.col(text_col), F.lit("")).alias("body"),
     )
     hashed = base.withColumn("h", F.xxhash64("body"))
-    # Normally empty, so the join below is a broadcast of nothing.
-    shared = hashed.groupBy("d").agg(F.sort_array(F.collect_set("h")).alias("hs")).filter(F.size("hs") > 1)
-    shared = settle(shared, "shared")
-    row = F.coalesce(F.array_position("hs", F.col("h")) - 1, F.lit(0)).cast("long")
-    texts = hashed.join(shared, "d", "left").select("id", "d", F.shiftleft(row, ROW_SHIFT).alias("p"), "body")
-    spans = repeated_spans(texts.select("d", "p", "body"), length, class_limit)
+    row = F.lit(0).cast("long")
+    shared = settle(hashed.groupBy("d").count().filter("count > 1").select("d"), "shared")
+    if shared.isEmpty():
+        texts = hashed.select("id", "d", F.lit(0).cast("long").alias("p"), "body")
+        once = texts.select("d", "p", "body")
+    else:
+        numbered = settle(_numbered(hashed.select("d", "h").join(shared, "d", "left_semi").distinct()), "numbered")
+        row = F.shiftleft(F.coalesce("row", F.lit(0).cast("long")), ROW_SHIFT)
+        texts = hashed.join(numbered, ["d", "h"], "left").select("id", "d", row.alias("p"), "body")
+        # Rows alike in id and text are one document: its places are sought once.
+        once = settle(texts.select("d", "p", "body").dropDuplicates(["d", "p"]), "once")
+    spans = repeated_spans(once, length, class_limit, part_bytes)
     mask = F.lit((1 << ROW_SHIFT) - 1)
     places = (
         spans.select("d", F.shiftright("lo", ROW_SHIFT).alias("row"), F.col("lo").bitwiseAND(mask).alias("lo"), F.col("hi").bitwiseAND(mask).alias("hi"))

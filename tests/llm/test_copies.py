@@ -126,8 +126,8 @@ def removed_by_hand(rows, length):
     return out
 
 
-@pytest.mark.parametrize(("length", "limit"), [(100, 8_192), (100, 1), (23, 2)])
-def test_repeated_substrings(spark, length, limit):
+@pytest.mark.parametrize(("length", "limit", "part"), [(100, 8_192, 2_000_000), (100, 1, 70), (23, 2, 150)])
+def test_repeated_substrings(spark, length, limit, part):
     rng = random.Random(3)
     passage = "".join(rng.choice("abcdefgh ") for _ in range(500))
     rows = []
@@ -144,7 +144,7 @@ def test_repeated_substrings(spark, length, limit):
                 parts.append("".join(rng.choice("xyzé\U0001F600") for _ in range(rng.randint(1, 120))))
         rows.append((d, "".join(parts) if d % 11 else None))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = substrings.remove_repeats(docs, length, class_limit=limit).collect()
+    got = substrings.remove_repeats(docs, length, class_limit=limit, part_bytes=part).collect()
     assert sorted(map(tuple, got)) == sorted(removed_by_hand([((d,), t) for d, t in rows], length))
 
 
@@ -162,6 +162,25 @@ def test_repeated_substrings_of_odd_rows(odd_docs, odd_rows, no_docs):
     assert substrings.remove_repeats(no_docs).collect() == []
 
 
+def test_repeated_substrings_of_texts_that_share_ids(spark):
+    """Ids that many texts share, null among them: the order is that of the id and then the text's hash."""
+    rng = random.Random(12)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    rows = set()
+    for n in range(60):
+        at = rng.randint(0, 250)
+        text = f"{n} " + passage[at : at + rng.randint(50, 150)] + "z" * rng.randint(0, 3) + passage[:130] * (n % 2)
+        rows.add((rng.choice([None, None, 7, 7, 8, -3, n]), text))
+    rows |= {(7, ""), (None, None), (9, "short")}
+    docs = spark.createDataFrame(sorted(rows, key=str), "doc_id long, text string").repartition(3)
+    keyed = docs.selectExpr("doc_id", "text", "coalesce(doc_id, -9223372036854775808) AS d", "xxhash64(coalesce(text, '')) AS h")
+    order = sorted(keyed.collect(), key=lambda r: (r.d, r.h))
+    want = removed_by_hand([((r.doc_id, n), r.text) for n, r in enumerate(order)], 100)
+    got = substrings.remove_repeats(docs.union(docs.limit(5)), 100).collect()
+    assert Counter(map(tuple, got)).keys() == Counter(want).keys() and len(got) == len(want) + 5
+    assert sum(w[2] for w in want) > 1_000
+
+
 def test_merged_transforms_order_rotations():
     """The merged order is that of all rotations, and blocks are those alike in the compared prefix."""
     rng = random.Random(8)
