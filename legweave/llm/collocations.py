@@ -24,7 +24,7 @@ MISSING = "und"
 # Scores are parts of so many.
 UNIT = 2_000_000
 # Bytes of text that are counted at a time, and bytes of phrases sent on at a time.
-PART_BYTES, SENT_BYTES = 2_000_000, 64_000_000
+PART_BYTES, SENT_BYTES = 1_000_000, 16_000_000
 # The frontier is first expanded down to the score of this many times the phrases that are wanted.
 MARGIN = 2
 # A language's leading phrases are first found in so many parts, so that no task ranks a language alone.
