@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from legweave.catalog.ctes import with_tables
-from legweave.session import tune
+from legweave.session import broadcast_by_measure, tune
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -30,7 +30,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Runner], Runner]:
             raise ValueError(f"query {name} is registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(tune(spark), sf_dir)
+            return fn(broadcast_by_measure(tune(spark)), sf_dir)
 
         REGISTRY[name] = Query(run, with_tables(sql) if sql else None)
         return fn

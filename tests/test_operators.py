@@ -8,6 +8,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from legweave import session
 from legweave.functions import labels as lb
 from legweave.functions.numeric import finite_or_null, least_strict, round_half_even
 from legweave.functions.pricing import calendar_metrics, iv_front_back_diff
@@ -300,6 +301,42 @@ def test_joins_without_hot_keys_repeat_nothing(spark):
     assert "Generate" not in plan and "explode" not in plan
 
 
+def test_joins_broadcast_by_measured_size(spark, tmp_path):
+    """A small file of many rows, and rows exploded from it, are no small sides; the limit is the session's own."""
+    before = spark.conf.get(session.ESTIMATED)
+    try:
+        session.tune(spark)
+        spark.conf.set(session.ESTIMATED, "200k")
+        spark.range(9).selectExpr("0L a").write.parquet(f"{tmp_path}/small")
+        small = spark.read.parquet(f"{tmp_path}/small")
+        large = small.selectExpr("explode(sequence(1, 20000)) k", "a")
+
+        def plan(dim):
+            df = salted_join(spark.range(30_000).selectExpr("cast(id + 20000 as int) k"), dim, ["k"])
+            df.collect()
+            return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+        assert "BroadcastHashJoin" in plan(large)
+        session.broadcast_by_measure(spark)
+        session.broadcast_by_measure(spark)
+        assert "BroadcastHashJoin" not in plan(large)
+        assert "BroadcastHashJoin" in plan(small.selectExpr("cast(a as int) k"))
+        session.tune(spark)
+        assert spark.conf.get(session.ESTIMATED) == "200k" and spark.conf.get(session.MEASURED, None) is None
+    finally:
+        spark.conf.set(session.ESTIMATED, before)
+
+
+def test_listings_of_repeated_and_null_rows(spark):
+    rows = [("A", 1, 5, 10), ("A", 1, 5, 10), ("A", 1, 6, None), ("O", 1, None, 11), (None, 1, 7, 12), ("A", 2, 5, 10)]
+    listing = ex.contract_listing(spark.createDataFrame(rows, "symbol string, exp int, trade_date int, strike_milli long"))
+    got = {(r.symbol, r.exp): (r.trade_dates, r.strikes) for r in listing.collect()}
+    assert got == {("A", 1): ([5, 6], [10]), ("A", 2): ([5], [10]), ("O", 1): ([], [11]), (None, 1): ([7], [12])}
+    roots = spark.createDataFrame([("A", "A"), ("A", "O"), ("B", "O")], "symbol string, root string")
+    named = {(r.symbol, r.exp): (r.trade_dates, r.strikes) for r in ex.listing_of_roots(listing, roots).collect()}
+    assert named == {("A", 1): ([5, 6], [10, 11]), ("A", 2): ([5], [10]), ("B", 1): ([], [11])}
+
+
 def test_salting_splits_a_hot_key(spark):
     hot = spark.range(4000).select(F.lit("hot").alias("k"), "id")
     shares = hot_keys(hot, ["k"])
