@@ -101,13 +101,19 @@ def f20_snapshot(spark, sf):
 
 # --------------------------------------------------------------- co-located legs
 
-BUCKETS = 8
 LEG_IDS = ["symbol", "opt_right", "strike_milli", "trade_date"]
 
 
-def bucketed(spark, rows, kind):
+def bucketed(spark, rows, kind, buckets):
     path = fresh_path(spark, f"bucketed-{kind}")
-    return market.land_bucketed(rows, f"{kind}_{path[-32:]}", path, BUCKETS)
+    return market.land_bucketed(rows, f"{kind}_{path[-32:]}", path, buckets)
+
+
+def bucketed_history(spark, sf):
+    """Quotes and greeks of the history, in as many buckets as its rows need."""
+    rows = settle(fx.history(spark, sf), "history")
+    buckets = market.buckets_for(rows.count())
+    return bucketed(spark, fx.quotes_of(rows), "quotes", buckets), bucketed(spark, fx.greeks_of(rows), "greeks", buckets)
 
 
 def co_located_quotes_greeks(quotes, greeks):
@@ -120,8 +126,7 @@ def co_located_quotes_greeks(quotes, greeks):
       FROM quotes q JOIN greeks g USING (symbol, opt_right, strike_milli, trade_date, exp, ms_of_day)""",
 )
 def j03_bucketed(spark, sf):
-    rows = settle(fx.history(spark, sf), "history")
-    joined = co_located_quotes_greeks(bucketed(spark, fx.quotes_of(rows), "quotes"), bucketed(spark, fx.greeks_of(rows), "greeks"))
+    joined = co_located_quotes_greeks(*bucketed_history(spark, sf))
     out = joined.select(*LEG_IDS, "exp", "ms_of_day", "bid_quote", "bid_ivgreek", "bid_size", "implied_vol")
     with market.buckets_kept(spark):
         return settle(out, "joined")
@@ -140,7 +145,8 @@ def co_located_pairs(quotes):
       WHERE f.exp < b.exp AND date_diff('day', {day_sql('f.exp')}, {day_sql('b.exp')}) + 1 <= 45""",
 )
 def j02_bucketed(spark, sf):
-    pairs = co_located_pairs(bucketed(spark, fx.quotes(spark, sf), "quotes"))
+    rows = settle(fx.quotes(spark, sf), "quotes")
+    pairs = co_located_pairs(bucketed(spark, rows, "quotes", market.buckets_for(rows.count())))
     with market.buckets_kept(spark):
         return settle(pairs, "pairs")
 
@@ -161,8 +167,7 @@ def co_located_wide(quotes, greeks):
       WHERE p.opt_right = 'P' AND c.opt_right = 'C' AND g.opt_right = 'P' AND h.opt_right = 'C'""",
 )
 def j08_bucketed(spark, sf):
-    rows = settle(fx.history(spark, sf), "history")
-    wide = co_located_wide(bucketed(spark, fx.quotes_of(rows), "quotes"), bucketed(spark, fx.greeks_of(rows), "greeks"))
+    wide = co_located_wide(*bucketed_history(spark, sf))
     with market.buckets_kept(spark):
         return settle(wide, "wide")
 

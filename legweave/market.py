@@ -14,6 +14,14 @@ from legweave.scratch import settle
 # What quotes, greeks and open interest of a contract share, and a front leg with its back legs too.
 BUCKET_KEYS = ["symbol", "strike_milli"]
 
+# A bucket is one task's share of every join on this layout: its rows are bounded, the number of buckets is not.
+LEAST_BUCKETS, ROWS_PER_BUCKET = 8, 500_000
+
+
+def buckets_for(n_rows: int) -> int:
+    """How many buckets tables of about ``n_rows`` rows take; those that meet must have equally many."""
+    return max(LEAST_BUCKETS, -(-n_rows // ROWS_PER_BUCKET))
+
 
 def land_bucketed(rows: DataFrame, name: str, path: str, buckets: int, mode: str = "overwrite") -> DataFrame:
     """Writes the catalog table ``name``: partitioned by trade date, bucketed by symbol and strike.
