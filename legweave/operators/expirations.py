@@ -42,9 +42,26 @@ def strikes_of(quotes: DataFrame) -> DataFrame:
 
 
 def contract_listing(quotes: DataFrame) -> DataFrame:
-    """Trading days and strikes of each expiration in one pass."""
-    return quotes.groupBy("symbol", "exp").agg(
-        sorted_set("trade_date").alias("trade_dates"), sorted_set("strike_milli").alias("strikes")
+    """Trading days and strikes of each expiration in one pass.
+
+    Repeats go by hashing first: sets alone are collected by sorting every row.
+    """
+    day, strike = F.col("trade_date"), F.col("strike_milli")
+    none = [F.lit(None).alias(n) for n in ("trade_date", "strike_milli")]
+    items = F.explode(F.array(F.struct(day, none[1]), F.struct(none[0], strike)))
+    seen = quotes.select("symbol", "exp", items.alias("item")).select("symbol", "exp", "item.*").distinct()
+    # Lists, as Spark drops a distinct that only feeds sets.
+    return seen.groupBy("symbol", "exp").agg(
+        F.array_sort(F.collect_list("trade_date")).alias("trade_dates"),
+        F.array_sort(F.collect_list("strike_milli")).alias("strikes"),
+    )
+
+
+def listing_of_roots(listing: DataFrame, roots: DataFrame) -> DataFrame:
+    """A :func:`contract_listing` by the names of the market tables as one by their symbols."""
+    named = salted_join(listing.withColumnRenamed("symbol", "root"), roots, ["root"])
+    return named.groupBy("symbol", "exp").agg(
+        *[F.array_sort(F.array_distinct(F.flatten(F.collect_list(n)))).alias(n) for n in ("trade_dates", "strikes")]
     )
 
 

@@ -90,15 +90,19 @@ def upper_median(sorted_array: Column | str) -> Column:
     return F.get(a, F.floor(F.size(a) / 2).cast("int"))
 
 
-def strike_corridor(plans: DataFrame, greeks: DataFrame, plan_keys: Sequence[str], right: str) -> DataFrame:
+def strike_corridor(
+    plans: DataFrame, greeks: DataFrame, plan_keys: Sequence[str], right: str, roots: DataFrame | None = None
+) -> DataFrame:
     """Limits the ``strikes`` of each plan to the traded range of its underlying.
 
     The range is taken from non-zero underlyings of the front expiration at the
     upper-median strike, between the plan's first and last trade date.  Plans
     left without a price or a strike are dropped.  Plans need ``symbol``,
-    ``exp_front``, ``trade_dates`` and ``strikes``.
+    ``exp_front``, ``trade_dates`` and ``strikes``.  With ``roots`` the greeks
+    are read under every name of a symbol.
     """
     plan_keys = list(plan_keys)
+    contract = ["symbol", "exp", "strike_milli"]
     probe = plans.select(
         *dict.fromkeys([*plan_keys, "symbol"]),
         F.col("exp_front").alias("exp"),
@@ -107,10 +111,14 @@ def strike_corridor(plans: DataFrame, greeks: DataFrame, plan_keys: Sequence[str
         F.array_max("trade_dates").alias("__to"),
     )
     # Only the probed contracts of the plans' days are aggregated.
-    probed = greeks.filter(F.col("opt_right") == right).select("symbol", "exp", "strike_milli", "trade_date", "underlying")
+    probed = greeks.filter(F.col("opt_right") == right).select(*contract, "trade_date", "underlying")
+    if roots is not None:
+        # The few probes take the names, so the greeks are dealt once.
+        probe, probed = probe.join(roots, "symbol"), probed.withColumnRenamed("symbol", "root")
+        contract = ["root", "exp", "strike_milli"]
     und_range = (
         nonzero_underlying(probed)
-        .join(probe, ["symbol", "exp", "strike_milli"])
+        .join(probe, contract)
         .filter(F.col("trade_date").between(F.col("__from"), F.col("__to")))
         .groupBy(*plan_keys)
         .agg(F.min("underlying").alias("min_und"), F.max("underlying").alias("max_und"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from legweave.functions.pricing import strike_price
 from legweave.market import covered_days, on_days
 from legweave.operators.enrich import in_symbols
-from legweave.operators.expirations import choose_expirations, common_listing, contract_listing, sorted_set
+from legweave.operators.expirations import choose_expirations, common_listing, contract_listing, listing_of_roots, sorted_set
 from legweave.operators.filters import enough_dates, strike_corridor
 from legweave.operators.legs import earliest_per_day, merge
 from legweave.operators.planning import (
@@ -19,7 +19,6 @@ from legweave.operators.planning import (
     dataset_key,
     for_weeks,
     not_in,
-    rows_of_roots,
     settled,
     symbol_roots,
     with_quarters,
@@ -52,17 +51,21 @@ def history_roots(symbols: DataFrame, changes: DataFrame) -> DataFrame:
     return symbol_roots(symbols, active_symbols(changes))
 
 
-def plan_strikes(plan: DataFrame, quotes: DataFrame, greeks: DataFrame, right: str) -> DataFrame:
+def plan_strikes(
+    plan: DataFrame, quotes: DataFrame, greeks: DataFrame, right: str, roots: DataFrame | None = None
+) -> DataFrame:
     """Plan rows with their expirations, shared days and corridor strikes.
 
     The quotes are listed once, per expiration; the rest reads that listing.
+    With ``roots`` both tables are read under every name of a symbol.
     """
-    listing = settle(contract_listing(quotes), "listing")
+    listing = contract_listing(quotes)
+    listing = settle(listing if roots is None else listing_of_roots(listing, roots), "listing")
     expirations = listing.groupBy("symbol").agg(sorted_set("exp").alias("expirations"))
     chosen = choose_expirations(plan, expirations)
     shared = settle(common_listing(chosen, listing, MIN_COMMON_DATES), "history-plan")
     days = shared.select(F.explode("trade_dates").alias("trade_date"))
-    return strike_corridor(shared, on_days(greeks, days), PLAN_KEYS, right)
+    return strike_corridor(shared, on_days(greeks, days), PLAN_KEYS, right, roots)
 
 
 def wanted_contracts(ready: DataFrame) -> DataFrame:
@@ -88,14 +91,21 @@ def wanted_contracts(ready: DataFrame) -> DataFrame:
 def reduced(
     rows: DataFrame, contracts: DataFrame, first: int, last: int, days: DataFrame | None = None
 ) -> DataFrame:
-    """Rows of the wanted contracts on their days; ``first`` and ``last`` bound the scan, ``days`` prune it."""
+    """Rows of the wanted contracts on their days; ``first`` and ``last`` bound the scan, ``days`` prune it.
+
+    Contracts with a ``root`` are looked up by that name, and their symbol replaces it.
+    """
+    contract, spent = CONTRACT, ["from_day", "to_day"]
+    if "root" in contracts.columns:
+        rows, contract = rows.withColumnRenamed("symbol", "root"), ["root", *CONTRACT[1:]]
+        spent.append("root")
     near = rows.filter(F.col("trade_date").between(first, last))
     if days is not None:
         near = on_days(near, days)
     return (
-        near.join(contracts, CONTRACT)
+        near.join(contracts, contract)
         .filter(F.col("trade_date").between(F.col("from_day"), F.col("to_day")))
-        .drop("from_day", "to_day")
+        .drop(*spent)
     )
 
 
@@ -111,12 +121,10 @@ def equity_history(
     interest in either leg get 0.
     """
     market = [of_right(t, right) for t in (quotes, greeks, oi)]
-    listed = quotes
-    if roots is not None:
-        market = [rows_of_roots(t, roots).drop("root") for t in market]
-        listed = rows_of_roots(quotes.select(*CONTRACT, "trade_date"), roots).drop("root")
-    ready = settle(plan_strikes(plan, listed, market[1], right), "ready")
-    contracts = settle(wanted_contracts(ready), "contracts")
+    ready = settle(plan_strikes(plan, quotes, market[1], right, roots), "ready")
+    contracts = wanted_contracts(ready)
+    # The contracts take the names and not the market's rows, so each table is dealt once.
+    contracts = settle(contracts if roots is None else contracts.join(roots, "symbol"), "contracts")
     days = contracts.agg(F.min("from_day").alias("first"), F.max("to_day").alias("last")).first()  # one row
     first, last = days.first or 0, days.last or 0
     wanted_days = covered_days(contracts, "from_day", "to_day")

@@ -123,6 +123,27 @@ def test_bucketed_tables_meet_without_a_shuffle(spark, history, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    assert [market.buckets_for(n) for n in (0, 4_000_000, 4_000_001, 216_000_000)] == [8, 8, 9, 432]
+    monkeypatch.setattr(market, "ROWS_PER_BUCKET", 300)
+    landed = []
+    monkeypatch.setattr(market, "land_bucketed", lambda rows, name, path, buckets: landed.append((rows.count(), buckets)) or rows)
+    gq.bucketed_history(spark, SF)
+    gq.j02_bucketed(spark, SF)
+    (n, first), (_, second), (m, third) = landed
+    assert first == second == -(-n // 300) > 8 and third == -(-m // 300)
+
+
+def test_history_deals_each_table_once(spark):
+    """The names of a symbol are on the contracts, so the join with them is the only one that the market's rows take part in."""
+    quotes = spark.range(5).selectExpr("'O' symbol", "'C' opt_right", "id strike_milli", "1 exp", "1 trade_date", "1 ms_of_day", "id v")
+    contracts = spark.createDataFrame([("A", 1, 1, 1, 2), ("B", 1, 2, 2, 2)], "symbol string, exp int, strike_milli long, from_day int, to_day int")
+    roots = spark.createDataFrame([("A", "A"), ("A", "O"), ("B", "O")], "symbol string, root string")
+    cut = eh.reduced(quotes, contracts.join(roots, "symbol"), 1, 2)
+    assert [tuple(r) for r in cut.select("symbol", "strike_milli", "v").collect()] == [("A", 1, 1)]
+    assert "root" not in cut.columns
+
+
 def test_appended_days_keep_the_buckets(spark, history):
     path = fresh_path(spark, "appended")
     name = f"t_{path[-32:]}"
