@@ -42,6 +42,13 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
+def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, step: int = 1 << 16) -> np.ndarray:
+    """``values`` at :func:`ragged`'s positions, ``step`` ranges at a time, as positions take more room than values."""
+    at = range(0, len(starts), step)
+    parts = [values[ragged(starts[lo : lo + step], lengths[lo : lo + step])] for lo in at]
+    return np.concatenate(parts) if parts else values[:0]
+
+
 def list_column(starts: np.ndarray, values: pa.Array) -> pa.Array:
     """A list column from each row's start in ``values``."""
     return pa.LargeListArray.from_arrays(pa.array(starts, pa.int64()), values)

@@ -19,8 +19,10 @@ from legweave.scratch import discard, release, settle
 
 # Common shingles that come last in the order of prefixes: at most so many, each in so many documents.
 COMMON, COMMON_FROM = 200_000, 64
-# Documents of a batch that share a shingle before the batch reports it.
+# Documents that share a shingle before it is reported; they are counted over so many documents or members together,
+# in ranges of their hashes' first bits.
 SEEN_IN_BATCH = 4
+SEEN_ROWS, SEEN_MEMBERS, RANGE_BITS = 10_000, 4_000_000, 4
 # Bits of a signature: its set's size or more, in powers of two, between these.
 LEAST_BITS, MOST_BITS = 64, 1 << 15
 # Rows of a block of a large tile, rows of a task, pairs compared at a time.
@@ -41,12 +43,20 @@ def signature(one: np.ndarray) -> bytes:
 
 
 def _profiles(size: int):
-    """Texts to rows of their set (``n``, two fingerprints, signature), and shingles common in the batch."""
+    """Texts to rows of their set (``n``, two fingerprints, signature), and shingles common in some thousands of them."""
+
+    def often(members: list[np.ndarray], id_type: pa.DataType) -> pa.RecordBatch:
+        seen, times = _seen_often(members, SEEN_IN_BATCH)
+        k = len(seen)
+        shingles = pa.array(seen.view(np.int64))
+        return _profile_rows(
+            pa.nulls(k, id_type), times, seen.view(np.int64), np.zeros(k, np.int64), pa.nulls(k, pa.binary()), shingles
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members, rows = [], 0
         for batch in batches:
             data, starts = utf8(batch.column("body"))
-            members = []
             for lo, hi in blocks(starts):
                 at, sets = shingle_sets(data[starts[lo] : starts[hi]], starts[lo : hi + 1] - starts[lo], size)
                 each = [sets[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
@@ -59,21 +69,34 @@ def _profiles(size: int):
                     pa.array([signature(s) if len(s) else None for s in each], pa.binary()),
                     pa.nulls(hi - lo, pa.int64()),
                 )
+                sets.sort()
                 members.append(sets)
-            if not members:
-                continue
-            seen, times = np.unique(np.concatenate(members), return_counts=True)
-            often = times >= SEEN_IN_BATCH
-            k = int(often.sum())
-            nothing = pa.nulls(k, batch.schema.field("id").type)
-            yield _profile_rows(
-                nothing, times[often], seen[often].view(np.int64), np.zeros(k, np.int64), pa.nulls(k, pa.binary()),
-                pa.array(seen[often].view(np.int64)),
-            )
+                rows += hi - lo
+            if rows >= SEEN_ROWS or sum(map(len, members)) >= SEEN_MEMBERS:
+                yield often(members, batch.schema.field("id").type)
+                members, rows = [], 0
+        if members:
+            yield often(members, batch.schema.field("id").type)
 
     return run
 
 
+def _seen_often(members: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values that come ``least`` times or more in all of these sorted arrays, sorted, and how often.
+
+    A range of values is put together at a time, and as most come once, only those that reach ``least`` are counted.
+    """
+    lows = np.arange(1, 1 << RANGE_BITS, dtype=np.uint64) << np.uint64(64 - RANGE_BITS)
+    ranges = zip(*[np.split(one, np.searchsorted(one, lows)) for one in members], strict=True)
+    found = []
+    for parts in ranges:
+        both = np.sort(np.concatenate(parts))
+        last = both[least - 1 :]
+        found.append(np.unique(last[last == both[: len(last)]], return_counts=True))
+    seen, times = (np.concatenate(x) for x in zip(*found, strict=True))
+    return seen, times + (least - 1)
+
+
 def _profile_rows(ids, n, k1, k2, sig, shingle) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [ids, pa.array(n, pa.int64()), pa.array(k1), pa.array(k2), sig, shingle], ["id", "n", "k1", "k2", "sig", "shingle"]

@@ -52,8 +52,8 @@ def trigram_profile(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
             a, b = starts[r], starts[r + 1] - 2
             if b > a:
                 counts[r] = np.bincount(code[a:b], minlength=BUCKETS)
-    whole = counts.sum(1, keepdims=True)
-    return np.sqrt(counts / np.maximum(whole, 1))
+    counts /= np.maximum(counts.sum(1, keepdims=True), 1)
+    return np.sqrt(counts, out=counts)
 
 
 def squared_hinge(x: np.ndarray, y: np.ndarray) -> np.ndarray:

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from legweave.llm.batches import list_column, ragged
+from legweave.llm.batches import gathered, list_column
 from legweave.llm.samples import with_scores
+from legweave.llm.shingles import FACTOR, SPAN, range_hashes
 
 SPACE = "▁"
 # The model file that the queries and the pipeline use; a parameter everywhere else.
@@ -22,10 +23,7 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 # Fixed values of the model file's format: kinds of pieces and of models.
 NORMAL, CONTROL, BYTE = 1, 3, 6
 UNIGRAM, BPE = 1, 2
-# Odd factor of the rolling hash over code points.
-FACTOR = np.uint64(0x9E3779B97F4A7C15)
 NO_PIECE, UNKNOWN = -1, -2
-UNFACTOR = np.uint64(pow(int(FACTOR), -1, 1 << 64))
 # Ids of words a worker remembers, words of one length searched at a time, and places of its two tables of answers.
 REMEMBERED, ABREAST = 4_000_000, 20_000
 WORD_SLOTS, PAIR_SLOTS = 20, 21
@@ -59,6 +57,15 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += size
 
 
+def _room(array: np.ndarray, n: int) -> np.ndarray:
+    """The array, or a longer copy of it that has room for n values."""
+    if n <= len(array):
+        return array
+    out = np.zeros(n + n // 4, array.dtype)
+    out[: len(array)] = array
+    return out
+
+
 @dataclass
 class Vocabulary:
     """A model file: pieces with scores and kinds, and how text is prepared."""
@@ -142,7 +149,8 @@ class Codec:
     def _forget(self) -> None:
         self.word_keys = np.zeros(1 << WORD_SLOTS, np.uint64)
         self.word_of = np.zeros(1 << WORD_SLOTS, np.int64)
-        self.word_starts, self.word_ids = [np.zeros(1, np.int64)], [np.empty(0, np.int32)]
+        # The ids of known words end to end; memory is taken as the arrays fill.
+        self.word_starts, self.word_ids = np.zeros(REMEMBERED, np.int64), np.empty(REMEMBERED, np.int32)
         self.known, self.held = 0, 0
 
     # Encoding
@@ -155,14 +163,16 @@ class Codec:
         starts = np.append(0, np.cumsum([len(t) for t in marked])).astype(np.int64)
         if not len(points):
             return np.zeros(len(texts) + 1, np.int64), np.empty(0, np.int32)
-        cut = np.append(True, ~self._joins(points[:-1], points[1:]))
+        cut = np.ones(len(points), bool)
+        for lo in range(1, len(points), SPAN):
+            hi = min(lo + SPAN, len(points))
+            cut[lo:hi] = ~self._joins(points[lo - 1 : hi - 1], points[lo:hi])
         cut[starts[:-1][np.diff(starts) > 0]] = True
         words = np.flatnonzero(cut)
         ends = np.append(words[1:], len(points))
         index = self._looked_up(points, words, ends)
-        all_starts, all_ids = self._remembered()
-        sizes = all_starts[index + 1] - all_starts[index]
-        ids = all_ids[ragged(all_starts[index], sizes)]
+        sizes = self.word_starts[index + 1] - self.word_starts[index]
+        ids = gathered(self.word_ids, self.word_starts[index], sizes)
         counted = np.append(0, np.cumsum(sizes))
         return counted[np.searchsorted(words, starts)], ids
 
@@ -183,13 +193,7 @@ class Codec:
 
     def _looked_up(self, points: np.ndarray, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The number of each word in this worker's memory, after learning those it lacks."""
-        steps = np.full(len(points), FACTOR, np.uint64)
-        steps[0] = 1
-        powers = np.multiply.accumulate(steps)
-        total = np.append(np.uint64(0), np.cumsum((points + np.uint64(1)) * powers))
-        shrink = np.full(len(points), UNFACTOR, np.uint64)
-        shrink[0] = 1
-        keys = (total[ends] - total[words]) * np.multiply.accumulate(shrink)[words]
+        keys = range_hashes(points, words, ends)
         keys ^= keys >> np.uint64(29)
         keys = keys * FACTOR + (ends - words).astype(np.uint64)
         keys += keys == 0
@@ -208,11 +212,15 @@ class Codec:
             self.word_of[slot] = numbers
         return index
 
-    def _remembered(self) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.word_starts) > 1:
-            self.word_starts = [np.concatenate(self.word_starts)]
-            self.word_ids = [np.concatenate(self.word_ids)]
-        return self.word_starts[0], self.word_ids[0]
+    def _remember(self, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Adds words by their ids end to end, and returns their numbers."""
+        known, held = self.known + len(sizes), self.held + len(ids)
+        self.word_starts, self.word_ids = _room(self.word_starts, known + 1), _room(self.word_ids, held)
+        self.word_starts[self.known + 1 : known + 1] = self.held + np.cumsum(sizes)
+        self.word_ids[self.held : held] = ids
+        numbers = np.arange(self.known, known)
+        self.known, self.held = known, held
+        return numbers
 
     def _learn(self, points: np.ndarray, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Searches these words, equal lengths together, and returns their numbers."""
@@ -226,11 +234,7 @@ class Codec:
             for lo in range(0, len(group), step):
                 some = group[lo : lo + step]
                 sizes, ids = self._search(points[words[some][:, None] + np.arange(length)])
-                numbers[some] = self.known + np.arange(len(some))
-                self.word_starts.append(self.held + np.cumsum(sizes))
-                self.word_ids.append(ids.astype(np.int32))
-                self.known += len(some)
-                self.held += len(ids)
+                numbers[some] = self._remember(sizes, ids)
         return numbers
 
     def _search(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -359,7 +363,7 @@ class Codec:
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.bytes_of)):
             raise ValueError("an id is outside the vocabulary")
         sizes = self.piece_sizes[ids]
-        flat = self.piece_bytes[ragged(self.piece_starts[ids], sizes)].tobytes()
+        flat = gathered(self.piece_bytes, self.piece_starts[ids], sizes).tobytes()
         ends = np.append(0, np.cumsum(sizes))[starts].tolist()
         out = []
         for a, b in zip(ends[:-1], ends[1:], strict=True):

@@ -11,6 +11,8 @@ WHITE[[0x20, 9, 10, 11, 12, 13]] = True
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 UNFACTOR = np.uint64(pow(int(FACTOR), -1, 1 << 64))
 MIXER = np.uint64(0xBF58476D1CE4E5B9)
+# Signs that are hashed at a time: the running sums take some fifty bytes for each.
+SPAN = 1 << 18
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -25,6 +27,21 @@ def _powers(factor: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(steps)
 
 
+def range_hashes(signs: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The rolling hash of ``signs[first[i]:last[i]]`` of every i; the ranges are in order and none is empty."""
+    out = np.empty(len(first), np.uint64)
+    lo = 0
+    while lo < len(first):
+        base = first[lo]
+        hi = max(lo + 1, int(np.searchsorted(last, base + SPAN, "right")))
+        part = signs[base : last[hi - 1]]
+        total = np.append(np.uint64(0), np.cumsum((part + np.uint64(1)) * _powers(FACTOR, len(part))))
+        begin, end = first[lo:hi] - base, last[lo:hi] - base
+        out[lo:hi] = (total[end] - total[begin]) * _powers(UNFACTOR, len(part))[begin]
+        lo = hi
+    return out
+
+
 def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A hash of every word, lower-cased in ASCII, and where each document's words start; words end at documents."""
     if not len(data):
@@ -35,8 +52,7 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     begins = inside & (edge[:-1] | np.append(True, ~inside[:-1]))
     stops = inside & (edge[1:] | np.append(~inside[1:], True))
     first, last = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    total = np.append(np.uint64(0), np.cumsum((LOWER[data] + np.uint64(1)) * _powers(FACTOR, len(data))))
-    hashes = (total[last] - total[first]) * _powers(UNFACTOR, len(data))[first]
+    hashes = range_hashes(LOWER[data], first, last)
     return mixed(hashes + (last - first).astype(np.uint64)), np.searchsorted(first, starts)
 
 

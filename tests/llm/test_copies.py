@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from legweave.llm import components, embeddings, jaccard, ordered, substrings
@@ -295,6 +296,27 @@ def test_jaccard_of_odd_rows(odd_docs, odd_rows, no_docs):
     assert jaccard.jaccard_components(no_docs).collect() == []
 
 
+def test_common_shingles_are_counted_over_batches(monkeypatch):
+    """Batches of two documents report what one batch of all does, and long inputs are reported in parts."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(60), pa.int64()), pa.array(texts)], ["id", "body"])
+    sets = [frozenset(tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)) or {tuple(t.split())} for t in texts]
+    want = sorted(n for n in Counter(x for s in sets for x in s if x).values() if n >= jaccard.SEEN_IN_BATCH)
+
+    def reported(step):
+        made = list(jaccard._profiles(5)(iter([whole.slice(at, step) for at in range(0, 60, step)])))
+        rows = [r for b in made for r in b.to_pylist()]
+        assert [r["id"] for r in rows if r["shingle"] is None] == list(range(60))
+        return sorted((r["shingle"], r["n"]) for r in rows if r["shingle"] is not None)
+
+    assert sorted(n for _, n in reported(60)) == want and want
+    assert reported(2) == reported(60)
+    monkeypatch.setattr(jaccard, "SEEN_ROWS", 20)
+    parts = reported(2)
+    assert len(parts) > len({s for s, _ in parts}) > 0
+
+
 def test_signatures_never_exceed_the_difference():
     rng = np.random.default_rng(6)
     import pyarrow as pa

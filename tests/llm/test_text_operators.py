@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ import numpy as np
 import pytest
 import sentencepiece as library
 
-from legweave.llm import exact_dedup, mixing, secrets, sharding
+from legweave.llm import exact_dedup, mixing, secrets, sharding, shingles
 from legweave.llm import sentencepiece as sp
 
 WHITE = re.compile(r"[\x20\x09-\x0D]+")
@@ -290,6 +291,41 @@ def test_unigram_models_take_the_best_sum():
     assert small.encode(["azzb"])[1].tolist() == [6, 0, 2]
 
 
+def test_a_block_takes_few_bytes_a_sign(codec):
+    """Memory of a block beside the worker's tables; sums over the whole block took 56 bytes a sign, and 24 to decode."""
+    text = "the cat sat on a mat and the dog ran " * 54_000
+    codec.encode([text[:1_000]])
+    tracemalloc.start()
+    starts, ids = codec.encode([text])
+    encoding = tracemalloc.get_traced_memory()[1]
+    before = tracemalloc.get_traced_memory()[0]
+    tracemalloc.reset_peak()
+    back = codec.decode(starts, ids)
+    decoding = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert back == [text]
+    assert encoding < 35 * len(text) and decoding < 15 * len(text)
+
+
+def test_words_on_borders_of_spans_keep_their_hashes(codec, monkeypatch):
+    texts = TEXTS + ["the quick brown fox " * 50]
+    want = codec.encode(texts)[1].tolist()
+    hashes = shingles.range_hashes(np.arange(500, dtype=np.uint32), np.arange(0, 490, 7), np.arange(5, 495, 7))
+    monkeypatch.setattr(shingles, "SPAN", 11)
+    monkeypatch.setattr(sp, "SPAN", 11)
+    assert codec.encode(texts)[1].tolist() == want
+    assert (shingles.range_hashes(np.arange(500, dtype=np.uint32), np.arange(0, 490, 7), np.arange(5, 495, 7)) == hashes).all()
+
+
+def test_a_worker_forgets_and_grows(codec, monkeypatch):
+    """Few remembered ids: the tables grow within a call, are emptied between calls, and ids stay right."""
+    monkeypatch.setattr(sp, "REMEMBERED", 50)
+    small = sp.Codec(codec.vocabulary)
+    texts = [f"number{i} and {i * 7919} more" for i in range(300)]
+    for some in (texts[:200], texts[100:], texts):
+        assert small.encode(some)[1].tolist() == codec.encode(some)[1].tolist()
+
+
 def test_encode_and_decode_tables(odd_docs, odd_rows, no_docs):
     coded = sp.encode_texts(odd_docs, sp.MODEL_FILE, decode=True)
     rows = coded.select("doc_id", "text", "ids", "n_ids", "decoded").collect()
