@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from legweave.llm.batches import blocks, list_column, utf8
+from legweave.llm.batches import blocks, give_back, list_column, utf8
 from legweave.scratch import settle
 
 WHITE = r"[\x20\x09-\x0D]+"
@@ -76,6 +76,7 @@ def _chunked(hash_bits: int, emit: str):
                     ],
                     [*rows.schema.names[:-1], "pos", "chunk_hash", "chunk"],
                 )
+        give_back()
 
     return run
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from legweave.llm.batches import blocks, list_column, ragged, utf8
+from legweave.llm.batches import blocks, give_back, list_column, ragged, utf8
 from legweave.llm.bitsets import BITS, bit_set, contains
 from legweave.llm.components import components
 from legweave.llm.shingles import mixed, shingle_sets
@@ -77,6 +77,8 @@ def _profiles(size: int):
                 members, rows = [], 0
         if members:
             yield often(members, batch.schema.field("id").type)
+        del members
+        give_back()
 
     return run
 
@@ -143,6 +145,7 @@ def _prefixes(size: int, percent: int, common: np.ndarray, only=None):
                     ],
                     ["shingle", "k1", "n"],
                 )
+        give_back()
 
     return run
 
@@ -157,6 +160,7 @@ def _sets(size: int):
                 at, sets = shingle_sets(data[starts[lo] : starts[hi]], starts[lo : hi + 1] - starts[lo], size)
                 members = list_column(at, pa.array(sets.view(np.int64))).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo), members], ["id", "members"])
+        give_back()
 
     return run
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from legweave.llm.batches import blocks, utf8
+from legweave.llm.batches import blocks, give_back, utf8
 from legweave.scratch import settle
 
 
@@ -56,5 +56,6 @@ def with_scores(df: DataFrame, text_col: str, scorer: Scorer, fields: list[T.Str
                 made = scorer(data[starts[lo] : starts[hi]], starts[lo : hi + 1] - starts[lo])
                 rows = batch.column("row").slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([rows, *[made[n] for n in names]], ["row", *names])
+        give_back()
 
     return packed.mapInArrow(run, T.StructType([packed.schema["row"], *fields])).select("row.*", *names)

@@ -25,8 +25,8 @@ NORMAL, CONTROL, BYTE = 1, 3, 6
 UNIGRAM, BPE = 1, 2
 NO_PIECE, UNKNOWN = -1, -2
 # Ids of words a worker remembers, words of one length searched at a time, and places of its two tables of answers.
-REMEMBERED, ABREAST = 4_000_000, 20_000
-WORD_SLOTS, PAIR_SLOTS = 20, 21
+REMEMBERED, ABREAST = 2_000_000, 20_000
+WORD_SLOTS, PAIR_SLOTS = 19, 20
 # Letters below this code point have their neighbours in a table; the others are looked up.
 COMMON = 0x250
 
